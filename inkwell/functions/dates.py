@@ -74,9 +74,9 @@ def literal_day(raw: Column) -> Column:
     rfc_day = F.regexp_extract(rfc, "^([0-9]{1,2} [A-Za-z]{3} [0-9]{4})", 1)
     long_day = F.regexp_extract(s, "^([A-Za-z]+ [0-9]{1,2}, [0-9]{4})", 1)
     return F.coalesce(
-        F.try_to_date(F.nullif(iso_day, F.lit("")), F.lit("yyyy-MM-dd")),
-        F.try_to_date(F.nullif(rfc_day, F.lit("")), F.lit("d MMM yyyy")),
-        F.try_to_date(F.nullif(long_day, F.lit("")), F.lit(LONG_MONTH_PATTERN)),
+        F.try_to_date(F.nullif(iso_day, F.lit("")), "yyyy-MM-dd"),
+        F.try_to_date(F.nullif(rfc_day, F.lit("")), "d MMM yyyy"),
+        F.try_to_date(F.nullif(long_day, F.lit("")), LONG_MONTH_PATTERN),
     )
 
 
