@@ -39,21 +39,22 @@ def entry_html(content: Column, summary: Column) -> Column:
     return F.coalesce(F.nullif(first, F.lit("")), F.nullif(summary, F.lit("")))
 
 
-def page_fallback_text(source: Column, html: Column, sources=DEFAULT_SOURCES) -> Column:
-    """P-9 dispatched by source: each source's container rule, else NULL."""
+def page_fallback_text(source: Column, html: Column, sources=DEFAULT_SOURCES, default=None) -> Column:
+    """P-9 dispatched by source: each source's container rule (or the default
+    source's rule for sources not in the registry), else NULL."""
+    none = F.lit(None).cast("string")
+    other = container_text(html, default.container) if default is not None and default.container else none
     expr = None
     for s in sources:
-        if s.container is None:
-            continue
-        t = container_text(html, s.container)
+        t = container_text(html, s.container) if s.container is not None else none
         expr = F.when(source == s.name, t) if expr is None else expr.when(source == s.name, t)
-    return F.lit(None).cast("string") if expr is None else expr
+    return other if expr is None else expr.otherwise(other)
 
 
-def article_columns(sources=DEFAULT_SOURCES) -> list[Column]:
+def article_columns(sources=DEFAULT_SOURCES, default=None) -> list[Column]:
     """Projection from a joined (entry, page) row to the article item."""
     feed_text = paragraph_text(entry_html(F.col("content"), F.col("summary")))
-    page_text = page_fallback_text(F.col("source"), F.col("html"), sources)
+    page_text = page_fallback_text(F.col("source"), F.col("html"), sources, default)
     published_at = publish_ts(F.col("published"), F.col("published_parsed"))
     return [
         F.col("source"),
@@ -72,7 +73,7 @@ def article_columns(sources=DEFAULT_SOURCES) -> list[Column]:
 
 
 def extract_articles(entries: DataFrame, pages: DataFrame, sources=DEFAULT_SOURCES,
-                     keep: list[str] | None = None) -> DataFrame:
+                     keep: list[str] | None = None, default=None) -> DataFrame:
     """J-1 + P-1..P-11.
 
     ``entries`` carries (source, link, title, author, author_detail, published,
@@ -83,4 +84,4 @@ def extract_articles(entries: DataFrame, pages: DataFrame, sources=DEFAULT_SOURC
     pages = status_ok(pages).select("request_url", "url", "html")
     joined = entries.join(pages, entries["link"] == pages["request_url"], "inner")
     extra = [F.col(c) for c in (keep or [])]
-    return joined.select(*extra, *article_columns(sources))
+    return joined.select(*extra, *article_columns(sources, default))

@@ -100,12 +100,15 @@ def per_source(source_col: Column, sources, pick, default=None) -> Column:
     return expr.otherwise(default if isinstance(default, Column) else F.lit(default))
 
 
-def base_url_for(source_col: Column, sources=DEFAULT_SOURCES) -> Column:
-    return per_source(source_col, sources, lambda s: s.base_url).cast("string")
+def base_url_for(source_col: Column, sources=DEFAULT_SOURCES, default: Source | None = None) -> Column:
+    dflt = F.lit(default.base_url if default else None).cast("string")
+    return per_source(source_col, sources, lambda s: s.base_url, default=dflt).cast("string")
 
 
-def domains_for(source_col: Column, sources=DEFAULT_SOURCES) -> Column:
-    return per_source(
-        source_col, sources, lambda s: F.array(*[F.lit(d) for d in s.allowed_domains]),
-        default=F.array().cast("array<string>"),
-    )
+def _domains(s: Source) -> Column:
+    return F.array(*[F.lit(d) for d in s.allowed_domains]) if s.allowed_domains else F.array().cast("array<string>")
+
+
+def domains_for(source_col: Column, sources=DEFAULT_SOURCES, default: Source | None = None) -> Column:
+    dflt = _domains(default) if default else F.array().cast("array<string>")
+    return per_source(source_col, sources, _domains, default=dflt)
