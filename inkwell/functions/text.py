@@ -2,18 +2,14 @@
 
 Everything here is a ``Column -> Column`` built from native Spark
 expressions (regexp, split, higher-order transform/filter/aggregate), so the
-work stays inside whole-stage codegen with no Python workers.  The only Python
-is an Arrow UDF for HTML character references outside the common named set,
-and it only runs on rows that actually contain such a reference.
+work stays in the JVM with no Python workers, character references included.
 """
 
 from __future__ import annotations
 
-import html as _html
-import re
 import sys
+from html.entities import name2codepoint as _name2codepoint
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,21 +40,18 @@ COMMON_ENTITIES = [
 ]
 
 # Any character reference (named or numeric) not in the native list.
-_KNOWN_ENTITY_RE = "|".join(k for k, _ in COMMON_ENTITIES)
-_ANY_REFERENCE_RE = "&(#[0-9]|#[xX][0-9a-fA-F]|[A-Za-z])"
-_KNOWN_SET = {k for k, _ in COMMON_ENTITIES}
 
 # Markup that carries no visible text; removed before any splitting.  Each is
 # replaced by an empty inline tag so the text on both sides stays two nodes.
 _INVISIBLE_RE = (
-    "(?is)<!--.*?-->|<script(?:[^A-Za-z0-9>][^>]*)?>.*?</script[^>]*>"
-    "|<style(?:[^A-Za-z0-9>][^>]*)?>.*?</style[^>]*>"
+    "(?is)<(?:!--.*?-->|script(?:[^A-Za-z0-9>][^>]*)?>.*?</script[^>]*>"
+    "|style(?:[^A-Za-z0-9>][^>]*)?>.*?</style[^>]*>)"
 )
 _NODE_BREAK = "<wbr>"
 
 # A tag (start, end, declaration, processing instruction).  A bare "<" that is
 # not followed by a letter, "/", "!" or "?" is text, as in an HTML parser.
-TAG_RE = "</?[A-Za-z][^>]*>|<![^>]*>|<[?][^>]*>"
+TAG_RE = "<(?:/?[A-Za-z][^>]*|![^>]*|[?][^>]*)>"
 
 # A <p> start tag (not <pre>, <param>, ...).
 P_OPEN_RE = "(?i)<p(?:[^A-Za-z0-9>][^>]*)?>"
@@ -78,9 +71,9 @@ P_CLOSING_ENDS = [
     "ul",
 ]
 _P_END_RE = (
-    "(?is)(?:</p[^A-Za-z0-9>]*>"
-    "|<(?:" + "|".join(P_CLOSING_STARTS) + ")(?:[^A-Za-z0-9>][^>]*)?>"
-    "|</(?:" + "|".join(P_CLOSING_ENDS) + ")(?:[^A-Za-z0-9>][^>]*)?>).*"
+    "(?is)<(?:/p[^A-Za-z0-9>]*"
+    "|(?:" + "|".join(P_CLOSING_STARTS) + ")(?:[^A-Za-z0-9>][^>]*)?"
+    "|/(?:" + "|".join(P_CLOSING_ENDS) + ")(?:[^A-Za-z0-9>][^>]*)?)>.*"
 )
 
 
@@ -94,47 +87,108 @@ def strip_or_null(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")) != "", py_strip(c))
 
 
-_REFERENCE_PY = re.compile(r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)")
-_RE_ESCAPE = {"&": "&amp;", "<": "&lt;", ">": "&gt;"}
-
-
-def _resolve_rare(text):
-    if text is None:
-        return None
-
-    def one(m):
-        ref = m.group(0)
-        if ref in _KNOWN_SET:
-            return ref
-        out = _html.unescape(ref)
-        return "".join(_RE_ESCAPE.get(ch, ch) for ch in out)
+# A reference the native per-node chain does not cover (numeric, or a rarer
+# name).  Java regex (look-ahead); only decides which rows take the slower path.
+_RARE_REFERENCE_RE = (
+    "&(?:#[0-9]|#[xX][0-9a-fA-F]|(?!(?:"
+    + "|".join(k[1:-1] for k, _ in COMMON_ENTITIES if not k.startswith("&#"))
+    + ");)[A-Za-z])"
+)
+_MARKUP_ESCAPE = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")]
+
+
+def _named_reference_map() -> Column:
+    # Derived from the standard library's HTML 4 name table (252 names: the
+    # ones used in practice).  The full HTML5 list (2125 names) made every task
+    # pay for initialising the literal; HTML5-only names are left undecoded.
+    table = sorted((k, chr(v)) for k, v in _name2codepoint.items())
+    return F.map_from_arrays(F.lit([k for k, _ in table]), F.lit([v for _, v in table]))
+
+
+def _c1_remap() -> dict[int, str]:
+    # Numeric references 0x80-0x9F mean windows-1252 characters (HTML rule).
+    out = {}
+    for b in range(0x80, 0xA0):
+        try:
+            out[b] = bytes([b]).decode("cp1252")
+        except UnicodeDecodeError:
+            out[b] = chr(b)  # undefined in windows-1252: kept as is
+    return out
+
+
+def _utf8_hex(cp: Column) -> Column:
+    def byte(v):
+        return F.lpad(F.hex(v), 2, "0")
+
+    lo6 = cp.bitwiseAND(0x3F).bitwiseOR(0x80)
+    mid6 = F.shiftright(cp, 6).bitwiseAND(0x3F).bitwiseOR(0x80)
+    hi6 = F.shiftright(cp, 12).bitwiseAND(0x3F).bitwiseOR(0x80)
+    return (
+        F.when(cp < 0x80, byte(cp))
+        .when(cp < 0x800, F.concat(byte(F.shiftright(cp, 6).bitwiseOR(0xC0)), byte(lo6)))
+        .when(cp < 0x10000, F.concat(byte(F.shiftright(cp, 12).bitwiseOR(0xE0)), byte(mid6), byte(lo6)))
+        .otherwise(F.concat(byte(F.shiftright(cp, 18).bitwiseOR(0xF0)), byte(hi6), byte(mid6), byte(lo6)))
+    )
 
-    return _REFERENCE_PY.sub(one, text)
 
+def codepoint_text(cp: Column) -> Column:
+    """Character for a numeric reference, with the HTML parser's fix-ups:
+    0 / surrogates / out of range -> U+FFFD, C1 range -> windows-1252,
+    other control and non-characters -> removed."""
+    remap = _c1_remap()
+    c1 = F.get(F.lit([remap[k] for k in range(0x80, 0xA0)]), cp - 0x80)
+    invalid = (cp == 0) | (cp > 0x10FFFF) | cp.between(0xD800, 0xDFFF)
+    dropped = (
+        cp.between(0x01, 0x08) | (cp == 0x0B) | cp.between(0x0E, 0x1F) | (cp == 0x7F)
+        | cp.between(0xFDD0, 0xFDEF) | (cp.bitwiseAND(0xFFFE) == 0xFFFE)
+    )
+    return (
+        F.when(invalid, F.lit("\ufffd"))
+        .when(cp.between(0x80, 0x9F), c1)
+        .when(dropped, F.lit(""))
+        .otherwise(F.decode(F.unhex(_utf8_hex(cp)), "UTF-8"))
+    )
 
-def _resolve_rare_series(s: pd.Series) -> pd.Series:
-    return s.map(_resolve_rare)
 
+def _markup_safe(c: Column) -> Column:
+    for ch, ent in _MARKUP_ESCAPE:
+        c = F.replace(c, F.lit(ch), F.lit(ent))
+    return c
 
-_UDF_CACHE: dict = {}
 
+def resolve_references(html: Column) -> Column:
+    """Decode every character reference in a document, natively (P-8 tail).
 
-def _resolve_rare_udf(c: Column) -> Column:
-    # Built on first use: module import (also in Python workers) stays UDF-free.
-    if "rare" not in _UDF_CACHE:
-        _UDF_CACHE["rare"] = F.pandas_udf(_resolve_rare_series, "string")
-    return _UDF_CACHE["rare"](c)
+    Each piece after an "&" is inspected: a numeric reference becomes its
+    character (UTF-8 bytes assembled arithmetically, then ``decode``), a
+    named one is looked up in the HTML5 table; a produced "&", "<" or ">" is
+    written back as a reference so markup structure cannot change.  Names
+    without the closing ";" (legacy forms) are left as they are.
+    """
+    names = _named_reference_map()
+
+    def piece(p, i):
+        dec = F.regexp_extract(p, "^#([0-9]{1,7});", 1)
+        hexa = F.regexp_extract(p, "^#[xX]([0-9a-fA-F]{1,6});", 1)
+        name = F.regexp_extract(p, "^([A-Za-z][A-Za-z0-9]{0,31});", 1)
+        cp = F.coalesce(F.nullif(dec, F.lit("")).cast("int"),
+                        F.conv(F.nullif(hexa, F.lit("")), 16, 10).cast("int"))
+        named = F.element_at(names, F.nullif(name, F.lit("")))
+        num_len = F.length(F.concat(F.lit("#"), F.when(dec != "", dec).otherwise(F.concat(F.lit("x"), hexa)), F.lit(";")))
+        return (
+            F.when(i == 0, p)
+            .when(cp.isNotNull(), F.concat(_markup_safe(codepoint_text(cp)), F.substring(p, num_len + 1, 1 << 30)))
+            .when(named.isNotNull(), F.concat(_markup_safe(named), F.substring(p, F.length(name) + 2, 1 << 30)))
+            .otherwise(F.concat(F.lit("&"), p))
+        )
+
+    return F.array_join(F.transform(F.split(html, "&"), piece), "")
 
 
 def resolve_rare_references(html: Column) -> Column:
-    """Rewrite references outside the native list into plain characters (P-8 tail).
-
-    Runs ``html.unescape`` per reference in an Arrow-batched UDF, re-escaping
-    any "<", ">" or "&" it produces so markup structure is unchanged; only rows
-    that hold such a reference pay for it.
-    """
-    needs_tail = F.regexp_replace(html, _KNOWN_ENTITY_RE, "").rlike(_ANY_REFERENCE_RE)
-    return F.when(html.contains("&") & needs_tail, _resolve_rare_udf(html)).otherwise(html)
+    """Only documents holding a reference outside the common set pay for the
+    full resolver; the common ones are decoded per text node."""
+    return F.when(html.rlike(_RARE_REFERENCE_RE), resolve_references(html)).otherwise(html)
 
 
 def decode_entities(c: Column) -> Column:
@@ -142,7 +196,7 @@ def decode_entities(c: Column) -> Column:
     chain = c
     for ent, ch in COMMON_ENTITIES:
         chain = F.replace(chain, F.lit(ent), F.lit(ch))
-    return chain
+    return F.when(c.contains("&"), chain).otherwise(c)
 
 
 def strip_invisible(html: Column) -> Column:
@@ -158,40 +212,120 @@ def _node_text(fragment: Column) -> Column:
     return F.array_join(F.filter(cleaned, lambda x: x != ""), " ")
 
 
-def _paragraphs(clean_html: Column) -> Column:
-    """Text of every <p> (HTML5 implicit closing), blank paragraphs dropped."""
-    parts = F.split(clean_html, P_OPEN_RE)
+def bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and hand it to ``fn`` as a lambda variable.
+
+    Expressions that would otherwise repeat a costly sub-expression (the
+    cleaned document, its split into paragraphs) reference the variable
+    instead, so each is computed once per row.
+    """
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
+def _paragraph_texts(parts: Column) -> Column:
+    """Text of every <p> given the document split at <p> start tags."""
     bodies = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
     texts = F.transform(bodies, lambda b: _node_text(F.regexp_replace(b, _P_END_RE, "")))
     return F.filter(texts, lambda t: t != "")
 
 
+def _paragraphs(clean_html: Column) -> Column:
+    """Text of every <p> (HTML5 implicit closing), blank paragraphs dropped."""
+    return _paragraph_texts(F.split(clean_html, P_OPEN_RE))
+
+
 def has_paragraph(clean_html: Column) -> Column:
     return F.size(F.split(clean_html, P_OPEN_RE)) > 1
 
 
+# Whole-document formulation used by the public functions: no per-element
+# lambdas, only regular-expression passes (compiled once, run in the JVM).
+_NUL = "\u0000"
+def _ranges_class(chars: str) -> str:
+    """A regex character class of ``chars`` written as code-point ranges
+    (a long list of single characters is far slower to test)."""
+    cps = sorted(ord(c) for c in chars)
+    out, start, prev = [], cps[0], cps[0]
+    for cp in cps[1:] + [None]:
+        if cp is not None and cp == prev + 1:
+            prev = cp
+            continue
+        out.append(f"\\u{start:04x}" if start == prev else f"\\u{start:04x}-\\u{prev:04x}")
+        if cp is not None:
+            start = prev = cp
+    return "[" + "".join(out) + "]"
+
+
+_WS_CLASS = _ranges_class(PY_WHITESPACE)
+# A separator (former tag) and the separators / whitespace after it.  Patterns
+# that start with a literal are cheap to search; whitespace *before* a
+# separator is handled by running the same search on the reversed string.
+_AFTER_SEP_RE = "\\x00[\\x00" + _WS_CLASS[1:-1] + "]*"
+_P_OPEN_AHEAD = "(?=<[pP](?:[^A-Za-z0-9>][^>]*)?>)"
+# Everything before the first <p>.
+_P_PREFIX_RE = "(?s)^.*?" + _P_OPEN_AHEAD
+# From the end of a paragraph (explicit or implied) to the next <p> or the end.
+_P_GAP_RE = _P_END_RE[:-2] + ".*?(?:" + _P_OPEN_AHEAD + "|\\z)"
+
+
+def _flatten(fragment: Column) -> Column:
+    """Text nodes of a fragment, each stripped, empty ones dropped, joined by ' '.
+
+    Tags become a NUL separator; a run of separators and the whitespace
+    around them is exactly "strip each node, drop empty nodes, join with one
+    space", so one regular-expression replace does it for all nodes.
+    """
+    marked = decode_entities(F.regexp_replace(fragment, TAG_RE, _NUL))
+    forward = F.regexp_replace(marked, _AFTER_SEP_RE, _NUL)
+    both = F.reverse(F.regexp_replace(F.reverse(forward), _AFTER_SEP_RE, _NUL))
+    return py_strip(F.replace(both, F.lit(_NUL), F.lit(" ")))
+
+
+def _paragraph_region(clean_html: Column) -> Column:
+    """Only the inside of <p> elements, paragraphs separated by NUL."""
+    no_prefix = F.regexp_replace(clean_html, _P_PREFIX_RE, "")
+    return F.regexp_replace(no_prefix, _P_GAP_RE, _NUL)
+
+
 def paragraph_text(html: Column) -> Column:
     """P-6/P-7: text of all <p>; with no <p> at all, text of the whole fragment.
 
-    Result is stripped; an empty result is NULL (the reference's
-    ``content_text.strip() if content_text else None``).
+    Paragraphs close implicitly as in HTML5.  Result is stripped; an empty
+    result is NULL (the reference's ``content_text.strip() if content_text
+    else None``).
     """
-    clean = strip_invisible(html)
-    text = F.when(has_paragraph(clean), F.array_join(_paragraphs(clean), " ")).otherwise(
-        _node_text(clean)
-    )
-    return F.when(html.isNotNull(), F.nullif(py_strip(text), F.lit("")))
+
+    def from_clean(clean):
+        text = F.when(clean.rlike(P_OPEN_RE), _flatten(_paragraph_region(clean))).otherwise(_flatten(clean))
+        return F.nullif(text, F.lit(""))
+
+    return F.when(html.isNotNull(), bind(strip_invisible(html), from_clean))
 
 
 def paragraphs_only_text(html: Column) -> Column:
     """Text of the <p> elements only (no whole-fragment fallback), '' -> NULL."""
-    clean = strip_invisible(html)
-    return F.nullif(F.array_join(_paragraphs(clean), " "), F.lit(""))
+
+    def from_clean(clean):
+        return F.when(clean.rlike(P_OPEN_RE), F.nullif(_flatten(_paragraph_region(clean)), F.lit("")))
+
+    return bind(strip_invisible(html), from_clean)
+
+
+def paragraph_text_by_nodes(html: Column) -> Column:
+    """Same result as ``paragraph_text`` computed node by node with higher-order
+    functions (kept as an independent formulation for tests)."""
+
+    def from_parts(parts):
+        text = F.when(F.size(parts) > 1, F.array_join(_paragraph_texts(parts), " ")).otherwise(
+            _node_text(F.get(parts, 0)))
+        return F.nullif(py_strip(text), F.lit(""))
+
+    return F.when(html.isNotNull(), bind(F.split(strip_invisible(html), P_OPEN_RE), from_parts))
 
 
 def whole_text(html: Column) -> Column:
     """P-7 alone: every visible text node of the fragment, joined by ' '."""
-    return F.nullif(_node_text(strip_invisible(html)), F.lit(""))
+    return F.nullif(_flatten(strip_invisible(html)), F.lit(""))
 
 
 def first_line(text: Column) -> Column:

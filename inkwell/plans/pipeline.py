@@ -44,11 +44,22 @@ class RunOutputs:
 
 
 def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame | None = None,
-              sources=DEFAULT_SOURCES, default: Source | None = None, ttl_seconds: int = 86400) -> RunOutputs:
-    """Entry A for all sources in one plan (U-2: both sources are one DataFrame)."""
+              sources=DEFAULT_SOURCES, default: Source | None = None, ttl_seconds: int = 86400,
+              materialize: bool = True) -> RunOutputs:
+    """Entry A for all sources in one plan (U-2: both sources are one DataFrame).
+
+    With ``materialize`` the parsed entries and the extracted articles, each
+    read by several outputs, are written once as reliable checkpoints (in the
+    session's shared checkpoint folder) instead of being re-derived per output.
+    """
     now = F.lit(run_ts).cast("timestamp")
     entries = feed_entries(rss_items(feeds))
     entries = entries.withColumn("_has_link", U.has_link(F.col("link")))
+    if materialize:
+        from inkwell.session import checkpoint_root
+
+        checkpoint_root(feeds.sparkSession)
+        entries = entries.checkpoint(eager=True)
     # F-1 then P-13.
     linked = entries.filter("_has_link").withColumn(
         "link", U.absolutise(F.col("link"), base_url_for(F.col("source"), sources, default))
@@ -67,6 +78,8 @@ def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame |
     requests = S.dedupe_requests(keyed, ["source", "_canon"], "_order").drop("_canon", "_order")
     # J-1 + extraction; status filter F-5 inside.
     articles = X.extract_articles(requests, pages, sources, keep=["feed_no", "item_pos"], default=default)
+    if materialize:
+        articles = articles.checkpoint(eager=True)
     accepted, rejected = V.validate(articles, now.cast("timestamp_ntz"), spider_col=F.col("source"))
     # SNK-6: mark the final url and the requested link (D-6), rejected ones too (D-5).
     marks = articles.select("source", "url").unionByName(articles.select("source", F.col("link").alias("url")))

@@ -78,3 +78,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     elif "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def ensure_parallelism(df):
+    """Spread a scan that has fewer splits than the cluster has cores.
+
+    A small input stored as one parquet row group is read by one task, and
+    the CPU-heavy per-row work after it (HTML text, XML) would run on one core.
+    Large inputs already have more splits than cores, so this is a no-op at
+    scale and never adds a shuffle there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

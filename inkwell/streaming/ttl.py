@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,21 +29,25 @@ def _make_fn(keys: list[str], out_cols: list[str], ttl_us: int):
             state.remove()
             return
         last = state.get[0] if state.exists else None
-        batch = pd.concat(list(pdfs), ignore_index=True)
+        frames = list(pdfs)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if batch.empty:
             return
-        batch = batch.sort_values(["_t", "_tie"], kind="mergesort")
-        take = []
-        for t in batch["_t"].to_numpy():
-            ok = last is None or t >= last + ttl_us
-            take.append(ok)
-            if ok:
-                last = int(t)
+        t = batch["_t"].to_numpy()
+        order = np.lexsort((batch["_tie"].to_numpy(), t))
+        picked = []
+        # Greedy chain: each accept is the first occurrence at or after the
+        # previous accept + ttl (a search, not a scan over suppressed rows).
+        ts = t[order]
+        i = 0 if last is None else int(np.searchsorted(ts, last + ttl_us, side="left"))
+        while i < len(ts):
+            picked.append(order[i])
+            last = int(ts[i])
+            i = int(np.searchsorted(ts, last + ttl_us, side="left"))
         state.update((int(last),))
         state.setTimeoutTimestamp(int((last + ttl_us) // 1000))
-        acc = batch[take]
-        if len(acc):
-            yield acc[out_cols]
+        if picked:
+            yield batch.iloc[picked][out_cols]
 
     return fn
 
