@@ -41,6 +41,25 @@ def _run_in_drops(drops, land: str, fmt: str, start_stream) -> None:
 # ------------------------------------------------------------------ ST-1
 @query("stream_ttl", ORACLE["ttl_throttle"])
 def stream_ttl(spark, sf):
+    """Micro-batch formulation: native batch throttle + seen-state table per batch."""
+    from inkwell.streaming.ttl import ttl_microbatch_sink
+
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    land, ckpt, state, out = (scratch_dir(spark, n) for n in ("events_in", "ttl_ckpt", "ttl_state", "ttl_out"))
+    sink = ttl_microbatch_sink(state, out, ["user_id", "event_type"], "ts", 86400, tiebreak="event_id")
+
+    def start():
+        stream = spark.readStream.schema(ev.schema).parquet(land)
+        return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
+                .trigger(availableNow=True).start())
+
+    _run_in_drops([ev.filter(c) for c in _chunk_filters("ts", EVENT_CHUNKS)], land, "parquet", start)
+    return spark.read.parquet(out).select("event_id", "user_id", "event_type")
+
+
+@query("stream_ttl_keyed_state", ORACLE["ttl_throttle"])
+def stream_ttl_keyed_state(spark, sf):
+    """Keyed-state formulation: applyInPandasWithState, one number of state per key."""
     ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
     land, ckpt, out = (scratch_dir(spark, n) for n in ("events_in", "ttl_ckpt", "ttl_out"))
 
