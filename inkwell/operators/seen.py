@@ -93,7 +93,7 @@ def ttl_throttle(df: DataFrame, keys: list[str], ts_col: str, ttl_seconds: int =
     else:
         hot_side = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
         cold_ev = ev.join(hot_side, keys, "left_anti")
-        hot_part = _bucket_sweep(ev.join(hot_side, keys, "left_semi"), keys, payload, ttl_us)
+        hot_part = _bucket_sweep(ev.join(hot_side, keys, "left_semi"), keys, payload, ttl_us, n_hot)
 
     row = F.struct(F.col("_t"), F.col("_tie"), *[F.col(c) for c in payload])
     folded = cold_ev.groupBy(*keys).agg(_fold_accepts(F.collect_list(row), ttl_us).alias("_acc"))
@@ -102,8 +102,12 @@ def ttl_throttle(df: DataFrame, keys: list[str], ts_col: str, ttl_seconds: int =
     return out.select(*cols)
 
 
-def _bucket_sweep(ev: DataFrame, keys: list[str], payload: list[str], ttl_us: int) -> DataFrame:
-    """Exact throttle for keys too large to gather (see module docstring)."""
+def _bucket_sweep(ev: DataFrame, keys: list[str], payload: list[str], ttl_us: int, n_hot: int) -> DataFrame:
+    """Exact throttle for keys too large to gather (see module docstring).
+
+    The frontier has at most one row per hot key; it is broadcast only when
+    that count is within ``BROADCAST_ROWS``.
+    """
     spark = ev.sparkSession
     checkpoint_root(spark)
     ev = ev.withColumn("_b", F.floor(F.col("_t") / F.lit(ttl_us))).checkpoint(eager=True)
@@ -115,7 +119,8 @@ def _bucket_sweep(ev: DataFrame, keys: list[str], payload: list[str], ttl_us: in
     for b in buckets:
         cur = ev.filter(F.col("_b") == b)
         if frontier is not None:
-            cur = cur.join(F.broadcast(frontier), keys, "left").filter(
+            side = F.broadcast(frontier) if n_hot <= BROADCAST_ROWS else frontier
+            cur = cur.join(side, keys, "left").filter(
                 F.col("_thr").isNull() | (F.col("_t") >= F.col("_thr"))
             )
         pick = (

@@ -28,8 +28,12 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from inkwell.session import ensure_parallelism
+    """Read one input table.  The session settings the operators rely on (UTC
+    session time zone, dynamic partition overwrite) are applied first, so the
+    queries give the same answer in any session they are handed."""
+    from inkwell.session import apply_required_conf, ensure_parallelism
 
+    apply_required_conf(spark)
     return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
