@@ -65,9 +65,9 @@ def dense_index(df: DataFrame, order_cols: list[str], out: str, start: Column |
     from inkwell.session import checkpoint_root
 
     checkpoint_root(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # No fixed partition count: AQE may merge adjacent ranges, which keeps order.
     ordered = (
-        df.repartitionByRange(n, *order_cols)
+        df.repartitionByRange(*order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
