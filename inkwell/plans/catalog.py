@@ -14,10 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict = {}
 
 
-def query(name: str, sql: str | None = None):
+def oracles() -> dict[str, str]:
+    return {k: (v() if callable(v) else v) for k, v in ORACLE.items()}
+
+
+def query(name: str, sql=None):
+    """Register a query; ``sql`` is its oracle text, or a callable returning
+    another query's oracle (resolved when the oracles are read)."""
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:

@@ -14,7 +14,7 @@ from inkwell.operators import merge as M
 from inkwell.operators import quality as V
 from inkwell.operators import seen as S
 from inkwell.operators import stats as ST
-from inkwell.plans.catalog import query, table
+from inkwell.plans.catalog import ORACLE, query, table
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 TS_SQL_FMT = "%Y-%m-%d %H:%M:%S.%f"
@@ -143,6 +143,25 @@ def upsert_articles(spark, sf):
     )
 
 
+@query("upsert_table")
+def upsert_table(spark, sf):
+    """Same two runs as ``upsert_articles`` against a stored, bucket-partitioned
+    table: each run rewrites only the buckets its batch touches."""
+    from inkwell.session import scratch_dir
+
+    path = scratch_dir(spark, "news_table") + "/news"
+    b1 = M.to_load_rows(_doc_items(spark, sf, 1).filter(F.col("doc_id") < 600))
+    b2 = M.to_load_rows(_doc_items(spark, sf, 2).filter(F.col("doc_id") >= 400))
+    M.upsert_into(spark, path, b1, RUN1, n_buckets=16)
+    M.upsert_into(spark, path, b2, RUN2, n_buckets=16)
+    t2 = spark.read.parquet(path)
+    return t2.select(
+        "id", "url", "heading", "content", "author", F.date_format("date", "yyyy-MM-dd").alias("date"), "category",
+        F.date_format("processed_at", TS_FMT).alias("processed_at"), "spider_name",
+        F.date_format("created_at", TS_FMT).alias("created_at"), F.date_format("updated_at", TS_FMT).alias("updated_at"),
+    )
+
+
 @query(
     "upsert_counts",
     f"WITH b1 AS (SELECT DISTINCT url FROM ({_items_sql(1)}) WHERE doc_id < 600), "
@@ -279,3 +298,6 @@ def article_sql(spark, sf):
 
     docs = table(spark, sf, "documents")
     return run_sql(spark, ARTICLE_SQL, {"min_chars": 0}, views={"news_docs": docs})
+
+
+ORACLE["upsert_table"] = ORACLE["upsert_articles"]

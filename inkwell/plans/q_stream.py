@@ -39,7 +39,7 @@ def _run_in_drops(drops, land: str, fmt: str, start_stream) -> None:
 
 
 # ------------------------------------------------------------------ ST-1
-@query("stream_ttl", ORACLE["ttl_throttle"])
+@query("stream_ttl", lambda: ORACLE["ttl_throttle"])
 def stream_ttl(spark, sf):
     """Micro-batch formulation: native batch throttle + seen-state table per batch."""
     from inkwell.streaming.ttl import ttl_microbatch_sink
@@ -57,7 +57,7 @@ def stream_ttl(spark, sf):
     return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
-@query("stream_ttl_keyed_state", ORACLE["ttl_throttle"])
+@query("stream_ttl_keyed_state", lambda: ORACLE["ttl_throttle"])
 def stream_ttl_keyed_state(spark, sf):
     """Keyed-state formulation: applyInPandasWithState, one number of state per key."""
     ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
@@ -74,7 +74,7 @@ def stream_ttl_keyed_state(spark, sf):
 
 
 # ------------------------------------------------------------------ ST-3
-@query("stream_upsert", ORACLE["upsert_articles"])
+@query("stream_upsert", lambda: ORACLE["upsert_articles"])
 def stream_upsert(spark, sf):
     land, ckpt, root = (scratch_dir(spark, n) for n in ("landing", "upsert_ckpt", "news"))
     runs = {0: q_state.RUN1, 1: q_state.RUN2}
@@ -127,7 +127,7 @@ def _windowed_counts(spark, sf, name: str, every: str, by: list[str], aggs, fmt:
     return SK.read_current(spark, root, lambda: empty(spark))
 
 
-@query("stream_daily", ORACLE["daily_stats"])
+@query("stream_daily", lambda: ORACLE["daily_stats"])
 def stream_daily(spark, sf):
     aggs = [
         ("articles_found", F.count(F.lit(1))),

@@ -127,3 +127,20 @@ def test_status_rollup(spark):
     r = ST.status_rollup(df, ["run"], statuses=(200, 403, 404)).first()
     assert (r["requests"], r["n_200"], r["n_403"], r["n_404"], r["n_ignored"], r["bytes_in"], r["elapsed_ms"]) == (
         4, 2, 1, 1, 2, 17, 142000)
+
+
+def test_upsert_into_rewrites_only_touched_buckets(spark, tmp_dir):
+    import os
+
+    path = os.path.join(tmp_dir, "news")
+    rows = [(f"h{i}", "c", "a", "2025-06-01", "k", f"u{i}", "2025-06-01T01:00:00", "s") for i in range(40)]
+    M.upsert_into(spark, path, batch(spark, rows), "2025-06-01 12:00:00", n_buckets=8)
+    before = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("url_bucket=")}
+    upd = batch(spark, [("new", "c2", None, "2025-06-02", "k", "u3", "2025-06-02T01:00:00", "s")])
+    M.upsert_into(spark, path, upd, "2025-06-02 12:00:00", n_buckets=8)
+    after = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("url_bucket=")}
+    changed = [d for d in before if before[d] != after[d]]
+    assert len(changed) == 1
+    t = {r["url"]: r for r in spark.read.parquet(path).collect()}
+    assert len(t) == 40 and t["u3"]["heading"] == "new" and t["u3"]["author"] is None
+    assert sorted(r["id"] for r in t.values()) == list(range(1, 41))
