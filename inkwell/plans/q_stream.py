@@ -76,17 +76,20 @@ def stream_ttl_keyed_state(spark, sf):
 # ------------------------------------------------------------------ ST-3
 @query("stream_upsert", lambda: ORACLE["upsert_articles"])
 def stream_upsert(spark, sf):
-    land, ckpt, root = (scratch_dir(spark, n) for n in ("landing", "upsert_ckpt", "news"))
+    """Each micro-batch is upserted into the bucket-partitioned table; only the
+    buckets it touches are rewritten.  The run time is fixed per batch id, and
+    an upsert applied twice with the same run time leaves the table unchanged,
+    so a replayed batch is harmless."""
+    land, ckpt = (scratch_dir(spark, n) for n in ("landing", "upsert_ckpt"))
+    table_dir = scratch_dir(spark, "news") + "/news"
     runs = {0: q_state.RUN1, 1: q_state.RUN2}
     drops = [
         q_state._doc_items(spark, sf, 1).filter(F.col("doc_id") < 600).drop("doc_id"),
         q_state._doc_items(spark, sf, 2).filter(F.col("doc_id") >= 400).drop("doc_id"),
     ]
 
-    def step(current, batch, batch_id):
-        return M.upsert(current, M.to_load_rows(batch), runs[batch_id])
-
-    sink = SK.snapshot_sink(root, step, M.empty_news)
+    def sink(batch, batch_id):
+        M.upsert_into(batch.sparkSession, table_dir, M.to_load_rows(batch), runs[batch_id], n_buckets=16)
 
     def start():
         stream = spark.readStream.schema(ARTICLE).json(land)
@@ -94,7 +97,7 @@ def stream_upsert(spark, sf):
                 .trigger(availableNow=True).start())
 
     _run_in_drops(drops, land, "json", start)
-    t = SK.read_current(spark, root, lambda: M.empty_news(spark))
+    t = spark.read.parquet(table_dir)
     f = q_state.TS_FMT
     return t.select(
         "id", "url", "heading", "content", "author", F.date_format("date", "yyyy-MM-dd").alias("date"), "category",
