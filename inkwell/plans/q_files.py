@@ -96,3 +96,34 @@ def export_overwrite(spark, sf):
     FS.export_articles(second, out, "2025-06-03", run_sources=run_sources)
     back = read_landing(spark, out, layout="lines")
     return back.select("url", "spider_name", F.col("export_date").cast("string").alias("export_date"), "heading")
+
+
+# ------------------------------------------------------------------- M11
+_LOG_LEVEL = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' ELSE 'INFO' END"
+_LOG_MSG = ("CASE event_type WHEN 'purchase' THEN 'Scraped article: ' || event_id WHEN 'error' THEN "
+            "'Error parsing article ' || event_id ELSE 'Found ' || CAST(floor(value) AS BIGINT) || ' articles in the feed' END")
+
+
+@query(
+    "log_rollup",
+    f"WITH l AS (SELECT 'src' || (user_id % 4) AS source, {_LOG_LEVEL} AS level, {_LOG_MSG} AS message, "
+    "date_trunc('millisecond', ts) AS ts FROM events) "
+    "SELECT source, level, count(*) AS lines, count(*) FILTER (WHERE starts_with(message, 'Scraped article')) AS scraped, "
+    "strftime(min(ts), '%Y-%m-%d %H:%M:%S.%g') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%g') AS last_ts "
+    "FROM l GROUP BY source, level",
+)
+def log_rollup(spark, sf):
+    """M11: crawl-log lines rendered from ``events``, written as text, read
+    back and parsed natively, then rolled up per source and level."""
+    from inkwell.sources import logs as L
+
+    ev = table(spark, sf, "events")
+    src = F.concat(F.lit("src"), (F.col("user_id") % 4).cast("string"))
+    level = F.expr(_LOG_LEVEL)
+    msg = F.expr(_LOG_MSG)
+    path = scratch_dir(spark, "logs")
+    ev.select(L.format_log_line(F.col("ts").cast("timestamp"), src, level, msg).alias("value")).write.mode("overwrite").text(path)
+    r = L.log_rollup(L.read_logs(spark, path))
+    return r.select("source", "level", "lines", "scraped",
+                    F.date_format("first_ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("first_ts"),
+                    F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("last_ts"))

@@ -74,3 +74,22 @@ def test_append_and_create(spark, tmp_dir):
     rows = spark.read.parquet(path).limit(0)
     FS.append_table(rows, path)
     assert spark.read.parquet(path).count() == 0
+
+
+def test_log_lines(spark, tmp_dir):
+    from inkwell.sources.logs import log_rollup, read_logs
+
+    with open(os.path.join(tmp_dir, "dawn_latest_2025-06-03.log"), "w") as f:
+        f.write("2025-06-03 07:15:27,308 - dawn_latest - INFO - Found 28 articles in the feed\n")
+        f.write("2025-06-03 07:15:28,001 - dawn_latest - INFO - Scraped article: X - Y from https://x\n")
+        f.write("2025-06-03 07:15:29,500 - dawn_latest - WARNING - Could not parse date: 2025-06-03 07:26:44+05:00\n")
+        f.write("free text line\n")
+    logs = read_logs(spark, tmp_dir)
+    rows = logs.orderBy("line").collect()
+    assert rows[0]["source"] is None and rows[0]["line"] == "free text line"
+    first = [r for r in rows if r["message"] == "Found 28 articles in the feed"][0]
+    assert first["level"] == "INFO" and str(first["ts"]) == "2025-06-03 07:15:27.308000"
+    scraped = [r for r in rows if r["message"] and r["message"].startswith("Scraped")][0]
+    assert scraped["message"] == "Scraped article: X - Y from https://x"
+    roll = {(r["source"], r["level"]): r for r in log_rollup(logs).collect()}
+    assert roll[("dawn_latest", "INFO")]["lines"] == 2 and roll[("dawn_latest", "INFO")]["scraped"] == 1
