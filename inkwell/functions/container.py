@@ -27,20 +27,20 @@ def _q(s: str) -> str:
 def start_tag_re(rule: Container) -> str:
     tag = _q(rule.tag)
     if not rule.attr:
-        return f"(?is)<{tag}(?:[^A-Za-z0-9>][^>]*)?>"
+        return f"(?is)<{tag}(?:[^A-Za-z0-9<>][^<>]*)?>"
     attr = _q(rule.attr)
     if rule.exact:
         value = f"(?:\"{_q(rule.needle)}\"|'{_q(rule.needle)}')"
     else:
         value = f"(?:\"[^\"]*{_q(rule.needle)}[^\"]*\"|'[^']*{_q(rule.needle)}[^']*')"
-    return f"(?is)<{tag}{_WS}(?:[^>]*{_WS})?{attr}{_WS}*={_WS}*{value}[^>]*>"
+    return f"(?is)<{tag}{_WS}(?:[^<>]*{_WS})?{attr}{_WS}*={_WS}*{value}[^<>]*>"
 
 
 def container_inner_html(html: Column, rule: Container) -> Column:
     """Inner HTML of the first element matching ``rule`` (NULL if none)."""
     tag = _q(rule.tag)
-    any_start = f"(?i)<{tag}(?:[^A-Za-z0-9>][^>]*)?>"
-    end = f"(?i)</{tag}(?:[^A-Za-z0-9>][^>]*)?>"
+    any_start = f"(?i)<{tag}(?:[^A-Za-z0-9<>][^<>]*)?>"
+    end = f"(?i)</{tag}(?:[^A-Za-z0-9<>][^<>]*)?>"
     start = start_tag_re(rule)
     after = F.regexp_extract(html, start + "(.*)", 1)
     pieces = F.split(after, any_start)

@@ -50,11 +50,13 @@ _INVISIBLE_RE = (
 _NODE_BREAK = "<wbr>"
 
 # A tag (start, end, declaration, processing instruction).  A bare "<" that is
-# not followed by a letter, "/", "!" or "?" is text, as in an HTML parser.
-TAG_RE = "<(?:/?[A-Za-z][^>]*|![^>]*|[?][^>]*)>"
+# not followed by a letter, "/", "!" or "?" is text, as in an HTML parser; a
+# tag never spans another "<" (malformed markup such as "<b;<p>" is text
+# followed by a tag).
+TAG_RE = "<(?:/?[A-Za-z][^<>]*|![^<>]*|[?][^<>]*)>"
 
 # A <p> start tag (not <pre>, <param>, ...).
-P_OPEN_RE = "(?i)<p(?:[^A-Za-z0-9>][^>]*)?>"
+P_OPEN_RE = "(?i)<p(?:[^A-Za-z0-9<>][^<>]*)?>"
 
 # Elements whose start tag implicitly closes an open <p>, and
 # elements whose end tag closes it by closing its parent (HTML5 rules).
@@ -71,9 +73,9 @@ P_CLOSING_ENDS = [
     "ul",
 ]
 _P_END_RE = (
-    "(?is)<(?:/p[^A-Za-z0-9>]*"
-    "|(?:" + "|".join(P_CLOSING_STARTS) + ")(?:[^A-Za-z0-9>][^>]*)?"
-    "|/(?:" + "|".join(P_CLOSING_ENDS) + ")(?:[^A-Za-z0-9>][^>]*)?)>.*"
+    "(?is)<(?:/p[^A-Za-z0-9<>]*"
+    "|(?:" + "|".join(P_CLOSING_STARTS) + ")(?:[^A-Za-z0-9<>][^<>]*)?"
+    "|/(?:" + "|".join(P_CLOSING_ENDS) + ")(?:[^A-Za-z0-9<>][^<>]*)?)>.*"
 )
 
 
@@ -261,7 +263,7 @@ _WS_CLASS = _ranges_class(PY_WHITESPACE)
 # that start with a literal are cheap to search; whitespace *before* a
 # separator is handled by running the same search on the reversed string.
 _AFTER_SEP_RE = "\\x00[\\x00" + _WS_CLASS[1:-1] + "]*"
-_P_OPEN_AHEAD = "(?=<[pP](?:[^A-Za-z0-9>][^>]*)?>)"
+_P_OPEN_AHEAD = "(?=<[pP](?:[^A-Za-z0-9<>][^<>]*)?>)"
 # Everything before the first <p>.
 _P_PREFIX_RE = "(?s)^.*?" + _P_OPEN_AHEAD
 # From the end of a paragraph (explicit or implied) to the next <p> or the end.
