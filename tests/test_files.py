@@ -94,3 +94,25 @@ def test_log_lines(spark, tmp_dir):
     assert scraped["message"] == "Scraped article: X - Y from https://x"
     roll = {(r["source"], r["level"]): r for r in log_rollup(logs).collect()}
     assert roll[("dawn_latest", "INFO")]["lines"] == 2 and roll[("dawn_latest", "INFO")]["scraped"] == 1
+
+
+def test_etl_flow_entry_b(spark, tmp_dir):
+    from inkwell.plans.pipeline import etl_flow
+
+    land, table, arch = (os.path.join(tmp_dir, n) for n in ("land", "news", "arch"))
+    os.makedirs(land)
+    assert etl_flow(spark, land, table, arch, "2025-06-03 12:00:00") == 0  # case 34: empty landing
+    assert not os.path.exists(table)
+    write(land, "dawn_latest_2025-06-03.json", [
+        {"heading": "h1", "content": "c1", "url": "u1", "date": "2025-06-03T10:00:00+05:00",
+         "processed_at": "2025-06-03T11:00:00", "spider_name": "dawn_latest"},
+        {"heading": "h2", "content": "c2", "url": "u2", "processed_at": "2025-06-03T11:00:00",
+         "spider_name": "dawn_latest"}])
+    write(land, "tribune_latest_2025-06-03.json", [
+        {"heading": "h1b", "content": "c1b", "url": "u1", "processed_at": "2025-06-03T11:30:00",
+         "spider_name": "tribune_latest"}])
+    assert etl_flow(spark, land, table, arch, "2025-06-03 12:00:00") == 3  # input rows, as the reference returns
+    rows = {r["url"]: r for r in spark.read.parquet(table).collect()}
+    assert set(rows) == {"u1", "u2"} and rows["u1"]["heading"] == "h1b"  # case 27: one row per url
+    assert os.listdir(land) == [] and sorted(os.listdir(arch)) == ["dawn_latest_2025-06-03.json",
+                                                                   "tribune_latest_2025-06-03.json"]
