@@ -64,12 +64,16 @@ def _fetched_pages(spark, sf):
 
 
 def _seen_state(spark, sf):
+    """Every document's link was accepted before: one hour before the run for
+    doc_id % 7 = 0 (still suppressed), 25 hours before for % 7 = 1 (just
+    expired), 30 days before for the rest."""
     d = table(spark, sf, "documents")
     i = F.col("doc_id")
     run = F.lit(RUN_TS).cast("timestamp")
-    return d.filter((i % 7 == 0) | (i % 7 == 1)).select(
-        "source", F.concat(F.lit(BASE + "/a/"), i.cast("string")).alias("url"),
-        F.when(i % 7 == 0, run - F.expr("INTERVAL 1 HOUR")).otherwise(run - F.expr("INTERVAL 25 HOURS")).alias("last_accept_at"),
+    age = (F.when(i % 7 == 0, F.expr("INTERVAL 1 HOUR")).when(i % 7 == 1, F.expr("INTERVAL 25 HOURS"))
+           .otherwise(F.expr("INTERVAL 720 HOURS")))
+    return d.select(
+        "source", F.concat(F.lit(BASE + "/a/"), i.cast("string")).alias("url"), (run - age).alias("last_accept_at"),
     )
 
 

@@ -109,6 +109,20 @@ def latest_per_url(spark, sf):
 
 # ------------------------------------------- J-3, W-4, SNK-4, P-16, P-12
 RUN1, RUN2 = "2025-06-01 12:00:00", "2025-06-02 12:00:00"
+# Two crawl runs over the documents, split by language (a share of the data
+# at every scale): English articles are crawled by both runs (updates), German
+# only by the first (kept as they are), French and Spanish only by the second
+# (inserts).
+RUN_LANGS = {1: ("en", "de"), 2: ("en", "fr", "es")}
+
+
+def _run_batch(spark, sf, version: int):
+    items = _doc_items(spark, sf, version)
+    return items.filter(F.col("category").isin(*RUN_LANGS[version]))
+
+
+def _langs_sql(version: int) -> str:
+    return "category IN (" + ", ".join(f"'{x}'" for x in RUN_LANGS[version]) + ")"
 _NEWS_COLS = ("id, url, heading, content, author, strftime(date, '%Y-%m-%d') AS date, category, "
               f"strftime(processed_at, '{TS_SQL_FMT}') AS processed_at, spider_name, "
               f"strftime(created_at, '{TS_SQL_FMT}') AS created_at, strftime(updated_at, '{TS_SQL_FMT}') AS updated_at")
@@ -116,11 +130,11 @@ _NEWS_COLS = ("id, url, heading, content, author, strftime(date, '%Y-%m-%d') AS
 
 @query(
     "upsert_articles",
-    f"WITH b1 AS (SELECT * FROM ({_items_sql(1)}) WHERE doc_id < 600 "
+    f"WITH b1 AS (SELECT * FROM ({_items_sql(1)}) WHERE {_langs_sql(1)} "
     "QUALIFY row_number() OVER (PARTITION BY url ORDER BY processed_at DESC) = 1), "
     f"t1 AS (SELECT row_number() OVER (ORDER BY url) AS id, heading, content, author, date, category, url, processed_at, "
     f"spider_name, TIMESTAMP '{RUN1}' AS created_at, TIMESTAMP '{RUN1}' AS updated_at FROM b1), "
-    f"b2 AS (SELECT * FROM ({_items_sql(2)}) WHERE doc_id >= 400 "
+    f"b2 AS (SELECT * FROM ({_items_sql(2)}) WHERE {_langs_sql(2)} "
     "QUALIFY row_number() OVER (PARTITION BY url ORDER BY processed_at DESC) = 1), "
     f"upd AS (SELECT t1.id, b2.heading, b2.content, b2.author, b2.date, b2.category, t1.url, b2.processed_at, "
     f"b2.spider_name, t1.created_at, TIMESTAMP '{RUN2}' AS updated_at FROM t1 JOIN b2 ON t1.url = b2.url), "
@@ -132,8 +146,8 @@ _NEWS_COLS = ("id, url, heading, content, author, strftime(date, '%Y-%m-%d') AS
     f"SELECT {_NEWS_COLS} FROM u",
 )
 def upsert_articles(spark, sf):
-    b1 = M.to_load_rows(_doc_items(spark, sf, 1).filter(F.col("doc_id") < 600))
-    b2 = M.to_load_rows(_doc_items(spark, sf, 2).filter(F.col("doc_id") >= 400))
+    b1 = M.to_load_rows(_run_batch(spark, sf, 1))
+    b2 = M.to_load_rows(_run_batch(spark, sf, 2))
     t1 = M.upsert(M.empty_news(spark), b1, RUN1)
     t2 = M.upsert(t1, b2, RUN2)
     return t2.select(
@@ -150,8 +164,8 @@ def upsert_table(spark, sf):
     from inkwell.session import scratch_dir
 
     path = scratch_dir(spark, "news_table") + "/news"
-    b1 = M.to_load_rows(_doc_items(spark, sf, 1).filter(F.col("doc_id") < 600))
-    b2 = M.to_load_rows(_doc_items(spark, sf, 2).filter(F.col("doc_id") >= 400))
+    b1 = M.to_load_rows(_run_batch(spark, sf, 1))
+    b2 = M.to_load_rows(_run_batch(spark, sf, 2))
     M.upsert_into(spark, path, b1, RUN1, n_buckets=16)
     M.upsert_into(spark, path, b2, RUN2, n_buckets=16)
     t2 = spark.read.parquet(path)
@@ -164,15 +178,15 @@ def upsert_table(spark, sf):
 
 @query(
     "upsert_counts",
-    f"WITH b1 AS (SELECT DISTINCT url FROM ({_items_sql(1)}) WHERE doc_id < 600), "
-    f"b2 AS ({_items_sql(2)}), d2 AS (SELECT DISTINCT url FROM b2 WHERE doc_id >= 400) "
+    f"WITH b1 AS (SELECT DISTINCT url FROM ({_items_sql(1)}) WHERE {_langs_sql(1)}), "
+    f"b2 AS ({_items_sql(2)}), d2 AS (SELECT DISTINCT url FROM b2 WHERE {_langs_sql(2)}) "
     "SELECT 'inserted' AS metric, count(*) AS value FROM d2 WHERE url NOT IN (SELECT url FROM b1) "
     "UNION ALL SELECT 'updated', count(*) FROM d2 WHERE url IN (SELECT url FROM b1) "
-    "UNION ALL SELECT 'input_rows', count(*) FROM b2 WHERE doc_id >= 400",
+    f"UNION ALL SELECT 'input_rows', count(*) FROM b2 WHERE {_langs_sql(2)}",
 )
 def upsert_counts(spark, sf):
-    b1 = M.to_load_rows(_doc_items(spark, sf, 1).filter(F.col("doc_id") < 600))
-    b2 = M.to_load_rows(_doc_items(spark, sf, 2).filter(F.col("doc_id") >= 400))
+    b1 = M.to_load_rows(_run_batch(spark, sf, 1))
+    b2 = M.to_load_rows(_run_batch(spark, sf, 2))
     return M.upsert_counts(M.latest_per_url(b1), b2)
 
 

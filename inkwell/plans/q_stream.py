@@ -84,8 +84,8 @@ def stream_upsert(spark, sf):
     table_dir = scratch_dir(spark, "news") + "/news"
     runs = {0: q_state.RUN1, 1: q_state.RUN2}
     drops = [
-        q_state._doc_items(spark, sf, 1).filter(F.col("doc_id") < 600).drop("doc_id"),
-        q_state._doc_items(spark, sf, 2).filter(F.col("doc_id") >= 400).drop("doc_id"),
+        q_state._run_batch(spark, sf, 1).drop("doc_id"),
+        q_state._run_batch(spark, sf, 2).drop("doc_id"),
     ]
 
     def sink(batch, batch_id):
