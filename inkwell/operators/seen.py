@@ -78,7 +78,9 @@ def ttl_throttle(df: DataFrame, keys: list[str], ts_col: str, ttl_seconds: int =
     sweep; both give the same answer.
     """
     cols = df.columns
-    tie = F.col(tiebreak) if tiebreak else F.lit(0)
+    # Without a tie-break column, equal times are ordered by a hash of the row
+    # so recomputation always accepts the same occurrence.
+    tie = F.col(tiebreak) if tiebreak else F.xxhash64(*[F.col(c) for c in cols])
     payload = [c for c in cols if c not in keys]
     ev = df.select(*keys, _micros(F.col(ts_col)).alias("_t"), tie.alias("_tie"), *payload)
     ttl_us = ttl_seconds * US
