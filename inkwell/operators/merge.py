@@ -40,17 +40,16 @@ def latest_per_url(batch: DataFrame, order: list[Column] | None = None) -> DataF
     """W-1: newest row per url; rows with a NULL url are all kept (D-11).
 
     Ties on ``processed_at`` are broken by the remaining ``order`` columns,
-    all descending; by default by every other column, so the winner is the
+    all descending; by default by a hash of the row, so the winner is the
     same however often a task is recomputed.  ``max_by`` is a partial
     aggregate: a url repeated across a third of the batch is reduced map-side,
     never gathered in one task.
     """
     cols = batch.columns
     if order is None:
-        from pyspark.sql.types import MapType
-
-        orderable = [f.name for f in batch.schema.fields if not isinstance(f.dataType, MapType)]
-        order = [F.col("processed_at")] + [F.col(c) for c in orderable if c not in ("processed_at", "url")]
+        # A 64-bit hash of the whole row breaks ties on processed_at: cheap to
+        # carry, and the same on every recomputation.
+        order = [F.col("processed_at"), F.xxhash64(*[F.col(c) for c in cols])]
     row = F.struct(*[F.col(c) for c in cols])
     keyed = batch.filter(F.col("url").isNotNull())
     latest = keyed.groupBy("url").agg(F.max_by(row, F.struct(*order)).alias("_r")).select("_r.*")
