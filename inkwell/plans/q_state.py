@@ -148,7 +148,9 @@ _NEWS_COLS = ("id, url, heading, content, author, strftime(date, '%Y-%m-%d') AS
 def upsert_articles(spark, sf):
     b1 = M.to_load_rows(_run_batch(spark, sf, 1))
     b2 = M.to_load_rows(_run_batch(spark, sf, 2))
-    t1 = M.upsert(M.empty_news(spark), b1, RUN1)
+    # The table after the first run is stored (a checkpoint here), as it would
+    # be between two scheduled runs.
+    t1 = M.upsert(M.empty_news(spark), b1, RUN1).checkpoint(eager=True)
     t2 = M.upsert(t1, b2, RUN2)
     return t2.select(
         "id", "url", "heading", "content", "author", F.date_format("date", "yyyy-MM-dd").alias("date"), "category",
