@@ -8,7 +8,7 @@ advanced seen state and per-source counters.
 Entry B — landing files -> latest per url -> upsert into the table snapshot
 -> archive exactly the files that were read.
 
-Entry C — landing files -> append to the table.
+Entry C — landing files -> append to the table (``sinks.files.append_table``).
 
 All are lazy DataFrame plans; the caller decides what to write.  Frames that
 feed several outputs are persisted by the caller (or checkpointed) once.
@@ -104,17 +104,6 @@ def run_counts(entries, found, requests, articles, accepted, rejected) -> DataFr
     return u.groupBy("source").agg(*[F.count_if(F.col("m") == m).alias(m) for m in COUNTERS])
 
 
-def load_and_upsert(target: DataFrame, landing: DataFrame, run_ts: str) -> DataFrame:
-    """Entry B core: landing rows -> load columns -> upserted snapshot."""
-    return M.upsert(target, M.to_load_rows(landing), run_ts)
-
-
-def append_rows(target: DataFrame | None, landing: DataFrame) -> DataFrame:
-    """Entry C / SNK-3: every landing row appended (no key, duplicates kept)."""
-    rows = M.to_load_rows(landing)
-    return rows if target is None else target.select(*rows.columns).unionByName(rows)
-
-
 def etl_flow(spark, landing_dir: str, table_dir: str, archive_dir: str, run_ts: str,
              layout: str = "array", n_buckets: int = 64) -> int:
     """Entry B end to end: landing files -> upsert -> archive what was read.

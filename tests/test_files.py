@@ -116,3 +116,17 @@ def test_etl_flow_entry_b(spark, tmp_dir):
     assert set(rows) == {"u1", "u2"} and rows["u1"]["heading"] == "h1b"  # case 27: one row per url
     assert os.listdir(land) == [] and sorted(os.listdir(arch)) == ["dawn_latest_2025-06-03.json",
                                                                    "tribune_latest_2025-06-03.json"]
+
+
+def test_stats_last_run_of_day_wins(spark, tmp_dir):
+    # SNK-5 / case 31: rewriting a (source, date) replaces it; other days stay
+    import datetime as dt
+
+    schema = "source string, date date, articles_found long, articles_scraped long, errors long, reason string"
+    first = spark.createDataFrame([("dawn", dt.date(2025, 6, 3), 28, 16, 0, "finished"),
+                                   ("dawn", dt.date(2025, 6, 2), 30, 27, 0, "finished")], schema)
+    FS.write_stats(first, tmp_dir)
+    second = spark.createDataFrame([("dawn", dt.date(2025, 6, 3), 16, 16, 0, "finished")], schema)
+    FS.write_stats(second, tmp_dir)
+    got = sorted((str(r["date"]), r["articles_found"]) for r in spark.read.json(tmp_dir).collect())
+    assert got == [("2025-06-02", 30), ("2025-06-03", 16)]
