@@ -112,7 +112,17 @@ def _bucket_sweep(ev: DataFrame, keys: list[str], payload: list[str], ttl_us: in
     """
     spark = ev.sparkSession
     checkpoint_root(spark)
-    ev = ev.withColumn("_b", F.floor(F.col("_t") / F.lit(ttl_us))).checkpoint(eager=True)
+    # Hot events are written once, partitioned by bucket, so every step reads
+    # only its own bucket (partition pruning): total work stays linear in the
+    # number of events however many buckets there are.
+    from inkwell.session import scratch_dir
+
+    path = scratch_dir(spark, "sweep_events")
+    # Range partitioning on (bucket, time) keeps tasks balanced even when one
+    # bucket is hot, and gives few files per bucket.
+    bucketed = ev.withColumn("_b", F.floor(F.col("_t") / F.lit(ttl_us)))
+    bucketed.repartitionByRange("_b", "_t").write.mode("overwrite").partitionBy("_b").parquet(path)
+    ev = spark.read.parquet(path)
     # Bucket ids are bounded by the time span / ttl, not by the data size.
     buckets = [r[0] for r in ev.select("_b").distinct().orderBy("_b").collect()]
     row = F.struct(F.col("_t"), F.col("_tie"), *[F.col(c) for c in payload])
