@@ -1,9 +1,10 @@
-"""Micro-batch sinks for the streaming flows (ST-2..ST-5).
+"""Micro-batch sinks for the streaming flows (ST-1..ST-5).
 
-Snapshots are versioned directories ``v=<batchId>``; a version is complete
-once its ``_SUCCESS`` marker exists, and readers take the highest complete
-version.  A retried batch finds its version already complete and does
-nothing, so every sink is idempotent by batch id (exactly-once on replay).
+* Versioned state snapshots ``v=<batchId>`` (the micro-batch throttle's seen
+  state): a version is complete once its ``_SUCCESS`` marker exists and readers
+  take the highest complete version; a replayed batch rewrites its own version.
+* Partition-merge tables for update-mode aggregates: a batch rewrites only the
+  partitions (days) it touches.
 """
 
 from __future__ import annotations
@@ -37,30 +38,6 @@ def read_current(spark: SparkSession, root: str, empty: Callable[[], DataFrame])
     return spark.read.parquet(f"{root}/v={vs[-1]}") if vs else empty()
 
 
-def snapshot_sink(root: str, step: Callable[[DataFrame, DataFrame, int], DataFrame],
-                  empty: Callable[[SparkSession], DataFrame]):
-    """foreachBatch function: next snapshot = step(current, batch, batch_id)."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_id in versions(spark, root):
-            return  # replayed batch: already committed
-        current = read_current(spark, root, lambda: empty(spark))
-        step(current, batch, batch_id).write.mode("overwrite").parquet(f"{root}/v={batch_id}")
-
-    return run
-
-
-def merge_by_key(keys: list[str]):
-    """Snapshot step for update-mode aggregates: batch rows replace their keys."""
-
-    def step(current: DataFrame, batch: DataFrame, _batch_id: int) -> DataFrame:
-        kept = current.join(batch.select(*keys), keys, "left_anti")
-        return kept.unionByName(batch.select(*current.columns))
-
-    return step
-
-
 def run_available(query_builder: Callable[[], object]) -> None:
     """Start a streaming query with ``trigger(availableNow=True)`` and wait."""
     q = query_builder()
