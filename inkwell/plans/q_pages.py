@@ -9,7 +9,7 @@ from inkwell.functions import text as T
 from inkwell.functions import urls as U
 from inkwell.plans import sqlgen as Q
 from inkwell.plans.catalog import query, table
-from inkwell.registry import DEFAULT_SOURCES, EXAMPLE, Container, Source, base_url_for
+from inkwell.registry import DEFAULT_SOURCES, EXAMPLE, Source, base_url_for
 
 # ---------------------------------------------------------------- P-6, F-8, A-6
 query_sql = f"SELECT page_id, {Q.paragraph_text('html')} AS text FROM pages"

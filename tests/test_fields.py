@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import one
+
 from inkwell.functions import dates as D
 from inkwell.functions import urls as U
 from inkwell.operators import extract as X
