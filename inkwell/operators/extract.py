@@ -69,6 +69,9 @@ def article_columns(sources=DEFAULT_SOURCES, default=None) -> list[Column]:
         F.when(feed_text.isNotNull(), F.lit("feed")).when(page_text.isNotNull(), F.lit("page")).alias("content_from"),
         published_at.alias("published_at"),
         date_unparsed(F.col("published"), published_at).alias("date_unparsed"),
+        # V-2: a fetched page without a body cannot be processed; the row is
+        # isolated as an error instead of failing the run.
+        F.col("html").isNull().alias("error"),
     ]
 
 

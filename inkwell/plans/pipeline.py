@@ -29,7 +29,7 @@ from inkwell.operators import seen as S
 from inkwell.registry import DEFAULT_SOURCES, Source, base_url_for, domains_for
 from inkwell.sources.rss import feed_entries, rss_items
 
-COUNTERS = ["entries", "found", "requests", "scraped", "accepted", "rejected"]
+COUNTERS = ["entries", "found", "requests", "scraped", "errors", "accepted", "rejected"]
 
 
 @dataclass
@@ -77,24 +77,32 @@ def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame |
         "_order", F.struct("feed_no", "item_pos"))
     requests = S.dedupe_requests(keyed, ["source", "_canon"], "_order").drop("_canon", "_order")
     # J-1 + extraction; status filter F-5 inside.
-    articles = X.extract_articles(requests, pages, sources, keep=["feed_no", "item_pos"], default=default)
+    extracted = X.extract_articles(requests, pages, sources, keep=["feed_no", "item_pos"], default=default)
     if materialize:
-        articles = articles.checkpoint(eager=True)
+        extracted = extracted.checkpoint(eager=True)
+    # V-2: error rows are counted, not yielded and not marked seen; the run goes on.
+    errors = extracted.filter(F.col("error"))
+    articles = extracted.filter(~F.col("error")).drop("error")
     accepted, rejected = V.validate(articles, now.cast("timestamp_ntz"), spider_col=F.col("source"))
     # SNK-6: mark the final url and the requested link (D-6), rejected ones too (D-5).
     marks = articles.select("source", "url").unionByName(articles.select("source", F.col("link").alias("url")))
     new_seen = S.advance_seen(seen, marks.withColumn("ts", now).filter(F.col("url").isNotNull()), ["source", "url"], "ts")
-    counts = run_counts(entries, found, requests, articles, accepted, rejected)
+    counts = run_counts(entries, found, requests, articles, errors, accepted, rejected)
     return RunOutputs(entries, requests, articles, accepted, rejected, new_seen, counts)
 
 
-def run_counts(entries, found, requests, articles, accepted, rejected) -> DataFrame:
-    """A-1 style counters per source, one grouped aggregate over a tagged union."""
+def run_counts(entries, found, requests, articles, errors, accepted, rejected) -> DataFrame:
+    """A-1 style counters per source, one grouped aggregate over a tagged union.
+
+    As in the reference, found >= scraped + errors, and scraped counts items
+    that validation later rejects.
+    """
     parts = [
         entries.select("source", F.lit("entries").alias("m")),
         found.select("source", F.lit("found").alias("m")),
         requests.select("source", F.lit("requests").alias("m")),
         articles.select("source", F.lit("scraped").alias("m")),
+        errors.select("source", F.lit("errors").alias("m")),
         accepted.select("source", F.lit("accepted").alias("m")),
         rejected.select("source", F.lit("rejected").alias("m")),
     ]

@@ -55,10 +55,13 @@ def _feeds(spark, sf):
 
 
 def _fetched_pages(spark, sf):
+    """Every page as a fetch result: status 404 for page_id % 17 = 0, and a
+    response without a body (a row error, V-2) for page_id % 19 = 0."""
     p = table(spark, sf, "pages")
     return p.select(
         F.concat(F.lit(BASE + "/a/"), F.col("page_id").cast("string")).alias("request_url"),
-        "url", "html",
+        "url",
+        F.when(F.col("page_id") % 19 == 0, F.lit(None).cast("string")).otherwise(F.col("html")).alias("html"),
         F.when(F.col("page_id") % 17 == 0, F.lit(404)).otherwise(F.lit(200)).alias("status"),
     )
 
@@ -136,14 +139,17 @@ _PIPELINE_SQL = (
     f"'{BASE}' || link ELSE link END AS alink FROM i WHERE coalesce(link, '') <> ''), "
     "found AS (SELECT * FROM linked WHERE doc_id % 7 <> 0), "
     "req AS (SELECT * FROM found), "
-    f"pg AS (SELECT page_id, html FROM pages WHERE page_id % 17 <> 0), "
-    "art AS (SELECT r.source, r.title, coalesce(nullif(r.content, ''), nullif(r.description, '')) AS entry_html, "
-    f"{_CONTAINER_SQL} AS inner_html FROM req r JOIN pg ON r.alink = '{BASE}/a/' || pg.page_id), "
+    "pg AS (SELECT page_id, CASE WHEN page_id % 19 = 0 THEN NULL ELSE html END AS html FROM pages "
+    "WHERE page_id % 17 <> 0), "
+    "joined AS (SELECT r.source, r.title, coalesce(nullif(r.content, ''), nullif(r.description, '')) AS entry_html, "
+    f"pg.html FROM req r JOIN pg ON r.alink = '{BASE}/a/' || pg.page_id), "
+    f"art AS (SELECT source, title, entry_html, {_CONTAINER_SQL} AS inner_html FROM joined WHERE html IS NOT NULL), "
     f"ext AS (SELECT source, {Q.strip_or_null('title')} AS heading, coalesce({Q.paragraph_text('entry_html')}, "
     f"{Q.paragraphs_only_text('inner_html')}) AS content FROM art), "
     "val AS (SELECT source, coalesce(heading, '') <> '' AND coalesce(content, '') <> '' AS ok FROM ext), "
     "m AS (SELECT source, 'entries' AS m FROM i UNION ALL SELECT source, 'found' FROM found "
     "UNION ALL SELECT source, 'requests' FROM req UNION ALL SELECT source, 'scraped' FROM ext "
+    "UNION ALL SELECT source, 'errors' FROM joined WHERE html IS NULL "
     "UNION ALL SELECT source, CASE WHEN ok THEN 'accepted' ELSE 'rejected' END FROM val) "
     "SELECT source, " + ", ".join(f"count(*) FILTER (WHERE m = '{c}') AS {c}" for c in COUNTERS) + " FROM m GROUP BY source"
 )

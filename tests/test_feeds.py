@@ -92,3 +92,17 @@ def test_status_filter(spark):
     pages = spark.createDataFrame([("u", "u", "<p>a</p>", 404), ("v", "v", "<p>b</p>", 200)],
                                   "request_url string, url string, html string, status int")
     assert [r["url"] for r in X.status_ok(pages).collect()] == ["v"]
+
+
+def test_error_rows_isolated(spark):
+    # V-2: a fetched page without a body is an error: counted, not scraped, not marked seen
+    pages = spark.createDataFrame(
+        [("http://www.dawn.com/news/dawnarticle1", "http://www.dawn.com/news/dawnarticle1", None, 200),
+         ("http://www.dawn.com/news/dawnarticle2", "http://www.dawn.com/news/dawnarticle2", "<p>x</p>", 200)],
+        "request_url string, url string, html string, status int")
+    out = crawl_run(feeds_df(spark), pages, "2025-06-03 12:00:00", sources=(DAWN, TRIBUNE))
+    c = {r["source"]: r.asDict() for r in out.counts.collect()}["dawn_latest"]
+    assert (c["found"], c["scraped"], c["errors"]) == (2, 1, 1)
+    assert c["found"] >= c["scraped"] + c["errors"]
+    marked = {r["url"] for r in out.seen.collect()}
+    assert "http://www.dawn.com/news/dawnarticle1" not in marked
