@@ -106,3 +106,21 @@ def test_error_rows_isolated(spark):
     assert c["found"] >= c["scraped"] + c["errors"]
     marked = {r["url"] for r in out.seen.collect()}
     assert "http://www.dawn.com/news/dawnarticle1" not in marked
+
+
+def test_entry_a_to_entry_b_handoff(spark, tmp_dir):
+    # Entry A exports accepted items; Entry B loads them, upserts and archives.
+    import os
+
+    from inkwell.plans.pipeline import etl_flow
+    from inkwell.sinks.files import export_articles
+
+    out = crawl_run(feeds_df(spark), pages_df(spark), "2025-06-03 12:00:00", sources=(DAWN, TRIBUNE))
+    land, table, arch = (os.path.join(tmp_dir, n) for n in ("land", "news", "arch"))
+    export_articles(out.accepted, land, "2025-06-03", run_sources=["dawn_latest", "tribune_latest"])
+    n_acc = out.accepted.count()
+    assert etl_flow(spark, land, table, arch, "2025-06-03 12:05:00", layout="lines") == n_acc
+    rows = spark.read.parquet(table).collect()
+    assert sorted(r["url"] for r in rows) == sorted(r["url"] for r in out.accepted.collect())
+    assert {r["spider_name"] for r in rows} == {"dawn_latest", "tribune_latest"}
+    assert all(r["date"] is not None for r in rows)  # literal day of the RFC 822 pubDate
