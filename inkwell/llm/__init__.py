@@ -6,7 +6,7 @@ included, so executors need only the libraries and not this package.
 
 from pyspark import cloudpickle as _cloudpickle
 
-from inkwell.llm import byte_bpe, quality, simhash, warc
+from inkwell.llm import byte_bpe, induced_sort, quality, simhash, suffix_dedup, warc
 
-for _m in (byte_bpe, quality, simhash, warc):
+for _m in (byte_bpe, induced_sort, quality, simhash, suffix_dedup, warc):
     _cloudpickle.register_pickle_by_value(_m)

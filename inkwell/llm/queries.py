@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import byte_bpe, exact_dedup, line_dedup, mixing, pii, quality, simhash, url_filters, warc
+from inkwell.llm import byte_bpe, exact_dedup, line_dedup, mixing, pii, quality, simhash, suffix_dedup, url_filters, warc
 from inkwell.llm.common import read_table
 from inkwell.session import scratch_dir
 
@@ -245,3 +245,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.detect(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", *[f"n_{k}" for k in pii.BASE], F.sha2(pii.written("base"), 256).alias("base_sha256"),
                       pii.written("spans").alias("spans"))
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, s: acc + s["hi"] - s["lo"])
+    return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
