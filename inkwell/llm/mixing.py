@@ -113,20 +113,25 @@ def takes(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source"
     targets = checkpoint(source_targets(sizes, weights, max_epochs))
     streams = _streams(sizes, targets)
     slots = schedule(docs.sparkSession, targets, -(-total // block_words))
-    key = ["_id", "_source", "_k1", "_k2", "_size", "_tot", "target", "_s", "_off", "_epoch"]
-    passes = streams.filter("_size > 0").withColumn("_epoch", F.explode(F.array(*[F.lit(e) for e in range(max_epochs)]))) \
-        .withColumn("_start", F.col("_epoch") * F.col("_tot") + F.col("_off"))
+    # A source's slots reach so many words of its stream; passes beyond them take nothing.
+    reach = checkpoint(slots.groupBy("_s").agg((F.max("rank") + 1).alias("_blocks")))
+    passes = streams.filter("_size > 0").join(reach, "_s") \
+        .withColumn("_epoch", F.explode(F.array(*[F.lit(e) for e in range(max_epochs)]))) \
+        .withColumn("_start", F.col("_epoch") * F.col("_tot") + F.col("_off")) \
+        .filter(F.col("_start") < F.col("_blocks") * block_words)
     end = F.col("_start") + F.col("_size")
-    pieces = passes.withColumn("rank", F.explode(F.sequence(
-        F.floor(F.col("_start") / block_words), F.floor((end - 1) / block_words)))) \
-        .withColumn("_words", F.least(end, (F.col("rank") + 1) * block_words)
-                    - F.greatest(F.col("_start"), F.col("rank") * block_words))
-    got = pieces.select(*key, "rank", "_words").join(slots, ["_s", "rank"], "left") \
-        .groupBy(*key).agg(F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("_words"))), F.lit(0)).alias("_taken"),
-                           F.min("slot").alias("_slot"))
-    none = streams.filter("_size = 0").withColumn("_epoch", F.lit(0)) \
-        .select(*key, F.lit(0).cast("long").alias("_taken"), F.lit(None).cast("long").alias("_slot"))
-    return got.unionByName(none)
+    # (_s, _off) names a document with words, so the pieces travel without its columns.
+    pieces = passes.select("_s", "_off", "_epoch", "_start", end.alias("_end"), F.explode(F.sequence(
+        F.floor(F.col("_start") / block_words), F.least(F.floor((end - 1) / block_words), F.col("_blocks") - 1))).alias("rank")) \
+        .select("_s", "_off", "_epoch", "rank", (F.least("_end", (F.col("rank") + 1) * block_words)
+                                                 - F.greatest("_start", F.col("rank") * block_words)).alias("_words"))
+    got = pieces.join(slots, ["_s", "rank"]).groupBy("_s", "_off", "_epoch") \
+        .agg(F.sum("_words").alias("_taken"), F.min("slot").alias("_slot"))
+    key = ["_id", "_source", "_k1", "_k2", "_size", "_tot", "target", "_s", "_off"]
+    none = streams.select(*key, F.lit(0).alias("_epoch"), F.lit(0).cast("long").alias("_taken"), F.lit(None).cast("long").alias("_slot"))
+    some = streams.filter("_size > 0").join(got, ["_s", "_off"], "left") \
+        .select(*key, F.coalesce("_epoch", F.lit(0)).alias("_epoch"), F.coalesce("_taken", F.lit(0)).alias("_taken"), "_slot")
+    return some.unionByName(none.filter("_size = 0"))
 
 
 def mix_report(docs: DataFrame, id_col="doc_id", **kw) -> DataFrame:
