@@ -1,10 +1,10 @@
 """Article-container lookup in raw HTML (P-9), as native expressions.
 
-HTML is not well-formed XML, so ``xpath()`` cannot be used.  The container's
-start tag is located with a regular expression built from the source's rule;
-its matching end tag is found with a depth fold (``aggregate``) over the
-pieces between start tags of the same element, so nested elements of the same
-name are handled.
+HTML is not well-formed XML, so ``xpath()`` cannot be used.  Comments, scripts
+and styles go first; then the start and end tags of the container's element are
+listed, and a fold over them keeps the nesting depth and notes where each outermost
+matching element begins and ends.  The regions are cut out of the document by
+position, so the work is linear in its length.
 """
 
 from __future__ import annotations
@@ -14,65 +14,72 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkwell.functions.text import paragraphs_only_text
+from inkwell.functions.text import ATTRS, bind, clean_paragraphs_text, strip_invisible
 from inkwell.registry import Container
 
 _WS = "[ \\t\\r\\n\\f]"
 
 
-def _q(s: str) -> str:
-    return re.escape(s)
-
-
 def start_tag_re(rule: Container) -> str:
-    tag = _q(rule.tag)
+    """A start tag that matches the rule; group 1 is the element's name."""
+    name = re.escape(rule.tag) if rule.tag else "[A-Za-z][A-Za-z0-9]*+"
     if not rule.attr:
-        return f"(?is)<{tag}(?:[^A-Za-z0-9<>][^<>]*)?>"
-    attr = _q(rule.attr)
+        return f"(?is)<({name})(?:[^A-Za-z0-9<>]{ATTRS})?>"
+    attr, needle = re.escape(rule.attr), re.escape(rule.needle)
     if rule.exact:
-        value = f"(?:\"{_q(rule.needle)}\"|'{_q(rule.needle)}')"
+        value = f"(?:\"{needle}\"|'{needle}'|{needle}(?=[ \\t\\r\\n\\f/>]))"
     else:
-        value = f"(?:\"[^\"]*{_q(rule.needle)}[^\"]*\"|'[^']*{_q(rule.needle)}[^']*')"
-    return f"(?is)<{tag}{_WS}(?:[^<>]*{_WS})?{attr}{_WS}*={_WS}*{value}[^<>]*>"
+        value = (f"(?:\"[^\"<]*?{needle}[^\"<]*\"|'[^'<]*?{needle}[^'<]*'"
+                 f"|(?![\"'])[^ \\t\\r\\n\\f<>]*?{needle}[^ \\t\\r\\n\\f<>]*)")
+    return f"(?is)<({name}){_WS}(?:[^<>]*?{_WS})?{attr}{_WS}*={_WS}*{value}{ATTRS}>"
+
 
+def container_regions(clean: Column, rule: Container) -> Column:
+    """Insides of all outermost elements of a cleaned document that match ``rule``.
 
-def container_inner_html(html: Column, rule: Container) -> Column:
-    """Inner HTML of the first element matching ``rule`` (NULL if none)."""
-    tag = _q(rule.tag)
-    any_start = f"(?i)<{tag}(?:[^A-Za-z0-9<>][^<>]*)?>"
-    end = f"(?i)</{tag}(?:[^A-Za-z0-9<>][^<>]*)?>"
+    An element inside a matching one is part of it; one that is never closed
+    reaches to the end, as in an HTML parser.
+    """
     start = start_tag_re(rule)
-    after = F.regexp_extract(html, start + "(.*)", 1)
-    pieces = F.split(after, any_start)
-    open_mark = F.lit(f"<{rule.tag}>")
-    close_mark = f"</{rule.tag}>"
-
-    init = F.struct(
-        F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("acc"), F.lit(0).alias("n")
-    )
-
-    def step(state, piece):
-        depth = state["depth"] + 1
-        segs = F.split(piece, end)
-        closes = F.size(segs) - 1
-        prefix = F.when(state["n"] > 0, open_mark).otherwise(F.lit(""))
-        closing_here = closes >= depth
-        taken = F.when(
-            closing_here, F.array_join(F.slice(segs, 1, depth), close_mark)
-        ).otherwise(piece)
-        return F.when(state["done"], state).otherwise(
-            F.struct(
-                F.when(closing_here, F.lit(0)).otherwise(depth - closes).alias("depth"),
-                closing_here.alias("done"),
-                F.concat(state["acc"], prefix, taken).alias("acc"),
-                (state["n"] + 1).alias("n"),
-            )
-        )
-
-    inner = F.aggregate(pieces, init, step, lambda s: s["acc"])
-    return F.when(html.rlike(start), inner)
+    if rule.tag:
+        any_tag = F.lit(f"(?is)</?{re.escape(rule.tag)}(?:[^A-Za-z0-9<>]{ATTRS})?>")
+    else:
+        name = F.regexp_extract(clean, start, 1)
+        any_tag = F.concat(F.lit("(?is)</?"), name, F.lit(f"(?:[^A-Za-z0-9<>]{ATTRS})?>"))
+
+    def listed(tags):
+        gaps = F.call_function("split", clean, any_tag, F.lit(-1))
+        return bind(gaps, lambda g: F.transform(tags, lambda t, i: F.struct(
+            F.length(F.get(g, i)).alias("gap"), F.length(t).alias("len"),
+            t.startswith("</").alias("end"), t.rlike(start).alias("match"))))
+
+    empty = F.array().cast("array<struct<lo:int,hi:int>>")
+    init = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("depth"), F.lit(0).alias("lo"), empty.alias("found"))
+
+    def step(s, t):
+        pos = s["pos"] + t["gap"] + t["len"]
+        depth = (F.when(s["depth"] == 0, F.when(t["match"] & ~t["end"], 1).otherwise(0))
+                 .when(t["end"], s["depth"] - 1).otherwise(s["depth"] + 1))
+        opened, closed = (s["depth"] == 0) & (depth == 1), (s["depth"] == 1) & (depth == 0)
+        return F.struct(pos.alias("pos"), depth.alias("depth"), F.when(opened, pos).otherwise(s["lo"]).alias("lo"),
+                        F.when(closed, F.concat(s["found"], F.array(F.struct(s["lo"].alias("lo"), (pos - t["len"]).alias("hi")))))
+                        .otherwise(s["found"]).alias("found"))
+
+    def finish(s):
+        return F.when(s["depth"] > 0, F.concat(s["found"], F.array(F.struct(
+            s["lo"].alias("lo"), F.length(clean).alias("hi"))))).otherwise(s["found"])
+
+    ranges = bind(F.regexp_extract_all(clean, any_tag, F.lit(0)), lambda tags: F.aggregate(listed(tags), init, step, finish))
+    return F.transform(ranges, lambda r: F.substr(clean, r["lo"] + 1, r["hi"] - r["lo"]))
 
 
 def container_text(html: Column, rule: Container) -> Column:
-    """P-9: text nodes under the container's <p> elements; '' -> NULL."""
-    return paragraphs_only_text(container_inner_html(html, rule))
+    """P-9: text nodes under the <p> elements of all matching containers; '' -> NULL."""
+    start = start_tag_re(rule)
+
+    def from_clean(clean):
+        # Each region ends its open paragraph, so regions do not run into each other.
+        text = clean_paragraphs_text(F.array_join(container_regions(clean, rule), "</p>"))
+        return F.when(clean.rlike(start), text)
+
+    return F.when(html.isNotNull(), bind(strip_invisible(html), from_clean))

@@ -13,13 +13,12 @@ from inkwell.functions.text import py_strip
 
 # Accepted spellings, tried in this order (first non-NULL wins).
 #   RFC 822 after dropping the weekday: "03 Jun 2025 14:30:00 +0000" / "... GMT"
-#   ISO 8601 with "T" and an offset or "Z", optional fraction
-#   ISO 8601 with a space and an offset
-#   naive "yyyy-MM-dd HH:mm:ss" (read as UTC)
+#   ISO 8601 with "T" or a space; seconds, fraction and offset (or "Z") optional
+#   ISO 8601 date alone (midnight); without an offset read as UTC
 RFC822_PATTERN = "d MMM yyyy HH:mm:ss [Z][z]"
-ISO_T_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX][XX]"
-ISO_SPACE_PATTERN = "yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX"
-NAIVE_PATTERN = "yyyy-MM-dd HH:mm:ss"
+ISO_T_PATTERN = "yyyy-MM-dd'T'HH:mm[:ss[.SSSSSS]][XXX][XX]"
+ISO_SPACE_PATTERN = "yyyy-MM-dd HH:mm[:ss[.SSSSSS]][XXX][XX]"
+ISO_DAY_PATTERN = "yyyy-MM-dd"
 # Only with extended=True: long month names ("January 05, 2025").
 LONG_MONTH_PATTERN = "MMMM d, yyyy"
 
@@ -47,7 +46,7 @@ def publish_ts(raw: Column, parsed: Column | None = None, extended: bool = False
         _try_ts(s, ISO_T_PATTERN),
         _try_ts(s, ISO_SPACE_PATTERN),
         _try_ts(rfc, RFC822_PATTERN),
-        _try_ts(s, NAIVE_PATTERN),
+        _try_ts(s, ISO_DAY_PATTERN),
     ]
     if extended:
         steps.append(_try_ts(s, LONG_MONTH_PATTERN))

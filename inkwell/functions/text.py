@@ -7,8 +7,10 @@ work stays in the JVM with no Python workers, character references included.
 
 from __future__ import annotations
 
+import json
 import sys
-from html.entities import name2codepoint as _name2codepoint
+import zlib
+from html.entities import html5 as _HTML5_NAMES
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,11 +51,15 @@ _INVISIBLE_RE = (
 )
 _NODE_BREAK = "<wbr>"
 
+# The rest of a tag: a ">" inside a quoted value does not end it.  Possessive, so
+# a tag of any length is matched in linear time without recursion.
+ATTRS = "[^<>=]*+(?:=[ \\t\\r\\n\\f]*+(?:\"[^\"<]*+\"|'[^'<]*+')?+[^<>=]*+)*+"
+
 # A tag (start, end, declaration, processing instruction).  A bare "<" that is
 # not followed by a letter, "/", "!" or "?" is text, as in an HTML parser; a
 # tag never spans another "<" (malformed markup such as "<b;<p>" is text
 # followed by a tag).
-TAG_RE = "<(?:/?[A-Za-z][^<>]*|![^<>]*|[?][^<>]*)>"
+TAG_RE = "<(?:/?[A-Za-z]" + ATTRS + "|![^<>]*|[?][^<>]*)>"
 
 # A <p> start tag (not <pre>, <param>, ...).
 P_OPEN_RE = "(?i)<p(?:[^A-Za-z0-9<>][^<>]*)?>"
@@ -99,12 +105,20 @@ _RARE_REFERENCE_RE = (
 _MARKUP_ESCAPE = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")]
 
 
-def _named_reference_map() -> Column:
-    # Derived from the standard library's HTML 4 name table (252 names: the
-    # ones used in practice).  The full HTML5 list (2125 names) made every task
-    # pay for initialising the literal; HTML5-only names are left undecoded.
-    table = sorted((k, chr(v)) for k, v in _name2codepoint.items())
-    return F.map_from_arrays(F.lit([k for k, _ in table]), F.lit([v for _, v in table]))
+_CELLS = 512
+
+
+def _named_references() -> Column:
+    """All HTML names (from the standard library's table) as one literal: an array
+    of small maps by checksum, so a lookup is an index and a few comparisons."""
+    cells: list[dict] = [{} for _ in range(_CELLS)]
+    for name, text in _HTML5_NAMES.items():
+        cells[zlib.crc32(name.encode()) % _CELLS][name] = text
+    return F.from_json(F.lit(json.dumps(cells)), "array<map<string,string>>")
+
+
+# Names that HTML also accepts without ";", longest first.
+_LEGACY_RE = "^(" + "|".join(sorted((n for n in _HTML5_NAMES if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
 
 
 def _c1_remap() -> dict[int, str]:
@@ -163,24 +177,35 @@ def resolve_references(html: Column) -> Column:
 
     Each piece after an "&" is inspected: a numeric reference becomes its
     character (UTF-8 bytes assembled arithmetically, then ``decode``), a
-    named one is looked up in the HTML5 table; a produced "&", "<" or ">" is
-    written back as a reference so markup structure cannot change.  Names
-    without the closing ";" (legacy forms) are left as they are.
+    named one is looked up in the HTML table, and the names that need no ";"
+    match as the longest prefix; a produced "&", "<" or ">" is written back as a
+    reference so markup structure cannot change.
     """
-    names = _named_reference_map()
+    names = _named_references()
+
+    def lookup(name):
+        return F.try_element_at(F.get(names, F.pmod(F.crc32(name.cast("binary")), F.lit(_CELLS)).cast("int")), name)
 
     def piece(p, i):
-        dec = F.regexp_extract(p, "^#([0-9]{1,7});", 1)
-        hexa = F.regexp_extract(p, "^#[xX]([0-9a-fA-F]{1,6});", 1)
-        name = F.regexp_extract(p, "^([A-Za-z][A-Za-z0-9]{0,31});", 1)
-        cp = F.coalesce(F.nullif(dec, F.lit("")).cast("int"),
-                        F.conv(F.nullif(hexa, F.lit("")), 16, 10).cast("int"))
-        named = F.element_at(names, F.nullif(name, F.lit("")))
-        num_len = F.length(F.concat(F.lit("#"), F.when(dec != "", dec).otherwise(F.concat(F.lit("x"), hexa)), F.lit(";")))
+        number = F.regexp_extract(p, "^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)
+        hexa = F.ltrim(F.regexp_extract(number, "^#[xX]([0-9a-fA-F]+)", 1), F.lit("0"))
+        dec = F.ltrim(F.regexp_extract(number, "^#([0-9]+)", 1), F.lit("0"))
+        far = (F.length(dec) > 7) | (F.length(hexa) > 6)  # beyond every code point
+        cp = (F.when(far, 0)
+              .when(number.rlike("^#[xX]"), F.conv(F.concat(F.lit("0"), hexa), 16, 10).cast("int"))
+              .otherwise(F.concat(F.lit("0"), dec).try_cast("int")))
+        name = F.regexp_extract(p, "^[A-Za-z][A-Za-z0-9]*;", 0)
+        short = F.regexp_extract(p, _LEGACY_RE, 1)
+        named, legacy = lookup(name), lookup(short)
+
+        def rest(c):
+            return F.substr(p, F.length(c) + 1)
+
         return (
             F.when(i == 0, p)
-            .when(cp.isNotNull(), F.concat(_markup_safe(codepoint_text(cp)), F.substring(p, num_len + 1, 1 << 30)))
-            .when(named.isNotNull(), F.concat(_markup_safe(named), F.substring(p, F.length(name) + 2, 1 << 30)))
+            .when(number != "", F.concat(_markup_safe(codepoint_text(cp)), rest(number)))
+            .when(named.isNotNull(), F.concat(_markup_safe(named), rest(name)))
+            .when(legacy.isNotNull(), F.concat(_markup_safe(legacy), rest(short)))
             .otherwise(F.concat(F.lit("&"), p))
         )
 
@@ -207,13 +232,6 @@ def strip_invisible(html: Column) -> Column:
     return F.regexp_replace(resolve_rare_references(html), _INVISIBLE_RE, _NODE_BREAK)
 
 
-def _node_text(fragment: Column) -> Column:
-    """Text nodes of a fragment, decoded and stripped, blanks dropped, joined by ' '."""
-    nodes = F.split(fragment, TAG_RE)
-    cleaned = F.transform(nodes, lambda x: py_strip(decode_entities(x)))
-    return F.array_join(F.filter(cleaned, lambda x: x != ""), " ")
-
-
 def bind(value: Column, fn) -> Column:
     """Evaluate ``value`` once and hand it to ``fn`` as a lambda variable.
 
@@ -224,22 +242,6 @@ def bind(value: Column, fn) -> Column:
     return F.get(F.transform(F.array(value), fn), 0)
 
 
-def _paragraph_texts(parts: Column) -> Column:
-    """Text of every <p> given the document split at <p> start tags."""
-    bodies = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    texts = F.transform(bodies, lambda b: _node_text(F.regexp_replace(b, _P_END_RE, "")))
-    return F.filter(texts, lambda t: t != "")
-
-
-def _paragraphs(clean_html: Column) -> Column:
-    """Text of every <p> (HTML5 implicit closing), blank paragraphs dropped."""
-    return _paragraph_texts(F.split(clean_html, P_OPEN_RE))
-
-
-def has_paragraph(clean_html: Column) -> Column:
-    return F.size(F.split(clean_html, P_OPEN_RE)) > 1
-
-
 # Whole-document formulation used by the public functions: no per-element
 # lambdas, only regular-expression passes (compiled once, run in the JVM).
 _NUL = "\u0000"
@@ -306,23 +308,12 @@ def paragraph_text(html: Column) -> Column:
 
 def paragraphs_only_text(html: Column) -> Column:
     """Text of the <p> elements only (no whole-fragment fallback), '' -> NULL."""
+    return bind(strip_invisible(html), clean_paragraphs_text)
 
-    def from_clean(clean):
-        return F.when(clean.rlike(P_OPEN_RE), F.nullif(_flatten(_paragraph_region(clean)), F.lit("")))
-
-    return bind(strip_invisible(html), from_clean)
-
-
-def paragraph_text_by_nodes(html: Column) -> Column:
-    """Same result as ``paragraph_text`` computed node by node with higher-order
-    functions (kept as an independent formulation for tests)."""
-
-    def from_parts(parts):
-        text = F.when(F.size(parts) > 1, F.array_join(_paragraph_texts(parts), " ")).otherwise(
-            _node_text(F.get(parts, 0)))
-        return F.nullif(py_strip(text), F.lit(""))
 
-    return F.when(html.isNotNull(), bind(F.split(strip_invisible(html), P_OPEN_RE), from_parts))
+def clean_paragraphs_text(clean: Column) -> Column:
+    """The same for a document that ``strip_invisible`` has already been through."""
+    return F.when(clean.rlike(P_OPEN_RE), F.nullif(_flatten(_paragraph_region(clean)), F.lit("")))
 
 
 def whole_text(html: Column) -> Column:

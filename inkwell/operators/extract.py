@@ -52,8 +52,10 @@ def page_fallback_text(source: Column, html: Column, sources=DEFAULT_SOURCES, de
 
 
 def article_columns(sources=DEFAULT_SOURCES, default=None) -> list[Column]:
-    """Projection from a joined (entry, page) row to the article item."""
-    feed_text = paragraph_text(entry_html(F.col("content"), F.col("summary")))
+    """Projection from a joined (entry, page) row to the article item.
+
+    ``_feed_text`` is the entry's own text; ``html`` is NULL where that is enough."""
+    feed_text = F.col("_feed_text")
     page_text = page_fallback_text(F.col("source"), F.col("html"), sources, default)
     published_at = publish_ts(F.col("published"), F.col("published_parsed"))
     return [
@@ -71,7 +73,7 @@ def article_columns(sources=DEFAULT_SOURCES, default=None) -> list[Column]:
         date_unparsed(F.col("published"), published_at).alias("date_unparsed"),
         # V-2: a fetched page without a body cannot be processed; the row is
         # isolated as an error instead of failing the run.
-        F.col("html").isNull().alias("error"),
+        F.col("_no_body").alias("error"),
     ]
 
 
@@ -82,9 +84,20 @@ def extract_articles(entries: DataFrame, pages: DataFrame, sources=DEFAULT_SOURC
     ``entries`` carries (source, link, title, author, author_detail, published,
     published_parsed, tags, content, summary); ``pages`` carries
     (request_url, url, html[, status]).  The join is on the requested link;
-    the page's final url (after redirects) becomes the item url.
+    the page's final url (after redirects) becomes the item url.  Page bodies
+    are shuffled only for the links whose entry has no text of its own (an entry
+    without text and its page meet in a second join).
     """
-    pages = status_ok(pages).select("request_url", "url", "html")
-    joined = entries.join(pages, entries["link"] == pages["request_url"], "inner")
+    pages = status_ok(pages)
+    fetched = pages.select("request_url", "url", F.col("html").isNull().alias("_no_body"))
+    feed_text = paragraph_text(entry_html(F.col("content"), F.col("summary")))
+    texts = entries.withColumn("_feed_text", feed_text)
+    full = texts.filter(F.col("_feed_text").isNotNull())
+    bare = texts.filter(F.col("_feed_text").isNull())
+    told = full.join(fetched, full["link"] == fetched["request_url"]).withColumn("html", F.lit(None).cast("string"))
+    wanted = pages.join(bare.select(F.col("link").alias("request_url")).distinct(), "request_url", "left_semi") \
+        .select("request_url", "url", "html", F.col("html").isNull().alias("_no_body"))
+    read = bare.join(wanted, bare["link"] == wanted["request_url"])
     extra = [F.col(c) for c in (keep or [])]
-    return joined.select(*extra, *article_columns(sources, default))
+    cols = article_columns(sources, default)
+    return told.select(*extra, *cols).unionByName(read.select(*extra, *cols))

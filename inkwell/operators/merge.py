@@ -1,8 +1,10 @@
 """Load and upsert of the article table (P-12, P-16, W-1, W-4, J-3, SNK-3, SNK-4, A-5).
 
-The table is a plain parquet snapshot (no MERGE on the built-in catalog), so an
-upsert is one declarative plan: latest row per url in the batch, full outer
-join with the current snapshot, coalesce per column, dense ids for new rows.
+The built-in catalog has no MERGE.  A stored table is therefore a snapshot plus
+deltas: an upsert joins the batch to the table's narrow (url, id, created_at)
+columns and appends one delta with the batch's rows; readers take the newest row
+per url; ``compact`` folds the deltas into a new snapshot now and then.  Rows with
+a NULL url never conflict and are only ever added.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ def to_load_rows(items: DataFrame) -> DataFrame:
         elif f == "processed_at":
             c = F.try_to_timestamp(c.cast("string")).cast("timestamp_ntz")
         cols.append(c.alias(f))
-    extra = [c for c in ("_order",) if c in items.columns]
+    extra = [c for c in ("_order", "raw_date") if c in items.columns]
     return items.select(*cols, *extra)
 
 
@@ -98,6 +100,41 @@ def _ts(run_ts) -> Column:
     return F.lit(run_ts).cast("timestamp")
 
 
+# Strings that identify a row beside its url, for the order of new ids.
+_DIGEST_FIELDS = ["heading", "content", "author", "category", "spider_name"]
+
+
+def row_digest() -> Column:
+    """md5 of the row's text fields (a NULL differs from '')."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(f)), F.lit("")) for f in _DIGEST_FIELDS]
+    return F.md5(F.concat_ws("\x1f", *parts))
+
+
+def batch_changes(target: DataFrame, batch: DataFrame, run_ts, order: list[Column] | None = None,
+                  max_id: int | None = None) -> DataFrame:
+    """The rows an upsert writes: the batch's newest row per url and its NULL-url
+    rows, with the id and ``created_at`` of the url in ``target``, or new ones.
+
+    Only (url, id, created_at) of the table are read.  The join runs once, under
+    a checkpoint; new ids are dense in (NULL urls last, url, row digest) order, so
+    no article body is part of a sort key.
+    """
+    from inkwell.session import checkpoint_root
+
+    now = _ts(run_ts)
+    checkpoint_root(batch.sparkSession)
+    b = latest_per_url(batch, order).select(*LOAD_FIELDS)
+    known = target.filter(F.col("url").isNotNull()).select(F.col("url").alias("_u"), "id", "created_at")
+    j = b.join(known, F.col("url") == F.col("_u"), "left").drop("_u").checkpoint(eager=True)
+    if max_id is None:
+        max_id = target.agg(F.max("id")).first()[0] or 0
+    new = j.filter(F.col("id").isNull()).drop("id", "created_at")
+    numbered = dense_index(new.withColumns({"_null_url": F.col("url").isNull(), "_digest": row_digest()}),
+                           ["_null_url", "url", "_digest"], "id", start=int(max_id) + 1).withColumn("created_at", now)
+    cols = ["id", *UPDATED_FIELDS[:5], "url", "processed_at", "spider_name", "created_at"]
+    return j.filter(F.col("id").isNotNull()).select(*cols).unionByName(numbered.select(*cols)).withColumn("updated_at", now)
+
+
 def upsert(target: DataFrame, batch: DataFrame, run_ts, order: list[Column] | None = None,
            max_id: int | None = None) -> DataFrame:
     """J-3 + W-1 + W-4 (SNK-4): the next snapshot of the article table.
@@ -107,41 +144,11 @@ def upsert(target: DataFrame, batch: DataFrame, run_ts, order: list[Column] | No
       ``updated_at`` becomes the run time.
     * url only in the batch (or NULL url): inserted with the next ids in url
       order and both timestamps at the run time.
-    * url only in the table: unchanged.
+    * url only in the table, and every stored row with a NULL url: unchanged.
     """
-    spark = batch.sparkSession
-    now = _ts(run_ts)
-    b = latest_per_url(batch, order).select(*LOAD_FIELDS)
-    t = target.select("id", *LOAD_FIELDS, "created_at", "updated_at")
-    bk = b.filter(F.col("url").isNotNull())
-    tk = t.alias("t")
-    j = tk.join(bk.alias("b"), F.col("t.url") == F.col("b.url"), "full_outer")
-
-    matched_or_kept = j.filter(F.col("t.url").isNotNull()).select(
-        F.col("t.id").alias("id"),
-        *[
-            F.when(F.col("b.url").isNotNull(), F.col(f"b.{f}")).otherwise(F.col(f"t.{f}")).alias(f)
-            for f in UPDATED_FIELDS
-        ],
-        F.col("t.url").alias("url"),
-        F.col("t.created_at").alias("created_at"),
-        F.when(F.col("b.url").isNotNull(), now).otherwise(F.col("t.updated_at")).alias("updated_at"),
-    )
-    new_keyed = j.filter(F.col("t.url").isNull()).select(*[F.col(f"b.{f}").alias(f) for f in LOAD_FIELDS])
-    new_rows = new_keyed.unionByName(b.filter(F.col("url").isNull()))
-
-    if max_id is None:
-        max_id = target.agg(F.max("id")).first()[0] or 0
-    numbered = dense_index(
-        new_rows.withColumn("_null_url", F.col("url").isNull()),
-        ["_null_url", "url", "spider_name", "processed_at", "heading", "content", "author", "category"],
-        "id",
-        start=int(max_id) + 1,
-    ).drop("_null_url")
-    inserted = numbered.select("id", *UPDATED_FIELDS, "url", now.alias("created_at"), now.alias("updated_at"))
-    out = matched_or_kept.unionByName(inserted.select(*matched_or_kept.columns))
-    return out.select("id", "heading", "content", "author", "date", "category", "url", "processed_at",
-                      "spider_name", "created_at", "updated_at")
+    changes = batch_changes(target, batch, run_ts, order, max_id)
+    kept = target.join(changes.select("url"), "url", "left_anti")  # a NULL url matches nothing
+    return kept.select(*changes.columns).unionByName(changes)
 
 
 def empty_news(spark) -> DataFrame:
@@ -153,9 +160,10 @@ def empty_news(spark) -> DataFrame:
 def upsert_counts(target: DataFrame, batch: DataFrame) -> DataFrame:
     """A-5: rows in the batch (what the reference returns) plus the inserted /
     updated split, as (metric, value) rows."""
-    b = latest_per_url(batch)
-    tk = target.select(F.col("url").alias("_turl")).distinct()
-    j = b.join(tk, b["url"] == tk["_turl"], "left")
+    tk = target.select(F.col("url").alias("_turl")).filter(F.col("_turl").isNotNull()).distinct()
+    urls = batch.select("url")  # bodies play no part in the counts
+    keyed = urls.filter(F.col("url").isNotNull()).distinct().unionByName(urls.filter(F.col("url").isNull()))
+    j = keyed.join(tk, F.col("url") == F.col("_turl"), "left")
     split = j.agg(
         F.count_if(F.col("_turl").isNull()).alias("inserted"),
         F.count_if(F.col("_turl").isNotNull()).alias("updated"),
@@ -168,50 +176,100 @@ def upsert_counts(target: DataFrame, batch: DataFrame) -> DataFrame:
     return metrics.unionByName(total)
 
 
-BUCKET_COL = "url_bucket"
-
-
-def url_bucket(url: Column, n_buckets: int) -> Column:
-    """Storage bucket of a url (NULL urls get their own NULL bucket)."""
-    return F.when(url.isNotNull(), F.pmod(F.xxhash64(url), F.lit(n_buckets)))
+SNAPSHOT, DELTA = "snapshot-", "delta-"
+MAX_DELTAS = 16
 
 
-def upsert_into(spark, table_dir: str, batch: DataFrame, run_ts, n_buckets: int = 64,
-                order: list[Column] | None = None) -> dict:
-    """SNK-4 against a stored table, rewriting only the buckets the batch touches.
+def _parts(spark, table_dir: str) -> tuple[str | None, list[str], int]:
+    """Newest complete snapshot, the complete deltas after it, and the last number used.
 
-    The table is parquet partitioned by ``url_bucket``.  Only partitions that
-    hold a url of the batch are read (partition pruning), merged with
-    ``upsert`` and replaced (dynamic partition overwrite); every other
-    partition is left as it is, so a run costs the size of the batch's buckets,
-    not of the table.  The merged rows are checkpointed before the write, so a
-    path is never overwritten while it is being read; they are shuffled by
-    bucket so each bucket is one file (urls are unique after W-1, so no bucket
-    can be skewed).  Returns the number of rows in the rewritten buckets.
+    A part counts once Spark has committed it (``_SUCCESS``), so a crashed write is
+    invisible; its number is written again.
     """
     from inkwell.sinks.files import _fs
+
+    fs, root, _ = _fs(spark, table_dir)
+    if not fs.exists(root):
+        return None, [], 0
+    done = {}
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        for kind in (SNAPSHOT, DELTA):
+            if name.startswith(kind) and fs.exists(st.getPath().suffix("/_SUCCESS")):
+                done.setdefault(kind, []).append(int(name[len(kind):]))
+    base = max(done.get(SNAPSHOT, [-1]))
+    deltas = sorted(n for n in done.get(DELTA, []) if n > base)
+    last = max([base, *deltas, 0])
+    return (f"{table_dir}/{SNAPSHOT}{base:08d}" if base >= 0 else None), [f"{table_dir}/{DELTA}{n:08d}" for n in deltas], last
+
+
+def read_news(spark, table_dir: str) -> DataFrame:
+    """The stored table: the newest row per url, and every row with a NULL url.
+
+    Only rows of the deltas are grouped; the snapshot is anti-joined to their urls.
+    """
+    base, deltas, _ = _parts(spark, table_dir)
+    table = spark.read.parquet(base) if base else empty_news(spark)
+    if not deltas:
+        return table
+    cols = table.columns
+    tagged = None
+    for i, path in enumerate(deltas):  # at most MAX_DELTAS
+        d = spark.read.parquet(path).withColumn("_d", F.lit(i))
+        tagged = d if tagged is None else tagged.unionByName(d)
+    row = F.struct(*cols)
+    newest = tagged.filter(F.col("url").isNotNull()).groupBy("url").agg(F.max_by(row, "_d").alias("_r")).select("_r.*")
+    added = tagged.filter(F.col("url").isNull()).select(*cols)
+    kept = table.join(newest.select("url"), "url", "left_anti").select(*cols)
+    return kept.unionByName(newest).unionByName(added)
+
+
+def upsert_into(spark, table_dir: str, batch: DataFrame, run_ts, order: list[Column] | None = None,
+                max_deltas: int = MAX_DELTAS, number: int | None = None) -> dict:
+    """SNK-4 against a stored table: append one delta of the batch's size.
+
+    A run reads the table's narrow columns and writes only what the batch holds,
+    whatever the size of the table.  Beyond ``max_deltas`` deltas the table is
+    compacted.  ``number`` names the delta (a stream's batch id + 1): one that is
+    already in the table is a replay and writes nothing.  Returns A-5: ``input_rows``
+    (what the reference returns), ``inserted`` and ``updated``.
+    """
     from inkwell.session import checkpoint_root
 
     checkpoint_root(spark)
-    b = latest_per_url(batch, order)
-    keyed = b.withColumn(BUCKET_COL, url_bucket(F.col("url"), n_buckets))
-    fs, p, _ = _fs(spark, table_dir)
-    # Dynamic partition overwrite leaves no root marker: the table exists once
-    # it holds a bucket directory.
-    exists = fs.exists(p) and any(st.getPath().getName().startswith(BUCKET_COL + "=") for st in fs.listStatus(p))
-    if exists:
-        table = spark.read.parquet(table_dir)
-        touched = [r[0] for r in keyed.select(BUCKET_COL).distinct().collect()]  # <= n_buckets + 1
-        ids = [t for t in touched if t is not None]
-        cond = F.col(BUCKET_COL).isin(ids) if ids else F.lit(False)
-        if None in touched:
-            cond = cond | F.col(BUCKET_COL).isNull()
-        target = table.filter(cond).drop(BUCKET_COL)
-        max_id = table.agg(F.max("id")).first()[0] or 0
-    else:
-        target, max_id = empty_news(spark), 0
-    merged = upsert(target, keyed.drop(BUCKET_COL), run_ts, order, max_id=max_id)
-    merged = merged.withColumn(BUCKET_COL, url_bucket(F.col("url"), n_buckets)).checkpoint(eager=True)
-    (merged.repartition(BUCKET_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(table_dir))
-    return merged.count()
+    _, _, last = _parts(spark, table_dir)
+    if number is not None and number <= last:
+        return {"input_rows": batch.count(), "inserted": 0, "updated": 0}
+    batch = batch.checkpoint(eager=True)
+    current = read_news(spark, table_dir)
+    max_id = current.agg(F.max("id")).first()[0] or 0
+    changes = batch_changes(current, batch, run_ts, order, max_id).checkpoint(eager=True)
+    changes.write.mode("overwrite").parquet(f"{table_dir}/{DELTA}{number or last + 1:08d}")
+    counts = changes.agg(F.count_if(F.col("id") > max_id).alias("i"), F.count(F.lit(1)).alias("n")).first()
+    if len(_parts(spark, table_dir)[1]) > max_deltas:
+        compact(spark, table_dir)
+    return {"input_rows": batch.count(), "inserted": counts["i"], "updated": counts["n"] - counts["i"]}
+
+
+def compact(spark, table_dir: str) -> None:
+    """Fold snapshot and deltas into a new snapshot, then delete the old parts."""
+    from inkwell.sinks.files import delete_path
+
+    base, deltas, last = _parts(spark, table_dir)
+    if not deltas:
+        return
+    read_news(spark, table_dir).write.mode("overwrite").parquet(f"{table_dir}/{SNAPSHOT}{last:08d}")
+    for old in [*deltas, *([base] if base else [])]:
+        delete_path(spark, old)
+
+
+def append_articles(spark, rows: DataFrame, table_dir: str) -> None:
+    """SNK-3 with ids: every row is inserted, with the next ids in url order."""
+    from inkwell.sinks.files import _fs, append_table
+
+    fs, path, _ = _fs(spark, table_dir)
+    max_id = (spark.read.parquet(table_dir).agg(F.max("id")).first()[0] or 0) if fs.exists(path) else 0
+    keyed = rows.withColumns({"_null_url": F.col("url").isNull(), "_digest": row_digest()})
+    numbered = dense_index(keyed, ["_null_url", "url", "_digest"], "id", start=int(max_id) + 1)
+    append_table(numbered.select("id", "heading", "content", "author", "date", "category", "url", "processed_at",
+                                 "spider_name"), table_dir)

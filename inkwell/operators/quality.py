@@ -82,6 +82,19 @@ def rejects_by_reason(rejected: DataFrame, by: list[str] | None = None) -> DataF
     return rejected.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def load_constraints(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """V-4 + D-10 at load time -> (loadable, rejects).
+
+    ``rows`` are typed load rows that carry the original date text as ``raw_date``.  A NULL heading breaks the table's NOT NULL; a date text
+    that names no day cannot be stored.  Rejects keep the row, the text and ``reason``.
+    """
+    reason = (F.when(F.col("heading").isNull(), F.lit("heading is null"))
+              .when(F.col("date").isNull() & (F.coalesce(py_strip(F.col("raw_date")), F.lit("")) != ""), F.lit("unreadable date")))
+    tagged = rows.withColumn("reason", reason)
+    return (tagged.filter(F.col("reason").isNull()).drop("reason", "raw_date"),
+            tagged.filter(F.col("reason").isNotNull()))
+
+
 def violations(df: DataFrame) -> DataFrame:
     """V-4: rows breaking ``heading NOT NULL`` and urls breaking ``url UNIQUE``.
 

@@ -4,7 +4,10 @@ Semantics (reference): per (source, url) an occurrence is accepted iff no
 *accepted* occurrence lies less than ``ttl`` before it; a suppressed hit does
 not extend the window.  At exactly ``ttl`` the old mark has expired.
 
-Two execution paths for the ordered throttle:
+Null rules, the same on every path: an occurrence without a time is always
+accepted and suppresses nothing; NULL key parts are equal to each other.
+
+Two execution paths for the ordered throttle, which give the same answer:
 
 * keys with a bounded number of occurrences (``max_group``) are folded in
   one ``aggregate`` over their time-sorted occurrences;
@@ -22,12 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.session import checkpoint_root
-
 US = 1_000_000
 DEFAULT_MAX_GROUP = 100_000
-# Broadcast a side only when its row count is known to be at most this.
-BROADCAST_ROWS = 2_000_000
 
 
 def _micros(ts: Column) -> Column:
@@ -43,7 +42,7 @@ def drop_recently_seen(cand: DataFrame, seen: DataFrame, keys: list[str], ts_col
     skewed candidate side.
     """
     s = seen.select(*[F.col(k).alias(f"_s_{k}") for k in keys], _micros(F.col(seen_ts)).alias("_s_t"))
-    cond = [cand[k] == s[f"_s_{k}"] for k in keys]
+    cond = _same(cand, s, keys, "_s_")
     cond.append(_micros(cand[ts_col]) < s["_s_t"] + F.lit(ttl_seconds * US))
     out = cand.join(s, cond, "left_anti")
     return out
@@ -58,8 +57,17 @@ def advance_seen(seen: DataFrame | None, accepted: DataFrame, keys: list[str], t
     return new.groupBy(*keys).agg(F.max(seen_ts).alias(seen_ts))
 
 
+def _same(a: DataFrame, b: DataFrame, keys: list[str], prefix: str = "_k_") -> list[Column]:
+    """Null-safe equality of ``keys`` with the same columns of ``b`` under ``prefix``."""
+    return [a[k].eqNullSafe(b[prefix + k]) for k in keys]
+
+
+def _renamed(df: DataFrame, keys: list[str], prefix: str = "_k_") -> DataFrame:
+    return df.withColumnsRenamed({k: prefix + k for k in keys})
+
+
 def _fold_accepts(rows: Column, ttl_us: int) -> Column:
-    """Ordered fold over one key's sorted occurrences -> accepted ones."""
+    """Ordered fold over one key's sorted (time, tie) pairs -> accepted ones."""
     init = F.struct(F.lit(None).cast("long").alias("last"), F.slice(rows, 1, 0).alias("acc"))
 
     def step(state, x):
@@ -73,83 +81,63 @@ def ttl_throttle(df: DataFrame, keys: list[str], ts_col: str, ttl_seconds: int =
                  tiebreak: str | None = None, max_group: int = DEFAULT_MAX_GROUP) -> DataFrame:
     """W-3: rows of ``df`` accepted by the per-key TTL throttle (columns kept).
 
-    Occurrences of a key are ordered by (``ts_col``, ``tiebreak``).  Keys with
-    at most ``max_group`` occurrences take the fold path, the rest the bucket
-    sweep; both give the same answer.
+    Occurrences of a key are ordered by (``ts_col``, ``tiebreak``); of rows equal in
+    both, one counts.  The paths choose (key, time, tie-break) triples, and the rows
+    are joined back to them once; AQE sizes the joins and splits hot keys.
     """
     cols = df.columns
     # Without a tie-break column, equal times are ordered by a hash of the row
     # so recomputation always accepts the same occurrence.
     tie = F.col(tiebreak) if tiebreak else F.xxhash64(*[F.col(c) for c in cols])
-    payload = [c for c in cols if c not in keys]
-    ev = df.select(*keys, _micros(F.col(ts_col)).alias("_t"), tie.alias("_tie"), *payload)
+    rows = df.withColumns({"_t": _micros(F.col(ts_col)), "_tie": tie})
+    timeless = rows.filter(F.col("_t").isNull())
+    rows = rows.filter(F.col("_t").isNotNull())
+    ev = rows.select(*keys, "_t", "_tie")
     ttl_us = ttl_seconds * US
 
     sizes = ev.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > max_group).select(*keys)
-    n_hot = hot.count()
-
-    if n_hot == 0:
-        cold_ev = ev
-        hot_part = None
+    hot = _renamed(sizes.filter(F.col("_n") > max_group).select(*keys), keys)
+    if hot.isEmpty():
+        cold, swept = ev, None
     else:
-        hot_side = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
-        cold_ev = ev.join(hot_side, keys, "left_anti")
-        hot_part = _bucket_sweep(ev.join(hot_side, keys, "left_semi"), keys, payload, ttl_us, n_hot)
-
-    row = F.struct(F.col("_t"), F.col("_tie"), *[F.col(c) for c in payload])
-    folded = cold_ev.groupBy(*keys).agg(_fold_accepts(F.collect_list(row), ttl_us).alias("_acc"))
-    cold_part = folded.select(*keys, F.explode("_acc").alias("_r")).select(*keys, "_r.*")
-    out = cold_part if hot_part is None else cold_part.unionByName(hot_part)
-    return out.select(*cols)
+        cold = ev.join(hot, _same(ev, hot, keys), "left_anti")
+        swept = _bucket_sweep(ev.join(hot, _same(ev, hot, keys), "left_semi"), keys, ttl_us)
+    folded = cold.groupBy(*keys).agg(_fold_accepts(F.collect_list(F.struct("_t", "_tie")), ttl_us).alias("_acc"))
+    picked = folded.select(*keys, F.explode("_acc").alias("_r")).select(*keys, "_r.*")
+    picked = picked if swept is None else picked.unionByName(swept)
+    picked = picked.withColumnsRenamed({"_t": "_k__t", "_tie": "_k__tie"}).withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    out = rows.join(picked, _same(rows, picked, [*keys, "_t", "_tie"]), "left_semi")
+    return out.dropDuplicates([*keys, "_t", "_tie"]).unionByName(timeless).select(*cols)
 
 
-def _bucket_sweep(ev: DataFrame, keys: list[str], payload: list[str], ttl_us: int, n_hot: int) -> DataFrame:
-    """Exact throttle for keys too large to gather (see module docstring).
+def _bucket_sweep(ev: DataFrame, keys: list[str], ttl_us: int) -> DataFrame:
+    """Exact throttle for keys too large to gather: (key, time, tie) triples, no payload.
 
-    The frontier has at most one row per hot key; it is broadcast only when
-    that count is within ``BROADCAST_ROWS``.
+    The triples are written once, partitioned by bucket, so every step reads only
+    its own bucket and total work stays linear in the number of events.
     """
-    spark = ev.sparkSession
-    checkpoint_root(spark)
-    # Hot events are written once, partitioned by bucket, so every step reads
-    # only its own bucket (partition pruning): total work stays linear in the
-    # number of events however many buckets there are.
     from inkwell.session import scratch_dir
 
+    spark = ev.sparkSession
     path = scratch_dir(spark, "sweep_events")
     # Range partitioning on (bucket, time) keeps tasks balanced even when one
     # bucket is hot, and gives few files per bucket.
     bucketed = ev.withColumn("_b", F.floor(F.col("_t") / F.lit(ttl_us)))
     bucketed.repartitionByRange("_b", "_t").write.mode("overwrite").partitionBy("_b").parquet(path)
-    ev = spark.read.parquet(path)
+    ev = spark.read.schema(bucketed.schema).parquet(path)
     # Bucket ids are bounded by the time span / ttl, not by the data size.
     buckets = [r[0] for r in ev.select("_b").distinct().orderBy("_b").collect()]
-    row = F.struct(F.col("_t"), F.col("_tie"), *[F.col(c) for c in payload])
-    frontier = None
-    picks = []
+    frontier, picks = None, None
     for b in buckets:
-        cur = ev.filter(F.col("_b") == b)
+        cur = ev.filter(F.col("_b") == b).drop("_b")
         if frontier is not None:
-            side = F.broadcast(frontier) if n_hot <= BROADCAST_ROWS else frontier
-            cur = cur.join(side, keys, "left").filter(
-                F.col("_thr").isNull() | (F.col("_t") >= F.col("_thr"))
-            )
-        pick = (
-            cur.groupBy(*keys)
-            .agg(F.min_by(row, F.struct(F.col("_t"), F.col("_tie"))).alias("_r"))
-            .select(*keys, "_r.*")
-            .checkpoint(eager=True)
-        )
-        picks.append(pick)
-        # Only keys accepted in this bucket constrain the next one.
-        frontier = pick.select(*keys, (F.col("_t") + F.lit(ttl_us)).alias("_thr"))
-    if not picks:
-        return ev.limit(0).select(*keys, "_t", "_tie", *payload)
-    out = picks[0]
-    for p in picks[1:]:
-        out = out.unionByName(p)
-    return out
+            # Only the bucket before can hold an accept that still counts.
+            cur = cur.join(frontier, _same(cur, frontier, keys), "left") \
+                .filter(F.col("_thr").isNull() | (F.col("_t") >= F.col("_thr"))).select(*keys, "_t", "_tie")
+        pick = cur.groupBy(*keys).agg(F.min(F.struct("_t", "_tie")).alias("_r")).select(*keys, "_r.*").checkpoint(eager=True)
+        picks = pick if picks is None else picks.unionByName(pick)
+        frontier = _renamed(pick.select(*keys, (F.col("_t") + F.lit(ttl_us)).alias("_thr")), keys)
+    return ev.limit(0).drop("_b") if picks is None else picks
 
 
 def dedupe_requests(df: DataFrame, keys: list[str], position: str) -> DataFrame:

@@ -33,14 +33,23 @@ def query(name: str, sql=None):
     return deco
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, tasks: int | None = None) -> DataFrame:
     """Read one input table.  The session settings the operators rely on (UTC
     session time zone, dynamic partition overwrite) are applied first, so the
-    queries give the same answer in any session they are handed."""
-    from inkwell.session import apply_required_conf, ensure_parallelism
+    queries give the same answer in any session they are handed.
+
+    ``tasks`` deals the rows out to that many tasks before heavy work per row,
+    for inputs stored as fewer splits than there are cores.
+    """
+    from inkwell.session import apply_required_conf
 
     apply_required_conf(spark)
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.repartition(tasks) if tasks else df
+
+
+def cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
 
 
 # Import the query modules so they register themselves.

@@ -48,8 +48,8 @@ def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame |
               materialize: bool = True) -> RunOutputs:
     """Entry A for all sources in one plan (U-2: both sources are one DataFrame).
 
-    With ``materialize`` the parsed entries and the extracted articles, each
-    read by several outputs, are written once as reliable checkpoints (in the
+    With ``materialize`` the parsed entries, the found links, the requests and the
+    extracted articles, each read by several outputs, are written once as reliable checkpoints (in the
     session's shared checkpoint folder) instead of being re-derived per output.
     """
     now = F.lit(run_ts).cast("timestamp")
@@ -71,11 +71,15 @@ def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame |
                                      ["source", "_seen_url"], "_run_ts", ttl_seconds).drop("_seen_url")
     else:
         found = linked
+    if materialize:
+        found = found.checkpoint(eager=True)
     # F-4 (offsite) and F-6 (one request per canonical url, earliest entry wins).
     onsite = found.filter(U.in_domain(U.host(F.col("link")), domains_for(F.col("source"), sources, default)))
     keyed = onsite.withColumn("_canon", F.coalesce(U.canonical_url(F.col("link")), F.col("link"))).withColumn(
         "_order", F.struct("feed_no", "item_pos"))
     requests = S.dedupe_requests(keyed, ["source", "_canon"], "_order").drop("_canon", "_order")
+    if materialize:
+        requests = requests.checkpoint(eager=True)
     # J-1 + extraction; status filter F-5 inside.
     extracted = X.extract_articles(requests, pages, sources, keep=["feed_no", "item_pos"], default=default)
     if materialize:
@@ -113,14 +117,16 @@ def run_counts(entries, found, requests, articles, errors, accepted, rejected) -
 
 
 def etl_flow(spark, landing_dir: str, table_dir: str, archive_dir: str, run_ts: str,
-             layout: str = "array", n_buckets: int = 64) -> int:
-    """Entry B end to end: landing files -> upsert -> archive what was read.
+             layout: str = "array", reject_dir: str | None = None) -> int:
+    """Entry B end to end: landing files -> constraints -> upsert -> archive what was read.
 
     Returns the number of landing rows, as the reference's flow does; an
     empty landing returns 0 and neither writes nor archives (D-9).  The read
     is pinned by a checkpoint so the upsert and the archive manifest see the
     same files, and only those files are moved (a file that lands meanwhile
-    waits for the next run).  A failed upsert raises before anything is
+    waits for the next run).  Rows that break a constraint (V-4) are appended as
+    JSON to ``reject_dir`` (by default ``<table_dir>_rejects``) with the run and a reason and the
+    rest is loaded (D-10).  A failed upsert raises before anything is
     archived, so the next run reloads the same files (at-least-once, and the
     upsert is idempotent).
     """
@@ -138,6 +144,10 @@ def etl_flow(spark, landing_dir: str, table_dir: str, archive_dir: str, run_ts:
     n = landing.count()
     if n == 0:
         return 0
-    M.upsert_into(spark, table_dir, M.to_load_rows(landing), run_ts, n_buckets=n_buckets)
-    archive_files(spark, landing_manifest(landing), archive_dir)
+    rows, rejects = V.load_constraints(M.to_load_rows(landing.withColumn("raw_date", F.col("date"))))
+    run = rejects.withColumn("run_ts", F.lit(run_ts))
+    run.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_ts") \
+        .json(reject_dir or table_dir.rstrip("/") + "_rejects")
+    M.upsert_into(spark, table_dir, rows, run_ts)
+    archive_files(spark, landing_manifest(landing), landing_dir, archive_dir)
     return n

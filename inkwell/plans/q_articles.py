@@ -9,7 +9,7 @@ from inkwell.functions import text as T
 from inkwell.operators import extract as X
 from inkwell.operators import quality as V
 from inkwell.plans import sqlgen as Q
-from inkwell.plans.catalog import query, table
+from inkwell.plans.catalog import cores, query, table
 from inkwell.registry import EXAMPLE
 
 RUN_TS = "2025-06-03 07:15:27.308"
@@ -235,7 +235,7 @@ _SUMMARY_SQL = (f"CASE WHEN d.doc_id % 4 = 0 THEN '<p>' || split_part(d.text, ch
     "CASE WHEN feed_text IS NOT NULL THEN 'feed' WHEN page_text IS NOT NULL THEN 'page' END AS content_from FROM t",
 )
 def content_choice(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = table(spark, sf, "pages", cores(spark))
     docs = table(spark, sf, "documents")
     i = F.col("doc_id")
     body = F.concat(F.lit("<p>"), F.replace(T.xml_escape(F.col("text")), F.lit("\n"), F.lit("</p><p>")), F.lit("</p>"))
@@ -282,7 +282,7 @@ def page_article_counts(spark, sf):
     """
     from inkwell.functions import urls as U
 
-    pages = table(spark, sf, "pages")
+    pages = table(spark, sf, "pages", cores(spark))
     items = pages.select(
         "page_id", "url",
         F.regexp_extract(U.host(F.col("url")), "[.]([a-z0-9-]+)$", 1).alias("source"),

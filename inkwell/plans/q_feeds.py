@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions import text as T
 from inkwell.plans import sqlgen as Q
-from inkwell.plans.catalog import query, table
+from inkwell.plans.catalog import cores, query, table
 from inkwell.plans.pipeline import COUNTERS, crawl_run
 from inkwell.registry import Container, Source
 from inkwell.sources import rss as R
@@ -57,7 +57,7 @@ def _feeds(spark, sf):
 def _fetched_pages(spark, sf):
     """Every page as a fetch result: status 404 for page_id % 17 = 0, and a
     response without a body (a row error, V-2) for page_id % 19 = 0."""
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", cores(spark))
     return p.select(
         F.concat(F.lit(BASE + "/a/"), F.col("page_id").cast("string")).alias("request_url"),
         "url",
@@ -124,7 +124,7 @@ def entry_page_join(spark, sf):
 
     it = _item_rows(spark, sf).filter(U.has_link(F.col("link")))
     e = it.select("doc_id", U.absolutise(F.col("link"), base_url_for(F.col("source"), (), SITE_DEFAULT)).alias("link"))
-    p = table(spark, sf, "pages").select("page_id", "url", F.concat(F.lit(BASE + "/a/"), F.col("page_id").cast("string")).alias("request_url"))
+    p = table(spark, sf, "pages", cores(spark)).select("page_id", "url", F.concat(F.lit(BASE + "/a/"), F.col("page_id").cast("string")).alias("request_url"))
     return e.join(p, e["link"] == p["request_url"]).select("doc_id", "page_id", "link", "url")
 
 

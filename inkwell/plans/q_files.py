@@ -41,19 +41,6 @@ _ITEMS_SQL = (
 _ORDER = "ORDER BY url, spider_name, processed_at, heading, content, author, category"
 
 
-def append_articles(spark, rows, table_dir: str) -> None:
-    """SNK-3 with ids: next ids after the table's current maximum, in url order."""
-    try:
-        current = spark.read.parquet(table_dir)
-        max_id = current.agg(F.max("id")).first()[0] or 0
-    except Exception:  # first load: no table yet
-        max_id = 0
-    numbered = M.dense_index(rows, ["url", "spider_name", "processed_at", "heading", "content", "author", "category"],
-                             "id", start=int(max_id) + 1)
-    FS.append_table(numbered.select("id", "heading", "content", "author", "date", "category", "url", "processed_at",
-                                    "spider_name"), table_dir)
-
-
 # ------------------------------------------------- SNK-3, SRC-3, U-1, F-7
 @query(
     "append_load",
@@ -68,7 +55,7 @@ def append_load(spark, sf):
     table_dir = scratch_dir(spark, "news_append") + "/news"
     for _ in range(2):  # the loader run twice: every row inserted again
         rows = M.to_load_rows(read_landing(spark, land, layout="lines"))
-        append_articles(spark, rows, table_dir)
+        M.append_articles(spark, rows, table_dir)
     t = spark.read.parquet(table_dir)
     return t.select("id", "heading", "content", "author", F.date_format("date", "yyyy-MM-dd").alias("date"), "category",
                     "url", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("processed_at"), "spider_name")

@@ -8,7 +8,7 @@ from inkwell.functions import container as C
 from inkwell.functions import text as T
 from inkwell.functions import urls as U
 from inkwell.plans import sqlgen as Q
-from inkwell.plans.catalog import query, table
+from inkwell.plans.catalog import cores, query, table
 from inkwell.registry import DEFAULT_SOURCES, EXAMPLE, Source, base_url_for
 
 # ---------------------------------------------------------------- P-6, F-8, A-6
@@ -17,7 +17,7 @@ query_sql = f"SELECT page_id, {Q.paragraph_text('html')} AS text FROM pages"
 
 @query("paragraph_text", query_sql)
 def paragraph_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", T.paragraph_text(F.col("html")).alias("text"))
+    return table(spark, sf, "pages", cores(spark)).select("page_id", T.paragraph_text(F.col("html")).alias("text"))
 
 
 # ---------------------------------------------------------------------- P-7
@@ -32,7 +32,7 @@ _fallback_html_sql = f"CASE WHEN page_id % 2 = 0 THEN regexp_replace(html, {Q.li
     f"SELECT page_id, {Q.paragraph_text('html')} AS text FROM p",
 )
 def plain_text_fallback(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = table(spark, sf, "pages", cores(spark))
     html = F.when(F.col("page_id") % 2 == 0, F.regexp_replace("html", _NO_P_RE, "")).otherwise(F.col("html"))
     return pages.select("page_id", T.paragraph_text(html).alias("text"))
 
@@ -48,7 +48,7 @@ def plain_text_fallback(spark, sf):
     f"SELECT page_id, {Q.paragraphs_only_text('inner_html')} AS text FROM c",
 )
 def container_text(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = table(spark, sf, "pages", cores(spark))
     return pages.select("page_id", C.container_text(F.col("html"), EXAMPLE.container).alias("text"))
 
 
@@ -72,7 +72,7 @@ def _derived_links(spark, sf):
         .otherwise(F.col("url"))
     )
     src = F.when(pid % 2 == 0, F.lit("tribune_latest")).otherwise(F.lit("dawn_latest"))
-    return table(spark, sf, "pages").select("page_id", src.alias("source"), link.alias("link"))
+    return table(spark, sf, "pages", cores(spark)).select("page_id", src.alias("source"), link.alias("link"))
 
 
 @query(
@@ -99,7 +99,7 @@ _HOST_SQL = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)',
     "OR host = 'example.net' OR host LIKE '%.example.net'",
 )
 def domain_filter(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", U.host(F.col("url")).alias("host"))
+    pages = table(spark, sf, "pages", cores(spark)).select("page_id", U.host(F.col("url")).alias("host"))
     domains = F.array(*[F.lit(d) for d in SITES.allowed_domains])
     return pages.filter(U.in_domain(F.col("host"), domains))
 
@@ -128,7 +128,7 @@ def canonical_urls(spark, sf):
     ``min`` is combined map-side, so even a url requested a billion times is
     one row per partition before the shuffle.
     """
-    pages = table(spark, sf, "pages").select("page_id", U.canonical_url(F.col("url")).alias("canonical_url"))
+    pages = table(spark, sf, "pages", cores(spark)).select("page_id", U.canonical_url(F.col("url")).alias("canonical_url"))
     return pages.groupBy("canonical_url").agg(
         F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("n_requests")
     )

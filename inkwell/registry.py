@@ -4,15 +4,14 @@ One extraction pipeline serves every source; what differs per source is data:
 allowed domains, the feed address, the base for relative links, and the rule
 that locates the article container in a page (page-text fallback, P-9).
 The registry is a handful of rows of configuration, so it is turned into
-literal expressions at plan time (constant-folded, no join needed) and can
-also be exposed as a tiny DataFrame.
+literal expressions at plan time (constant-folded, no join needed).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -20,12 +19,12 @@ from pyspark.sql import functions as F
 class Container:
     """Rule for the element that holds article paragraphs in a page.
 
-    ``tag`` is the element name; with ``attr`` set, the element must carry that
+    ``tag`` is the element name (None: any element); with ``attr`` set, the element must carry that
     attribute, and its value must contain ``needle`` (a substring test, like
     XPath ``contains(@class, ...)``) or equal it when ``exact`` is true.
     """
 
-    tag: str
+    tag: str | None
     attr: str | None = None
     needle: str | None = None
     exact: bool = False
@@ -56,8 +55,8 @@ TRIBUNE = Source(
     feed_url="https://tribune.com.pk/feed/latest",
     base_url="https://tribune.com.pk",
     # The reference addresses a fixed absolute path below #main-section; the
-    # container rule keeps the element with that id and all <p> inside it.
-    container=Container("section", "id", "main-section", exact=True),
+    # container rule keeps any element with that id and all <p> inside it.
+    container=Container(None, "id", "main-section", exact=True),
 )
 # Pages in the test tables keep the article body in <article>.
 EXAMPLE = Source(
@@ -70,21 +69,6 @@ EXAMPLE = Source(
 DEFAULT_SOURCES = (DAWN, TRIBUNE)
 
 
-def registry_frame(spark: SparkSession, sources=DEFAULT_SOURCES) -> DataFrame:
-    rows = [
-        (s.name, list(s.allowed_domains), s.feed_url, s.base_url, s.ttl_seconds,
-         s.container.tag if s.container else None,
-         s.container.attr if s.container else None,
-         s.container.needle if s.container else None)
-        for s in sources
-    ]
-    return spark.createDataFrame(
-        rows,
-        "source string, allowed_domains array<string>, feed_url string, base_url string, "
-        "ttl_seconds bigint, container_tag string, container_attr string, container_needle string",
-    )
-
-
 def per_source(source_col: Column, sources, pick, default=None) -> Column:
     """CASE source WHEN ... expression built from registry entries.
 

@@ -2,13 +2,17 @@
 
 Scratch data (checkpoints, landing files, table snapshots written by the
 example queries) lives under ``spark.checkpoint.dir``: on a cluster that is a
-shared folder the operator configures, so it is read from the session and only
-filled in with a private temporary folder when it is unset (local runs, tests).
+shared folder the operator configures, so it is read from the session.  Only a
+session in one process (``local[...]``: tests, single-node runs) may leave it unset and
+gets a private folder, deleted at exit; on a cluster an unset folder is an error,
+because executors could not share a local one.
 """
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -58,37 +62,28 @@ def apply_required_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created privately only when unset."""
+    """The shared checkpoint folder (see the module docstring)."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None) or None
         if not root:
-            # Local runs and tests only: a cluster names a shared folder.
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="inkwell-ckpt-")
+            atexit.register(shutil.rmtree, root, ignore_errors=True)
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
     return root
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint root for one job's written tables."""
-    root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/inkwell/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
-
+    """A fresh sub-folder of the checkpoint root for one job's written tables.
 
-def ensure_parallelism(df):
-    """Spread a scan that has fewer splits than the cluster has cores.
-
-    A small input stored as one parquet row group is read by one task, and
-    the CPU-heavy per-row work after it (HTML text, XML) would run on one core.
-    Large inputs already have more splits than cores, so this is a no-op at
-    scale and never adds a shuffle there.
+    It is created through Hadoop's file system, so it may lie in any store.  The
+    caller deletes it when its result has been used (``sinks.files.delete_path``).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    path = f"{checkpoint_root(spark).rstrip('/')}/inkwell/{name}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
+    return path

@@ -79,15 +79,30 @@ def create_news(spark: SparkSession, path: str, append_variant: bool = False) ->
     spark.createDataFrame([], NEWS_APPEND if append_variant else NEWS).write.parquet(path)
 
 
-def archive_files(spark: SparkSession, manifest: DataFrame, dest_dir: str, file_col: str = "source_file") -> int:
+def archive_files(spark: SparkSession, manifest: DataFrame, landing_dir: str, dest_dir: str,
+                  file_col: str = "source_file") -> list[str]:
     """SNK-7: move exactly the files listed in ``manifest`` (the files that were
-    read) into ``dest_dir``; a file that landed after the read stays."""
-    paths = [r[0] for r in manifest.select(file_col).distinct().collect()]  # one row per file
-    moved = 0
-    for path in paths:
-        fs, src, jvm = _fs(spark, path)
-        dst = jvm.org.apache.hadoop.fs.Path(dest_dir.rstrip("/") + "/" + src.getName())
+    read) into ``dest_dir``; a file that landed after the read stays.
+
+    The path below ``landing_dir`` is kept, so partition values stay readable and
+    files of one name in several partitions stay apart.  Returns the relative paths
+    that were moved; a file that cannot be moved raises, because it would be loaded again.
+    """
+    from urllib.parse import unquote
+
+    fs, root, jvm = _fs(spark, landing_dir)
+    base = fs.makeQualified(root).toString().rstrip("/") + "/"
+    moved = []
+    for name in sorted(r[0] for r in manifest.select(file_col).distinct().collect()):  # one row per file
+        # File paths in metadata are URIs; Spark escapes partition values once more.
+        src = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        full = fs.makeQualified(src).toString()
+        if not full.startswith(base):
+            raise ValueError(f"{name} is not below {landing_dir}")
+        rel = full[len(base):]
+        dst = jvm.org.apache.hadoop.fs.Path(dest_dir.rstrip("/") + "/" + rel)
         fs.mkdirs(dst.getParent())
-        if fs.exists(src) and fs.rename(src, dst):
-            moved += 1
+        if fs.exists(dst) or not fs.rename(src, dst):
+            raise OSError(f"cannot move {unquote(full)} to {dst}")
+        moved.append(rel)
     return moved

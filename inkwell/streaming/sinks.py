@@ -33,9 +33,11 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
-def read_current(spark: SparkSession, root: str, empty: Callable[[], DataFrame]) -> DataFrame:
-    vs = versions(spark, root)
-    return spark.read.parquet(f"{root}/v={vs[-1]}") if vs else empty()
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Delete all but the newest ``keep`` versions (a replay needs the one before)."""
+    fs, p = _fs(spark, root)
+    for v in versions(spark, root)[:-keep]:
+        fs.delete(p.suffix(f"/v={v}"), True)
 
 
 def run_available(query_builder: Callable[[], object]) -> None:
@@ -59,6 +61,13 @@ def partitioned_merge_sink(root: str, keys: list[str], part_col: str):
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()  # the stateful aggregate runs once, not once per branch below
+        try:
+            merge(spark, batch)
+        finally:
+            batch.unpersist()
+
+    def merge(spark: SparkSession, batch: DataFrame) -> None:
         touched = [r[0] for r in batch.select(part_col).distinct().collect()]  # bounded by days in a batch
         if not touched:
             return

@@ -7,7 +7,8 @@ against the stored value.  State is evicted by an event-time timeout once the
 watermark passes ``last_accept + ttl`` (the mark has expired, exactly like
 the key-value store's TTL), so state size follows the number of keys seen in
 the last ``ttl``, not the stream's history.  Rows behind the watermark are
-dropped by Spark before the state function (late data).
+dropped by Spark before the state function (late data); use the micro-batch sink
+below where they must be kept.
 """
 
 from __future__ import annotations
@@ -74,7 +75,8 @@ def ttl_throttle_stream(stream: DataFrame, keys: list[str], ts_col: str, ttl_sec
 
 
 def ttl_microbatch_sink(state_root: str, out_root: str, keys: list[str], ts_col: str, ttl_seconds: int = 86400,
-                        tiebreak: str | None = None, max_group: int | None = None, late_seconds: int = 3600):
+                        tiebreak: str | None = None, max_group: int | None = None, late_seconds: int = 3600,
+                        late_root: str | None = None):
     """ST-1 as ``foreachBatch``: the batch throttle plus a seen-state table.
 
     Per micro-batch: candidates still inside the TTL of the stored
@@ -82,30 +84,60 @@ def ttl_microbatch_sink(state_root: str, out_root: str, keys: list[str], ts_col:
     batch throttle (W-3, hot-key safe), accepted rows are written under
     ``out_root/batch_id=<n>`` and the state advances (SNK-6), keeping only marks
     that can still suppress a later row.  Output and state are written per
-    batch id, so a replayed batch rewrites the same files (exactly-once).
-    Rows older than the stored mark of their key are late and dropped; marks
-    are kept until they are ``ttl + late_seconds`` behind the newest row seen.
+    batch id, so a replayed batch rewrites the same files (exactly-once); state
+    versions that no replay can need are deleted.
+
+    A row is late when it is older than the stored mark of its key, or more than
+    ``ttl + late_seconds`` behind the newest row of earlier batches (marks that far
+    back are gone, so it cannot be judged).  Late rows go to ``late_root`` (by
+    default ``<out_root>_late``) per batch id, with a reason.
     """
     from inkwell.operators import seen as S
+    from inkwell.sinks.files import _fs
     from inkwell.streaming import sinks as SK
 
     kw = {} if max_group is None else {"max_group": max_group}
+    late_root = late_root or out_root.rstrip("/") + "_late"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        batch = batch.persist()  # read by the late test, the throttle and the horizon
+        try:
+            step(batch.sparkSession, batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def step(spark, batch: DataFrame, batch_id: int) -> None:
         vs = [v for v in SK.versions(spark, state_root) if v < batch_id]
+        state, horizon = None, None
+        ts = F.col(ts_col).cast("timestamp")
         if vs:
-            state = spark.read.parquet(f"{state_root}/v={vs[-1]}")
+            state = spark.read.parquet(f"{state_root}/v={vs[-1]}/marks")
+            horizon = spark.read.parquet(f"{state_root}/v={vs[-1]}/horizon").first()[0]
+            marks = state.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+            same = [batch[k].eqNullSafe(marks[f"_k_{k}"]) for k in keys]
+            reason = F.when(ts < F.col("last_accept_at"), F.lit("before the last accept of its key"))
+            if horizon is not None:
+                reason = reason.when(ts <= F.lit(horizon) - F.make_dt_interval(secs=F.lit(ttl_seconds + late_seconds)),
+                                     F.lit("behind the kept marks"))
+            tagged = batch.join(marks, same, "left").withColumn("reason", reason).select(*batch.columns, "reason").persist()
+            tagged.filter(F.col("reason").isNotNull()).write.mode("overwrite").parquet(f"{late_root}/batch_id={batch_id}")
+            batch = tagged.filter(F.col("reason").isNull()).drop("reason")
             fresh = S.drop_recently_seen(batch, state, keys, ts_col, ttl_seconds)
         else:
-            state, fresh = None, batch
+            fresh = batch
         accepted = S.ttl_throttle(fresh, keys, ts_col, ttl_seconds, tiebreak, **kw).checkpoint(eager=True)
         accepted.write.mode("overwrite").parquet(f"{out_root}/batch_id={batch_id}")
-        new_state = S.advance_seen(state, accepted, keys, ts_col)
-        horizon = batch.agg(F.max(F.col(ts_col).cast("timestamp"))).first()[0]
-        if horizon is not None:
-            cutoff = F.lit(horizon) - F.make_dt_interval(secs=F.lit(ttl_seconds + late_seconds))
+        new_state = S.advance_seen(state, accepted.filter(ts.isNotNull()), keys, ts_col)
+        newest = batch.agg(F.max(ts)).first()[0]
+        newest = max((x for x in (newest, horizon) if x is not None), default=None)
+        if newest is not None:
+            cutoff = F.lit(newest) - F.make_dt_interval(secs=F.lit(ttl_seconds + late_seconds))
             new_state = new_state.filter(F.col("last_accept_at") > cutoff)
-        new_state.write.mode("overwrite").parquet(f"{state_root}/v={batch_id}")
+        version = f"{state_root}/v={batch_id}"
+        new_state.write.mode("overwrite").parquet(f"{version}/marks")
+        spark.createDataFrame([(newest,)], "horizon timestamp").coalesce(1).write.mode("overwrite").parquet(f"{version}/horizon")
+        fs, path, _ = _fs(spark, f"{version}/_SUCCESS")  # both parts are there: the version counts
+        fs.create(path, True).close()
+        SK.drop_old_versions(spark, state_root)
 
     return run
