@@ -18,6 +18,8 @@ from inkwell.functions.text import ATTRS, bind, clean_paragraphs_text, strip_inv
 from inkwell.registry import Container
 
 _WS = "[ \\t\\r\\n\\f]"
+# Attributes before the one looked for, values with ">" included.
+_EARLIER = f"(?:[^<>=]*+={_WS}*+(?:\"[^\"<]*+\"|'[^'<]*+'|[^ \\t\\r\\n\\f<>\"']*+))*?"
 
 
 def start_tag_re(rule: Container) -> str:
@@ -31,7 +33,7 @@ def start_tag_re(rule: Container) -> str:
     else:
         value = (f"(?:\"[^\"<]*?{needle}[^\"<]*\"|'[^'<]*?{needle}[^'<]*'"
                  f"|(?![\"'])[^ \\t\\r\\n\\f<>]*?{needle}[^ \\t\\r\\n\\f<>]*)")
-    return f"(?is)<({name}){_WS}(?:[^<>]*?{_WS})?{attr}{_WS}*={_WS}*{value}{ATTRS}>"
+    return f"(?is)<({name})(?={_WS}){_EARLIER}[^<>=]*?(?<={_WS}){attr}{_WS}*={_WS}*{value}{ATTRS}>"
 
 
 def container_regions(clean: Column, rule: Container) -> Column:

@@ -55,3 +55,4 @@ def cores(spark: SparkSession) -> int:
 # Import the query modules so they register themselves.
 from inkwell.plans import q_articles, q_feeds, q_files, q_pages, q_state  # noqa: E402,F401
 from inkwell.plans import q_stream  # noqa: E402,F401  (uses oracles registered above)
+from inkwell.plans import q_flows  # noqa: E402,F401

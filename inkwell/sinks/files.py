@@ -58,6 +58,12 @@ def export_articles(df: DataFrame, out_dir: str, run_date: str, run_sources: lis
      .partitionBy("spider_name", "export_date").json(out_dir))
 
 
+def write_arrays(files: DataFrame, out_dir: str, col: str = "items") -> None:
+    """Array landing files: one file (``*.txt``) per row, holding its JSON items as one array."""
+    body = F.concat(F.lit("["), F.array_join(col, ", "), F.lit("]"))
+    files.select(body.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(out_dir)
+
+
 def write_stats(stats: DataFrame, out_dir: str) -> None:
     """SNK-5: one record per (source, date); rewriting a day replaces it."""
     (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -8,7 +8,7 @@ Two layouts are read:
 * ``lines`` — JSON Lines, what ``inkwell.sinks.files.export_articles`` writes
   (splittable, written in parallel by every task).
 
-Only ``*.json`` files are read (F-7).  A broken file fails the load
+Only ``*.json`` files are read (F-7) unless another ``glob`` is given.  A broken file fails the load
 (``FAILFAST``), as it does in the reference; missing keys become NULL and
 unknown keys are ignored because the schema is explicit.  Every row carries
 the file it came from, so cleanup can touch exactly the files that were read.
@@ -24,8 +24,8 @@ from inkwell.schemas import ARTICLE
 
 
 def read_landing(spark: SparkSession, path: str, layout: str = "array", schema: T.StructType = ARTICLE,
-                 recursive: bool = False) -> DataFrame:
-    reader = spark.read.schema(schema).option("pathGlobFilter", "*.json").option("mode", "FAILFAST")
+                 recursive: bool = False, glob: str = "*.json") -> DataFrame:
+    reader = spark.read.schema(schema).option("pathGlobFilter", glob).option("mode", "FAILFAST")
     if layout == "array":
         reader = reader.option("multiLine", "true")
     elif layout != "lines":

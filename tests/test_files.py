@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,10 +63,25 @@ def test_archive_only_files_read(spark, tmp_dir):
     manifest = landing_manifest(df)
     manifest.collect()
     write(land, "late.json", [{"heading": "h2", "url": "u2"}])  # lands after the read
-    assert FS.archive_files(spark, manifest, arch) == 1
+    assert FS.archive_files(spark, manifest, land, arch) == ["a.json"]
     assert sorted(os.listdir(land)) == ["late.json"] and os.listdir(arch) == ["a.json"]
 
 
+def test_archive_keeps_paths_and_fails_loudly(spark, tmp_dir):
+    """One task writes one file name into several folders; they stay apart."""
+    land, arch = os.path.join(tmp_dir, "la nd"), os.path.join(tmp_dir, "arch")
+    items = spark.createDataFrame([("h", "u1", "a b"), ("h", "u2", "c:d"), ("h", "u3", None)], "heading string, url string, spider_name string")
+    FS.export_articles(items.coalesce(1), land, "2025-06-03")
+    manifest = landing_manifest(read_landing(spark, land, "lines"))
+    moved = FS.archive_files(spark, manifest, land, arch)
+    assert len(moved) == 3 and len({os.path.basename(m) for m in moved}) == 1
+    back = {(r["url"], r["spider_name"]) for r in read_landing(spark, arch, "lines").collect()}
+    assert back == {("u1", "a b"), ("u2", "c:d"), ("u3", None)}
+    shutil.copytree(arch, land, dirs_exist_ok=True)  # the same files land again: the archive has them
+    with pytest.raises(OSError):
+        FS.archive_files(spark, manifest, land, arch)
+
+
 def test_append_and_create(spark, tmp_dir):
     path = os.path.join(tmp_dir, "news")
     FS.create_news(spark, path)
@@ -97,6 +113,7 @@ def test_log_lines(spark, tmp_dir):
 
 
 def test_etl_flow_entry_b(spark, tmp_dir):
+    from inkwell.operators.merge import read_news
     from inkwell.plans.pipeline import etl_flow
 
     land, table, arch = (os.path.join(tmp_dir, n) for n in ("land", "news", "arch"))
@@ -112,7 +129,7 @@ def test_etl_flow_entry_b(spark, tmp_dir):
         {"heading": "h1b", "content": "c1b", "url": "u1", "processed_at": "2025-06-03T11:30:00",
          "spider_name": "tribune_latest"}])
     assert etl_flow(spark, land, table, arch, "2025-06-03 12:00:00") == 3  # input rows, as the reference returns
-    rows = {r["url"]: r for r in spark.read.parquet(table).collect()}
+    rows = {r["url"]: r for r in read_news(spark, table).collect()}
     assert set(rows) == {"u1", "u2"} and rows["u1"]["heading"] == "h1b"  # case 27: one row per url
     assert os.listdir(land) == [] and sorted(os.listdir(arch)) == ["dawn_latest_2025-06-03.json",
                                                                    "tribune_latest_2025-06-03.json"]

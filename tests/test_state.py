@@ -55,6 +55,19 @@ def test_ttl_random_against_brute_force_with_hot_key(spark):
     assert fold == expect and mixed == expect
 
 
+def test_ttl_null_times_and_keys_agree_on_both_paths(spark):
+    """A row without a time is accepted and suppresses nothing; NULL keys are one key."""
+    h = dt.timedelta(hours=1)
+    rows = [(1, ("s", None), T0), (2, ("s", None), None), (3, ("s", None), T0 + h), (4, ("s", None), T0 + 24 * h),
+            (5, (None, None), T0 + h), (6, (None, None), T0 + 2 * h), (7, (None, None), None), (8, (None, None), None)]
+    for max_group in (S.DEFAULT_MAX_GROUP, 3, 0):
+        got = {r[0] for r in S.ttl_throttle(events_df(spark, rows), ["source", "url"], "ts", 86400, "event_id", max_group).collect()}
+        assert got == {1, 2, 4, 5, 7, 8}
+    same = events_df(spark, [(1, ("s", "a"), T0)] * 3)
+    for max_group in (S.DEFAULT_MAX_GROUP, 0):
+        assert S.ttl_throttle(same, ["source", "url"], "ts", 86400, None, max_group).count() == 1
+
+
 def test_seen_anti_join_boundary(spark):
     seen = spark.createDataFrame([("s", "a", T0)], "source string, url string, last_accept_at timestamp")
     cand = spark.createDataFrame(
@@ -94,10 +107,13 @@ def test_upsert_semantics(spark):
     ids = sorted(r["id"] for r in t2.collect())
     assert ids == [1, 2, 3, 4] and rows["u3"]["id"] == 3 and rows[None]["id"] == 4
     assert t2.filter(F.col("url").isNotNull()).groupBy("url").count().filter("count > 1").count() == 0
-    # case 29: applying the same batch again changes nothing but updated_at
-    t3 = M.upsert(t2, b2, "2025-06-03 12:00:00").filter(F.col("url").isNotNull())
-    strip = lambda df: sorted(tuple(r) for r in df.drop("updated_at").collect())
-    assert strip(t3) == strip(t2.filter(F.col("url").isNotNull()))
+    # case 29: applying the same batch again changes nothing but updated_at; NULL-url rows are added, stored ones kept
+    t3 = M.upsert(t2, b2, "2025-06-03 12:00:00").checkpoint()
+    strip = lambda df: sorted(tuple(r) for r in df.filter("url is not null").drop("updated_at").collect())
+    assert strip(t3) == strip(t2)
+    stored = [r for r in t3.filter("url is null").orderBy("id").collect()]
+    assert [(r["id"], r["heading"]) for r in stored] == [(4, "hn"), (5, "hn")]
+    assert stored[0] == rows[None]  # the whole row, unchanged
 
 
 def test_dense_index_distributed(spark):
@@ -120,27 +136,54 @@ def test_run_stats_and_last_run(spark):
     assert len(last) == 1 and last[0]["run_id"] == "r2" and last[0]["articles_scraped"] == 3
 
 
-def test_status_rollup(spark):
+def test_status_counts(spark):
     df = spark.createDataFrame([("r", 200, 10, T0), ("r", 200, 5, T0 + dt.timedelta(seconds=142)),
-                                ("r", 403, 1, T0), ("r", 404, 1, T0)],
+                                ("r", 429, 1, T0), ("r", 503, 1, T0), ("r", None, 0, T0)],
                                "run string, status int, bytes long, ts timestamp")
-    r = ST.status_rollup(df, ["run"], statuses=(200, 403, 404)).first()
-    assert (r["requests"], r["n_200"], r["n_403"], r["n_404"], r["n_ignored"], r["bytes_in"], r["elapsed_ms"]) == (
-        4, 2, 1, 1, 2, 17, 142000)
+    r = ST.status_rollup(df, ["run"]).first()
+    assert (r["requests"], r["n_ignored"], r["bytes_in"], r["elapsed_ms"]) == (5, 2, 17, 142000)
+    assert {(r["status"], r["n"]) for r in ST.status_counts(df, ["run"]).collect()} == {(200, 2), (429, 1), (503, 1), (None, 1)}
 
 
-def test_upsert_into_rewrites_only_touched_buckets(spark, tmp_dir):
+def load(spark, n, version="h", day=1):
+    return batch(spark, [(f"{version}{i}", "c" * 50, "a", f"2025-06-0{day}", "k", f"u{i}", f"2025-06-0{day}T01:00:00", "s") for i in n])
+
+
+def size(path):
+    import os
+
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+
+
+def test_upsert_into_writes_the_batch_only(spark, tmp_dir):
+    import os
+
+    path = os.path.join(tmp_dir, "news")
+    first = M.upsert_into(spark, path, load(spark, range(2000)), "2025-06-01 12:00:00")
+    assert first == {"input_rows": 2000, "inserted": 2000, "updated": 0}
+    before = size(path)
+    null_row = batch(spark, [("no url", "c", "a", "2025-06-02", "k", None, "2025-06-02T01:00:00", "s")])
+    small = load(spark, [3, 5000], "new", 2).unionByName(null_row)
+    assert M.upsert_into(spark, path, small, "2025-06-02 12:00:00") == {"input_rows": 3, "inserted": 2, "updated": 1}
+    assert size(path) - before < 0.3 * before
+    kept = M.read_news(spark, path).filter("url is null").collect()
+    M.upsert_into(spark, path, null_row, "2025-06-03 12:00:00")
+    t = {r["id"]: r for r in M.read_news(spark, path).collect()}
+    assert sorted(t) == list(range(1, 2004)) and t[kept[0]["id"]] == kept[0]
+    assert {r["url"]: r["heading"] for r in t.values()}["u3"] == "new3"
+
+
+def test_compaction_and_replay(spark, tmp_dir):
     import os
 
     path = os.path.join(tmp_dir, "news")
-    rows = [(f"h{i}", "c", "a", "2025-06-01", "k", f"u{i}", "2025-06-01T01:00:00", "s") for i in range(40)]
-    M.upsert_into(spark, path, batch(spark, rows), "2025-06-01 12:00:00", n_buckets=8)
-    before = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("url_bucket=")}
-    upd = batch(spark, [("new", "c2", None, "2025-06-02", "k", "u3", "2025-06-02T01:00:00", "s")])
-    M.upsert_into(spark, path, upd, "2025-06-02 12:00:00", n_buckets=8)
-    after = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("url_bucket=")}
-    changed = [d for d in before if before[d] != after[d]]
-    assert len(changed) == 1
-    t = {r["url"]: r for r in spark.read.parquet(path).collect()}
-    assert len(t) == 40 and t["u3"]["heading"] == "new" and t["u3"]["author"] is None
-    assert sorted(r["id"] for r in t.values()) == list(range(1, 41))
+    for k in range(5):
+        M.upsert_into(spark, path, load(spark, range(k, k + 4), f"v{k}-", 1), f"2025-06-0{k + 1} 12:00:00", max_deltas=2, number=k + 1)
+    want = sorted(map(tuple, M.read_news(spark, path).collect()))
+    assert len(want) == 8 and len(M._parts(spark, path)[1]) <= 2
+    M.upsert_into(spark, path, load(spark, range(9)), "2025-06-09 12:00:00", number=4)  # a replayed batch
+    assert sorted(map(tuple, M.read_news(spark, path).collect())) == want
+    M.compact(spark, path)
+    assert sorted(map(tuple, M.read_news(spark, path).collect())) == want and M._parts(spark, path)[1] == []
+    os.makedirs(f"{path}/{M.DELTA}00000099")  # a write that crashed before its commit
+    assert sorted(map(tuple, M.read_news(spark, path).collect())) == want

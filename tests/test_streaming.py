@@ -48,3 +48,20 @@ def test_microbatch_sink_hot_key_equals_batch(spark, tmp_dir):
         q.awaitTermination()
     streamed = {r["event_id"] for r in spark.read.parquet(out).collect()}
     assert streamed == batch
+    assert len([d for d in os.listdir(state) if d.startswith("v=")]) <= 2
+
+
+def test_late_rows_are_kept_with_a_reason(spark, tmp_dir):
+    from inkwell.streaming.ttl import ttl_microbatch_sink
+
+    h = dt.timedelta(hours=1)
+    state, out = (os.path.join(tmp_dir, n) for n in ("state", "out"))
+    sink = ttl_microbatch_sink(state, out, ["k"], "ts", 86400, tiebreak="event_id")
+    schema = "event_id long, k string, ts timestamp_ntz"
+    sink(spark.createDataFrame([(1, "a", T0), (2, None, T0 + 100 * h), (3, "b", T0 + 100 * h)], schema), 0)
+    second = [(4, "a", T0 + 10 * h), (5, None, T0 + 90 * h), (6, "b", T0 + 130 * h), (7, "c", T0 + 99 * h)]
+    for _ in range(2):  # a replayed batch writes the same
+        sink(spark.createDataFrame(second, schema), 1)
+    late = {(r["event_id"], r["reason"]) for r in spark.read.parquet(out + "_late").collect()}
+    assert late == {(4, "behind the kept marks"), (5, "before the last accept of its key")}
+    assert {r["event_id"] for r in spark.read.parquet(out).collect()} == {1, 2, 3, 6, 7}
