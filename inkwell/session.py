@@ -80,10 +80,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for one job's written tables.
 
-    It is created through Hadoop's file system, so it may lie in any store.  The
-    caller deletes it when its result has been used (``sinks.files.delete_path``).
+    It is created through Hadoop's file system, so it may lie in any store.  It
+    stays until ``drop_scratch``, because results are read from it lazily.
     """
     path = f"{checkpoint_root(spark).rstrip('/')}/inkwell/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
     return path
+
+
+_SCRATCH: list[str] = []
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process has made; call it once their results are used."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n

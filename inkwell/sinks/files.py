@@ -50,6 +50,10 @@ def export_articles(df: DataFrame, out_dir: str, run_date: str, run_sources: lis
         return
     out = df.withColumn("export_date", F.lit(run_date))
     if run_sources:
+        from inkwell.session import checkpoint_root
+
+        checkpoint_root(spark)
+        out = out.checkpoint(eager=True)  # read for its sources and for the write
         present = {r[0] for r in out.select("spider_name").distinct().collect()}  # bounded by #sources
         for s in run_sources:
             if s not in present:

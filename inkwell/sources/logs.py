@@ -16,15 +16,20 @@ ASCTIME_FORMAT = "yyyy-MM-dd HH:mm:ss,SSS"
 
 
 def parse_log_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """(ts TIMESTAMP, source, level, message, line) per input line."""
-    v = F.col(col)
-    part = lambda i: F.nullif(F.regexp_extract(v, LOG_LINE_RE, i), F.lit(""))
-    return lines.select(
-        F.try_to_timestamp(part(1), F.lit(ASCTIME_FORMAT)).alias("ts"),
-        part(2).alias("source"),
-        part(3).alias("level"),
-        part(4).alias("message"),
-        v.alias("line"),
+    """(ts TIMESTAMP, source, level, message, line) per input line.
+
+    One pass of the pattern marks the four parts; a line that does not match stays
+    a single part.
+    """
+    marked = lines.select(F.col(col).alias("line"), F.split(
+        F.regexp_replace(F.regexp_replace(col, "\x00", ""), LOG_LINE_RE, "$1\x00$2\x00$3\x00$4"), "\x00").alias("_p"))
+    part = lambda i: F.when(F.size("_p") == 4, F.nullif(F.get(F.col("_p"), i), F.lit("")))
+    return marked.select(
+        F.try_to_timestamp(part(0), F.lit(ASCTIME_FORMAT)).alias("ts"),
+        part(1).alias("source"),
+        part(2).alias("level"),
+        part(3).alias("message"),
+        "line",
     )
 
 
