@@ -1,7 +1,7 @@
 """External induced sorting of suffixes with common-prefix values.
 
-``sort_suffixes`` sorts all suffixes of a set of short sequences (each ended by its
-own terminator) and gives the length of the common prefix of neighbours.  It is
+``sort_suffixes`` sorts all suffixes of a set of sequences (each ended by its own
+terminator) and gives the length of the common prefix of neighbours.  It is
 induced sorting in external form: the leftmost S-type (LMS) suffixes are sorted by
 naming their substrings and recursing on the names, then two scans induce the L-type
 and the S-type suffixes.  The scans are driven by a priority queue over the first
@@ -11,13 +11,16 @@ symbol, spilled to disk beyond a memory limit and read back in blocks.  The comm
 prefix of two induced suffixes is one more than the least common prefix between the
 suffixes that induced them.  Work on a block is vectorised.
 
-Memory holds the queue's limit, a block, and a few per-symbol values; symbols, types
-and results are memory-mapped files once they exceed the limit.  The names of a level
-are sorted in memory if they fit the limit and by the next recursion otherwise.
+Beyond the memory limit symbols, types, positions, names and results are files: the
+names come from an external merge sort of the LMS substrings, the recursion writes
+its order in blocks, and queues spill.  Memory then holds the queues' limits, some
+blocks and a few values per symbol.  A level whose LMS suffixes fit the limit sorts
+them in memory by prefix doubling, which is much faster; shards are best sized for that.
 """
 
 from __future__ import annotations
 
+import heapq
 import os
 import tempfile
 
@@ -42,6 +45,19 @@ class Space:
             return np.zeros(n, dtype)
         return np.memmap(self.path(), dtype=dtype, mode="w+", shape=(n,))
 
+    def appended(self, parts, dtype) -> np.ndarray:
+        """All parts as one array, collected in a file."""
+        path, n = self.path(), 0
+        with open(path, "wb") as f:
+            for p in parts:
+                p.astype(dtype).tofile(f)
+                n += len(p)
+        if n * np.dtype(dtype).itemsize <= self.limit // 8:
+            out = np.fromfile(path, dtype)
+            os.remove(path)
+            return out
+        return np.memmap(path, dtype=dtype, mode="r+", shape=(n,))
+
     def close(self) -> None:
         self.dir.cleanup()
 
@@ -76,19 +92,27 @@ class BucketQueue:
     def __contains__(self, symbol: int) -> bool:
         return symbol in self.runs or symbol in self.disk
 
-    def blocks(self, symbol: int):
-        """Remove and yield the entries of a symbol, in order, in blocks."""
-        runs = self.runs.pop(symbol, [])  # at once: a push to another symbol may spill meanwhile
-        self.held -= sum(r.nbytes for r in runs)
-        for at, n in self.disk.pop(symbol, []):
-            for k in range(0, n, BLOCK):
-                self.file.seek(at + k * self._ENTRY.itemsize)
-                e = np.fromfile(self.file, self._ENTRY, min(BLOCK, n - k))
-                yield e["pos"], e["lcp"]
-        if runs:
-            e = np.concatenate(runs)
-            for k in range(0, len(e), BLOCK):
-                yield e["pos"][k:k + BLOCK], e["lcp"][k:k + BLOCK]
+    def blocks(self, symbol: int, keep: bool = False, backwards: bool = False):
+        """Yield the entries of a symbol in blocks, in order or ``backwards``; removes them unless ``keep``."""
+        take = (lambda d: d.get(symbol, [])) if keep else (lambda d: d.pop(symbol, []))
+        runs, disk = list(take(self.runs)), list(take(self.disk))  # at once: a push to another symbol may spill meanwhile
+        if not keep:
+            self.held -= sum(r.nbytes for r in runs)
+        pieces = [(at + k * self._ENTRY.itemsize, min(BLOCK, n - k)) for at, n in disk for k in range(0, n, BLOCK)]
+        memory = np.concatenate(runs) if runs else np.empty(0, self._ENTRY)
+        pieces += [memory[k:k + BLOCK] for k in range(0, len(memory), BLOCK)]
+        for piece in reversed(pieces) if backwards else pieces:
+            if isinstance(piece, tuple):
+                self.file.seek(piece[0])
+                piece = np.fromfile(self.file, self._ENTRY, piece[1])
+            yield piece["pos"], piece["lcp"]
+
+    def turned(self, symbol: int, edge: int, keep: bool = False):
+        """The entries of a symbol from last to first, with the common prefix with the entry
+        yielded before; ``edge`` is that of the first one yielded."""
+        for p, x in self.blocks(symbol, keep, backwards=True):
+            yield p[::-1], np.r_[np.int32(edge), x[:0:-1]].astype(np.int32)
+            edge = x[0]
 
 
 class _Scan:
@@ -241,45 +265,121 @@ def _sort_in_memory(rank: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sort_lms(codes, kind, lms: np.ndarray, space: Space) -> tuple[np.ndarray, np.ndarray]:
-    """LMS positions in suffix order, with the common prefix with the one before."""
-    is_end = np.asarray(codes[lms] == 0)
+def _names_in_memory(codes, lms, is_end: np.ndarray) -> np.ndarray:
+    """Names (from 1) of the LMS substrings in their order, 0 for terminators."""
     ends = np.r_[lms[1:], lms[-1]]
-    ends[is_end] = lms[is_end]
-    number = np.cumsum(is_end) - 1
-    rank = np.empty(len(lms), np.int64)
-    rank[is_end] = number[is_end]
     text = np.flatnonzero(~is_end)
-    rank[text] = int(is_end.sum()) + _name_substrings(codes, lms[text], ends[text])
-    n_ends = int(is_end.sum())
+    name = np.zeros(len(lms), np.int64)
+    name[text] = _name_substrings(codes, lms[text], ends[text]) + 1
+    return name
+
+
+def _names_by_merging(codes, lms, space: Space) -> np.ndarray:
+    """The same names by an external merge sort of the substrings."""
+
+    def run(path):
+        with open(path, "rb") as f:
+            while head := f.read(12):
+                yield f.read(int.from_bytes(head[:4], "big")), int.from_bytes(head[4:], "big")
+
+    paths, step = [], max(16, min(BLOCK, space.limit // 256))
+    for k in range(0, len(lms), step):
+        part = np.asarray(lms[k:k + step + 1]).tolist()
+        keys = []
+        for i in range(min(step, len(lms) - k)):
+            if codes[part[i]] == 0:
+                continue
+            # The end mark is larger than every symbol: a proper prefix is the larger substring.
+            symbols = np.asarray(codes[part[i]:part[i + 1] + 1]).astype(">u8").tobytes() + b"\xff" * 8
+            keys.append((symbols, k + i))
+        keys.sort()
+        paths.append(space.path())
+        with open(paths[-1], "wb") as f:
+            for symbols, i in keys:
+                f.write(len(symbols).to_bytes(4, "big") + i.to_bytes(8, "big") + symbols)
+    name, last, number = space.array(len(lms), np.int64), None, 0
+    for symbols, i in heapq.merge(*map(run, paths)):
+        if symbols != last:
+            last, number = symbols, number + 1
+        name[i] = number
+    for path in paths:
+        os.remove(path)
+    return name
+
+
+def _sort_lms(codes, lms: np.ndarray, space: Space) -> tuple[np.ndarray, np.ndarray]:
+    """LMS positions in suffix order, with the common prefix with the one before.
+
+    Terminators come first, in order of position, and share nothing with others.
+    """
     if len(lms) * 8 * 6 <= space.limit:
+        is_end = np.asarray(codes[lms]) == 0
+        name = _names_in_memory(codes, lms, is_end)
+        n_ends = int(is_end.sum())
+        rank = np.where(is_end, np.cumsum(is_end) - 1, n_ends - 1 + name)
         order = _sort_in_memory(rank)
         prefix = np.zeros(len(order), np.int32)
-        prefix[1:] = _symbol_lcp(np.where(is_end, 0, rank), order[:-1], order[1:])
+        prefix[1:] = _symbol_lcp(name, order[:-1], order[1:])
+        ordered = [(order, prefix)]
     else:
-        # Names from 1, terminators 0: the same problem, about a third as long.  Sequences
-        # without a name are left out; terminators come first, in order of position.
-        _, name = np.unique(rank[text], return_inverse=True)
-        names = np.zeros(len(lms), np.int64)
-        names[text] = name + 1
-        kept = np.flatnonzero(~is_end | np.r_[False, ~is_end[:-1]])
-        order, prefix = [np.flatnonzero(is_end)], [np.zeros(n_ends, np.int32)]
-        if len(text):
-            reduced = space.array(len(kept), np.int64)
-            reduced[:] = names[kept]
-            for p, x in sort_suffixes(reduced, space):
-                real = np.asarray(reduced[p] != 0)
-                order.append(kept[p[real]])
-                prefix.append(x[real])
-        order, prefix = np.concatenate(order), np.concatenate(prefix).astype(np.int32)
-    # ``prefix`` equal names cover this many symbols; the differing substrings are compared directly.
-    pos = lms[order]
-    lcp = np.zeros(len(order), np.int32)
-    if len(order) > 1:
-        a, b, eq = order[:-1], order[1:], prefix[1:].astype(np.int64)
-        covered = lms[a + eq] - lms[a]
-        lcp[1:] = covered + _symbol_lcp(codes, lms[a + eq], lms[b + eq])
-    return pos, lcp
+        name = _names_by_merging(codes, lms, space)
+        ordered = _recurse(name, space)
+    before = None
+
+    def converted():
+        # ``prefix`` equal names cover so many symbols; the differing substrings are compared directly.
+        nonlocal before
+        for order, prefix in ordered:
+            for k in range(0, len(order), BLOCK):
+                b, eq = order[k:k + BLOCK], prefix[k:k + BLOCK].astype(np.int64)
+                a = np.r_[b[:1] if before is None else before, b[:-1]]
+                eq = np.where(name[b] == 0, 0, eq)
+                lcp = (lms[a + eq] - lms[a] + _symbol_lcp(codes, lms[a + eq], lms[b + eq])).astype(np.int32)
+                if before is None:
+                    lcp[0] = 0
+                before = b[-1:]
+                yield np.rec.fromarrays([lms[b], lcp], dtype=BucketQueue._ENTRY)
+
+    out = space.appended(converted(), BucketQueue._ENTRY)
+    return out["pos"], out["lcp"]
+
+
+def _recurse(name: np.ndarray, space: Space):
+    """Order of the LMS suffixes by sorting the suffixes of their names, in blocks.
+
+    Sequences without a name are left out: their terminators come first anyway.
+    """
+    ends = (np.flatnonzero(np.asarray(name[k:k + BLOCK]) == 0) + k for k in range(0, len(name), BLOCK))
+    for e in ends:
+        yield e, np.zeros(len(e), np.int32)
+
+    def kept_blocks():
+        for k in range(0, len(name), BLOCK):
+            block = np.asarray(name[max(0, k - 1):k + BLOCK])
+            if k == 0:
+                block = np.r_[0, block]
+            yield np.flatnonzero((block[1:] != 0) | (block[:-1] != 0)) + k
+
+    kept = space.appended(kept_blocks(), np.int64)
+    if not len(kept):
+        return
+    reduced = space.appended((np.asarray(name[kept[k:k + BLOCK]]) for k in range(0, len(kept), BLOCK)), np.int64)
+    for p, x in sort_suffixes(reduced, space):
+        real = np.asarray(reduced[p]) != 0
+        if real.any():
+            yield np.asarray(kept[p[real]]), x[real]
+
+
+def _seed_ranges(codes, pos: np.ndarray) -> dict[int, tuple[int, int]]:
+    """Symbol -> range of the sorted LMS suffixes that begin with it."""
+    out: dict[int, tuple[int, int]] = {}
+    for k in range(0, len(pos), BLOCK):
+        first = np.asarray(codes[pos[k:k + BLOCK]])
+        cut = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
+        for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(first)]):
+            c = int(first[a])
+            out[c] = (out[c][0] if c in out else k + a, k + b)
+    return out
 
 
 def sort_suffixes(codes: np.ndarray, space: Space):
@@ -290,114 +390,84 @@ def sort_suffixes(codes: np.ndarray, space: Space):
     """
     n = len(codes)
     kind = _types(codes, space)
-    found = []
-    for lo in range(0, n, BLOCK):
-        k = kind[max(0, lo - 1):min(n, lo + BLOCK)]
-        found.append(np.flatnonzero((k[1:] == 1) & (k[:-1] == 0)) + max(0, lo - 1) + 1)
-    lms = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
-    pos, lcp = _sort_lms(codes, kind, lms, space)
-    first = np.asarray(codes[pos])
-    cut = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
-    seeds = {int(first[a]): (a, b) for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(pos)])}
-
-    # Upward scan: L-type suffixes.
-    queue, started, left = BucketQueue(space), set(), {}
-    store = BucketQueue(space)  # L-type runs, kept for the downward scan
-    symbols = _distinct(codes)
+
+    def lms_blocks():
+        for lo in range(0, n, BLOCK):
+            k = kind[max(0, lo - 1):min(n, lo + BLOCK)]
+            if lo == 0:
+                k = np.r_[np.uint8(1), k]  # position 0 has nothing before it
+            yield np.flatnonzero((k[1:] == 1) & (k[:-1] == 0)) + lo
+
+    pos, lcp = _sort_lms(codes, space.appended(lms_blocks(), np.int64), space)
+    seeds, symbols = _seed_ranges(codes, pos), _distinct(codes)
+
+    def scan_bucket(c: int, queue: BucketQueue, scan: _Scan, kept: BucketQueue, wanted) -> int:
+        """Take bucket ``c`` from the queue, with the entries it induces in itself (runs of c: the
+        round number is the number of leading c).  Returns the number of rounds."""
+        if c not in queue:
+            return 0
+        own, rounds = BucketQueue(space), 1
+        source = queue.blocks(c)
+        while True:
+            for k, (p, x) in enumerate(source):
+                if k == 0 and rounds > 1:
+                    x = x.copy()
+                    x[0] = rounds - 1
+                kept.push(c, p, x)
+                got = scan.feed(p, x, *wanted(p), c)
+                if got:
+                    own.push(rounds + 1, *got)
+            if rounds + 1 not in own:
+                return rounds
+            rounds += 1
+            source = own.blocks(rounds)
+
+    # Upward scan: L-type suffixes; they are kept for the downward scan.
+    queue, started, left, store = BucketQueue(space), set(), {}, BucketQueue(space)
+
+    def to_l(p):
+        return np.asarray(codes[p - 1]), (p > 0) & (kind[p - 1] == 0)
+
     for c in symbols:
         scan = _Scan(queue, started)
-        rounds, last = 0, None
-
-        def feed(p, x):
-            return scan.feed(p, x, np.asarray(codes[p - 1]), (p > 0) & (kind[p - 1] == 0), c)
-
-        if c in queue:
-            rounds = 1
-            waiting = []
-            for p, x in queue.blocks(c):
-                store.push(c, p, x)
-                last = p[-1]
-                got = feed(p, x)
-                if got:
-                    waiting.append(got)
-            while waiting:  # runs of c: the round number is the number of leading c
-                rounds, todo, waiting = rounds + 1, waiting, []
-                for k, (p, x) in enumerate(todo):
-                    if k == 0:
-                        x[0] = rounds - 1
-                    store.push(c, p, x)
-                    last = p[-1]
-                    got = feed(p, x)
-                    if got:
-                        waiting.append(got)
-        left[c] = rounds
-        if c in seeds:
-            a, b = seeds[c]
-            for k in range(a, b, BLOCK):
-                p, x = pos[k:min(b, k + BLOCK)], lcp[k:min(b, k + BLOCK)].copy()
-                if k == a:
-                    x[0] = min(rounds, _run_length(codes, int(p[0]))) if rounds else 0
-                feed(p, x)
-
-    # Downward scan: S-type suffixes, then the result of each bucket.
-    queue, started, done = BucketQueue(space), set(), BucketQueue(space)
-    mixed = {}
+        left[c] = rounds = scan_bucket(c, queue, scan, store, to_l)
+        a, b = seeds.get(c, (0, 0))
+        for k in range(a, b, BLOCK):
+            p, x = np.asarray(pos[k:min(b, k + BLOCK)]), np.array(lcp[k:min(b, k + BLOCK)])
+            if k == a:
+                x[0] = min(rounds, _run_length(codes, int(p[0]))) if rounds else 0
+            scan.feed(p, x, *to_l(p), c)
+
+    # Downward scan: S-type suffixes.
+    queue, started, done, edge = BucketQueue(space), set(), BucketQueue(space), {}
+
+    def to_s(p):
+        prev = np.asarray(codes[p - 1])
+        return prev, (p > 0) & (prev != 0) & (kind[p - 1] == 1)
+
     for c in reversed(symbols):
         if c == 0:
             break
         scan = _Scan(queue, started)
-        rounds = 0
-
-        def feed(p, x):
-            prev = np.asarray(codes[p - 1])
-            return scan.feed(p, x, prev, (p > 0) & (prev != 0) & (kind[p - 1] == 1), c)
-
-        smallest = None
-        if c in queue:
-            rounds, waiting = 1, []
-            for p, x in queue.blocks(c):
-                done.push(c, p, x)
-                smallest = p[-1]
-                got = feed(p, x)
-                if got:
-                    waiting.append(got)
-            while waiting:
-                rounds, todo, waiting = rounds + 1, waiting, []
-                for k, (p, x) in enumerate(todo):
-                    if k == 0:
-                        x[0] = rounds - 1
-                    done.push(c, p, x)
-                    smallest = p[-1]
-                    got = feed(p, x)
-                    if got:
-                        waiting.append(got)
-        if c in store:
-            p, x = _drain(store, c)
-            edge = min(rounds, left[c]) if rounds else 0
-            mixed[c] = edge
-            down = np.r_[edge, x[:0:-1]].astype(np.int32)  # downward, the prefix belongs to the larger neighbour
-            for k in range(0, len(p), BLOCK):
-                feed(p[::-1][k:k + BLOCK], down[k:k + BLOCK])
-            store.push(c, p, x)
-
-    # Ascending result, a bucket at a time: L-type entries, then S-type ones turned around.
+        rounds = scan_bucket(c, queue, scan, done, to_s)
+        edge[c] = min(rounds, left[c])  # between the largest L-type and the smallest S-type suffix
+        for p, x in store.turned(c, edge[c], keep=True):
+            scan.feed(p, x, *to_s(p), c)
+
+    # Ascending result: of each bucket the L-type entries, then the S-type ones turned around.
     for c in symbols:
         if c == 0:
             a, b = seeds[0]
-            yield pos[a:b], np.zeros(b - a, np.int32)
+            for k in range(a, b, BLOCK):
+                yield np.asarray(pos[k:min(b, k + BLOCK)]), np.zeros(min(b, k + BLOCK) - k, np.int32)
             continue
-        if c in store:
-            p, x = _drain(store, c)
-            x[0] = 0
+        first = True
+        for p, x in store.blocks(c):
+            if first:
+                x, first = x.copy(), False
+                x[0] = 0
             yield p, x
-        if c in done:
-            p, x = _drain(done, c)
-            yield p[::-1], np.r_[mixed.get(c, 0), x[:0:-1]].astype(np.int32)
-
-
-def _drain(queue: BucketQueue, symbol: int) -> tuple[np.ndarray, np.ndarray]:
-    parts = list(queue.blocks(symbol))
-    return np.concatenate([p for p, _ in parts]), np.concatenate([x for _, x in parts])
+        yield from done.turned(c, edge[c])
 
 
 def _distinct(codes) -> list[int]:
@@ -413,7 +483,7 @@ def repeated_windows(codes: np.ndarray, length: int, limit: int = MEMORY) -> np.
     """1 at every position whose next ``length`` symbols also start somewhere else."""
     space = Space(limit)
     try:
-        flag = np.zeros(len(codes), np.uint8)
+        flag = space.array(len(codes), np.uint8)
         before = np.empty(0, np.int64)  # last position of the part before
         for p, x in sort_suffixes(codes, space):
             hit = np.flatnonzero(x >= length)
@@ -424,6 +494,6 @@ def repeated_windows(codes: np.ndarray, length: int, limit: int = MEMORY) -> np.
                 if hit[0] == 0:
                     flag[before] = 1
             before = p[-1:]
-        return flag
+        return flag  # a mapped file stays readable after its name is gone
     finally:
         space.close()
