@@ -148,7 +148,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     roots = components(links(distinct.select("_fp"), radius))
     linked = distinct.join(roots, distinct["_fp"] == roots["node"], "left") \
         .select("_fp", "_min", "_rep", F.coalesce("root", "_fp").alias("_root"))
-    best = linked.groupBy("_root").agg(F.min("_min").alias("component_id"), F.min("_rep").alias("_rep"))
+    # Checkpointed, so the join below has an exchange of its own on either side and AQE can split a large class.
+    best = checkpoint(linked.groupBy("_root").agg(F.min("_min").alias("component_id"), F.min("_rep").alias("_rep")))
     classes = linked.select("_fp", "_root").join(best, "_root").select("_fp", "component_id", "_rep")
     return fps.join(classes, "_fp")
 
