@@ -11,20 +11,20 @@ Two execution paths for the ordered throttle, which give the same answer:
 
 * keys with a bounded number of occurrences (``max_group``) are folded in
   one ``aggregate`` over their time-sorted occurrences;
-* keys above the bound are never gathered: the time axis is cut into
-  ``ttl``-wide buckets, in which at most one occurrence per key can be
-  accepted, and buckets are swept in order.  Each step is a
-  ``min_by`` over one bucket (combined map-side, so a key holding a third of
-  all rows costs one row per partition before the shuffle) joined to a
-  frontier of at most one row per hot key.  Steps are cut from their lineage
-  with reliable checkpoints in the session's checkpoint folder.
+* keys above the bound are never gathered: every occurrence points to the first one
+  at least ``ttl`` later, and the accepted ones are what the key's first occurrence
+  reaches.  Pointers come from an as-of window per (key, ttl-wide time cell), so a
+  hot key is spread over its cells; reachability comes from pointer doubling, about
+  log2(time span / ttl) rounds, each cut by a reliable checkpoint.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.session import checkpoint_root
+
 US = 1_000_000
 DEFAULT_MAX_GROUP = 100_000
 
@@ -101,7 +101,7 @@ def ttl_throttle(df: DataFrame, keys: list[str], ts_col: str, ttl_seconds: int =
         cold, swept = ev, None
     else:
         cold = ev.join(hot, _same(ev, hot, keys), "left_anti")
-        swept = _bucket_sweep(ev.join(hot, _same(ev, hot, keys), "left_semi"), keys, ttl_us)
+        swept = _doubling(ev.join(hot, _same(ev, hot, keys), "left_semi"), keys, ttl_us)
     folded = cold.groupBy(*keys).agg(_fold_accepts(F.collect_list(F.struct("_t", "_tie")), ttl_us).alias("_acc"))
     picked = folded.select(*keys, F.explode("_acc").alias("_r")).select(*keys, "_r.*")
     picked = picked if swept is None else picked.unionByName(swept)
@@ -110,34 +110,37 @@ def ttl_throttle(df: DataFrame, keys: list[str], ts_col: str, ttl_seconds: int =
     return out.dropDuplicates([*keys, "_t", "_tie"]).unionByName(timeless).select(*cols)
 
 
-def _bucket_sweep(ev: DataFrame, keys: list[str], ttl_us: int) -> DataFrame:
-    """Exact throttle for keys too large to gather: (key, time, tie) triples, no payload.
-
-    The triples are written once, partitioned by bucket, so every step reads only
-    its own bucket and total work stays linear in the number of events.
-    """
-    from inkwell.session import scratch_dir
-
-    spark = ev.sparkSession
-    path = scratch_dir(spark, "sweep_events")
-    # Range partitioning on (bucket, time) keeps tasks balanced even when one
-    # bucket is hot, and gives few files per bucket.
-    bucketed = ev.withColumn("_b", F.floor(F.col("_t") / F.lit(ttl_us)))
-    bucketed.repartitionByRange("_b", "_t").write.mode("overwrite").partitionBy("_b").parquet(path)
-    ev = spark.read.schema(bucketed.schema).parquet(path)
-    # Bucket ids are bounded by the time span / ttl, not by the data size.
-    buckets = [r[0] for r in ev.select("_b").distinct().orderBy("_b").collect()]
-    frontier, picks = None, None
-    for b in buckets:
-        cur = ev.filter(F.col("_b") == b).drop("_b")
-        if frontier is not None:
-            # Only the bucket before can hold an accept that still counts.
-            cur = cur.join(frontier, _same(cur, frontier, keys), "left") \
-                .filter(F.col("_thr").isNull() | (F.col("_t") >= F.col("_thr"))).select(*keys, "_t", "_tie")
-        pick = cur.groupBy(*keys).agg(F.min(F.struct("_t", "_tie")).alias("_r")).select(*keys, "_r.*").checkpoint(eager=True)
-        picks = pick if picks is None else picks.unionByName(pick)
-        frontier = _renamed(pick.select(*keys, (F.col("_t") + F.lit(ttl_us)).alias("_thr")), keys)
-    return ev.limit(0).drop("_b") if picks is None else picks
+def _doubling(ev: DataFrame, keys: list[str], ttl_us: int) -> DataFrame:
+    """Exact throttle for keys too large to gather: accepted (key, time, tie) triples."""
+    checkpoint_root(ev.sparkSession)
+    marked = [x for k in keys for x in (F.isnull(k), F.col(k))]
+    ident = ev.withColumns({"_k1": F.xxhash64(*marked), "_k2": F.xxhash64(F.lit(1), *marked)})
+    nodes = ident.groupBy("_k1", "_k2", *keys, "_t").agg(F.min("_tie").alias("_tie")).checkpoint(eager=True)
+    key = ["_k1", "_k2"]
+    cell = F.floor(F.col("at") / F.lit(ttl_us))
+    # Each occurrence asks, one ttl later, for the next occurrence.
+    asks = nodes.select(*key, (F.col("_t") + F.lit(ttl_us)).alias("at"), F.col("_t").alias("asker"), F.lit(None).cast("long").alias("node"))
+    seen = nodes.select(*key, F.col("_t").alias("at"), F.lit(None).cast("long").alias("asker"), F.col("_t").alias("node"))
+    rows = asks.unionByName(seen).withColumn("cell", cell)
+    back = Window.partitionBy(*key, "cell").orderBy(F.col("at").desc(), F.col("node").isNull())
+    upto = back.rowsBetween(Window.unboundedPreceding, 0)
+    inside = rows.withColumn("nxt", F.last("node", ignorenulls=True).over(upto)).filter(F.col("asker").isNotNull())
+    firsts = rows.groupBy(*key, "cell").agg(F.min("node").alias("first"))
+    later = Window.partitionBy(*key).orderBy(F.col("cell").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    beyond = firsts.withColumn("beyond", F.last("first", ignorenulls=True).over(later)).drop("first")
+    points = inside.join(beyond, [*key, "cell"]).select(*key, F.col("asker").alias("t"), F.coalesce("nxt", "beyond").alias("nxt")) \
+        .filter(F.col("nxt").isNotNull())
+    reached = nodes.groupBy(*key).agg(F.min("_t").alias("t")).checkpoint(eager=True)
+    # Only first occurrences and occurrences that some pointer names can be reached.
+    named = points.select(*key, F.col("nxt").alias("t")).unionByName(reached).distinct()
+    jump = points.join(named, [*key, "t"], "left_semi").checkpoint(eager=True)
+    while not jump.isEmpty():
+        step = reached.join(jump, [*key, "t"]).select(*key, F.col("nxt").alias("t"))
+        reached = reached.unionByName(step).distinct().checkpoint(eager=True)
+        on = jump.select(*key, F.col("t").alias("nxt"), F.col("nxt").alias("far"))
+        jump = jump.join(on, [*key, "nxt"]).select(*key, "t", F.col("far").alias("nxt")).checkpoint(eager=True)
+    hit = reached.withColumnRenamed("t", "_t")
+    return nodes.join(hit, [*key, "_t"], "left_semi").select(*keys, "_t", "_tie")
 
 
 def dedupe_requests(df: DataFrame, keys: list[str], position: str) -> DataFrame:

@@ -60,7 +60,7 @@ def ttl_throttle(spark, sf):
 
 @query("ttl_throttle_hot_keys", _TTL_SQL)
 def ttl_throttle_hot_keys(spark, sf):
-    """Same answer through the bucket sweep: every key is treated as too large to gather."""
+    """Same answer by pointer doubling: every key is treated as too large to gather."""
     ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
     out = S.ttl_throttle(ev, ["user_id", "event_type"], "ts", 86400, tiebreak="event_id", max_group=0)
     return out.select("event_id", "user_id", "event_type")

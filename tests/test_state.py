@@ -50,7 +50,7 @@ def test_ttl_random_against_brute_force_with_hot_key(spark):
     expect = brute_ttl(rows, dt.timedelta(days=1))
     df = events_df(spark, rows)
     fold = {r[0] for r in S.ttl_throttle(df, ["source", "url"], "ts", 86400, "event_id").collect()}
-    # max_group=50: the hot key (200 rows) takes the bucket sweep, the rest the fold
+    # max_group=50: the hot key (200 rows) takes pointer doubling, the rest the fold
     mixed = {r[0] for r in S.ttl_throttle(df, ["source", "url"], "ts", 86400, "event_id", max_group=50).collect()}
     assert fold == expect and mixed == expect
 

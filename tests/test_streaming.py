@@ -29,8 +29,8 @@ def test_stream_ttl_equals_batch(spark, tmp_dir):
 
 
 def test_microbatch_sink_hot_key_equals_batch(spark, tmp_dir):
-    # Default ST-1 path: native throttle per micro-batch (hot key forced onto the
-    # bucket sweep with max_group=20) against a seen-state table.
+    # Default ST-1 path: native throttle per micro-batch (hot key forced onto
+    # pointer doubling with max_group=20) against a seen-state table.
     from inkwell.streaming.ttl import ttl_microbatch_sink
 
     rnd = random.Random(11)
