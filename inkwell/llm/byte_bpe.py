@@ -31,6 +31,8 @@ import zlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.llm.common import every
+
 FOLD_BYTES = 128
 TABLE_WORDS = 1 << 20
 _CELLS = 1 << 13
@@ -184,7 +186,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
             ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
             yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], ids], names=[*kept, ids_col])
 
-    return docs.select(*kept, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    src = docs.select(*[c.alias(f"_c{i}") for i, c in enumerate(every(docs, kept))], F.col(text_col).alias("_text"))
+    return src.mapInArrow(run, schema)
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:

@@ -24,6 +24,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def every(df: DataFrame, names: list[str] | None = None) -> list[Column]:
+    """The columns of ``df`` (or those named), whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in (df.columns if names is None else names)]
+
+
 def text_or_empty(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import hash128, lower_ascii, text_or_empty
+from inkwell.llm.common import every, hash128, lower_ascii, text_or_empty
 
 
 def _hashed(docs: DataFrame, id_col: str, text_col: str, *extra) -> DataFrame:
@@ -59,7 +59,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: str = "smallest") -> DataFrame:
     """The rows that stay, one per distinct normalised text, with all their columns."""
     pick = {"smallest": F.min_by, "largest": F.max_by}[keep]
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    row = F.struct(*every(docs)).alias("_row")
     hashed = _hashed(docs, id_col, text_col, row)
     # A null id must lose: it sorts last for the smallest and first for the largest.
     present = F.col("_id").isNotNull()

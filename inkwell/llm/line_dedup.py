@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import hash128, text_or_empty
+from inkwell.llm.common import every, hash128, text_or_empty
 
 WINDOW = 3
 
@@ -67,7 +67,7 @@ def covered_lines(keyed: DataFrame, size: int = WINDOW) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
     """All rows and columns of ``docs`` with the text reduced to the kept lines,
     as ``struct row``, ``text``, ``n_lines`` and ``n_removed``."""
-    row = F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("row")
+    row = F.struct(*every(docs, [c for c in docs.columns if c != text_col])).alias("row")
     keyed = _keyed(docs, id_col, text_col, row, F.col(text_col).isNull().alias("_null"))
     # Lines are split below the join, so the lambda after it reads a stored array.
     joined = keyed.join(covered_lines(_keyed(docs, id_col, text_col), size), ["_k1", "_k2"], "left")

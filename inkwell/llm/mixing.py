@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import checkpoint, hash128, text_or_empty, word_count
+from inkwell.llm.common import checkpoint, every, hash128, text_or_empty, word_count
 
 BLOCK_WORDS = 64
 MAX_EPOCHS = 3
@@ -151,7 +151,7 @@ def mix_documents(docs: DataFrame, id_col="doc_id", text_col="text", source_col=
     t = takes(docs, id_col=id_col, text_col=text_col, source_col=source_col, **kw).filter("_taken > 0") \
         .select("_k1", "_k2", "_size", "_taken")
     k1, k2 = hash128(F.col(id_col), F.col(source_col), F.col(text_col))
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text"), k1.alias("_k1"), k2.alias("_k2")) \
+    rows = docs.select(F.struct(*every(docs)).alias("_row"), F.col(text_col).alias("_text"), k1.alias("_k1"), k2.alias("_k2")) \
         .dropDuplicates(["_k1", "_k2"])
     word = r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"
     # The prefix with the first n words: possessive, so linear and free of recursion.

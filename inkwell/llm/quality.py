@@ -21,6 +21,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from inkwell.llm.common import every
 
 TRAIN_DOCS = 2000
 TRAIN_LINES = 200
@@ -210,8 +213,9 @@ def fit_line_crf(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
 def measure(docs: DataFrame, model, carry: list[str], text_col: str = "text") -> DataFrame:
     """The ``carry`` columns (renamed _c0, _c1, ...) with the metrics and the verdict of every row."""
-    src = docs.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)], F.col(text_col).cast("binary").alias("_text"))
-    schema = ", ".join([f"_c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry)] + [METRICS])
+    src = docs.select(*[c.alias(f"_c{i}") for i, c in enumerate(every(docs, carry))], F.col(text_col).cast("binary").alias("_text"))
+    schema = StructType([*[StructField(f"_c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)],
+                         *StructType.fromDDL(METRICS).fields])
 
     def run(batches):
         import pyarrow as pa

@@ -30,7 +30,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import checkpoint, hash128
+from inkwell.llm.common import checkpoint, every, hash128
 
 SHINGLE = 3
 RADIUS = 3
@@ -159,5 +159,5 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keep = near_duplicate_classes(docs, id_col, text_col) \
         .filter((F.col("_rep.k1") == F.col("_k1")) & (F.col("_rep.k2") == F.col("_k2"))).select("_k1", "_k2").distinct()
     k1, k2 = hash128(F.col(id_col), F.col(text_col))
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), k1.alias("_k1"), k2.alias("_k2"))
+    rows = docs.select(F.struct(*every(docs)).alias("_row"), k1.alias("_k1"), k2.alias("_k2"))
     return rows.join(keep, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("_row.*")

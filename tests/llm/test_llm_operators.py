@@ -19,7 +19,9 @@ from inkwell.llm import (byte_bpe, exact_dedup, induced_sort, line_dedup, mixing
 from inkwell.llm import queries as Q  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _id string, _k1 long, kept string, words string"
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, _id string, _k1 long, kept string, words string, "
+          "`a.text` string, row string, _c0 string, ids string, _text string, _row string, taken long")
+EXTRA = ("x", "r", "c0", "i", "t", "w", 1)
 LONG = "lorem ipsum dolor sit amet " * 6000
 
 
@@ -33,9 +35,9 @@ def awkward(spark):
              base[4] + "\n" + base[5] + "\nshort\n" + base[2], base[5] + "\n" + base[2], "\n".join(["l1 a", "l2 b", "l3 c"] * 3),
              "head\nl1 a\nl2 b\nl3 c\nl4 d", "mail a.b@x.com_y@z.org ip 1.2.3.4.5.6.7.8 999.1.1.1 +1 (743) 555-3824 4111 1111 1111 1111",
              "call me: 743-555-3824 or write to john [at] corp [dot] com, ssn 123-45-6789", "a@b.c" * 3, "9" * 3000, "1.1.1.1" * 50]
-    rows = [(i if i != 3 else None, t, None if i % 5 == 0 else "en", [None, "s1", "s2", "é"][i % 4], None, "c", i, "k", "w")
+    rows = [(i if i != 3 else None, t, None if i % 5 == 0 else "en", [None, "s1", "s2", "é"][i % 4], None, "c", i, "k", "w", *EXTRA)
             for i, t in enumerate(texts)]
-    rows += [rows[6], rows[6], (6, "other text under a used id", "en", "s1", 1, "c", 1, "k", "w"), (None, None, None, None, None, None, None, None, None)]
+    rows += [rows[6], rows[6], (6, "other text under a used id", "en", "s1", 1, "c", 1, "k", "w", *EXTRA), (None,) * 16]
     return spark.createDataFrame(rows, SCHEMA)
 
 
@@ -520,6 +522,18 @@ def test_url_filters_intervals(spark):
     assert url_filters.filter_captures(cap, ev.limit(0), "page_id").filter("blocked").count() == 0
 
 
+def test_pipeline_stages_take_awkward_documents(spark, tmp_dir):
+    """Every stage accepts nulls, repeated rows and clashing columns, and returns the columns it got."""
+    import corpus_pipeline as P
+
+    spark.createDataFrame([], "doc_id long, quality long, toxic long").write.parquet(f"{tmp_dir}/labels.parquet")
+    for i, (name, stage) in enumerate(P.STAGES):
+        for df in (awkward(spark), awkward(spark).limit(0)):
+            out = stage(spark, df, tmp_dir)
+            out.write.mode("overwrite").parquet(f"{tmp_dir}/out{i}")
+            assert name == P.STAGES[-1][0] or out.columns == df.columns
+
+
 # ---- all of them -------------------------------------------------------------------------------
 
 def test_empty_tables(spark):
