@@ -101,7 +101,8 @@ def _anchor_rows(length: int, gram: int):
             local = (start - begins[which] + np.array([x[0] for x in texts], np.int64)[which]).astype(np.int64)
             lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(v)) for v in (local, windows.astype(np.int32), key)]
             ids = [pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)]
-            return pa.RecordBatch.from_arrays([*ids, *lists], names=["_k1", "_k2", "starts", "counts", "keys"])
+            piece = pa.array([x[0] for x in texts], pa.int64())
+            return pa.RecordBatch.from_arrays([*ids, piece, *lists], names=["_k1", "_k2", "piece", "starts", "counts", "keys"])
 
         rows, texts, held = [], [], 0
         for b in batches:
@@ -129,39 +130,35 @@ def _fragment_rows(length: int):
     names = ["_k1", "_k2", "start", "windows", "key", "f1", "f2", "body"]
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
         import xxhash
 
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        known: set = set()
-        out: list[list] = [[] for _ in names]
-
-        def flush():
-            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
-            for c in out:
-                c.clear()
-            return batch
-
+        digest_of, known = xxhash.xxh3_128_digest, set()
         for b in batches:
-            for k1, k2, text, found in zip(*(b.column(i).to_pylist() for i in range(2)), b.column(2), b.column(3)):
-                text = text.as_py()
-                for f in found.as_py():
-                    start, windows, key = f["start"], f["windows"], f["key"]
-                    body = text[start:start + windows + length - 1]
-                    digest = xxhash.xxh3_128_digest(body)
-                    new = digest not in known  # a task stores a body once; shards drop what several tasks store
-                    if new:
-                        if len(known) >= 1 << 20:
-                            known.clear()
-                        known.add(digest)
-                    row = (k1, k2, start, windows, key, int.from_bytes(digest[:8], "big", signed=True),
-                           int.from_bytes(digest[8:], "big", signed=True), body if new else None)
-                    for c, v in zip(out, row):
-                        c.append(v)
-                if len(out[0]) >= 20_000:
-                    yield flush()
-        if out[0]:
-            yield flush()
+            lists = [b.column(i) for i in (3, 4, 5)]
+            ends = lists[0].offsets.to_numpy()
+            start, windows, key = (x.values.to_numpy() for x in lists)
+            stop = start + windows + (length - 1)
+            for row in range(b.num_rows):
+                text = b.column(2)[row].as_py()
+                for lo in range(ends[row], ends[row + 1], 20_000):  # bounded output batches
+                    hi = min(lo + 20_000, ends[row + 1])
+                    bodies = [text[i:j] for i, j in zip(start[lo:hi].tolist(), stop[lo:hi].tolist())]
+                    digests = list(map(digest_of, bodies))
+                    if len(known) >= 1 << 20:
+                        known.clear()
+                    for i, d in enumerate(digests):  # a task stores a body once; shards drop what several tasks store
+                        if d in known:
+                            bodies[i] = None
+                        else:
+                            known.add(d)
+                    f = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                    n = hi - lo
+                    ids = [pa.array(np.full(n, b.column(i)[row].as_py(), np.int64)) for i in (0, 1)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*ids, pa.array(start[lo:hi]), pa.array(windows[lo:hi].astype(np.int32)), pa.array(key[lo:hi]),
+                         pa.array(f[:, 0].copy()), pa.array(f[:, 1].copy()), pa.array(bodies, pa.binary())], names=names)
 
     return run
 
@@ -232,41 +229,67 @@ def _free(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _write_fragments(keyed: DataFrame, root: str, length: int, gram: int) -> DataFrame:
-    spark = keyed.sparkSession
-    texts = keyed.select("_k1", "_k2", "_text")
+def _write_anchors(texts: DataFrame, path: str, length: int, gram: int) -> None:
+    """Anchors of every text (or piece of a long one); the row number is stored, so later reads agree."""
     texts.filter(F.octet_length("_text") >= length).mapInArrow(
-        _anchor_rows(length, gram), "_k1 long, _k2 long, starts array<long>, counts array<int>, keys array<long>") \
-        .withColumn("_r", F.monotonically_increasing_id()).write.parquet(f"{root}/anchors")
-    # The row number is stored, so it stays the same in all later reads.
-    anchors = spark.read.parquet(f"{root}/anchors")
-    shared = anchors.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("_n")) \
-        .filter("_n > 1").select("key")
+        _anchor_rows(length, gram), "_k1 long, _k2 long, piece long, starts array<long>, counts array<int>, keys array<long>") \
+        .withColumn("_r", F.monotonically_increasing_id()).write.parquet(path)
+
+
+def _write_shared(anchors: DataFrame, path: str) -> None:
+    """Anchor hashes that occur more than once, rows that repeat a document included."""
+    anchors.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("_n")) \
+        .filter("_n > 1").select("key").write.parquet(path)
+
+
+def _write_found(anchors: DataFrame, shared: DataFrame, path: str) -> None:
+    """Per document the fragments whose anchor is shared, as parallel arrays.
+
+    ``shared`` is a stored table, so the join has an exchange of its own on either side
+    and AQE can split a hot anchor.  Of repeated rows one stands for all.
+    """
+    one = anchors.groupBy("_k1", "_k2", "piece").agg(F.min("_r").alias("_r")).select("_r", "_k1", "_k2")
+    place = F.shiftleft(F.col("a.starts"), 16) + F.col("a.counts")  # a fragment has fewer windows than 2**16
     flat = anchors.select("_r", F.explode(F.arrays_zip("starts", "counts", "keys")).alias("a")) \
-        .select("_r", F.col("a.starts").alias("start"), F.col("a.counts").alias("windows"), F.col("a.keys").alias("key"))
-    found = flat.join(shared, "key", "left_semi").groupBy("_r").agg(F.collect_list(F.struct("start", "windows", "key")).alias("f"))
-    found = found.join(anchors.select("_r", "_k1", "_k2"), "_r").groupBy("_k1", "_k2") \
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("f")))).alias("found"))
-    texts.join(found, ["_k1", "_k2"]).select("_k1", "_k2", "_text", "found").mapInArrow(
+        .select("_r", place.alias("place"), F.col("a.keys").alias("key"))
+    rows = flat.join(shared, "key", "left_semi").groupBy("_r").agg(F.collect_list(F.struct("place", "key")).alias("f"))
+    rows.join(one, "_r").groupBy("_k1", "_k2").agg(F.flatten(F.collect_list("f")).alias("f")) \
+        .select("_k1", "_k2", F.transform("f.place", lambda p: F.shiftright(p, 16)).alias("starts"),
+                F.transform("f.place", lambda p: p.bitwiseAND(0xFFFF)).alias("counts"), F.col("f.key").alias("keys")).write.parquet(path)
+
+
+def _write_fragments(texts: DataFrame, found: DataFrame, path: str, length: int) -> None:
+    texts.join(found, ["_k1", "_k2"]).select("_k1", "_k2", "_text", "starts", "counts", "keys").mapInArrow(
         _fragment_rows(length), "_k1 long, _k2 long, start long, windows int, key long, f1 long, f2 long, body binary") \
-        .write.parquet(f"{root}/fragments")
-    return spark.read.parquet(f"{root}/fragments")
+        .write.parquet(path)
 
 
-def repeated_runs(keyed: DataFrame, root: str, length: int = LENGTH, gram: int = GRAM,
-                  memory: int = induced_sort.MEMORY) -> DataFrame:
-    """(_k1, _k2, runs): array of [lo, hi) window starts that repeat, per document."""
-    spark = keyed.sparkSession
-    occ = _write_fragments(keyed, root, length, gram)
-    _free(spark)
-    bodies = occ.filter(F.col("body").isNotNull()).select("key", "f1", "f2", "body")
-    part = bodies.repartition("key").sortWithinPartitions("key", "f1", "f2") \
+def _write_repeated(occ: DataFrame, path: str, length: int, memory: int) -> None:
+    """Repeated windows (f1, f2, lo, hi): of fragments that occur again, and by the suffix sort."""
+    part = occ.filter(F.col("body").isNotNull()).select("key", "f1", "f2", "body") \
+        .repartition("key").sortWithinPartitions("key", "f1", "f2") \
         .mapInArrow(_shard_rows(length, memory), "f1 long, f2 long, lo long, hi long")
     whole = occ.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("_n"), F.max("windows").cast("long").alias("hi")) \
         .filter("_n > 1").select("f1", "f2", F.lit(0).cast("long").alias("lo"), "hi")
-    part.unionByName(whole).write.parquet(f"{root}/repeated")
-    _free(spark)
-    hits = occ.select("_k1", "_k2", "start", "f1", "f2").join(spark.read.parquet(f"{root}/repeated"), ["f1", "f2"])
+    part.unionByName(whole).write.parquet(path)
+
+
+def repeated_runs(keyed: DataFrame, root: str, length: int = LENGTH, gram: int = GRAM,
+                  memory: int = induced_sort.MEMORY) -> DataFrame:
+    """(_k1, _k2, runs): array of [lo, hi) window starts that repeat, per document."""
+    spark, texts = keyed.sparkSession, keyed.select("_k1", "_k2", "_text")
+
+    def read(name: str) -> DataFrame:
+        _free(spark)  # what the phase before has shuffled is not needed any more
+        return spark.read.parquet(f"{root}/{name}")
+
+    _write_anchors(texts, f"{root}/anchors", length, gram)
+    _write_shared(read("anchors"), f"{root}/shared")
+    _write_found(read("anchors"), read("shared"), f"{root}/found")
+    _write_fragments(texts, read("found"), f"{root}/fragments", length)
+    _write_repeated(read("fragments"), f"{root}/repeated", length, memory)
+    occ, repeated = read("fragments"), read("repeated")
+    hits = occ.select("_k1", "_k2", "start", "f1", "f2").join(repeated, ["f1", "f2"])
     return hits.groupBy("_k1", "_k2").agg(F.array_sort(F.collect_set(F.struct(
         (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi")))).alias("runs"))
 
@@ -274,6 +297,8 @@ def repeated_runs(keyed: DataFrame, root: str, length: int = LENGTH, gram: int =
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    gram: int = GRAM, memory: int = induced_sort.MEMORY) -> DataFrame:
     """One row per row of ``docs``: id, ``n_bytes``, ``removed`` (maximal byte spans) and ``kept`` (the bytes left)."""
+    if not 0 < gram <= length < 1 << 16:
+        raise ValueError("0 < gram <= length < 65536")
     keyed = _keyed(docs, id_col, text_col)
     runs = repeated_runs(keyed, scratch_dir(docs.sparkSession, "suffix"), length, gram, memory)
     id_type = docs.schema[id_col].dataType.simpleString()
