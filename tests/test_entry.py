@@ -22,3 +22,26 @@ def test_small_queries_run(spark):
     q = E.queries()
     for name in ["link_absolutise", "seen_anti_join", "ttl_throttle", "latest_per_url", "run_stats"]:
         assert q[name](spark, "/root/testdata/sf0.001").count() >= 0
+
+
+def test_a_cluster_needs_a_shared_scratch_folder():
+    import types
+
+    import pytest
+
+    from inkwell.session import checkpoint_root
+
+    sc = types.SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    cluster = types.SimpleNamespace(sparkContext=sc, conf=types.SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(cluster)
+
+
+def test_scratch_folders_can_be_dropped(spark):
+    import os
+
+    from inkwell.session import drop_scratch, scratch_dir
+
+    path = scratch_dir(spark, "x").replace("file:", "")
+    assert os.path.isdir(path)
+    assert drop_scratch(spark) >= 1 and not os.path.exists(path)
