@@ -8,7 +8,7 @@ few comparisons.  Words of more than ``FOLD_BYTES`` bytes use the same rule over
 heap, since the fold is quadratic in the length of a word.
 
 ``encode`` applies the same rule to whole documents inside the scan's own tasks:
-the text is split once, each distinct word is merged once per task (in a table of
+the text is split once, each distinct word is merged once per worker (in a table of
 bounded size) and the ids are gathered from it.  It needs no shuffle.  Joining
 words encoded by ``encode_words`` back to documents would shuffle every token, or
 every document with its share of the vocabulary, which is beyond the disk that
@@ -139,7 +139,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     """``docs`` with ``ids_col`` (array of int) in place of the text column."""
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # fixed size: the vocabulary file
+    # Fixed size: the vocabulary file.  A worker process loads it once and keeps its word table beside it.
+    shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks})
     kept = [c for c in docs.columns if c not in (text_col, ids_col)]
     schema = StructType([*[docs.schema[c] for c in kept], StructField(ids_col, ArrayType(IntegerType()))])
 
@@ -150,7 +151,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
         import pyarrow as pa
         import regex
 
-        table_ranks, find = shared.value, regex.compile(pattern).findall
+        worker = shared.value
+        table_ranks, find = worker["ranks"], regex.compile(pattern).findall
 
         class Table(dict):
             """Word -> row of the flat id store, filled on first use."""
@@ -165,7 +167,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
                 self[word] = row = len(self.ends) - 2
                 return row
 
-        table = Table()
+        table = worker.setdefault("table", Table())
         for b in batches:
             out, sizes = [], []
             for t in b.column(len(kept)):
@@ -179,7 +181,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
                 sizes.append(total)
                 del ends  # a view would keep the store from growing
                 if len(table) > TABLE_WORDS:
-                    table = Table()
+                    table = worker["table"] = Table()
             offsets = np.zeros(len(sizes) + 1, np.int64)
             np.cumsum(sizes, out=offsets[1:])
             values = np.concatenate(out) if out else np.empty(0, np.int32)
