@@ -77,6 +77,11 @@ def article_columns(sources=DEFAULT_SOURCES, default=None) -> list[Column]:
     ]
 
 
+def with_feed_text(entries: DataFrame) -> DataFrame:
+    """Entries with their own text as ``_feed_text`` (P-5..P-8); store it where several outputs read it."""
+    return entries.withColumn("_feed_text", paragraph_text(entry_html(F.col("content"), F.col("summary"))))
+
+
 def extract_articles(entries: DataFrame, pages: DataFrame, sources=DEFAULT_SOURCES,
                      keep: list[str] | None = None, default=None) -> DataFrame:
     """J-1 + P-1..P-11.
@@ -90,8 +95,7 @@ def extract_articles(entries: DataFrame, pages: DataFrame, sources=DEFAULT_SOURC
     """
     pages = status_ok(pages)
     fetched = pages.select("request_url", "url", F.col("html").isNull().alias("_no_body"))
-    feed_text = paragraph_text(entry_html(F.col("content"), F.col("summary")))
-    texts = entries.withColumn("_feed_text", feed_text)
+    texts = entries if "_feed_text" in entries.columns else with_feed_text(entries)
     full = texts.filter(F.col("_feed_text").isNotNull())
     bare = texts.filter(F.col("_feed_text").isNull())
     told = full.join(fetched, full["link"] == fetched["request_url"]).withColumn("html", F.lit(None).cast("string"))

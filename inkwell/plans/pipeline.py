@@ -71,13 +71,14 @@ def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame |
                                      ["source", "_seen_url"], "_run_ts", ttl_seconds).drop("_seen_url")
     else:
         found = linked
-    if materialize:
+    if materialize and seen is not None:  # else it is a projection of the stored entries
         found = found.checkpoint(eager=True)
     # F-4 (offsite) and F-6 (one request per canonical url, earliest entry wins).
     onsite = found.filter(U.in_domain(U.host(F.col("link")), domains_for(F.col("source"), sources, default)))
     keyed = onsite.withColumn("_canon", F.coalesce(U.canonical_url(F.col("link")), F.col("link"))).withColumn(
         "_order", F.struct("feed_no", "item_pos"))
     requests = S.dedupe_requests(keyed, ["source", "_canon"], "_order").drop("_canon", "_order")
+    requests = X.with_feed_text(requests)
     if materialize:
         requests = requests.checkpoint(eager=True)
     # J-1 + extraction; status filter F-5 inside.
@@ -92,7 +93,7 @@ def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame |
     marks = articles.select("source", "url").unionByName(articles.select("source", F.col("link").alias("url")))
     new_seen = S.advance_seen(seen, marks.withColumn("ts", now).filter(F.col("url").isNotNull()), ["source", "url"], "ts")
     counts = run_counts(entries, found, requests, articles, errors, accepted, rejected)
-    return RunOutputs(entries, requests, articles, accepted, rejected, new_seen, counts)
+    return RunOutputs(entries, requests.drop("_feed_text"), articles, accepted, rejected, new_seen, counts)
 
 
 def run_counts(entries, found, requests, articles, errors, accepted, rejected) -> DataFrame:
