@@ -4,7 +4,8 @@ List entries are dated ``add`` / ``remove`` events for a pattern.  Consecutive
 events of a pattern become [valid_from, valid_to) intervals; every capture is
 evaluated against the intervals that hold its fetch time.  A capture looks up
 its url, its host, each parent domain and its leading path prefixes, all by
-equi-join on (kind, pattern, time cell); the time test is a residual.
+equi-join on (kind, pattern, time cell); the time test is a residual.  Prefixes may
+be of any depth; only the depths that occur among the list's entries are looked up.
 
 Skew: intervals are cut into cells of ``cell_days`` and captures are salted, the
 (much smaller) list side being repeated per salt, so a host with a third of all
@@ -40,16 +41,26 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
-def lookup_keys(url: Column) -> Column:
-    """(kind, pattern) of everything a list may name about a url."""
+def prefix_depths(events: DataFrame) -> list[int]:
+    """The depths (slashes) of the prefix entries; a list has no more than its longest entry has slashes."""
+    slashes = F.length(F.regexp_replace("pattern", "[^/]", ""))
+    rows = events.filter((F.col("kind") == "prefix") & F.col("pattern").isNotNull()).select(slashes.alias("_d")).distinct()
+    return sorted(r["_d"] for r in rows.collect() if r["_d"] >= 1)
+
+
+def lookup_keys(url: Column, depths: list[int] | None = None) -> Column:
+    """(kind, pattern) of everything a list may name about a url; ``depths`` are those of
+    its prefix entries (None: every depth)."""
     host, path = url_host(url), url_path(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
     domains = F.when(n >= 2, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.struct(
         F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, n), ".").alias("pattern"))))
     segs = F.filter(F.split(path, "/"), lambda x: x != "")
+    every = F.sequence(F.lit(1), F.size(segs)) if depths is None else F.filter(
+        F.array(*[F.lit(d) for d in depths]).cast("array<int>"), lambda d: d <= F.size(segs))
     prefixes = F.when(F.size(segs) >= 1, F.transform(
-        F.sequence(F.lit(1), F.least(F.size(segs), F.lit(3))),
+        every,
         lambda i: F.struct(F.lit("prefix").alias("kind"),
                            F.concat(host, F.lit("/"), F.array_join(F.slice(segs, F.lit(1), i), "/")).alias("pattern"))))
     empty = F.array().cast("array<struct<kind:string,pattern:string>>")
@@ -93,7 +104,7 @@ def filter_captures(captures: DataFrame, events: DataFrame, id_col: str, url_col
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     probe = cap.filter(F.col("_url").isNotNull() & F.col("_t").isNotNull()).select(
         "_k1", "_k2", "_t", _cell(F.col("_t"), cell_days).alias("_cell"),
-        F.pmod("_k2", F.lit(salts)).cast("int").alias("_salt"), F.explode(lookup_keys(F.col("_url"))).alias("_key")) \
+        F.pmod("_k2", F.lit(salts)).cast("int").alias("_salt"), F.explode(lookup_keys(F.col("_url"), prefix_depths(events))).alias("_key")) \
         .select("*", "_key.*").drop("_key").distinct()
     hits = probe.join(spans, ["kind", "pattern", "_cell", "_salt"]) \
         .filter((F.col("_t") >= F.col("valid_from")) & (F.col("_t") < F.col("valid_to")))

@@ -522,6 +522,25 @@ def test_url_filters_intervals(spark):
     assert url_filters.filter_captures(cap, ev.limit(0), "page_id").filter("blocked").count() == 0
 
 
+def test_url_filters_prefixes_of_any_depth(spark):
+    deep = "h.org/" + "/".join(f"s{i}" for i in range(1, 13))
+    labels = ".".join(f"l{i}" for i in range(14)) + ".com"
+    ev = spark.createDataFrame([
+        ("bad", "block", "prefix", "h.org/a/b/c/d"), ("fine", "allow", "prefix", "h.org/a/b/c/d/e/f"), ("one", "block", "prefix", "k.org/a"),
+        ("far", "block", "prefix", deep), ("old", "block", "domain", "l1." + labels.split("l1.", 1)[1])],
+        "list_name string, list_type string, kind string, pattern string") \
+        .withColumn("action", F.lit("add")).withColumn("effective_at", F.lit("2024-01-01").cast("timestamp"))
+    cap = spark.createDataFrame([
+        (1, "http://h.org/a/b/c/d"), (2, "http://h.org/a//b/c/d/e/x?q"), (3, "http://h.org/a/b/c/d/e/f/g"), (4, "http://h.org/a/b/c/dd"),
+        (5, f"http://{deep}/z"), (6, f"http://{deep}z"), (7, "http://k.org/a/b/c/d"), (8, f"http://{labels}/"), (9, "http://h.org/")],
+        "page_id long, url string").withColumn("fetch_time", F.lit("2024-02-01").cast("timestamp"))
+    got = {r.page_id: (r.blocked, r.lists) for r in url_filters.filter_captures(cap, ev, "page_id").collect()}
+    assert got == {1: (True, "bad"), 2: (True, "bad"), 3: (False, "bad,fine"), 4: (False, ""), 5: (True, "far"), 6: (False, ""),
+                   7: (True, "one"), 8: (True, "old"), 9: (False, "")}
+    every = spark.range(1).select(url_filters.lookup_keys(F.lit(f"http://{deep}")).alias("k")).first().k
+    assert sum(k.kind == "prefix" for k in every) == 12
+
+
 def test_pipeline_stages_take_awkward_documents(spark, tmp_dir):
     """Every stage accepts nulls, repeated rows and clashing columns, and returns the columns it got."""
     import corpus_pipeline as P
