@@ -9,8 +9,12 @@ bounded size at a time.
 
 Reading: every record is checked (member CRC, version line, header block, content
 length, closing blank lines, payload digest).  After a failed check the reader
-looks for the next gzip member or version line that starts a valid record, goes
-on from there, and logs the skipped bytes as a quarantined gap.
+looks for the next gzip member or version line that starts a valid record, whatever
+byte comes before it, goes on from there, and logs the skipped bytes as a quarantined
+gap.  A member that holds several records (an archive compressed as one stream) is
+salvaged like plain bytes: its records and gaps have the offset and length of the
+member, and the reason of a gap names the inflated bytes.  A member that fails its CRC
+or is cut stays one gap.
 
 Defined cases: a null payload is empty; a null url is written as an empty target;
 null page ids are ignored when the largest id is sought, and rows that repeat the
@@ -32,7 +36,8 @@ MIN_REVISIT = 1000
 RECORDS_PER_FILE = 2000
 _END = b"\r\n\r\n"
 _MEMBER = b"\x1f\x8b\x08"
-_START = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
+_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_START = re.compile(rb"\x1f\x8b\x08|" + _VERSION.pattern)
 _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 READ_SCHEMA = ("archive string, offset long, length long, kind string, reason string, record_type string, record_id string, "
                "target string, payload_bytes long, payload_digest string, refers_to string")
@@ -63,7 +68,7 @@ def build_record(page_id, url: str | None, payload: bytes, digest_hex: str, refe
 
 def parse_record(data: bytes, at: int) -> tuple[dict, int]:
     """The plain record at ``at`` and the offset behind it; ValueError names the failed check."""
-    if not re.compile(rb"WARC/1\.[01]\r\n").match(data, at):
+    if not _VERSION.match(data, at):
         raise ValueError("version line")
     stop = data.find(_END, at)
     if stop < 0:
@@ -119,36 +124,46 @@ def _member(data: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(out), pos - len(d.unused_data)
 
 
-def _record_at(data: bytes, at: int) -> tuple[dict, int]:
-    if data[at:at + 3] == _MEMBER:
-        raw, end = _member(data, at)
+def _records_at(data: bytes, at: int, plain: bool) -> tuple[list[tuple[dict | None, str | None]], int]:
+    """What starts at ``at``, as (record, None) or (None, reason), and the offset behind it; at least one is a record."""
+    if plain or data[at:at + 3] != _MEMBER:
+        record, end = parse_record(data, at)
+        return [(record, None)], end
+    raw, end = _member(data, at)
+    try:
         record, used = parse_record(raw, 0)
-        if used != len(raw):
-            raise ValueError("member length")
-        return record, end
-    return parse_record(data, at)
-
-
-def salvage(data: bytes):
-    """Yield (offset, length, record or None, reason): records, and quarantined gaps between them."""
-    at, size = 0, len(data)
+        if used == len(raw):
+            return [(record, None)], end
+        reason = "member length"
+    except ValueError as failed:
+        reason = str(failed)
+    found = [(record, None if record else f"{why}: inflated bytes {a} to {a + n} of the member")
+             for a, n, record, why in salvage(raw, plain=True)]
+    if not any(record for record, _ in found):
+        raise ValueError(reason)
+    return found, end
+
+
+def salvage(data: bytes, plain: bool = False):
+    """Yield (offset, length, record or None, reason): records, and quarantined gaps between them.
+    ``plain`` data has no gzip members."""
+    at, size, start = 0, len(data), _VERSION if plain else _START
     while at < size:
         if data[at] in b"\x00\r\n":  # padding between records
             at += 1
             continue
         try:
-            record, end = _record_at(data, at)
-            yield at, end - at, record, None
+            found, end = _records_at(data, at, plain)
+            for record, why in found:
+                yield at, end - at, record, why
             at = end
             continue
         except ValueError as failed:
             reason = str(failed)
         resume = size
-        for m in _START.finditer(data, at + 1):
-            if m[0] != _MEMBER and data[m.start() - 1] not in b"\n\x00":
-                continue
+        for m in start.finditer(data, at + 1):
             try:
-                _record_at(data, m.start())
+                _records_at(data, m.start(), plain)
                 resume = m.start()
                 break
             except ValueError:

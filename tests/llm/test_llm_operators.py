@@ -331,6 +331,55 @@ def test_warc_salvage(compress):
     assert list(warc.salvage(b"")) == []
 
 
+def warc_records(n, compress):
+    bodies = [f"<p>{i} ".encode() + b"word " * (50 + i) for i in range(n)]
+    return [warc.build_record(i, "u", b, hashlib.sha1(b).hexdigest(), compress=compress) + (b"" if compress else b"\r\n\r\n")
+            for i, b in enumerate(bodies)]
+
+
+def warc_numbers(found):
+    return [int(x[2]["record_id"][10:-1]) for x in found if x[2]]
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_warc_salvage_after_removed_bytes(compress):
+    """A record that lost bytes, up to its blank lines or the whole end, costs no other record."""
+    recs = warc_records(12, compress)
+    rng = random.Random(2)
+    for _ in range(60):
+        hit = rng.randrange(12)
+        a = rng.randrange(20 if compress else recs[hit].index(b"<p>"), len(recs[hit]) - 4)
+        b = rng.choice([len(recs[hit]), rng.randrange(a + 1, len(recs[hit]) + 1)])
+        if not compress and rng.random() < 0.3:
+            a, b = len(recs[hit]) - 4, len(recs[hit])  # the closing blank lines
+        parts = [*recs[:hit], recs[hit][:a] + recs[hit][b:], *recs[hit + 1:]]
+        found = list(warc.salvage(b"".join(parts)))
+        assert warc_numbers(found) == [i for i in range(12) if i != hit]
+        gaps = [x for x in found if not x[2]]
+        assert len(gaps) == 1 and gaps[0][0] == sum(map(len, parts[:hit])) and gaps[0][1] == len(parts[hit])
+
+
+def test_warc_member_of_several_records():
+    import gzip
+
+    recs, single = warc_records(12, False), warc_records(12, True)
+    whole = gzip.compress(b"".join(recs[:9]))
+    data = single[9] + whole + single[10]
+    found = list(warc.salvage(data))
+    assert warc_numbers(found) == [9, *range(9), 10] and all(x[2] for x in found)
+    assert {x[:2] for x in found[1:10]} == {(len(single[9]), len(whole))}
+    # Damage from before the compression, and damage before such a member.
+    inner = gzip.compress(b"".join([*recs[:3], recs[3][:-40], *recs[4:9]]))
+    found = list(warc.salvage(single[9][:-30] + inner + single[10]))
+    assert warc_numbers(found) == [0, 1, 2, 4, 5, 6, 7, 8, 10]
+    start = sum(map(len, recs[:3]))
+    assert [x[3] for x in found if not x[2]] == ["member check", f"content length: inflated bytes {start} to {start + len(recs[3]) - 40} of the member"]
+    # A member without a record, and a damaged one.
+    for bad in (gzip.compress(b"no record"), whole[:200] + b"\xff" * 9 + whole[209:]):
+        found = list(warc.salvage(single[9] + bad + single[10]))
+        assert warc_numbers(found) == [9, 10] and [x[:2] for x in found if not x[2]] == [(len(single[9]), len(bad))]
+
+
 # ---- mixing ------------------------------------------------------------------------------------
 
 def test_mixing_targets_and_bounds(spark):
