@@ -6,15 +6,16 @@ induced sorting in external form: the leftmost S-type (LMS) suffixes are sorted
 naming their substrings and recursing on the names, then two scans induce the L-type
 and the S-type suffixes.  The scans are driven by a priority queue over the first
 symbol whose entries, (position, common prefix with the entry before), leave in the
-order they came for equal symbols; it is kept as one first-in-first-out run per
-symbol, spilled to disk beyond a memory limit and read back in blocks.  The common
+order they came for equal symbols; as the entries of every symbol can be counted before,
+it is one array with a place for each symbol, a file beyond a memory limit.  The common
 prefix of two induced suffixes is one more than the least common prefix between the
 suffixes that induced them.  Work on a block is vectorised.
 
 Beyond the memory limit symbols, types, positions, names and results are files: the
 names come from an external merge sort of the LMS substrings, the recursion writes
-its order in blocks, and queues spill.  Memory then holds the queues' limits, some
-blocks and a few values per symbol.  A level whose LMS suffixes fit the limit sorts
+its order in blocks, and the queue and all values per symbol (of which the recursion has
+as many as there are different names) are memory-mapped.  Memory then holds some blocks
+and parts of the limit.  A level whose LMS suffixes fit the limit sorts
 them in memory by prefix doubling, which is much faster; shards are best sized for that.
 """
 
@@ -28,10 +29,13 @@ import numpy as np
 
 BLOCK = 1 << 18
 MEMORY = 256 << 20
+FAN_IN = 64
+_FAR = np.int32(np.iinfo(np.int32).max)
+_ENTRY = np.dtype([("pos", np.int64), ("lcp", np.int32)])
 
 
 class Space:
-    """Scratch files of one sort; arrays above ``limit`` bytes are memory-mapped."""
+    """Scratch files of one sort; arrays above an eighth of ``limit`` bytes (or ``most``) are memory-mapped."""
 
     def __init__(self, limit: int = MEMORY):
         self.limit, self.dir, self.made = limit, tempfile.TemporaryDirectory(prefix="induced-"), 0
@@ -40,10 +44,10 @@ class Space:
         self.made += 1
         return os.path.join(self.dir.name, str(self.made))
 
-    def array(self, n: int, dtype) -> np.ndarray:
-        if n * np.dtype(dtype).itemsize <= self.limit // 8:
+    def array(self, n: int, dtype, most: int | None = None) -> np.ndarray:
+        if n * np.dtype(dtype).itemsize <= (self.limit // 8 if most is None else most):
             return np.zeros(n, dtype)
-        return np.memmap(self.path(), dtype=dtype, mode="w+", shape=(n,))
+        return np.asarray(np.memmap(self.path(), dtype=dtype, mode="w+", shape=(n,)))
 
     def appended(self, parts, dtype) -> np.ndarray:
         """All parts as one array, collected in a file."""
@@ -56,103 +60,111 @@ class Space:
             out = np.fromfile(path, dtype)
             os.remove(path)
             return out
-        return np.memmap(path, dtype=dtype, mode="r+", shape=(n,))
+        return np.asarray(np.memmap(path, dtype=dtype, mode="r+", shape=(n,)))
 
     def close(self) -> None:
         self.dir.cleanup()
 
 
-class BucketQueue:
-    """Priority queue over symbols, first in first out for equal ones, spilled to disk."""
-
-    _ENTRY = np.dtype([("pos", np.int64), ("lcp", np.int32)])
-
-    def __init__(self, space: Space):
-        self.space, self.runs, self.held, self.disk = space, {}, 0, {}
-        self.file = None
-
-    def push(self, symbol: int, pos: np.ndarray, lcp: np.ndarray) -> None:
-        entry = np.empty(len(pos), self._ENTRY)
-        entry["pos"], entry["lcp"] = pos, lcp
-        self.runs.setdefault(symbol, []).append(entry)
-        self.held += entry.nbytes
-        if self.held > self.space.limit:
-            self._spill()
-
-    def _spill(self) -> None:
-        if self.file is None:
-            self.file = open(self.space.path(), "w+b")
-        self.file.seek(0, 2)
-        for symbol, runs in self.runs.items():
-            for r in runs:
-                self.disk.setdefault(symbol, []).append((self.file.tell(), len(r)))
-                r.tofile(self.file)
-        self.runs, self.held = {}, 0
-
-    def __contains__(self, symbol: int) -> bool:
-        return symbol in self.runs or symbol in self.disk
-
-    def blocks(self, symbol: int, keep: bool = False, backwards: bool = False):
-        """Yield the entries of a symbol in blocks, in order or ``backwards``; removes them unless ``keep``."""
-        take = (lambda d: d.get(symbol, [])) if keep else (lambda d: d.pop(symbol, []))
-        runs, disk = list(take(self.runs)), list(take(self.disk))  # at once: a push to another symbol may spill meanwhile
-        if not keep:
-            self.held -= sum(r.nbytes for r in runs)
-        pieces = [(at + k * self._ENTRY.itemsize, min(BLOCK, n - k)) for at, n in disk for k in range(0, n, BLOCK)]
-        memory = np.concatenate(runs) if runs else np.empty(0, self._ENTRY)
-        pieces += [memory[k:k + BLOCK] for k in range(0, len(memory), BLOCK)]
-        for piece in reversed(pieces) if backwards else pieces:
-            if isinstance(piece, tuple):
-                self.file.seek(piece[0])
-                piece = np.fromfile(self.file, self._ENTRY, piece[1])
-            yield piece["pos"], piece["lcp"]
-
-    def turned(self, symbol: int, edge: int, keep: bool = False):
+class Buckets:
+    """Entries (position, common prefix with the entry before) by symbol, in the order they come.
+
+    ``start[c]`` to ``start[c + 1]`` is the place of symbol c; ``end[c]`` is how far it is filled.
+    """
+
+    def __init__(self, space: Space, codes: np.ndarray, kind: np.ndarray, wanted: int, n_symbols: int):
+        self.start, self.end = space.array(n_symbols + 1, np.int64), space.array(n_symbols, np.int64)
+        for k in range(0, len(codes), BLOCK):
+            c = np.asarray(codes[k:k + BLOCK])
+            found, n = np.unique(c[(np.asarray(kind[k:k + BLOCK]) == wanted) & (c != 0)], return_counts=True)
+            self.start[found.astype(np.int64) + 1] += n
+        total = 0
+        for k in range(0, n_symbols + 1, BLOCK):
+            part = np.cumsum(self.start[k:k + BLOCK]) + total
+            self.start[k:k + BLOCK] = part
+            total = int(part[-1])
+        self.end[:] = self.start[:-1]
+        self.pos, self.lcp = space.array(total, np.int64, space.limit), space.array(total, np.int32, space.limit)
+
+    def push(self, dest: np.ndarray, cuts: np.ndarray, pos: np.ndarray, lcp: np.ndarray) -> None:
+        """``dest`` is ascending; ``cuts`` are the first places of its different symbols."""
+        size, symbol = np.diff(np.r_[cuts, len(dest)]), dest[cuts]
+        at = self.end[symbol]
+        place = np.repeat(at - cuts, size) + np.arange(len(dest))
+        self.pos[place], self.lcp[place] = pos, lcp
+        self.end[symbol] = at + size
+
+    def blocks(self, lo: int, hi: int):
+        for k in range(lo, hi, BLOCK):
+            yield np.array(self.pos[k:min(hi, k + BLOCK)]), np.array(self.lcp[k:min(hi, k + BLOCK)])
+
+    def turned(self, symbol: int, edge: int):
         """The entries of a symbol from last to first, with the common prefix with the entry
         yielded before; ``edge`` is that of the first one yielded."""
-        for p, x in self.blocks(symbol, keep, backwards=True):
+        lo, hi = int(self.start[symbol]), int(self.end[symbol])
+        for k in range(hi, lo, -BLOCK):
+            p, x = np.array(self.pos[max(lo, k - BLOCK):k]), np.array(self.lcp[max(lo, k - BLOCK):k])
             yield p[::-1], np.r_[np.int32(edge), x[:0:-1]].astype(np.int32)
             edge = x[0]
 
 
+def _range_min(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Minimum of every x[lo..hi] (inclusive, lo <= hi)."""
+    out = np.empty(len(lo), x.dtype)
+    level = np.frexp((hi - lo + 1).astype(np.float64))[1] - 1
+    for k in range(int(level.max(initial=-1)) + 1):  # x[i] is now the minimum of 2**k values from i on
+        at = np.flatnonzero(level == k)
+        out[at] = np.minimum(x[lo[at]], x[hi[at] + 1 - (1 << k)])
+        x = np.minimum(x[:-(1 << k)], x[1 << k:])
+    return out
+
+
 class _Scan:
-    """Pushes what the entries of one bucket induce, with carried minima of common prefixes."""
+    """Pushes what the entries of one bucket after another induce, with carried minima of common prefixes.
+
+    For a symbol that got an entry from this bucket, ``tail`` is the least common prefix since then in
+    that block of entries, and a stack of the minima of later blocks gives the rest.
+    """
+
+    def __init__(self, space: Space, out: Buckets, n_symbols: int):
+        self.out, self.bucket = out, 0
+        self.last, self.block = space.array(n_symbols, np.int64), space.array(n_symbols, np.int64)
+        self.tail = space.array(n_symbols, np.int32)
+        self.stack = np.empty((2, 64), np.int64)  # numbers and minima of blocks, both ascending
 
-    def __init__(self, queue: BucketQueue, started: set):
-        self.queue, self.started = queue, started
-        self.open: dict[int, int] = {}  # symbol -> least common prefix since its last entry from this bucket
-        self.low = 0  # the same for symbols that got none yet: prefixes across buckets are 0
+    def begin(self) -> None:
+        self.bucket, self.blocks, self.top = self.bucket + 1, 0, 0
 
-    def feed(self, pos: np.ndarray, lcp: np.ndarray, symbol: np.ndarray, wanted: np.ndarray, own: int):
-        """``lcp[i]`` is the common prefix with the entry before.  Returns what stays in bucket ``own``."""
-        mine = None
+    def feed(self, pos: np.ndarray, lcp: np.ndarray, symbol: np.ndarray, wanted: np.ndarray) -> None:
+        """``lcp[i]`` is the common prefix with the entry before."""
         picked = np.flatnonzero(wanted)
-        order = picked[np.argsort(symbol[picked], kind="stable")]
-        dest = symbol[order]
-        cuts = np.flatnonzero(np.r_[True, dest[1:] != dest[:-1]]) if len(dest) else np.empty(0, np.int64)
-        ends = np.r_[cuts[1:], len(dest)] if len(dest) else cuts
-        fresh: dict[int, int] = {}
-        for a, b in zip(cuts.tolist(), ends.tolist()):
-            d, at = int(dest[a]), order[a:b]
-            # Minima over (previous picked, this picked]; the first reaches back into earlier blocks.
-            edges = np.r_[0, at[:-1] + 1]
-            low = np.minimum.reduceat(lcp[:at[-1] + 1], edges)
-            low[0] = min(int(low[0]), self.open.get(d, self.low))
+        if len(picked):
+            at = picked[np.argsort(symbol[picked], kind="stable")]
+            dest = symbol[at].astype(np.int64)
+            head = np.r_[True, dest[1:] != dest[:-1]]
+            cuts = np.flatnonzero(head)
+            d, rest = dest[cuts], np.flatnonzero(~head)
+            low = np.empty(len(at), np.int64)
+            low[rest] = _range_min(lcp, at[rest - 1] + 1, at[rest])
+            # The first of a symbol reaches back into earlier blocks; prefixes across buckets are 0.
+            numbers, minima = self.stack[:, :self.top]
+            later = np.r_[minima, _FAR][np.searchsorted(numbers, self.block[d], "right")]
+            carried = np.where(self.last[d] == self.bucket, np.minimum(self.tail[d], later), 0)
+            low[cuts] = np.minimum(np.minimum.accumulate(lcp)[at[cuts]], carried)
             value = low + 1
-            if d not in self.started:
-                value[0] = 0
-                self.started.add(d)
-            if d == own:
-                mine = (pos[at] - 1, value)
-            else:
-                self.queue.push(d, pos[at] - 1, value)
-            fresh[d] = int(lcp[at[-1] + 1:].min()) if at[-1] + 1 < len(lcp) else np.iinfo(np.int32).max
+            value[cuts[self.out.end[d] == self.out.start[d]]] = 0
+            self.out.push(dest, cuts, pos[at] - 1, value)
+            final = at[np.r_[cuts[1:], len(dest)] - 1]
+            self.last[d], self.block[d] = self.bucket, self.blocks
+            self.tail[d] = np.r_[np.minimum.accumulate(lcp[::-1])[::-1], _FAR][final + 1]
         if len(lcp):
             least = int(lcp.min())
-            for d in self.open:
-                self.open[d] = min(self.open[d], least)
-        self.open.update(fresh)
-        return mine
+            self.top = int(np.searchsorted(self.stack[1, :self.top], least))
+            if self.top == self.stack.shape[1]:
+                self.stack = np.c_[self.stack, np.empty_like(self.stack)]
+            self.stack[:, self.top] = self.blocks, least
+            self.top += 1
+        self.blocks += 1
 
 
 def _types(codes: np.ndarray, space: Space) -> np.ndarray:
@@ -282,21 +294,38 @@ def _names_by_merging(codes, lms, space: Space) -> np.ndarray:
             while head := f.read(12):
                 yield f.read(int.from_bytes(head[:4], "big")), int.from_bytes(head[4:], "big")
 
-    paths, step = [], max(16, min(BLOCK, space.limit // 256))
+    def written(keys) -> str:
+        path = space.path()
+        with open(path, "wb") as f:
+            for symbols, i in keys:
+                f.write(len(symbols).to_bytes(4, "big") + i.to_bytes(8, "big") + symbols)
+        return path
+
+    paths, keys, held, step = [], [], 0, max(16, min(BLOCK, space.limit // 256))
     for k in range(0, len(lms), step):
         part = np.asarray(lms[k:k + step + 1]).tolist()
-        keys = []
         for i in range(min(step, len(lms) - k)):
             if codes[part[i]] == 0:
                 continue
             # The end mark is larger than every symbol: a proper prefix is the larger substring.
             symbols = np.asarray(codes[part[i]:part[i + 1] + 1]).astype(">u8").tobytes() + b"\xff" * 8
             keys.append((symbols, k + i))
+            held += len(symbols) + 128  # with the objects around it
+            if held > space.limit // 2:
+                keys.sort()
+                paths.append(written(keys))
+                keys, held = [], 0
+    if keys:
         keys.sort()
-        paths.append(space.path())
-        with open(paths[-1], "wb") as f:
-            for symbols, i in keys:
-                f.write(len(symbols).to_bytes(4, "big") + i.to_bytes(8, "big") + symbols)
+        paths.append(written(keys))
+        del keys
+    while len(paths) > FAN_IN:  # no pass opens more files
+        merged = []
+        for k in range(0, len(paths), FAN_IN):
+            merged.append(written(heapq.merge(*map(run, paths[k:k + FAN_IN]))))
+            for path in paths[k:k + FAN_IN]:
+                os.remove(path)
+        paths = merged
     name, last, number = space.array(len(lms), np.int64), None, 0
     for symbols, i in heapq.merge(*map(run, paths)):
         if symbols != last:
@@ -338,9 +367,9 @@ def _sort_lms(codes, lms: np.ndarray, space: Space) -> tuple[np.ndarray, np.ndar
                 if before is None:
                     lcp[0] = 0
                 before = b[-1:]
-                yield np.rec.fromarrays([lms[b], lcp], dtype=BucketQueue._ENTRY)
+                yield np.rec.fromarrays([lms[b], lcp], dtype=_ENTRY)
 
-    out = space.appended(converted(), BucketQueue._ENTRY)
+    out = space.appended(converted(), _ENTRY)
     return out["pos"], out["lcp"]
 
 
@@ -370,16 +399,16 @@ def _recurse(name: np.ndarray, space: Space):
             yield np.asarray(kept[p[real]]), x[real]
 
 
-def _seed_ranges(codes, pos: np.ndarray) -> dict[int, tuple[int, int]]:
-    """Symbol -> range of the sorted LMS suffixes that begin with it."""
-    out: dict[int, tuple[int, int]] = {}
+def _seed_ranges(codes, pos: np.ndarray, n_symbols: int, space: Space) -> tuple[np.ndarray, np.ndarray]:
+    """By symbol, the range of the sorted LMS suffixes that begin with it (0, 0 for none)."""
+    low, high = space.array(n_symbols, np.int64), space.array(n_symbols, np.int64)
     for k in range(0, len(pos), BLOCK):
-        first = np.asarray(codes[pos[k:k + BLOCK]])
+        first = np.asarray(codes[pos[k:k + BLOCK]]).astype(np.int64)
         cut = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
-        for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(first)]):
-            c = int(first[a])
-            out[c] = (out[c][0] if c in out else k + a, k + b)
-    return out
+        c = first[cut]
+        low[c] = np.where(high[c] > 0, low[c], k + cut)
+        high[c] = k + np.r_[cut[1:], len(first)]
+    return low, high
 
 
 def sort_suffixes(codes: np.ndarray, space: Space):
@@ -399,84 +428,65 @@ def sort_suffixes(codes: np.ndarray, space: Space):
             yield np.flatnonzero((k[1:] == 1) & (k[:-1] == 0)) + lo
 
     pos, lcp = _sort_lms(codes, space.appended(lms_blocks(), np.int64), space)
-    seeds, symbols = _seed_ranges(codes, pos), _distinct(codes)
+    n_symbols = max((int(np.max(codes[k:k + BLOCK])) for k in range(0, n, BLOCK)), default=0) + 1
+    low, high = _seed_ranges(codes, pos, n_symbols, space)
 
-    def scan_bucket(c: int, queue: BucketQueue, scan: _Scan, kept: BucketQueue, wanted) -> int:
-        """Take bucket ``c`` from the queue, with the entries it induces in itself (runs of c: the
+    def scan_bucket(c: int, scan: _Scan, wanted) -> int:
+        """Feed the entries of bucket ``c``, with those it induces in itself (runs of c: the
         round number is the number of leading c).  Returns the number of rounds."""
-        if c not in queue:
-            return 0
-        own, rounds = BucketQueue(space), 1
-        source = queue.blocks(c)
-        while True:
-            for k, (p, x) in enumerate(source):
-                if k == 0 and rounds > 1:
-                    x = x.copy()
-                    x[0] = rounds - 1
-                kept.push(c, p, x)
-                got = scan.feed(p, x, *wanted(p), c)
-                if got:
-                    own.push(rounds + 1, *got)
-            if rounds + 1 not in own:
-                return rounds
+        out, rounds = scan.out, 0
+        lo, hi = int(out.start[c]), int(out.end[c])
+        while lo < hi:
             rounds += 1
-            source = own.blocks(rounds)
+            if rounds > 1:
+                out.lcp[lo] = rounds - 1
+            for p, x in out.blocks(lo, hi):
+                scan.feed(p, x, *wanted(p))
+            lo, hi = hi, int(out.end[c])
+        return rounds
 
     # Upward scan: L-type suffixes; they are kept for the downward scan.
-    queue, started, left, store = BucketQueue(space), set(), {}, BucketQueue(space)
+    store, left = Buckets(space, codes, kind, 0, n_symbols), space.array(n_symbols, np.int32)
+    scan = _Scan(space, store, n_symbols)
 
     def to_l(p):
         return np.asarray(codes[p - 1]), (p > 0) & (kind[p - 1] == 0)
 
-    for c in symbols:
-        scan = _Scan(queue, started)
-        left[c] = rounds = scan_bucket(c, queue, scan, store, to_l)
-        a, b = seeds.get(c, (0, 0))
+    for c in range(n_symbols):
+        scan.begin()
+        left[c] = rounds = scan_bucket(c, scan, to_l)
+        a, b = int(low[c]), int(high[c])
         for k in range(a, b, BLOCK):
             p, x = np.asarray(pos[k:min(b, k + BLOCK)]), np.array(lcp[k:min(b, k + BLOCK)])
             if k == a:
                 x[0] = min(rounds, _run_length(codes, int(p[0]))) if rounds else 0
-            scan.feed(p, x, *to_l(p), c)
+            scan.feed(p, x, *to_l(p))
 
     # Downward scan: S-type suffixes.
-    queue, started, done, edge = BucketQueue(space), set(), BucketQueue(space), {}
+    done, edge = Buckets(space, codes, kind, 1, n_symbols), space.array(n_symbols, np.int32)
+    scan = _Scan(space, done, n_symbols)
 
     def to_s(p):
         prev = np.asarray(codes[p - 1])
         return prev, (p > 0) & (prev != 0) & (kind[p - 1] == 1)
 
-    for c in reversed(symbols):
-        if c == 0:
-            break
-        scan = _Scan(queue, started)
-        rounds = scan_bucket(c, queue, scan, done, to_s)
-        edge[c] = min(rounds, left[c])  # between the largest L-type and the smallest S-type suffix
-        for p, x in store.turned(c, edge[c], keep=True):
-            scan.feed(p, x, *to_s(p), c)
+    for c in range(n_symbols - 1, 0, -1):
+        scan.begin()
+        edge[c] = min(scan_bucket(c, scan, to_s), int(left[c]))  # between the largest L-type and the smallest S-type suffix
+        for p, x in store.turned(c, int(edge[c])):
+            scan.feed(p, x, *to_s(p))
 
     # Ascending result: of each bucket the L-type entries, then the S-type ones turned around.
-    for c in symbols:
-        if c == 0:
-            a, b = seeds[0]
-            for k in range(a, b, BLOCK):
-                yield np.asarray(pos[k:min(b, k + BLOCK)]), np.zeros(min(b, k + BLOCK) - k, np.int32)
-            continue
+    for k in range(int(low[0]), int(high[0]), BLOCK):
+        p = np.asarray(pos[k:min(int(high[0]), k + BLOCK)])
+        yield p, np.zeros(len(p), np.int32)
+    for c in range(1, n_symbols):
         first = True
-        for p, x in store.blocks(c):
+        for p, x in store.blocks(int(store.start[c]), int(store.end[c])):
             if first:
-                x, first = x.copy(), False
-                x[0] = 0
+                x[0], first = 0, False
             yield p, x
-        yield from done.turned(c, edge[c])
-
-
-def _distinct(codes) -> list[int]:
-    out: set[int] = set()
-    for k in range(0, len(codes), BLOCK):
-        block = np.asarray(codes[k:k + BLOCK])
-        small = block.dtype.itemsize <= 2
-        out.update((np.flatnonzero(np.bincount(block)) if small else np.unique(block)).tolist())
-    return sorted(out)
+        yield from done.turned(c, int(edge[c]))
 
 
 def repeated_windows(codes: np.ndarray, length: int, limit: int = MEMORY) -> np.ndarray:

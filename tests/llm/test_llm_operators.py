@@ -181,6 +181,28 @@ def test_induced_sort_against_plain_sort(monkeypatch):
         assert np.concatenate([x for _, x in parts]).tolist() == lcp
 
 
+def test_induced_sort_is_bounded(monkeypatch):
+    """Many different names: little memory beyond the files, and few files open at once."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng, fan, merge = np.random.default_rng(5), [], induced_sort.heapq.merge
+    codes = rng.integers(1, 60, 20000).astype(np.uint16)
+    codes[199::200] = 0
+    monkeypatch.setattr(induced_sort, "BLOCK", 64)
+    monkeypatch.setattr(induced_sort.heapq, "merge", lambda *runs: fan.append(len(runs)) or merge(*runs))
+    space = induced_sort.Space(4096)
+    tracemalloc.start()
+    try:
+        assert sum(len(p) for p, _ in induced_sort.sort_suffixes(codes, space)) == len(codes)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        space.close()
+    assert max(fan) <= 64 and peak < 1_000_000
+
+
 # ---- byte-level BPE ----------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
