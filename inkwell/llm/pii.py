@@ -112,7 +112,9 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     order = Window.partitionBy("_k1", "_k2").orderBy("start", F.col("base").desc(), "kind")
     strong = F.col("base") & F.col("ok")
     before = F.max(F.when(strong, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(strong, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    # The same order from its end: a frame that ends unbounded is computed anew for every row.
+    turned = Window.partitionBy("_k1", "_k2").orderBy(F.col("start").desc(), "base", F.col("kind").desc())
+    after = F.min(F.when(strong, F.col("start"))).over(turned.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("before", before).withColumn("after", after)
     free = (F.coalesce(F.col("before"), F.lit(-1)) <= F.col("start")) & (F.coalesce(F.col("after"), F.col("end")) >= F.col("end"))
     m, ctx, digits = F.col("m"), F.col("ctx"), _digits(F.col("m"))

@@ -508,6 +508,24 @@ def test_pii_added_spans_leave_clean_text_alone(spark):
     assert all(out[100 + i] == ["phone_national", "email_spelled"] for i in range(50))
 
 
+def test_pii_many_spans_stay_linear(spark, capsys):
+    """No window frame ends unbounded, and candidates among very many base spans are judged as by a plain scan."""
+    text = " ".join(["1.2.3.4 743-555-3824", "a@b.co1.2.3.4", "+1 743-555-3824 x"] * 300)
+    df = spark.createDataFrame([(1, text), (2, text[:500])], "doc_id long, text string")
+    found = pii.spans(df)
+    found.explain(True)
+    assert "unboundedfollowing" not in capsys.readouterr().out.lower()
+    rows = collections.defaultdict(list)
+    for r in found.collect():
+        rows[r["_k1"], r["_k2"]].append(r)
+    assert len(rows) == 2
+    for spans in rows.values():
+        base = [(r.start, r.end) for r in spans if r.base and r.ok]
+        assert len(base) > 10 and {r.open for r in spans if not r.base} == {True, False}
+        for r in spans:
+            assert r.open == (not r.base and not any(a < r.end and r.start < b for a, b in base))
+
+
 # ---- SimHash -----------------------------------------------------------------------------------
 
 def brute_fingerprint(text):
