@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import byte_bpe, exact_dedup, line_dedup, mixing, pii, quality, simhash, suffix_dedup, url_filters, warc
+from inkwell.llm import (byte_bpe, exact_dedup, fim, gam, line_dedup, mixing, pii, quality, simhash, suffix_dedup, url_filters,
+                         vector_codes, warc)
 from inkwell.llm.common import read_table
 from inkwell.session import scratch_dir
 
@@ -253,3 +254,83 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, s: acc + s["hi"] - s["lo"])
     return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_quality_gam")
+def op11_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = gam.fit(docs, read_table(spark, sf_dir, "labels"))
+    return gam.score_documents(docs, model).select(F.col("row.doc_id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+OP12_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS sha FROM documents),
+u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[ \\t-\\r]*[^ \\t-\\r]+|[ \\t-\\r]+') AS w,
+         CAST('0x' || sha[1:8] AS BIGINT) AS h1, CAST('0x' || sha[9:16] AS BIGINT) AS h2,
+         CAST('0x' || sha[17:24] AS BIGINT) AS h3, CAST('0x' || sha[25:32] AS BIGINT) AS h4 FROM d),
+f AS (
+  SELECT doc_id, t, w, CAST(len(w) AS BIGINT) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a,
+         greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (
+  SELECT *, array_to_string(w[1:a], '') AS pre, array_to_string(w[a + 1:b], '') AS mid, array_to_string(w[b + 1:], '') AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query("op12_fill_in_middle", OP12_SQL)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Every round is an assignment of all parts and a new codebook; distances are exact in doubles."""
+    sql = """
+WITH kept AS (
+  SELECT vec_id, label, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS u FROM kept, range(0, 4) r(p)),
+book0 AS MATERIALIZED (
+  SELECT p, e, u FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM parts) WHERE e < 256),"""
+    for k in range(rounds + 1):
+        sql += f"""
+near{k} AS MATERIALIZED (
+  SELECT vec_id, p, any_value(a.u) AS u, min(CAST(list_inner_product(a.u, a.u) - 2 * list_inner_product(a.u, c.u)
+         + list_inner_product(c.u, c.u) AS BIGINT) * 256 + e) AS m
+  FROM parts a JOIN book{k} c USING (p) GROUP BY vec_id, p),"""
+        if k < rounds:
+            sql += f"""
+mean{k} AS (
+  SELECT p, e, list(x ORDER BY i) AS u FROM (
+    SELECT p, m % 256 AS e, i, floor(sum(u[i]) / count(*)) AS x FROM near{k}, unnest(range(1, len(u) + 1)) t(i) GROUP BY p, m % 256, i)
+  GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(n.u, b.u) AS u FROM book{k} b LEFT JOIN mean{k} n USING (p, e)),"""
+    return sql + f"""
+found AS (
+  SELECT vec_id, string_agg(printf('%02x', m % 256), '' ORDER BY p) AS code, CAST(sum(m // 256) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id),
+sha AS (
+  SELECT sha256(string_agg(array_to_string([CAST(CAST(x AS BIGINT) AS VARCHAR) FOR x IN u], ','), ',' ORDER BY p, e)) AS codebooks_sha256
+  FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM found JOIN kept USING (vec_id), sha
+"""
+
+
+@query("op13_vector_codes", _codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress_vectors(read_table(spark, sf_dir, "embeddings"), carry=["vec_id", "label"])
+    return vector_codes.with_label_error(codes, F.col("row.label")) \
+        .select(F.col("row.vec_id").alias("vec_id"), "code", "error", "label_error", F.lit(vector_codes.codebooks_digest(books)).alias("codebooks_sha256"))
