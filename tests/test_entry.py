@@ -3,7 +3,7 @@
 import __spark_entry__ as E
 
 # Not SQL: checked against brute force in the tests of their subpackage, if it is there.
-NO_ORACLE = {"op2_suffix_dedup", "op4_byte_bpe", "op5_quality", "op8_pii", "op9_simhash", "pipeline"}
+NO_ORACLE = {"op2_suffix_dedup", "op4_byte_bpe", "op5_quality", "op8_pii", "op9_simhash", "op11_quality_gam", "pipeline"}
 
 
 def test_entry_runs(spark):
@@ -45,3 +45,14 @@ def test_scratch_folders_can_be_dropped(spark):
     path = scratch_dir(spark, "x").replace("file:", "")
     assert os.path.isdir(path)
     assert drop_scratch(spark) >= 1 and not os.path.exists(path)
+
+
+def test_a_missing_library_costs_only_the_optional_queries(monkeypatch):
+    import sys
+
+    import pytest
+
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)  # importing it now raises ImportError
+    with pytest.warns(UserWarning, match="no training-data queries"):
+        names = set(E.queries())
+    assert "rss_items" in names and not any(n.startswith("op1") for n in names)
