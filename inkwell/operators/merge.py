@@ -10,6 +10,8 @@ a NULL url never conflict and are only ever added.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,7 +117,7 @@ def batch_changes(target: DataFrame, batch: DataFrame, run_ts, order: list[Colum
     """The rows an upsert writes: the batch's newest row per url and its NULL-url
     rows, with the id and ``created_at`` of the url in ``target``, or new ones.
 
-    Only (url, id, created_at) of the table are read.  The join runs once, under
+    Only (url, id, created_at) of ``target`` are used.  The join runs once, under
     a checkpoint; new ids are dense in (NULL urls last, url, row digest) order, so
     no article body is part of a sort key.
     """
@@ -176,75 +178,120 @@ def upsert_counts(target: DataFrame, batch: DataFrame) -> DataFrame:
     return metrics.unionByName(total)
 
 
-SNAPSHOT, DELTA = "snapshot-", "delta-"
+SNAPSHOT, DELTA, LEDGER = "snapshot-", "delta-", "ledger-"
 MAX_DELTAS = 16
 
 
-def _parts(spark, table_dir: str) -> tuple[str | None, list[str], int]:
-    """Newest complete snapshot, the complete deltas after it, and the last number used.
+class ConcurrentWrite(RuntimeError):
+    """Another writer committed to the table between this run's read and its write."""
+
+
+def _stream_key(stream: str) -> str:
+    return hashlib.md5(stream.encode()).hexdigest()
+
+
+def _listed(spark, table_dir: str) -> tuple[dict, dict, set]:
+    """Committed parts by number: snapshots, deltas -> (folder name, stream key, batch), ledgers.
 
     A part counts once Spark has committed it (``_SUCCESS``), so a crashed write is
-    invisible; its number is written again.
+    invisible; its number is used again.
     """
     from inkwell.sinks.files import _fs
 
     fs, root, _ = _fs(spark, table_dir)
-    if not fs.exists(root):
-        return None, [], 0
-    done = {}
-    for st in fs.listStatus(root):
+    snapshots, deltas, ledgers = {}, {}, set()
+    for st in fs.listStatus(root) if fs.exists(root) else []:
         name = st.getPath().getName()
-        for kind in (SNAPSHOT, DELTA):
-            if name.startswith(kind) and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                done.setdefault(kind, []).append(int(name[len(kind):]))
-    base = max(done.get(SNAPSHOT, [-1]))
-    deltas = sorted(n for n in done.get(DELTA, []) if n > base)
-    last = max([base, *deltas, 0])
-    return (f"{table_dir}/{SNAPSHOT}{base:08d}" if base >= 0 else None), [f"{table_dir}/{DELTA}{n:08d}" for n in deltas], last
+        m = re.fullmatch(f"({SNAPSHOT}|{DELTA}|{LEDGER})([0-9]+)(?:[.]([0-9a-f]{{32}})[.]([0-9]+))?", name)
+        if not m or not fs.exists(st.getPath().suffix("/_SUCCESS")):
+            continue
+        n = int(m[2])
+        if m[1] == SNAPSHOT:
+            snapshots[n] = name
+        elif m[1] == LEDGER:
+            ledgers.add(n)
+        else:
+            deltas[n] = (name, m[3], int(m[4]) if m[4] else None)
+    return snapshots, deltas, ledgers
 
 
-def read_news(spark, table_dir: str) -> DataFrame:
+def _parts(spark, table_dir: str) -> tuple[str | None, list[str], int]:
+    """Newest complete snapshot, the complete deltas after it, and the last number used."""
+    snapshots, deltas, _ = _listed(spark, table_dir)
+    base = max(snapshots, default=-1)
+    after = sorted(n for n in deltas if n > base)
+    return (f"{table_dir}/{snapshots[base]}" if base >= 0 else None), [f"{table_dir}/{deltas[n][0]}" for n in after], max([base, *after, 0])
+
+
+def read_ledger(spark, table_dir: str) -> dict[str, int]:
+    """Last batch that each stream has in the table, by stream key (one row per stream).
+
+    A delta's folder name carries its (stream, batch), so the entry is committed with the
+    rows; a snapshot's ledger is complete before the snapshot counts.
+    """
+    snapshots, deltas, ledgers = _listed(spark, table_dir)
+    base = max(snapshots, default=-1)
+    held = {}
+    if base in ledgers:
+        held = {r["stream"]: r["batch"] for r in spark.read.parquet(f"{table_dir}/{LEDGER}{base:08d}").collect()}
+    for n, (_, stream, batch) in deltas.items():
+        if n > base and stream is not None:
+            held[stream] = max(held.get(stream, -1), batch)
+    return held
+
+
+def read_news(spark, table_dir: str, columns: list[str] | None = None) -> DataFrame:
     """The stored table: the newest row per url, and every row with a NULL url.
 
-    Only rows of the deltas are grouped; the snapshot is anti-joined to their urls.
+    Only rows of the deltas are grouped; the snapshot is anti-joined to their urls.  With
+    ``columns`` nothing else is read, beside the url.
     """
     base, deltas, _ = _parts(spark, table_dir)
     table = spark.read.parquet(base) if base else empty_news(spark)
+    cols = columns or table.columns
+    need = [*cols, *(["url"] if "url" not in cols else [])]
     if not deltas:
-        return table
-    cols = table.columns
+        return table.select(*cols)
     tagged = None
     for i, path in enumerate(deltas):  # at most MAX_DELTAS
-        d = spark.read.parquet(path).withColumn("_d", F.lit(i))
+        d = spark.read.parquet(path).select(*need, F.lit(i).alias("_d"))
         tagged = d if tagged is None else tagged.unionByName(d)
-    row = F.struct(*cols)
+    row = F.struct(*need)
     newest = tagged.filter(F.col("url").isNotNull()).groupBy("url").agg(F.max_by(row, "_d").alias("_r")).select("_r.*")
     added = tagged.filter(F.col("url").isNull()).select(*cols)
-    kept = table.join(newest.select("url"), "url", "left_anti").select(*cols)
-    return kept.unionByName(newest).unionByName(added)
+    kept = table.select(*need).join(newest.select("url"), "url", "left_anti").select(*cols)
+    return kept.unionByName(newest.select(*cols)).unionByName(added)
 
 
 def upsert_into(spark, table_dir: str, batch: DataFrame, run_ts, order: list[Column] | None = None,
-                max_deltas: int = MAX_DELTAS, number: int | None = None) -> dict:
+                max_deltas: int = MAX_DELTAS, number: int | None = None, stream: str = "") -> dict:
     """SNK-4 against a stored table: append one delta of the batch's size.
 
-    A run reads the table's narrow columns and writes only what the batch holds,
-    whatever the size of the table.  Beyond ``max_deltas`` deltas the table is
-    compacted.  ``number`` names the delta (a stream's batch id + 1): one that is
-    already in the table is a replay and writes nothing.  Returns A-5: ``input_rows``
-    (what the reference returns), ``inserted`` and ``updated``.
+    A run reads the table's (url, id, created_at) and writes only what the batch holds,
+    whatever the size of the table.  Beyond ``max_deltas`` deltas the table is compacted.
+
+    ``stream`` and ``number`` name a stream's batch (numbers of one stream ascend): one that the
+    table's ledger holds is a replay and writes nothing.  Batch loads and any number of
+    streams may take turns on one table; a stream that starts afresh needs a new name, such as
+    the id that its checkpoint keeps.  Writers take turns: if another one commits
+    meanwhile, this run raises ``ConcurrentWrite`` and writes nothing, and may be
+    repeated.  Returns A-5: ``input_rows`` (what the reference returns), ``inserted`` and
+    ``updated``.
     """
     from inkwell.session import checkpoint_root
 
     checkpoint_root(spark)
-    _, _, last = _parts(spark, table_dir)
-    if number is not None and number <= last:
+    if number is not None and number <= read_ledger(spark, table_dir).get(_stream_key(stream), -1):
         return {"input_rows": batch.count(), "inserted": 0, "updated": 0}
+    last = _parts(spark, table_dir)[2]
     batch = batch.checkpoint(eager=True)
-    current = read_news(spark, table_dir)
+    current = read_news(spark, table_dir, ["id", "url", "created_at"])
     max_id = current.agg(F.max("id")).first()[0] or 0
     changes = batch_changes(current, batch, run_ts, order, max_id).checkpoint(eager=True)
-    changes.write.mode("overwrite").parquet(f"{table_dir}/{DELTA}{number or last + 1:08d}")
+    if _parts(spark, table_dir)[2] != last:
+        raise ConcurrentWrite(f"{table_dir} has changed since this run read it")
+    name = f"{DELTA}{last + 1:08d}" + (f".{_stream_key(stream)}.{number}" if number is not None else "")
+    changes.write.mode("overwrite").parquet(f"{table_dir}/{name}")
     counts = changes.agg(F.count_if(F.col("id") > max_id).alias("i"), F.count(F.lit(1)).alias("n")).first()
     if len(_parts(spark, table_dir)[1]) > max_deltas:
         compact(spark, table_dir)
@@ -252,14 +299,18 @@ def upsert_into(spark, table_dir: str, batch: DataFrame, run_ts, order: list[Col
 
 
 def compact(spark, table_dir: str) -> None:
-    """Fold snapshot and deltas into a new snapshot, then delete the old parts."""
+    """Fold snapshot, deltas and ledger into a new snapshot, then delete the old parts."""
     from inkwell.sinks.files import delete_path
 
     base, deltas, last = _parts(spark, table_dir)
     if not deltas:
         return
+    ledgers = _listed(spark, table_dir)[2]
+    held = read_ledger(spark, table_dir)
+    spark.createDataFrame(list(held.items()), "stream string, batch long").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{table_dir}/{LEDGER}{last:08d}")
     read_news(spark, table_dir).write.mode("overwrite").parquet(f"{table_dir}/{SNAPSHOT}{last:08d}")
-    for old in [*deltas, *([base] if base else [])]:
+    for old in [*deltas, *([base] if base else []), *(f"{table_dir}/{LEDGER}{n:08d}" for n in ledgers if n != last)]:
         delete_path(spark, old)
 
 

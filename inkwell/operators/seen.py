@@ -49,11 +49,18 @@ def drop_recently_seen(cand: DataFrame, seen: DataFrame, keys: list[str], ts_col
 
 
 def advance_seen(seen: DataFrame | None, accepted: DataFrame, keys: list[str], ts_col: str,
-                 seen_ts: str = "last_accept_at") -> DataFrame:
-    """SNK-6: new state = latest accepted time per key (old state included)."""
+                 seen_ts: str = "last_accept_at", expired: Column | None = None) -> DataFrame:
+    """SNK-6: new state = latest accepted time per key (old state included).
+
+    Marks at or before ``expired`` (the run time less the TTL) can suppress nothing any
+    more and are left out, so the state follows the last TTL.  ``seen_state`` keeps the
+    same marks as a stored table that a run only appends to.
+    """
     new = accepted.select(*keys, F.col(ts_col).cast("timestamp").alias(seen_ts))
     if seen is not None:
         new = seen.select(*keys, F.col(seen_ts).cast("timestamp").alias(seen_ts)).unionByName(new)
+    if expired is not None:
+        new = new.filter(F.col(seen_ts) > expired)
     return new.groupBy(*keys).agg(F.max(seen_ts).alias(seen_ts))
 
 

@@ -218,7 +218,7 @@ def iso_dates(spark, sf):
 
 
 # ------------------------------------------------------- ST-1 (late rows)
-_FIRST = "(SELECT * FROM events WHERE event_id % 10 <> 0)"
+_FIRST = "(SELECT * FROM events WHERE event_id IS NULL OR event_id % 10 <> 0)"
 
 
 @query(
@@ -244,6 +244,6 @@ def stream_late_rows(spark, sf):
         stream = spark.readStream.schema(ev.schema).parquet(land)
         return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
 
-    late = F.col("event_id") % 10 == 0
+    late = F.coalesce(F.col("event_id") % 10 == 0, F.lit(False))
     q_stream._run_in_drops([ev.filter(~late), ev.filter(late)], land, "parquet", start)
     return spark.read.parquet(out + "_late").select("event_id", "reason")

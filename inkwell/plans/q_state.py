@@ -8,6 +8,8 @@ are scraped items / row errors.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import functions as F
 
 from inkwell.operators import merge as M
@@ -66,6 +68,28 @@ def ttl_throttle_hot_keys(spark, sf):
     return out.select("event_id", "user_id", "event_type")
 
 
+@query(
+    "seen_state_table",
+    _TTL_SQL.replace("SELECT event_id, user_id, event_type FROM r WHERE acc",
+                     "SELECT user_id, event_type, strftime(make_timestamp(last_t), '" + TS_SQL_FMT + "') AS last_accept_at FROM r "
+                     "WHERE acc AND last_t > (SELECT max(t) FROM e) - 86400000000"),
+)
+def seen_state_table(spark, sf):
+    """Three runs over the events against a stored state: what is left are the marks of the last 24 hours."""
+    from inkwell.operators import seen_state as SS
+    from inkwell.session import scratch_dir
+
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    state, keys = scratch_dir(spark, "seen_state") + "/marks", ["user_id", "event_type"]
+    bounds = [F.lit(b).cast("timestamp_ntz") for b in ("2024-01-11 00:00:00", "2024-01-21 00:00:00")]
+    ts = F.col("ts")
+    for k, run in enumerate((ts < bounds[0], (ts >= bounds[0]) & (ts < bounds[1]), ts.isNull() | (ts >= bounds[1]))):
+        SS.throttle_run(spark, ev.filter(run), state, keys, "ts", f"run{k}", 86400, tiebreak="event_id")
+    newest = ev.agg(F.max("ts")).first()[0]
+    marks = SS.live_marks(spark, state, ev, keys, newest - _dt.timedelta(days=1))
+    return marks.select("user_id", "event_type", F.date_format("last_accept_at", TS_FMT).alias("last_accept_at"))
+
+
 # ----------------------------------------------------------- W-1, U-1
 def _doc_items(spark, sf, version: int):
     d = table(spark, sf, "documents")
@@ -115,12 +139,13 @@ RUN1, RUN2 = "2025-06-01 12:00:00", "2025-06-02 12:00:00"
 # Every seventh article of either run has no url: it never conflicts.
 def _run_batch(spark, sf, version: int):
     items = _doc_items(spark, sf, version).withColumn("url", F.when(F.col("doc_id") % 7 != 0, F.col("url")))
-    first = F.col("category").isin("en", "de")
-    return items.filter(first if version == 1 else ~first | (F.col("category") == "en"))
+    lang = F.coalesce("category", F.lit(""))  # a NULL language is one of the others
+    first = lang.isin("en", "de")
+    return items.filter(first if version == 1 else ~first | (lang == "en"))
 
 
 def _batch_sql(version: int) -> str:
-    langs = "category IN ('en', 'de')" if version == 1 else "(category NOT IN ('en', 'de') OR category = 'en')"
+    langs = "category IN ('en', 'de')" if version == 1 else "(category IS NULL OR category NOT IN ('en', 'de') OR category = 'en')"
     return f"SELECT * REPLACE (CASE WHEN doc_id % 7 <> 0 THEN url END AS url) FROM ({_items_sql(version)}) WHERE {langs}"
 
 
@@ -185,6 +210,24 @@ def upsert_table(spark, sf):
     )
 
 
+def chain_sql(steps: list[tuple[str, str]]) -> str:
+    """The article table after upserting each (batch SQL, run time) in turn into an empty table."""
+    ctes = ["t0 AS (SELECT CAST(0 AS BIGINT) AS id, heading, content, author, date, category, url, processed_at, spider_name, "
+            f"TIMESTAMP '2000-01-01' AS created_at, TIMESTAMP '2000-01-01' AS updated_at FROM ({steps[0][0]}) LIMIT 0)"]
+    fields = "heading, content, author, date, category, url, processed_at, spider_name"
+    for k, (batch, ts) in enumerate(steps, 1):
+        ctes += [
+            f"b{k} AS (SELECT {fields} FROM ({batch}) WHERE url IS NULL UNION ALL SELECT {fields} FROM ({batch}) WHERE url IS NOT NULL "
+            "QUALIFY row_number() OVER (PARTITION BY url ORDER BY processed_at DESC) = 1)",
+            f"t{k} AS MATERIALIZED (SELECT t.id, {', '.join('b.' + f for f in fields.split(', '))}, t.created_at, TIMESTAMP '{ts}' AS updated_at "
+            f"FROM t{k - 1} t JOIN b{k} b ON t.url = b.url "
+            f"UNION ALL SELECT * FROM t{k - 1} t WHERE t.url IS NULL OR NOT EXISTS (SELECT 1 FROM b{k} b WHERE b.url = t.url) "
+            f"UNION ALL SELECT (SELECT coalesce(max(id), 0) FROM t{k - 1}) + row_number() OVER ({_ID_ORDER}) AS id, {fields}, "
+            f"TIMESTAMP '{ts}', TIMESTAMP '{ts}' FROM b{k} b WHERE NOT EXISTS (SELECT 1 FROM t{k - 1} t WHERE t.url = b.url))",
+        ]
+    return f"WITH {', '.join(ctes)} SELECT {_NEWS_COLS} FROM t{len(steps)}"
+
+
 @query(
     "upsert_counts",
     f"WITH b1 AS ({_newest_sql(1)}), d2 AS ({_newest_sql(2)}) "

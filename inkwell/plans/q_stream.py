@@ -27,7 +27,7 @@ def _chunk_filters(ts_col: str, bounds: list[str]):
     conds = [ts < lits[0]]
     for lo, hi in zip(lits, lits[1:]):
         conds.append((ts >= lo) & (ts < hi))
-    conds.append(ts >= lits[-1])
+    conds.append(ts.isNull() | (ts >= lits[-1]))  # the last drop takes every other row
     return conds
 
 
@@ -88,31 +88,18 @@ def stream_ttl_keyed_state(spark, sf):
 
 
 # ------------------------------------------------------------------ ST-3
-@query("stream_upsert", lambda: ORACLE["upsert_articles"])
-def stream_upsert(spark, sf):
-    """Each micro-batch is upserted as a delta of its own size.  The run time is
-    the noon after the newest ``processed_at`` of the batch, so it depends on the data and not on a
-    batch number, and a replayed batch writes the same rows again."""
-    land, ckpt = (scratch_dir(spark, n) for n in ("landing", "upsert_ckpt"))
-    table_dir = scratch_dir(spark, "news") + "/news"
-    drops = [
-        q_state._run_batch(spark, sf, 1).drop("doc_id"),
-        q_state._run_batch(spark, sf, 2).drop("doc_id"),
-    ]
+def _noon(rows):
+    """The noon of the newest ``processed_at``; None (the clock) if no row has one."""
+    return rows.agg(F.date_format(F.max("processed_at"), "yyyy-MM-dd 12:00:00")).first()[0]
 
-    def sink(batch, batch_id):
-        rows = M.to_load_rows(batch)
-        day = rows.agg(F.date_format(F.max("processed_at"), "yyyy-MM-dd 12:00:00")).first()[0]
-        if day is not None:
-            M.upsert_into(batch.sparkSession, table_dir, rows, day, number=batch_id + 1)
 
-    def start():
-        stream = spark.readStream.schema(ARTICLE).json(land)
-        return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
-                .trigger(availableNow=True).start())
+def _upsert_stream(spark, land: str, ckpt: str, sink):
+    stream = spark.readStream.schema(ARTICLE).json(land)
+    return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
+            .trigger(availableNow=True).start())
 
-    _run_in_drops(drops, land, "json", start)
-    t = M.read_news(spark, table_dir)
+
+def _news_rows(t):
     f = q_state.TS_FMT
     return t.select(
         "id", "url", "heading", "content", "author", F.date_format("date", "yyyy-MM-dd").alias("date"), "category",
@@ -121,6 +108,71 @@ def stream_upsert(spark, sf):
     )
 
 
+@query("stream_upsert", lambda: ORACLE["upsert_articles"])
+def stream_upsert(spark, sf):
+    """Each micro-batch is upserted as a delta of its own size.  So that the result is
+    fixed, the run time is taken from the data here and not from the clock."""
+    land, ckpt = (scratch_dir(spark, n) for n in ("landing", "upsert_ckpt"))
+    table_dir = scratch_dir(spark, "news") + "/news"
+    drops = [
+        q_state._run_batch(spark, sf, 1).drop("doc_id"),
+        q_state._run_batch(spark, sf, 2).drop("doc_id"),
+    ]
+    sink = SK.upsert_sink(table_dir, _noon)
+    _run_in_drops(drops, land, "json", lambda: _upsert_stream(spark, land, ckpt, sink))
+    return _news_rows(M.read_news(spark, table_dir))
+
+
+# Batch loads and two streams take turns on one table: (version of the items, languages, writer, run time).
+# The last group takes every other language, NULL included.
+_TURNS = [
+    (1, ["en", "de"], "load", "2025-06-01 12:00:00"),
+    (2, ["en"], "a", "2025-06-02 12:00:00"),
+    (1, ["fr"], "load", "2025-06-03 12:00:00"),
+    (2, None, "b", "2025-06-04 12:00:00"),
+    (1, ["en", "fr"], "a", "2025-06-05 12:00:00"),
+    (2, ["de"], "load", "2025-06-06 12:00:00"),
+]
+_NAMED = ["en", "de", "fr"]
+
+
+def _turn_sql(version: int, langs) -> str:
+    which = (f"category IN {tuple(langs)}".replace(",)", ")") if langs else f"(category IS NULL OR category NOT IN {tuple(_NAMED)})")
+    return (f"SELECT * REPLACE (CASE WHEN doc_id % 7 <> 0 THEN url END AS url) FROM ({q_state._items_sql(version)}) WHERE {which}")
+
+
+@query("interleaved_upserts", q_state.chain_sql([(_turn_sql(v, langs), ts) for v, langs, _, ts in _TURNS]))
+def interleaved_upserts(spark, sf):
+    """Batch loads and two streams take turns on one table, then both streams replay their last
+    batch, as after a crash between the sink's commit and the checkpoint's.  No
+    row is lost, and the replays write nothing."""
+    from inkwell.sinks.files import delete_path
+
+    root = scratch_dir(spark, "turns")
+    table_dir, clock, last = f"{root}/news", [], {}
+    sink = SK.upsert_sink(table_dir, lambda rows: clock[-1])
+
+    def catch_up(writer):
+        SK.run_available(lambda: _upsert_stream(spark, f"{root}/land_{writer}", f"{root}/ckpt_{writer}", sink))
+
+    for version, langs, writer, run_ts in _TURNS:
+        items = q_state._doc_items(spark, sf, version).withColumn("url", F.when(F.col("doc_id") % 7 != 0, F.col("url")))
+        lang = F.coalesce("category", F.lit(""))
+        items = items.filter(lang.isin(langs) if langs else ~lang.isin(_NAMED)).drop("doc_id")
+        clock.append(run_ts)
+        if writer == "load":
+            M.upsert_into(spark, table_dir, M.to_load_rows(items), run_ts, max_deltas=3)
+            continue
+        items.write.mode("append").json(f"{root}/land_{writer}")
+        catch_up(writer)
+        last[writer] = last.get(writer, -1) + 1
+    clock.append("2030-01-01 00:00:00")  # what a replay would leave behind
+    for writer, n in last.items():
+        delete_path(spark, f"{root}/ckpt_{writer}/commits/{n}")
+        catch_up(writer)
+    return _news_rows(M.read_news(spark, table_dir))
+
+
 # ------------------------------------------------------------- ST-4, ST-5
 def _windowed_counts(spark, sf, name: str, every: str, by: list[str], aggs, fmt: str):
     """Windowed counts with a watermark (update mode), kept in a table
@@ -181,7 +233,8 @@ def stream_landing(spark, sf):
 
     items = _items(spark, sf).drop("lang")
     land, arch, ckpt, out = (scratch_dir(spark, n) for n in ("landing", "archive", "landing_ckpt", "news_append"))
-    drops = [items.filter(F.col("category") == "en"), items.filter(F.col("category") != "en")]
+    english = F.coalesce("category", F.lit("")) == "en"
+    drops = [items.filter(english), items.filter(~english)]
 
     def start():
         stream = (spark.readStream.schema(ARTICLE).option("pathGlobFilter", "*.json")

@@ -3,12 +3,14 @@
 * Versioned state snapshots ``v=<batchId>`` (the micro-batch throttle's seen
   state): a version is complete once its ``_SUCCESS`` marker exists and readers
   take the highest complete version; a replayed batch rewrites its own version.
+* Upserts into the article table, each batch entered in the table's ledger.
 * Partition-merge tables for update-mode aggregates: a batch rewrites only the
   partitions (days) it touches.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,3 +89,25 @@ def partitioned_merge_sink(root: str, keys: list[str], part_col: str):
          .partitionBy(part_col).parquet(root))
 
     return run
+
+
+def upsert_sink(table_dir: str, run_ts: Callable[[DataFrame], object] | None = None, stream: str | None = None):
+    """ST-3: foreachBatch function that upserts article items into the stored table.
+
+    The batch is entered in the table's ledger under the query's own id, which its checkpoint
+    keeps over restarts (or under ``stream``).  A replayed batch writes
+    nothing, so the run time may be the clock; ``run_ts`` (rows -> time) replaces it.
+    """
+    from inkwell.operators import merge as M
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = stream or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not own:
+            raise ValueError("outside a streaming query the stream needs a name")
+        rows = M.to_load_rows(batch)
+        now = run_ts(rows) if run_ts else None
+        now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        M.upsert_into(spark, table_dir, rows, now, number=batch_id, stream=own)
+
+    return run

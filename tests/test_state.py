@@ -187,3 +187,109 @@ def test_compaction_and_replay(spark, tmp_dir):
     assert sorted(map(tuple, M.read_news(spark, path).collect())) == want and M._parts(spark, path)[1] == []
     os.makedirs(f"{path}/{M.DELTA}00000099")  # a write that crashed before its commit
     assert sorted(map(tuple, M.read_news(spark, path).collect())) == want
+
+
+def news(spark, path):
+    return sorted(map(tuple, M.read_news(spark, path).collect()), key=repr)
+
+
+def test_batch_loads_and_streams_share_a_table(spark, tmp_dir):
+    """A stream's first batches on a table that batch loads have filled are not taken for replays."""
+    import os
+
+    path = os.path.join(tmp_dir, "news")
+    for k in (1, 2):
+        M.upsert_into(spark, path, load(spark, range(k), f"l{k}-"), f"2025-06-0{k} 12:00:00")
+    for k in range(3):  # numbers 0..2 of each of two streams
+        for s in ("a", "b"):
+            got = M.upsert_into(spark, path, load(spark, [f"{s}{k}"], s, 3), "2025-06-03 12:00:00", number=k, stream=s, max_deltas=3)
+            assert got == {"input_rows": 1, "inserted": 1, "updated": 0}
+    M.upsert_into(spark, path, load(spark, [9], "late"), "2025-06-04 12:00:00", max_deltas=3)
+    want = news(spark, path)
+    assert {r[6] for r in want} == {"u0", "u1", "u9", *(f"u{s}{k}" for s in "ab" for k in range(3))}
+    assert sorted(r[0] for r in want) == list(range(1, 10))
+    for s in ("a", "b"):
+        for k in range(3):  # every replay, also of batches that compaction has folded away
+            assert M.upsert_into(spark, path, load(spark, [f"{s}{k}"], "again", 5), "2025-07-01 12:00:00", number=k, stream=s)["updated"] == 0
+    assert news(spark, path) == want
+    assert M.upsert_into(spark, path, load(spark, [1], "new"), "2025-07-02 12:00:00", number=0, stream="c")["updated"] == 1
+
+
+def test_a_crashed_snapshot_keeps_table_and_ledger(spark, tmp_dir):
+    import os
+
+    path = os.path.join(tmp_dir, "news")
+    M.upsert_into(spark, path, load(spark, range(3)), "2025-06-01 12:00:00", number=4, stream="s")
+    want = news(spark, path)
+    os.makedirs(f"{path}/{M.SNAPSHOT}00000001")  # compaction that crashed before its commit, with and without its ledger
+    assert news(spark, path) == want and M.upsert_into(spark, path, load(spark, [8]), "2025-06-02 12:00:00", number=4, stream="s")["inserted"] == 0
+    M.compact(spark, path)
+    assert news(spark, path) == want and list(M.read_ledger(spark, path).values()) == [4]
+    assert sum(d.startswith(M.LEDGER) for d in os.listdir(path)) == 1
+
+
+def test_a_second_writer_is_refused(spark, tmp_dir, monkeypatch):
+    import os
+
+    import pytest
+
+    path = os.path.join(tmp_dir, "news")
+    M.upsert_into(spark, path, load(spark, range(3)), "2025-06-01 12:00:00")
+    inner = M.batch_changes
+
+    def slow(*a, **k):  # another run commits while this one is at work
+        monkeypatch.setattr(M, "batch_changes", inner)
+        M.upsert_into(spark, path, load(spark, [7], "other"), "2025-06-01 13:00:00")
+        return inner(*a, **k)
+
+    monkeypatch.setattr(M, "batch_changes", slow)
+    with pytest.raises(M.ConcurrentWrite):
+        M.upsert_into(spark, path, load(spark, [7, 8], "mine"), "2025-06-01 14:00:00")
+    assert {r[6]: r[1] for r in news(spark, path)} == {"u0": "h0", "u1": "h1", "u2": "h2", "u7": "other7"}
+
+
+def test_upsert_reads_no_bodies_of_the_table(spark, tmp_dir):
+    import os
+
+    path = os.path.join(tmp_dir, "news")
+    for k in (1, 2, 3):
+        M.upsert_into(spark, path, load(spark, range(k)), f"2025-06-0{k} 12:00:00", max_deltas=1 if k == 2 else 9)
+    plan = M.read_news(spark, path, ["id", "url", "created_at"])._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in plan and "content" not in plan
+
+
+def marks_on_disk(spark, state):
+    return {(r["k"], r["last_accept_at"]) for r in spark.read.parquet(state).collect()}
+
+
+def test_seen_state_expires_and_is_pruned(spark, tmp_dir):
+    import os
+
+    from inkwell.operators import seen_state as SS
+
+    rnd, h = random.Random(5), dt.timedelta(hours=1)
+    rows = [(i, f"k{rnd.randrange(30)}" if i % 9 else None, T0 + dt.timedelta(minutes=rnd.randrange(60 * 24 * 12))) for i in range(500)]
+    rows += [(1000, "k1", None)]
+    df = spark.createDataFrame(rows, "event_id long, k string, ts timestamp_ntz")
+    state, got = os.path.join(tmp_dir, "marks"), set()
+    for d in range(0, 12, 4):
+        lo, hi = T0 + d * 24 * h, T0 + (d + 4) * 24 * h
+        run = df.filter((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi)) | (F.col("ts").isNull() if d == 8 else F.lit(False)))
+        for _ in range(1 if d != 4 else 2):  # a repeated run gives the same result
+            got |= {r["event_id"] for r in SS.throttle_run(spark, run, state, ["k"], "ts", f"run{d}", 86400, "event_id").collect()}
+        assert all(t > lo - 25 * h for _, t in marks_on_disk(spark, state))  # whole hours are dropped
+    want = {r["event_id"] for r in S.ttl_throttle(df, ["k"], "ts", 86400, "event_id").collect()}
+    assert got == want
+    live = SS.live_marks(spark, state, df, ["k"], T0 + 11 * 24 * h)
+    plan = live._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(hour" in plan and {r["last_accept_at"] for r in live.collect()} <= {t for _, _, t in rows}
+    assert SS.expire_marks(spark, state, "2026-01-01") > 0 and not [d for d in os.listdir(state) if d.startswith("hour=")]
+    assert SS.live_marks(spark, os.path.join(tmp_dir, "none"), df, ["k"], T0).isEmpty()
+
+
+def test_seen_frame_expires(spark):
+    old = spark.createDataFrame([("s", "a", T0 - dt.timedelta(days=2000)), ("s", "b", T0), ("s", "c", T0 + dt.timedelta(hours=1))],
+                                "source string, url string, last_accept_at timestamp")
+    new = old.limit(0).withColumnRenamed("last_accept_at", "ts")
+    left = S.advance_seen(old, new, ["source", "url"], "ts", expired=F.lit(T0))
+    assert [r["url"] for r in left.collect()] == ["c"]
