@@ -88,22 +88,25 @@ def expire_marks(spark, state_dir: str, now: str | _dt.datetime, ttl_seconds: in
 
 
 def throttle_run(spark, cand: DataFrame, state_dir: str, keys: list[str], ts_col: str, run_id: str,
-                 ttl_seconds: int = 86400, tiebreak: str | None = None, max_group: int = S.DEFAULT_MAX_GROUP) -> DataFrame:
+                 ttl_seconds: int = 86400, tiebreak: str | None = None, max_group: int = S.DEFAULT_MAX_GROUP,
+                 late_seconds: int = 3600) -> DataFrame:
     """One run against the stored state: J-2 on the live marks, W-3 among the run's own rows, then
-    SNK-6.  Returns the accepted rows.  Runs come in time order.  Hours expire by the run's oldest
-    row, so that the run can be replayed; candidates older than that come
-    too late for the state (the streaming sink keeps late rows apart).
+    SNK-6.  Returns the accepted rows.
+
+    Runs come in time order: a row may be ``late_seconds`` older than the newest row of earlier runs (the
+    streaming sink keeps later ones apart).  A mark that can suppress no such row is not
+    written; hours expire by the run's oldest row, so that the run can be replayed.
     """
     from inkwell.session import checkpoint_root
 
     checkpoint_root(spark)
-    span = cand.agg(F.min(F.col(ts_col).cast("timestamp_ntz")).alias("lo")).first()
-    fresh = cand
-    if span["lo"] is not None:
-        marks = live_marks(spark, state_dir, cand, keys, span["lo"] - _dt.timedelta(seconds=ttl_seconds), run_id)
-        fresh = S.drop_recently_seen(cand, marks, keys, ts_col, ttl_seconds)
+    at, kept = F.col(ts_col).cast("timestamp_ntz"), _dt.timedelta(seconds=ttl_seconds + late_seconds)
+    span = cand.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    if span["lo"] is None:  # no row has a time: all are accepted, and none leaves a mark
+        return cand
+    marks = live_marks(spark, state_dir, cand, keys, span["lo"] - _dt.timedelta(seconds=ttl_seconds), run_id)
+    fresh = S.drop_recently_seen(cand, marks, keys, ts_col, ttl_seconds)
     accepted = S.ttl_throttle(fresh, keys, ts_col, ttl_seconds, tiebreak, max_group).checkpoint(eager=True)
-    add_marks(accepted, state_dir, keys, ts_col, run_id)
-    if span["lo"] is not None:
-        expire_marks(spark, state_dir, span["lo"], ttl_seconds)
+    add_marks(accepted.filter(at > F.lit(span["hi"] - kept)), state_dir, keys, ts_col, run_id)
+    expire_marks(spark, state_dir, span["lo"], ttl_seconds + late_seconds)
     return accepted
