@@ -16,6 +16,7 @@ feed several outputs are persisted by the caller (or checkpointed) once.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -41,6 +42,8 @@ class RunOutputs:
     rejected: DataFrame
     seen: DataFrame
     counts: DataFrame
+    marks: DataFrame
+    dropped: DataFrame
 
 
 def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame | None = None,
@@ -73,8 +76,9 @@ def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame |
         found = linked
     if materialize and seen is not None:  # else it is a projection of the stored entries
         found = found.checkpoint(eager=True)
-    # F-4 (offsite) and F-6 (one request per canonical url, earliest entry wins).
-    onsite = found.filter(U.in_domain(U.host(F.col("link")), domains_for(F.col("source"), sources, default)))
+    # F-4 (offsite; a link without a host is) and F-6 (one request per canonical url, earliest entry wins).
+    allowed = F.coalesce(U.in_domain(U.host(F.col("link")), domains_for(F.col("source"), sources, default)), F.lit(False))
+    onsite = found.filter(allowed)
     keyed = onsite.withColumn("_canon", F.coalesce(U.canonical_url(F.col("link")), F.col("link"))).withColumn(
         "_order", F.struct("feed_no", "item_pos"))
     requests = S.dedupe_requests(keyed, ["source", "_canon"], "_order").drop("_canon", "_order")
@@ -91,9 +95,48 @@ def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame |
     accepted, rejected = V.validate(articles, now.cast("timestamp_ntz"), spider_col=F.col("source"))
     # SNK-6: mark the final url and the requested link (D-6), rejected ones too (D-5).
     marks = articles.select("source", "url").unionByName(articles.select("source", F.col("link").alias("url")))
-    new_seen = S.advance_seen(seen, marks.withColumn("ts", now).filter(F.col("url").isNotNull()), ["source", "url"], "ts")
+    marks = marks.filter(F.col("url").isNotNull()).withColumn("ts", now)
+    new_seen = S.advance_seen(seen, marks, ["source", "url"], "ts", expired=now - F.make_dt_interval(secs=F.lit(ttl_seconds)))
     counts = run_counts(entries, found, requests, articles, errors, accepted, rejected)
-    return RunOutputs(entries, requests.drop("_feed_text"), articles, accepted, rejected, new_seen, counts)
+    dropped = run_dropped(entries, linked, found, found.filter(~allowed), requests, extracted)
+    return RunOutputs(entries, requests.drop("_feed_text"), articles, accepted, rejected, new_seen, counts, marks, dropped)
+
+
+def run_dropped(entries, linked, found, offsite, requests, extracted) -> DataFrame:
+    """Every entry that yields neither an article nor an error row, with the reason (F-1, F-2, F-4, F-6, F-5 / J-1).
+
+    Only entry keys and links are compared; nothing is computed unless the frame is read.
+    """
+    key = ["source", "feed_no", "item_pos"]
+
+    def why(df, reason):
+        return df.select(*key, "link", F.lit(reason).alias("reason"))
+
+    def missing(df, later):
+        ids = later.select(*[F.col(k).alias(f"_k_{k}") for k in key])
+        return df.join(ids, S._same(df, ids, key), "left_anti")
+
+    onsite = missing(found, offsite)
+    parts = [why(entries.filter(~F.col("_has_link")), "no link"), why(missing(linked, found), "seen"), why(offsite, "offsite"),
+             why(missing(onsite, requests), "repeated request"), why(missing(requests, extracted), "no usable page")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def crawl_with_state(spark, feeds: DataFrame, pages: DataFrame, run_ts: str, state_dir: str, ttl_seconds: int = 86400, **kw) -> RunOutputs:
+    """Entry A against the stored seen state: reads the marks that are alive, appends the
+    run's own and deletes the hours that have expired.  A repeated run (same ``run_ts``) gives the same result."""
+    from inkwell.operators import seen_state as SS
+
+    at = SS.as_time(run_ts)
+    like = spark.createDataFrame([], "source string, url string")
+    seen = SS.live_marks(spark, state_dir, like, ["source", "url"], at - _dt.timedelta(seconds=ttl_seconds), but_run=run_ts)
+    out = crawl_run(feeds, pages, run_ts, seen=seen, ttl_seconds=ttl_seconds, **kw)
+    SS.add_marks(out.marks, state_dir, ["source", "url"], "ts", run_ts)
+    SS.expire_marks(spark, state_dir, at, ttl_seconds)
+    return out
 
 
 def run_counts(entries, found, requests, articles, errors, accepted, rejected) -> DataFrame:

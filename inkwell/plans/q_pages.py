@@ -132,3 +132,30 @@ def canonical_urls(spark, sf):
     return pages.groupBy("canonical_url").agg(
         F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("n_requests")
     )
+
+
+# Links as feeds spell them: (what precedes the page id, what follows it, expected host, expected canonical form around the id).
+_FORMS = [
+    ("HTTP://Images_X.Example.com/a|b/", " c[1]", "images_x.example.com", "http://images_x.example.com/a%7Cb/", "%20c%5B1%5D"),
+    ("https://user:pw@News.example.com:8080/%zz/%7e%2f/", "?b=%e9&a=1 2", "news.example.com", "https://user:pw@news.example.com:8080/%25zz/~%2F/", "?a=1+2&b=%E9"),
+    ("  https://news.example.com?q=", "&&b#x|y", "news.example.com", "https://news.example.com/?b&q=", None),
+    ("https://[2001:DB8::1]:443/é/", "/日本?ü=%20", "[2001:db8::1]", "https://[2001:db8::1]:443/%C3%A9/", "/%E6%97%A5%E6%9C%AC?%C3%BC=+"),
+    ("//cdn.example.com/", "", "cdn.example.com", None, None),
+    ("/story/", "?a^b", None, None, None),
+    ("mailto:desk", "@example.com", None, None, None),
+]
+
+
+@query(
+    "url_forms",
+    "SELECT page_id, form, CASE form " + " ".join(f"WHEN {i} THEN {repr(h) if h else 'NULL'}" for i, (_, _, h, _, _) in enumerate(_FORMS))
+    + " END AS host, CASE form " + " ".join(
+        f"WHEN {i} THEN '{a}' || page_id" + (f" || '{b}'" if b else "") if a else f"WHEN {i} THEN NULL" for i, (_, _, _, a, b) in enumerate(_FORMS))
+    + f" END AS canonical FROM pages, range(0, {len(_FORMS)}) r(form)",
+)
+def url_forms(spark, sf):
+    """Spellings that a strict parser refuses keep their host and get one canonical form."""
+    pid = F.col("page_id").cast("string")
+    links = F.array(*[F.concat(F.lit(a), pid, F.lit(b)) for a, b, _, _, _ in _FORMS])
+    pages = table(spark, sf, "pages", cores(spark)).select("page_id", F.posexplode(links).alias("form", "link"))
+    return pages.select("page_id", F.col("form").cast("long").alias("form"), U.host(F.col("link")).alias("host"), U.canonical_url(F.col("link")).alias("canonical"))

@@ -87,6 +87,28 @@ def test_canonical_url(spark):
     assert got == ["http://www.ex.com/a/b?a=2&z=1", "https://x.com/", None, "https://x.com/p?a=0&a=1&b=2"]
 
 
+def test_hosts_do_not_depend_on_a_strict_parser(spark):
+    from urllib.parse import urlsplit
+
+    odd = ["https://dawn.com/a|b", "https://images_x.dawn.com/a b", "https://dawn.com/[1]", "https://dawn.com/%zz", "http://u:p@Dawn.com:80",
+           "https://dawn.com", "https://dawn.com?x=//y.com/", "https://dawn.com#//y.com", "//dawn.com/a", "/a//b.com", "mailto:a@b.com", "", None,
+           "https://[::1]:80/x", "https:///x", "https://é.com/", " \thttps://da\nwn.com/ "]
+    want = [urlsplit(u.strip(" \t\n")).hostname if u is not None else None for u in odd]
+    want[13] = "[::1]"
+    assert col_values(spark, U.host, odd) == want
+
+
+def test_canonical_form_escapes_unsafe_bytes(spark):
+    got = col_values(spark, U.canonical_url, [
+        "https://x.com/a|b c[1]", "https://x.com/%zz%4a%2f%e9%", "https://x.com/é日?ü=1 2&b=%20", "HTTPS://x.com:/", "https://x.com/\U0001f600",
+        "  https://x.com/a\tb\n", "https://x.com/?&&b&a=2&a=1", "ftp:x", "https://x.com/a%20b#c d", "https://x.com/~!$&'()*+,;=:@-._"])
+    assert got == ["https://x.com/a%7Cb%20c%5B1%5D", "https://x.com/%25zzJ%2F%E9%25", "https://x.com/%C3%A9%E6%97%A5?%C3%BC=1+2&b=+",
+                   "https://x.com/", "https://x.com/%F0%9F%98%80", "https://x.com/ab", "https://x.com/?a=1&a=2&b", None,
+                   "https://x.com/a%20b", "https://x.com/~!$&'()*+,;=:@-._"]
+    again = col_values(spark, U.canonical_url, [g for g in got if g])
+    assert again == [g for g in got if g]  # the canonical form is its own
+
+
 # ---------------------------------------------------------- entry fields
 def test_author_detail_wins_even_without_name(spark):
     # P-2, case 13
