@@ -217,6 +217,35 @@ def iso_dates(spark, sf):
     return ev.select("event_id", ts_string(publish_ts(raw)).alias("published_at"))
 
 
+# Spellings: (format of the written time, what follows, hours that the written time is ahead, unit it is cut to).
+_SPELLINGS = [
+    ("EEE, dd MMM yyyy HH:mm", " +0000", 0, "minute"), ("EEE, dd MMM yy HH:mm:ss", " GMT", 0, "second"),
+    ("yyyyMMdd'T'HHmmss", "Z", 0, "second"), ("yyyy-MM-dd'T'HH:mm:ss", ",123+00:00", 0, "second"),
+    ("yyyy-MM-dd'T'HH:mm:ss", ".123456789Z", 0, "second"), ("yyyy-MM-dd'T'HH", "+05:00", 5, "hour"),
+    ("EEEE, dd-MMM-yy HH:mm:ss", " PKT", 5, "second"), ("EEE MMM d HH:mm:ss yyyy", "", 0, "second"),
+    ("dd MMMM yyyy", "", 0, "day"), ("d MMM yyyy HH:mm:ss", " -0330 (local time)", -3.5, "second"),
+    ("yyyyMMdd HHmm", "+0545", 5.75, "minute"), ("yyyy-MM-dd HH:mm", "-05", -5, "minute"),
+    ("EEE,dd MMM yyyy HH:mm:ss.SSS", " EST", -5, "millisecond"), ("yyyy-MM-dd'T'HH:mm:ss", "+05:30:15", 5 + 1815 / 3600, "second"),
+    ("yyyy-MM-30'T'HH:mm:ss", "+25:00", 0, None), ("EEE, 32 MMM yyyy HH:mm:ss", " GMT", 0, None),
+]
+
+
+@query(
+    "date_spellings",
+    f"SELECT event_id, strftime(CASE event_id % {len(_SPELLINGS)} " + " ".join(
+        f"WHEN {k} THEN date_trunc('{unit}', ts + to_seconds({round(h * 3600)})) - to_seconds({round(h * 3600)})" if unit else f"WHEN {k} THEN NULL"
+        for k, (_, _, h, unit) in enumerate(_SPELLINGS)) + " END, '%Y-%m-%d %H:%M:%S') AS published_at FROM events",
+)
+def date_spellings(spark, sf):
+    """Sixteen ways to write a publish date, two of which name no date."""
+    ev = table(spark, sf, "events")
+    raw = F.lit(None).cast("string")
+    for k, (fmt, tail, hours, _) in enumerate(_SPELLINGS):
+        at = F.col("ts").cast("timestamp") + F.make_dt_interval(secs=F.lit(round(hours * 3600)))
+        raw = F.when(F.col("event_id") % len(_SPELLINGS) == k, F.concat(F.date_format(at, fmt), F.lit(tail))).otherwise(raw)
+    return ev.select("event_id", ts_string(publish_ts(raw)).alias("published_at"))
+
+
 # ------------------------------------------------------- ST-1 (late rows)
 _FIRST = "(SELECT * FROM events WHERE event_id IS NULL OR event_id % 10 <> 0)"
 

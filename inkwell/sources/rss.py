@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.functions.dates import read_date
 from inkwell.functions.text import cdata, xml_escape, xml_safe
 from inkwell.schemas import RSS_DOC
 
@@ -52,7 +53,7 @@ def feed_entries(items: DataFrame) -> DataFrame:
         "author": F.col("author"),
         "author_detail": F.when(F.col("author").isNotNull(), F.struct(author_name(F.col("author")).alias("name"))),
         "published": F.col("pub_date"),
-        "published_parsed": F.lit(None).cast("timestamp"),
+        "published_parsed": read_date(F.col("pub_date")),
         "tags": F.transform(F.coalesce(F.col("categories"), F.array().cast("array<string>")), lambda c: F.struct(c.alias("term"))),
         "content": F.when(
             F.col("content_encoded").isNotNull(),

@@ -40,6 +40,33 @@ def test_publish_ts_spellings(spark):
     assert ext == ["2025-01-05 00:00:00"]
 
 
+def test_dates_against_python_readers(spark):
+    """Spellings that the feed parser or ``fromisoformat`` reads, and strings that name no date."""
+    from email.utils import parsedate_to_datetime
+
+    utc = dt.timezone.utc
+    iso = ["2025-06-03", "20250603", "2025-06-03T10", "2025-06-03T10:00", "2025-06-03 10:00:01", "20250603T100000Z", "20250603T1000+0500",
+           "2025-06-03T10:00:00,123+00:00", "2025-06-03T10:00:00.123456789", "2025-06-03T10+05:00", "2025-06-03T10:00:00.1-03:30",
+           "2025-W23-2", "2025W232T10:00", "2020-W53-7", "2025-W23", "2024-02-29T23:59:59+23:59", "2025-06-03T10:00:00+05:30:15"]
+    mail = ["Tue, 03 Jun 2025 14:30 +0000", "Tue, 03 Jun 25 14:30:00 GMT", "Tue, 3 Jun 2025 14:30:00 -0330", "03 Jun 2025 14:30:00 EST",
+            "Tue, 03 Jun 2025 14:30:00 +0500 (PKT)", "Tue, 03 Jun 2025 14:30:00 UT"]
+
+    def instant(t):
+        t = t if t.tzinfo else t.replace(tzinfo=utc)
+        return t.astimezone(utc).replace(tzinfo=None)
+
+    want = [instant(dt.datetime.fromisoformat(s)) for s in iso] + [instant(parsedate_to_datetime(s)) for s in mail]
+    rest = {"Tue Jun  3 14:30:00 2025": dt.datetime(2025, 6, 3, 14, 30), "Tue Jun 3 14:30:00 PDT 2025": dt.datetime(2025, 6, 3, 21, 30),
+            "Tuesday, 03-Jun-25 14:30:00 PKT": dt.datetime(2025, 6, 3, 9, 30), "3 June 95": dt.datetime(1995, 6, 3),
+            " 2025-06-03T10:00:00z\n": dt.datetime(2025, 6, 3, 10)}
+    bad = ["2025-02-30", "2025-13-01", "2025-06-03T24:00", "2025-06-03T10:60", "2025-W54-1", "2021-W53-1", "0000-01-01", "32 Jun 2025", "3 Jux 2025",
+           "3 June 2025 25:00", "2025-06-03T10:00:00+24:00", "2025-0603", "3 Junuary 2025", "2025", "", "x", None]
+    got = col_values(spark, lambda c: D.publish_ts(c).cast("timestamp_ntz"), iso + mail + list(rest) + bad)
+    assert got == want + list(rest.values()) + [None] * len(bad)
+    days = col_values(spark, D.literal_day, ["20250603T000000+0500", "3 Jun 25", "Tue Jun  3 14:30:00 2025", "2025-W23-2"])
+    assert days == [dt.date(2025, 6, 3)] * 4
+
+
 def test_unparsed_flag_keeps_row(spark):
     df = spark.createDataFrame([("January 05, 2025",), ("2024-01-15T12:00:00Z",), (None,)], "v string")
     flags = [r[0] for r in df.select(D.date_unparsed(F.col("v"), D.publish_ts(F.col("v")))).collect()]
