@@ -5,11 +5,16 @@ and styles go first; then the start and end tags of the container's element are
 listed, and a fold over them keeps the nesting depth and notes where each outermost
 matching element begins and ends.  The regions are cut out of the document by
 position, so the work is linear in its length.
+
+Rules without an element name, or with a path of child steps, list the tags of all elements and
+fold with a stack: each open element knows which steps lead to it and how many children of
+each step's name it has had, which decides positions such as ``div[2]``.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,6 +41,91 @@ def start_tag_re(rule: Container) -> str:
     return f"(?is)<({name})(?={_WS}){_EARLIER}[^<>=]*?(?<={_WS}){attr}{_WS}*={_WS}*{value}{ATTRS}>"
 
 
+# Elements without an end tag, and elements that end an open paragraph (HTML standard).
+_VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"]
+_ENDS_P = ["address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure",
+           "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "search",
+           "section", "summary", "table", "ul"]
+_ELEMENT = "struct<name:string,on:array<boolean>,had:array<int>>"
+_ANY_TAG = f"(?is)</?[a-z][a-z0-9:_-]*+(?:[^a-z0-9:_<>-]{ATTRS})?>"
+
+
+def path_steps(path: str | None) -> list[tuple[str, int | None]]:
+    """``section/div[1]`` -> [("section", None), ("div", 1)]."""
+    steps = [re.fullmatch("([A-Za-z][A-Za-z0-9]*)(?:\\[([1-9][0-9]*)\\])?", p) for p in (path.split("/") if path else [])]
+    if not all(steps):
+        raise ValueError(f"a path has steps like div or div[2]: {path}")
+    return [(m[1].lower(), int(m[2]) if m[2] else None) for m in steps]
+
+
+def element_regions(clean: Column, rule: Container) -> Column:
+    """Insides of the outermost elements that ``rule`` and its path lead to, whatever their names.
+
+    An open element is (name, which steps lead to it, children so far by the steps' names).  An end tag closes the
+    innermost open element of its name with all inside it, or nothing; a block element ends an open paragraph.
+    """
+    start, steps = start_tag_re(rule), path_steps(rule.path)
+    names = F.array(*[F.lit(n) for n, _ in steps]) if steps else F.array().cast("array<string>")
+    places = F.array(*[F.lit(k or 0) for _, k in steps]) if steps else F.array().cast("array<int>")
+    zeros = F.transform(names, lambda n: F.lit(0))
+    no_range = F.array().cast("array<struct<lo:int,hi:int>>")
+
+    def element(name, on, had):
+        return F.struct(name.alias("name"), on.alias("on"), had.alias("had"))
+
+    # The document itself is the lowest element of the stack, so that there is always a parent.
+    root = element(F.lit(""), F.transform(F.concat(names, F.array(F.lit(""))), lambda n: F.lit(False)), zeros)
+
+    def listed(tags):
+        gaps = F.call_function("split", clean, F.lit(_ANY_TAG), F.lit(-1))
+        return bind(gaps, lambda g: F.transform(tags, lambda t, i: F.struct(
+            F.length(F.get(g, i)).alias("gap"), F.length(t).alias("len"), t.startswith("</").alias("end"), t.endswith("/>").alias("empty"),
+            F.lower(F.regexp_extract(t, "^</?([A-Za-z][A-Za-z0-9:_-]*)", 1)).alias("name"), t.rlike(start).alias("match"))))
+
+    def state(pos, stack, lo, depth, found):
+        return F.struct(pos.alias("pos"), stack.alias("stack"), lo.alias("lo"), depth.alias("depth"), found.alias("found"))
+
+    def cut(s, left, at, pos):
+        """The state with the first ``left`` open elements; a region ends with its element."""
+        closes = (s["depth"] > 0) & (left < s["depth"])
+        return state(pos, F.slice(s["stack"], 1, left), s["lo"], F.when(closes, 0).otherwise(s["depth"]), F.when(
+            closes, F.concat(s["found"], F.array(F.struct(s["lo"].alias("lo"), at.alias("hi"))))).otherwise(s["found"]))
+
+    def begun(s, t, up):
+        leaf = t["empty"] | t["name"].isin(_VOID)
+        led = F.transform(names, lambda n, k: F.get(up["on"], k) & (n == t["name"]) & (
+            (F.get(places, k) == 0) | (F.get(places, k) == F.get(up["had"], k) + 1)))
+        had = F.zip_with(up["had"], names, lambda c, n: c + (n == t["name"]).cast("int"))
+        above = F.concat(F.slice(s["stack"], 1, F.size(s["stack"]) - 1), F.array(element(up["name"], up["on"], had)))
+        on = F.concat(F.array(t["match"]), led)
+        stack = F.concat(above, F.when(leaf, F.array().cast(f"array<{_ELEMENT}>")).otherwise(F.array(element(t["name"], on, zeros))))
+
+        def entered(stack):
+            opens = ~leaf & (s["depth"] == 0) & F.get(F.element_at(stack, -1)["on"], F.lit(len(steps)))
+            return state(s["pos"], stack, F.when(opens, s["pos"]).otherwise(s["lo"]),
+                         F.when(opens, F.size(stack)).otherwise(s["depth"]), s["found"])
+
+        return bind(stack, entered)
+
+    def step(s, t):
+        # How many open elements stay before the tag takes effect: an end tag closes its element, a block element a paragraph.
+        size = F.size(s["stack"])
+        back = F.array_position(F.reverse(F.transform(s["stack"], lambda e: e["name"])), t["name"]).cast("int")
+        ends_p = t["name"].isin(_ENDS_P) & (F.element_at(s["stack"], -1)["name"] == "p")
+        left = size - F.when(t["end"], back).otherwise(ends_p.cast("int"))
+        at = s["pos"] + t["gap"]
+        ready = bind(left, lambda n: cut(s, n, at, at + t["len"]))
+        return bind(ready, lambda r: F.when(t["end"], r).otherwise(bind(F.element_at(r["stack"], -1), lambda up: begun(r, t, up))))
+
+    def finish(s):
+        return F.when(s["depth"] > 0, F.concat(s["found"], F.array(F.struct(
+            s["lo"].alias("lo"), F.length(clean).alias("hi"))))).otherwise(s["found"])
+
+    init = state(F.lit(0), F.array(root), F.lit(0), F.lit(0), no_range)
+    ranges = bind(F.regexp_extract_all(clean, F.lit(_ANY_TAG), F.lit(0)), lambda tags: F.aggregate(listed(tags), init, step, finish))
+    return F.transform(ranges, lambda r: F.substr(clean, r["lo"] + 1, r["hi"] - r["lo"]))
+
+
 def container_regions(clean: Column, rule: Container) -> Column:
     """Insides of all outermost elements of a cleaned document that match ``rule``.
 
@@ -43,11 +133,7 @@ def container_regions(clean: Column, rule: Container) -> Column:
     reaches to the end, as in an HTML parser.
     """
     start = start_tag_re(rule)
-    if rule.tag:
-        any_tag = F.lit(f"(?is)</?{re.escape(rule.tag)}(?:[^A-Za-z0-9<>]{ATTRS})?>")
-    else:
-        name = F.regexp_extract(clean, start, 1)
-        any_tag = F.concat(F.lit("(?is)</?"), name, F.lit(f"(?:[^A-Za-z0-9<>]{ATTRS})?>"))
+    any_tag = F.lit(f"(?is)</?{re.escape(rule.tag)}(?:[^A-Za-z0-9<>]{ATTRS})?>")
 
     def listed(tags):
         gaps = F.call_function("split", clean, any_tag, F.lit(-1))
@@ -76,12 +162,23 @@ def container_regions(clean: Column, rule: Container) -> Column:
 
 
 def container_text(html: Column, rule: Container) -> Column:
-    """P-9: text nodes under the <p> elements of all matching containers; '' -> NULL."""
+    """P-9: text nodes under the <p> elements of all matching containers; '' -> NULL.
+
+    With a path, the text of the elements it leads to; where it finds no text, see ``Container``.
+    """
     start = start_tag_re(rule)
+    whole = replace(rule, path=None)
 
-    def from_clean(clean):
+    def paragraphs(clean):
+        regions = container_regions(clean, whole) if rule.tag else element_regions(clean, whole)
         # Each region ends its open paragraph, so regions do not run into each other.
-        text = clean_paragraphs_text(F.array_join(container_regions(clean, rule), "</p>"))
+        return clean_paragraphs_text(F.array_join(regions, "</p>"))
+
+    def named(clean):
+        return clean_paragraphs_text(F.concat(F.lit("<p>"), F.array_join(element_regions(clean, rule), "</p><p>"), F.lit("</p>")))
+
+    def from_clean(clean):
+        text = paragraphs(clean) if not rule.path else named(clean) if rule.strict else F.coalesce(named(clean), paragraphs(clean))
         return F.when(clean.rlike(start), text)
 
     return F.when(html.isNotNull(), bind(strip_invisible(html), from_clean))

@@ -77,8 +77,10 @@ def date_parts(raw: Column) -> Column:
     own: weekday, seconds, fraction, zone and century may be left out.  Two-digit years below 90 are in
     this century.
     """
-    s = py_strip(raw)
+    return bind(py_strip(raw), _stripped_parts)
+
 
+def _stripped_parts(s: Column) -> Column:
     def part(pattern, i):
         return F.nullif(F.regexp_extract(s, pattern, i), F.lit(""))
 
@@ -111,12 +113,12 @@ def publish_ts(raw: Column, parsed: Column | None = None, extended: bool = False
     ``parsed`` is the feed parser's own UTC timestamp when it exists (ladder
     step 1).  Every step yields NULL on bad input, never an error (V-2/V-3).
     """
-    s = py_strip(raw)
-    steps = [] if parsed is None else [parsed.cast("timestamp")]
-    steps += [read_date(raw), _try_ts(F.regexp_replace(s, _WEEKDAY_PREFIX, ""), RFC822_PATTERN)]
-    if extended:
-        steps.append(_try_ts(s, LONG_MONTH_PATTERN))
-    return F.coalesce(*steps)
+    def ladder(s):
+        steps = [read_date(s), _try_ts(F.regexp_replace(s, _WEEKDAY_PREFIX, ""), RFC822_PATTERN)]
+        return F.coalesce(*steps, *([_try_ts(s, LONG_MONTH_PATTERN)] if extended else []))
+
+    read = bind(py_strip(raw), ladder)
+    return read if parsed is None else F.coalesce(parsed.cast("timestamp"), read)
 
 
 def date_unparsed(raw: Column, ts: Column) -> Column:

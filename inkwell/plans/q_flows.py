@@ -186,6 +186,42 @@ def source_rules(spark, sf):
         "doc_id", "source", X.page_fallback_text(F.col("source"), F.col("html"), (DAWN, TRIBUNE)).alias("text"))
 
 
+def _positioned_page(h):
+    """The path's paragraphs, twice, amid decoys in every other position."""
+    w = lambda n: F.substring(h, n * 8 + 1, 8)
+    inner = '<div><div class="x"><div><span><p>no</p></span><b><span><p>no</p></span></b>'
+    return F.concat(
+        F.lit('<body><div id="main-section"><div><p>no</p></div><section><p>no<div><div><div><p>no</p></div></div></div></section>'
+              '<section data-x="/>"><br><div><div><div><div>' + inner + "<span><i>"), F.lit("</i><p>"), w(0), F.lit(" <b>"), w(1),
+        F.lit("</b><p>"), w(2), F.lit("</span><span><p>no</p></span></div></div></div></div></div><div><p>no</p></div></div>"
+                                      "<div><div><div><span><p>no</p></span></div></div></div></section></div>"),
+        F.lit("<section id=main-section><section><div><div><div><div>" + inner + "<span><p>"), w(3),
+        F.lit("</p><div><p>no</p></div></span></div></div></div></div></div></div></section></section></body>"))
+
+
+@query(
+    "container_path",
+    "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN substr(h, 1, 8) || ' ' || substr(h, 9, 8) WHEN doc_id % 4 = 1 THEN NULL "
+    "ELSE substr(h, 1, 8) || ' ' || substr(h, 9, 8) || ' ' || substr(h, 17, 8) || ' ' || substr(h, 25, 8) END AS text "
+    "FROM (SELECT doc_id, md5(text) AS h FROM documents)",
+)
+def container_path(spark, sf):
+    """Paragraphs at a path with positions, in all elements of the id; pages without the path give the
+    whole container, or nothing to a strict rule."""
+    from dataclasses import replace
+
+    from inkwell.functions.container import container_text
+
+    d = table(spark, sf, "documents", cores(spark)).select("doc_id", F.md5("text").alias("h"))
+    i = F.col("doc_id")
+    flat = F.concat(F.lit("<main id=main-section><div><p>"), F.substring("h", 1, 8), F.lit("</div></main><p>no<div id='main-section'><span><p>"),
+                    F.substring("h", 9, 8), F.lit("</p></span>"))
+    d = d.withColumn("html", F.when(i % 4 < 2, flat).otherwise(_positioned_page(F.col("h"))))
+    strict = replace(TRIBUNE.container, strict=True)
+    return d.select("doc_id", F.when(i % 2 == 1, container_text(F.col("html"), strict))
+                    .otherwise(container_text(F.col("html"), TRIBUNE.container)).alias("text"))
+
+
 # -------------------------------------------------------------------- P-8
 @query(
     "rare_references",

@@ -22,12 +22,18 @@ class Container:
     ``tag`` is the element name (None: any element); with ``attr`` set, the element must carry that
     attribute, and its value must contain ``needle`` (a substring test, like
     XPath ``contains(@class, ...)``) or equal it when ``exact`` is true.
+
+    ``path`` names the paragraphs below the container by child steps, ``div`` or ``div[2]`` (the
+    second ``div`` child).  Where the path leads nowhere in a page, all paragraphs of the container count,
+    unless ``strict``.
     """
 
     tag: str | None
     attr: str | None = None
     needle: str | None = None
     exact: bool = False
+    path: str | None = None
+    strict: bool = False
 
 
 @dataclass(frozen=True)
@@ -54,9 +60,7 @@ TRIBUNE = Source(
     allowed_domains=("tribune.com.pk",),
     feed_url="https://tribune.com.pk/feed/latest",
     base_url="https://tribune.com.pk",
-    # The reference addresses a fixed absolute path below #main-section; the
-    # container rule keeps any element with that id and all <p> inside it.
-    container=Container(None, "id", "main-section", exact=True),
+    container=Container(None, "id", "main-section", exact=True, path="section/div[1]/div/div[1]/div/div/div/div/span[2]/p"),
 )
 # Pages in the test tables keep the article body in <article>.
 EXAMPLE = Source(

@@ -204,3 +204,96 @@ def test_property_regex_equals_parser(spark, frags):
     df = spark.createDataFrame([(f,) for f in frags], "h string")
     for (got,), f in zip(df.select(T.paragraph_text(F.col("h"))).collect(), frags):
         assert got == twin(f), f
+
+
+class _Tree:
+    """Plain reading of the same pages: parents by a stack, steps by counting children."""
+
+    def __init__(self, html, steps):
+        import re
+
+        from inkwell.functions.container import _ENDS_P, _VOID
+
+        self.root = {"name": "", "kids": [], "text": [], "attrs": ""}
+        stack = [self.root]
+        for m in re.finditer(r"(</?)([a-z0-9]+)([^<>]*)>|([^<]+)", html):
+            if m[4]:
+                stack[-1]["kids"].append(m[4])
+                continue
+            name = m[2]
+            if m[1] == "</":
+                if name in [e["name"] for e in stack]:
+                    while stack.pop()["name"] != name:
+                        pass
+                continue
+            if name in _ENDS_P and stack[-1]["name"] == "p":
+                stack.pop()
+            e = {"name": name, "kids": [], "attrs": m[3]}
+            stack[-1]["kids"].append(e)
+            if name not in _VOID:
+                stack.append(e)
+        self.found = []
+        self.walk(self.root, steps)
+
+    def walk(self, e, steps):
+        for k in e["kids"]:
+            if isinstance(k, dict):
+                if "id=x" in k["attrs"]:
+                    self.follow(k, steps)
+                self.walk(k, steps)
+
+    def follow(self, e, steps):
+        if not steps:
+            self.found.append(e)
+            return
+        name, nth = steps[0]
+        same = [k for k in e["kids"] if isinstance(k, dict) and k["name"] == name]
+        for k in same if nth is None else same[nth - 1:nth]:
+            self.follow(k, steps[1:])
+
+    def words(self):
+        def text(e):
+            return [w for k in e["kids"] for w in (k.split() if isinstance(k, str) else text(k))]
+
+        return sorted(w for e in self.found for w in text(e))
+
+
+def test_container_paths_against_a_tree(spark):
+    import random
+
+    from inkwell.functions.container import container_text, path_steps
+    from inkwell.registry import Container
+
+    rng = random.Random(9)
+    path = "div[2]/span/p"
+
+    def page(depth=0):
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            name = rng.choice(["div", "div", "span", "span", "p", "b", "br"])
+            attrs = " id=x" if name == "div" and rng.random() < 0.3 else ""
+            out.append(f"<{name}{attrs}>" if rng.random() > 0.05 else f"</{name}>")
+            out.append(f"w{rng.randint(0, 9999)}" if rng.random() < 0.6 else "")
+            if name != "br" and depth < 5:
+                out.append(page(depth + 1))
+            out.append(f"</{name}>" if rng.random() > 0.1 else "")
+        return " ".join(out)
+
+    pages = [page() for _ in range(150)] + ["<div id=x><div></div><div><span><p>a<p>b</span></div></div>", "<p>none</p>"]
+    df = spark.createDataFrame(list(enumerate(pages)), "i long, html string")
+    rule = Container(None, "id", "x", exact=True, path=path, strict=True)
+    got = {r["i"]: r["t"] for r in df.select("i", container_text(F.col("html"), rule).alias("t")).collect()}
+    want = [_Tree(p, path_steps(path)).words() for p in pages]
+    assert [sorted((got[i] or "").split()) for i in range(len(pages))] == want
+    assert sum(map(bool, want)) > 5
+
+
+def test_all_elements_with_the_id_count(spark):
+    from inkwell.functions.container import container_text
+    from inkwell.registry import TRIBUNE, Container
+
+    rule = Container(None, "id", "x", exact=True)
+    df = spark.createDataFrame([("<div id=x><p>A</p></div><p>no</p><section id='x'><p>B</p><div id=x><p>C</p></div></section><p>no",)], "html string")
+    assert df.select(container_text(F.col("html"), rule)).first()[0] == "A B C"
+    lenient = spark.createDataFrame([("<main id=main-section><p>only</p></main>",)], "html string")
+    assert lenient.select(container_text(F.col("html"), TRIBUNE.container)).first()[0] == "only"
