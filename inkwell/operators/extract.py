@@ -74,9 +74,23 @@ def article_columns(sources=DEFAULT_SOURCES, default=None) -> list[Column]:
         # V-2: a fetched page without a body cannot be processed; the row is
         # isolated as an error instead of failing the run.
         F.col("_no_body").alias("error"),
+        field_problems(published_at, feed_text, page_text).alias("problems"),
     ]
 
 
+def field_problems(published_at: Column, feed_text: Column, page_text: Column) -> Column:
+    """V-2 by field: array of (field, reason) for what could not be read; the row itself goes on."""
+    found = [
+        ("date", "unreadable date", date_unparsed(F.col("published"), published_at)),
+        ("heading", "no title", strip_or_null(F.col("title")).isNull()),
+        ("content", "response without body", F.col("_no_body")),
+        ("content", "no text in feed or page", ~F.col("_no_body") & feed_text.isNull() & page_text.isNull()),
+        ("author", "author detail without name", F.col("author_detail").isNotNull() & F.col("author_detail")["name"].isNull()),
+    ]
+    marks = [F.when(cond, F.struct(F.lit(field).alias("field"), F.lit(reason).alias("reason"))) for field, reason, cond in found]
+    return F.filter(F.array(*marks), lambda m: m.isNotNull())
+
+
 def with_feed_text(entries: DataFrame) -> DataFrame:
     """Entries with their own text as ``_feed_text`` (P-5..P-8); store it where several outputs read it."""
     return entries.withColumn("_feed_text", paragraph_text(entry_html(F.col("content"), F.col("summary"))))

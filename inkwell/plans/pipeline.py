@@ -28,7 +28,7 @@ from inkwell.operators import merge as M
 from inkwell.operators import quality as V
 from inkwell.operators import seen as S
 from inkwell.registry import DEFAULT_SOURCES, Source, base_url_for, domains_for
-from inkwell.sources.rss import feed_entries, rss_items
+from inkwell.sources.rss import feed_entries, feed_problems, rss_items
 
 COUNTERS = ["entries", "found", "requests", "scraped", "errors", "accepted", "rejected"]
 
@@ -44,6 +44,7 @@ class RunOutputs:
     counts: DataFrame
     marks: DataFrame
     dropped: DataFrame
+    problems: DataFrame
 
 
 def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame | None = None,
@@ -99,7 +100,11 @@ def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame |
     new_seen = S.advance_seen(seen, marks, ["source", "url"], "ts", expired=now - F.make_dt_interval(secs=F.lit(ttl_seconds)))
     counts = run_counts(entries, found, requests, articles, errors, accepted, rejected)
     dropped = run_dropped(entries, linked, found, found.filter(~allowed), requests, extracted)
-    return RunOutputs(entries, requests.drop("_feed_text"), articles, accepted, rejected, new_seen, counts, marks, dropped)
+    # V-2: what could not be read, per source: whole feeds, and fields of articles.
+    feeds_bad = feed_problems(feeds, keep=["source"]).select("source", F.lit("feed").alias("field"), "reason")
+    fields_bad = extracted.select("source", F.explode("problems").alias("p")).select("source", "p.field", "p.reason")
+    problems = feeds_bad.unionByName(fields_bad).groupBy("source", "field", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return RunOutputs(entries, requests.drop("_feed_text"), articles, accepted, rejected, new_seen, counts, marks, dropped, problems)
 
 
 def run_dropped(entries, linked, found, offsite, requests, extracted) -> DataFrame:

@@ -194,3 +194,36 @@ def crawl_dropped(spark, sf):
         link = F.when((F.col("link") != "") & messy & (i % 5 == k), F.concat(F.lit(a), number.cast("string"), F.lit(b))).otherwise(link)
     out = crawl_run(_feeds(spark, sf, link), _fetched_pages(spark, sf), RUN_TS, seen=_seen_state(spark, sf), sources=(), default=SITE_DEFAULT)
     return out.dropped.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "feed_problems",
+    f"WITH f AS (SELECT DISTINCT source, doc_id // {PER_FEED} AS feed_no FROM documents) "
+    "SELECT source, CAST(feed_no AS BIGINT) AS feed_no, CASE feed_no % 6 WHEN 1 THEN 'unreadable' WHEN 2 THEN 'empty' WHEN 3 THEN 'no channel' "
+    "ELSE 'unreadable' END AS reason FROM f WHERE feed_no % 6 IN (1, 2, 3, 4)",
+)
+def feed_problems(spark, sf):
+    """Feeds cut short, empty, of another kind or with a bare '&' are kept with a reason."""
+    feeds = _feeds(spark, sf)
+    k, body = F.col("feed_no") % 6, F.col("body")
+    broken = (F.when(k == 1, F.expr("left(body, length(body) - 20)")).when(k == 2, F.lit(" ")).when(k == 3, F.lit("<html><p>moved</p></html>"))
+              .when(k == 4, F.concat(F.lit("<rss><channel><title>a & b</title></channel></rss>"))).otherwise(body))
+    return R.feed_problems(feeds.withColumn("body", broken), keep=["source", "feed_no"]).select("source", "feed_no", "reason")
+
+
+@query(
+    "field_problems",
+    _PIPELINE_SQL[:_PIPELINE_SQL.index("art AS (")].rstrip(", ").replace(
+        "joined AS (SELECT r.source, r.title,", "joined AS (SELECT r.source, r.doc_id, r.title,")
+    + f", x AS (SELECT *, {_CONTAINER_SQL} AS inner_html FROM joined), "
+    f"y AS (SELECT source, {Q.strip_or_null('title')} AS heading, html, coalesce({Q.paragraph_text('entry_html')}, "
+    f"{Q.paragraphs_only_text('inner_html')}) AS content FROM x), "
+    "p AS (SELECT source, 'heading' AS field, 'no title' AS reason FROM y WHERE heading IS NULL "
+    "UNION ALL SELECT source, 'content', 'response without body' FROM y WHERE html IS NULL "
+    "UNION ALL SELECT source, 'content', 'no text in feed or page' FROM y WHERE html IS NOT NULL AND content IS NULL) "
+    "SELECT source, field, reason, count(*) AS n FROM p GROUP BY source, field, reason",
+)
+def field_problems(spark, sf):
+    """Per source, field and reason: what the run could not read, counted and not dropped."""
+    out = crawl_run(_feeds(spark, sf), _fetched_pages(spark, sf), RUN_TS, seen=_seen_state(spark, sf), sources=(), default=SITE_DEFAULT)
+    return out.problems

@@ -34,8 +34,8 @@ def _chunk_filters(ts_col: str, bounds: list[str]):
 _NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-def _run_in_drops(drops, land: str, fmt: str, start_stream) -> None:
-    """Write each drop into ``land`` and let the stream catch up after each.
+def _run_in_drops(drops, land: str, fmt: str, start_stream=None, catch_up=None) -> None:
+    """Write each drop into ``land`` and let the stream (or ``catch_up``, which runs several) catch up after each.
 
     Runs are scheduled catch-ups, so the extra micro-batch Spark would start
     only to move the watermark is skipped: update-mode results are already
@@ -47,7 +47,7 @@ def _run_in_drops(drops, land: str, fmt: str, start_stream) -> None:
     try:
         for df in drops:
             df.write.mode("append").format(fmt).save(land)
-            SK.run_available(start_stream)
+            catch_up() if catch_up else SK.run_available(start_stream)
     finally:
         spark.conf.set(_NO_DATA, before)
 
@@ -174,29 +174,19 @@ def interleaved_upserts(spark, sf):
 
 
 # ------------------------------------------------------------- ST-4, ST-5
-def _windowed_counts(spark, sf, name: str, every: str, by: list[str], aggs, fmt: str):
-    """Windowed counts with a watermark (update mode), kept in a table
-    partitioned by the window's day; each micro-batch rewrites only its days."""
-    from inkwell.session import checkpoint_root
-
-    checkpoint_root(spark)
-    log = q_state._crawl_log(spark, sf).select("ts", "source", "kind")
-    land, ckpt = (scratch_dir(spark, n) for n in (f"{name}_in", f"{name}_ckpt"))
-    root = scratch_dir(spark, f"{name}_out") + "/t"
-    keys = ["window_start", *by]
-    sink = SK.partitioned_merge_sink(root, keys, "day")
+def _windowed_counts(spark, sf, name: str, every: str, by: list[str], aggs, fmt: str, drops=None):
+    """Windowed counts with a watermark (update mode), kept in a table partitioned by the
+    window's day; rows whose window has closed are set aside first.  Returns the folder of both."""
+    from inkwell.streaming.late import run_windowed_counts
 
-    def start():
-        stream = spark.readStream.schema(log.schema).parquet(land)
-        w = stream.withColumn("_ts", F.col("ts").cast("timestamp")).withWatermark("_ts", "1 hour")
-        agg = w.groupBy(F.window("_ts", every).alias("w"), *by).agg(*[e.alias(a) for a, e in aggs])
-        rows = agg.select(F.date_format("w.start", fmt).alias("window_start"), *by, *[a for a, _ in aggs],
-                          F.date_format("w.start", "yyyy-MM-dd").alias("day"))
-        return (rows.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", ckpt)
-                .trigger(availableNow=True).start())
+    log = q_state._crawl_log(spark, sf).select("event_id", "ts", "source", "kind")
+    land, root = scratch_dir(spark, f"{name}_in"), scratch_dir(spark, f"{name}_out")
+
+    def catch_up():
+        run_windowed_counts(spark, lambda: spark.readStream.schema(log.schema).parquet(land), root, "ts", every, by, aggs, fmt)
 
-    _run_in_drops([log.filter(c) for c in _chunk_filters("ts", EVENT_CHUNKS)], land, "parquet", start)
-    return spark.read.parquet(root).drop("day")  # day is only the storage partition
+    _run_in_drops([log.filter(c) for c in drops or _chunk_filters("ts", EVENT_CHUNKS)], land, "parquet", catch_up=catch_up)
+    return root
 
 
 @query("stream_daily", lambda: ORACLE["daily_stats"])
@@ -206,7 +196,7 @@ def stream_daily(spark, sf):
         ("articles_scraped", F.count_if(F.col("kind") == "scraped")),
         ("errors", F.count_if(F.col("kind") == "error")),
     ]
-    t = _windowed_counts(spark, sf, "daily", "1 day", ["source"], aggs, "yyyy-MM-dd")
+    t = spark.read.parquet(_windowed_counts(spark, sf, "daily", "1 day", ["source"], aggs, "yyyy-MM-dd") + "/counts")
     return t.select("source", F.col("window_start").alias("date"), "articles_found", "articles_scraped", "errors")
 
 
@@ -217,7 +207,29 @@ def stream_daily(spark, sf):
 )
 def stream_rate(spark, sf):
     aggs = [("events", F.count(F.lit(1))), ("items", F.count_if(F.col("kind") == "scraped"))]
-    return _windowed_counts(spark, sf, "rate", "1 minute", [], aggs, "yyyy-MM-dd HH:mm")
+    t = spark.read.parquet(_windowed_counts(spark, sf, "rate", "1 minute", [], aggs, "yyyy-MM-dd HH:mm") + "/counts")
+    return t.drop("day")  # only the storage partition
+
+
+_LATE = "(event_id % 10 = 0)"
+_NEWEST = f"(SELECT max(ts) FROM events WHERE event_id IS NULL OR NOT {_LATE})"
+_CLOSED = f"({_LATE} AND date_trunc('day', ts) + INTERVAL 1 DAY <= {_NEWEST} - INTERVAL 1 HOUR)"
+
+
+@query(
+    "stream_late_counts",
+    "SELECT strftime(ts, '%Y-%m-%d') AS date, 'src' || (user_id % 4) AS source, "
+    f"count(*) FILTER (WHERE NOT coalesce({_CLOSED}, false)) AS counted, count(*) FILTER (WHERE {_CLOSED}) AS late FROM events GROUP BY 1, 2",
+)
+def stream_late_counts(spark, sf):
+    """A tenth of the events arrives after all others: what still finds its window open is counted, the
+    rest is in the quarantine, and together they are the input."""
+    late = F.coalesce(F.col("event_id") % 10 == 0, F.lit(False))
+    root = _windowed_counts(spark, sf, "late_counts", "1 day", ["source"], [("n", F.count(F.lit(1)))], "yyyy-MM-dd", [~late, late])
+    counts = spark.read.parquet(root + "/counts").select(F.col("window_start").alias("date"), "source", F.col("n").alias("counted"), F.lit(0).alias("late"))
+    aside = spark.read.parquet(root + "/late").filter("reason = 'late'").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date"), "source") \
+        .agg(F.lit(0).alias("counted"), F.count(F.lit(1)).alias("late"))
+    return counts.unionByName(aside).groupBy("date", "source").agg(F.sum("counted").alias("counted"), F.sum("late").alias("late"))
 
 
 # ------------------------------------------------------------ ST-2, SNK-7

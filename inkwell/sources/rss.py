@@ -2,8 +2,8 @@
 
 A feed document is one row ``(source, feed_id, fetched_at, body)``; its
 entries are parsed with the built-in ``from_xml`` and exploded in feed order.
-Malformed or empty bodies parse to a NULL channel and yield no entries (the
-feed parser is equally lenient).  Feeds on disk can be read the same way with
+Malformed or empty bodies parse to a NULL channel and yield no entries;
+``feed_problems`` keeps them with a reason.  Feeds on disk can be read the same way with
 ``spark.read.format("xml").option("rowTag", "item")``.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from inkwell.functions.dates import read_date
 from inkwell.functions.text import cdata, xml_escape, xml_safe
@@ -39,6 +40,21 @@ def rss_items(feeds: DataFrame, body: str = "body", keep: list[str] | None = Non
     )
 
 
+def feed_problems(feeds: DataFrame, body: str = "body", keep: list[str] | None = None) -> DataFrame:
+    """V-2: the feeds that give no entries because they cannot be read, with a reason and the body.
+
+    ``unreadable`` (not well-formed; the parser's corrupt record), ``empty`` (no body) or ``no channel``
+    (some other document).  A channel without items is a feed without news and no problem.
+    """
+    keep = keep if keep is not None else [c for c in feeds.columns if c != body]
+    schema = StructType([*RSS_DOC.fields, StructField("_corrupt_record", StringType())])
+    parsed = feeds.select(*keep, F.col(body).alias("body"), F.from_xml(
+        F.col(body), schema, {"rowTag": "rss", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("_doc"))
+    reason = (F.when(F.trim(F.coalesce(F.col("body"), F.lit(""))) == "", F.lit("empty"))
+              .when(F.col("_doc._corrupt_record").isNotNull(), F.lit("unreadable")).when(F.col("_doc.channel").isNull(), F.lit("no channel")))
+    return parsed.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(*keep, "reason", "body")
+
+
 def author_name(author: Column) -> Column:
     """Name part of an RSS author: 'mail (Name)' -> Name; bare mail -> NULL."""
     in_parens = F.regexp_extract(author, "\\((.*)\\)", 1)

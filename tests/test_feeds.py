@@ -123,3 +123,35 @@ def test_entry_a_to_entry_b_handoff(spark, tmp_dir):
     rejects = spark.read.json(table + "_rejects").collect()
     assert [(r["url"], r["reason"], r["raw_date"]) for r in rejects] == [(f"{SITE}/empty", "unreadable date", "no date")]
     assert etl_flow(spark, land, table, arch, "2025-05-05 12:10:00", layout="lines") == 0
+
+
+def test_broken_feeds_and_fields_are_counted_and_kept(spark):
+    from inkwell.sources.rss import feed_problems
+
+    bad = [("dawn_latest", 7, "<rss><channel><item><title>a</title></item><it"), ("dawn_latest", 8, None), ("dawn_latest", 9, " \n"),
+           ("dawn_latest", 10, "<html/>"), ("dawn_latest", 11, "<rss><channel></channel></rss>"), ("tribune_latest", 12, "not xml")]
+    df = spark.createDataFrame(bad, "source string, feed_no long, body string")
+    got = {r["feed_no"]: (r["reason"], r["body"]) for r in feed_problems(df).collect()}
+    assert got == {7: ("unreadable", bad[0][2]), 8: ("empty", None), 9: ("empty", " \n"), 10: ("no channel", "<html/>"), 12: ("unreadable", "not xml")}
+    out = crawl(spark, pages=pages_df(spark, owls=None))
+    found = {(r["source"], r["field"], r["reason"]): r["n"] for r in out.problems.collect()}
+    assert found[("dawn_latest", "content", "response without body")] == 1 and found[("dawn_latest", "date", "unreadable date")] == 1
+    dropped = [(r["source"], r["reason"]) for r in out.dropped.collect()]
+    c = {r["source"]: r.asDict() for r in out.counts.collect()}
+    for s in c:  # every entry is an article, an error, or dropped with a reason
+        assert c[s]["entries"] == c[s]["scraped"] + c[s]["errors"] + sum(x == s for x, _ in dropped)
+    assert ("dawn_latest", "offsite") in dropped and ("dawn_latest", "repeated request") in dropped
+
+
+def test_crawl_against_the_stored_state(spark, tmp_dir):
+    import os
+
+    from inkwell.plans.pipeline import crawl_with_state
+
+    state = os.path.join(tmp_dir, "seen")
+    runs = [("2025-05-05 12:00:00", 4), ("2025-05-05 12:00:00", 4), ("2025-05-06 11:59:59", 0), ("2025-05-06 12:00:00", 4)]
+    for ts, want in runs:  # a repeated run, one inside the TTL, one at its end
+        out = crawl_with_state(spark, feeds_df(spark), pages_df(spark), ts, state)
+        assert sum(r["scraped"] for r in out.counts.collect()) == want
+    hours = {d for d in os.listdir(state) if d.startswith("hour=")}
+    assert len(hours) == 2  # the run's own hour, and the one that ends with it

@@ -65,3 +65,31 @@ def test_late_rows_are_kept_with_a_reason(spark, tmp_dir):
     late = {(r["event_id"], r["reason"]) for r in spark.read.parquet(out + "_late").collect()}
     assert late == {(4, "behind the kept marks"), (5, "before the last accept of its key")}
     assert {r["event_id"] for r in spark.read.parquet(out).collect()} == {1, 2, 3, 6, 7}
+
+
+def test_late_rows_beside_windowed_counts(spark, tmp_dir):
+    """Counts and quarantine hold every row, over restarts and a replayed batch."""
+    from pyspark.sql import functions as F
+
+    from inkwell.streaming.late import run_windowed_counts, split_late_sink
+
+    h = dt.timedelta(hours=1)
+    drops = [[(1, "a", T0 + h), (2, "a", T0 + 30 * h), (3, "b", None)],
+             [(4, "a", T0 + 23 * h), (5, "b", T0 + 26 * h), (6, "b", T0 + 31 * h)],  # the first day has closed at T0 + 29h
+             [(7, "a", T0 + 40 * h), (8, "b", T0 + 2 * h)]]
+    schema = "event_id long, k string, ts timestamp_ntz"
+    land, root = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+
+    def source():
+        return spark.readStream.schema(schema).parquet(land)
+
+    for rows in drops:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(land)
+        run_windowed_counts(spark, source, root, "ts", "1 day", ["k"], [("n", F.count(F.lit(1)))], "yyyy-MM-dd")
+    counts = {(r["window_start"], r["k"]): r["n"] for r in spark.read.parquet(root + "/counts").collect()}
+    assert counts == {("2025-06-01", "a"): 1, ("2025-06-02", "a"): 2, ("2025-06-02", "b"): 2}
+    late = {(r["event_id"], r["reason"]) for r in spark.read.parquet(root + "/late").collect()}
+    assert late == {(3, "no time"), (4, "late"), (8, "late")}
+    sink = split_late_sink(root, "ts", "1 day")
+    sink(spark.createDataFrame(drops[2], schema), 2)  # replayed
+    assert spark.read.parquet(root + "/on_time").count() == 5 and spark.read.parquet(root + "/late").count() == 3
