@@ -50,7 +50,7 @@ def feed_problems(feeds: DataFrame, body: str = "body", keep: list[str] | None =
     schema = StructType([*RSS_DOC.fields, StructField("_corrupt_record", StringType())])
     parsed = feeds.select(*keep, F.col(body).alias("body"), F.from_xml(
         F.col(body), schema, {"rowTag": "rss", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("_doc"))
-    reason = (F.when(F.trim(F.coalesce(F.col("body"), F.lit(""))) == "", F.lit("empty"))
+    reason = (F.when(~F.coalesce(F.col("body"), F.lit("")).rlike("\\S"), F.lit("empty"))
               .when(F.col("_doc._corrupt_record").isNotNull(), F.lit("unreadable")).when(F.col("_doc.channel").isNull(), F.lit("no channel")))
     return parsed.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(*keep, "reason", "body")
 
