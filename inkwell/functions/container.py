@@ -14,7 +14,6 @@ each step's name it has had, which decides positions such as ``div[2]``.
 from __future__ import annotations
 
 import re
-from dataclasses import replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,8 +57,9 @@ def path_steps(path: str | None) -> list[tuple[str, int | None]]:
     return [(m[1].lower(), int(m[2]) if m[2] else None) for m in steps]
 
 
-def element_regions(clean: Column, rule: Container) -> Column:
-    """Insides of the outermost elements that ``rule`` and its path lead to, whatever their names.
+def element_regions(clean: Column, rule: Container, targets: list[int]) -> Column:
+    """Insides of the outermost elements of any name that so many steps of ``rule`` lead to (0: the container
+    itself): an array of texts for each of ``targets``, from one fold.
 
     An open element is (name, which steps lead to it, children so far by the steps' names).  An end tag closes the
     innermost open element of its name with all inside it, or nothing; a block element ends an open paragraph.
@@ -82,14 +82,20 @@ def element_regions(clean: Column, rule: Container) -> Column:
             F.length(F.get(g, i)).alias("gap"), F.length(t).alias("len"), t.startswith("</").alias("end"), t.endswith("/>").alias("empty"),
             F.lower(F.regexp_extract(t, "^</?([A-Za-z][A-Za-z0-9:_-]*)", 1)).alias("name"), t.rlike(start).alias("match"))))
 
-    def state(pos, stack, lo, depth, found):
-        return F.struct(pos.alias("pos"), stack.alias("stack"), lo.alias("lo"), depth.alias("depth"), found.alias("found"))
+    def state(pos, stack, marks):
+        return F.struct(pos.alias("pos"), stack.alias("stack"), marks.alias("marks"))
+
+    # For each target: where the open region began, how many elements are open inside it and below (0: no region), ranges found.
+    def mark(lo, depth, found):
+        return F.struct(lo.alias("lo"), depth.alias("depth"), found.alias("found"))
 
     def cut(s, left, at, pos):
         """The state with the first ``left`` open elements; a region ends with its element."""
-        closes = (s["depth"] > 0) & (left < s["depth"])
-        return state(pos, F.slice(s["stack"], 1, left), s["lo"], F.when(closes, 0).otherwise(s["depth"]), F.when(
-            closes, F.concat(s["found"], F.array(F.struct(s["lo"].alias("lo"), at.alias("hi"))))).otherwise(s["found"]))
+        def close(m):
+            return F.when((m["depth"] > 0) & (left < m["depth"]), mark(m["lo"], F.lit(0), F.concat(
+                m["found"], F.array(F.struct(m["lo"].alias("lo"), at.alias("hi")))))).otherwise(m)
+
+        return state(pos, F.slice(s["stack"], 1, left), F.transform(s["marks"], close))
 
     def begun(s, t, up):
         leaf = t["empty"] | t["name"].isin(_VOID)
@@ -99,11 +105,12 @@ def element_regions(clean: Column, rule: Container) -> Column:
         above = F.concat(F.slice(s["stack"], 1, F.size(s["stack"]) - 1), F.array(element(up["name"], up["on"], had)))
         on = F.concat(F.array(t["match"]), led)
         stack = F.concat(above, F.when(leaf, F.array().cast(f"array<{_ELEMENT}>")).otherwise(F.array(element(t["name"], on, zeros))))
+        wanted = F.array(*[F.lit(k) for k in targets])
 
         def entered(stack):
-            opens = ~leaf & (s["depth"] == 0) & F.get(F.element_at(stack, -1)["on"], F.lit(len(steps)))
-            return state(s["pos"], stack, F.when(opens, s["pos"]).otherwise(s["lo"]),
-                         F.when(opens, F.size(stack)).otherwise(s["depth"]), s["found"])
+            new = F.element_at(stack, -1)["on"]
+            return state(s["pos"], stack, F.zip_with(s["marks"], wanted, lambda m, k: F.when(
+                ~leaf & (m["depth"] == 0) & F.get(new, k), mark(s["pos"], F.size(stack), m["found"])).otherwise(m)))
 
         return bind(stack, entered)
 
@@ -118,12 +125,12 @@ def element_regions(clean: Column, rule: Container) -> Column:
         return bind(ready, lambda r: F.when(t["end"], r).otherwise(bind(F.element_at(r["stack"], -1), lambda up: begun(r, t, up))))
 
     def finish(s):
-        return F.when(s["depth"] > 0, F.concat(s["found"], F.array(F.struct(
-            s["lo"].alias("lo"), F.length(clean).alias("hi"))))).otherwise(s["found"])
+        return F.transform(s["marks"], lambda m: F.when(m["depth"] > 0, F.concat(m["found"], F.array(F.struct(
+            m["lo"].alias("lo"), F.length(clean).alias("hi"))))).otherwise(m["found"]))
 
-    init = state(F.lit(0), F.array(root), F.lit(0), F.lit(0), no_range)
+    init = state(F.lit(0), F.array(root), F.transform(F.sequence(F.lit(1), F.lit(len(targets))), lambda k: mark(F.lit(0), F.lit(0), no_range)))
     ranges = bind(F.regexp_extract_all(clean, F.lit(_ANY_TAG), F.lit(0)), lambda tags: F.aggregate(listed(tags), init, step, finish))
-    return F.transform(ranges, lambda r: F.substr(clean, r["lo"] + 1, r["hi"] - r["lo"]))
+    return F.transform(ranges, lambda rs: F.transform(rs, lambda r: F.substr(clean, r["lo"] + 1, r["hi"] - r["lo"])))
 
 
 def container_regions(clean: Column, rule: Container) -> Column:
@@ -167,18 +174,24 @@ def container_text(html: Column, rule: Container) -> Column:
     With a path, the text of the elements it leads to; where it finds no text, see ``Container``.
     """
     start = start_tag_re(rule)
-    whole = replace(rule, path=None)
 
-    def paragraphs(clean):
-        regions = container_regions(clean, whole) if rule.tag else element_regions(clean, whole)
+    def paragraphs(regions):
         # Each region ends its open paragraph, so regions do not run into each other.
         return clean_paragraphs_text(F.array_join(regions, "</p>"))
 
-    def named(clean):
-        return clean_paragraphs_text(F.concat(F.lit("<p>"), F.array_join(element_regions(clean, rule), "</p><p>"), F.lit("</p>")))
+    def named(regions):
+        return clean_paragraphs_text(F.concat(F.lit("<p>"), F.array_join(regions, "</p><p>"), F.lit("</p>")))
 
     def from_clean(clean):
-        text = paragraphs(clean) if not rule.path else named(clean) if rule.strict else F.coalesce(named(clean), paragraphs(clean))
+        if rule.tag and not rule.path:
+            text = paragraphs(container_regions(clean, rule))
+        elif not rule.path:
+            text = paragraphs(F.get(element_regions(clean, rule, [0]), 0))
+        elif rule.strict:
+            text = named(F.get(element_regions(clean, rule, [len(path_steps(rule.path))]), 0))
+        else:
+            text = bind(element_regions(clean, rule, [len(path_steps(rule.path)), 0]),
+                        lambda found: F.coalesce(named(F.get(found, 0)), paragraphs(F.get(found, 1))))
         return F.when(clean.rlike(start), text)
 
     return F.when(html.isNotNull(), bind(strip_invisible(html), from_clean))

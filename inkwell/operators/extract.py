@@ -51,12 +51,12 @@ def page_fallback_text(source: Column, html: Column, sources=DEFAULT_SOURCES, de
     return other if expr is None else expr.otherwise(other)
 
 
-def article_columns(sources=DEFAULT_SOURCES, default=None) -> list[Column]:
+def article_columns(sources=DEFAULT_SOURCES, default=None, with_page: bool = True) -> list[Column]:
     """Projection from a joined (entry, page) row to the article item.
 
-    ``_feed_text`` is the entry's own text; ``html`` is NULL where that is enough."""
+    ``_feed_text`` is the entry's own text; where that is enough no page is read (``with_page``)."""
     feed_text = F.col("_feed_text")
-    page_text = page_fallback_text(F.col("source"), F.col("html"), sources, default)
+    page_text = page_fallback_text(F.col("source"), F.col("html"), sources, default) if with_page else F.lit(None).cast("string")
     published_at = publish_ts(F.col("published"), F.col("published_parsed"))
     return [
         F.col("source"),
@@ -112,10 +112,10 @@ def extract_articles(entries: DataFrame, pages: DataFrame, sources=DEFAULT_SOURC
     texts = entries if "_feed_text" in entries.columns else with_feed_text(entries)
     full = texts.filter(F.col("_feed_text").isNotNull())
     bare = texts.filter(F.col("_feed_text").isNull())
-    told = full.join(fetched, full["link"] == fetched["request_url"]).withColumn("html", F.lit(None).cast("string"))
+    told = full.join(fetched, full["link"] == fetched["request_url"])
     wanted = pages.join(bare.select(F.col("link").alias("request_url")).distinct(), "request_url", "left_semi") \
         .select("request_url", "url", "html", F.col("html").isNull().alias("_no_body"))
     read = bare.join(wanted, bare["link"] == wanted["request_url"])
     extra = [F.col(c) for c in (keep or [])]
-    cols = article_columns(sources, default)
-    return told.select(*extra, *cols).unionByName(read.select(*extra, *cols))
+    return told.select(*extra, *article_columns(sources, default, with_page=False)).unionByName(
+        read.select(*extra, *article_columns(sources, default)))
