@@ -2,22 +2,25 @@
 
 Base spans (email, ip, card, phone) come from fixed patterns and checks and always
 stay.  Looser candidates (a spelled-out email, a national phone number, a personal
-number) are decided by weak supervision: four labelers vote on every span (format,
-gazetteer, context before it, digit shape), expectation-maximisation over the counts
-of vote patterns estimates each labeler's reliability without labels, and a logistic
-span classifier is trained on the resulting soft labels.  A candidate joins the
+number) are decided by weak supervision.  Four labelers vote on every span or abstain: the format
+check (base kinds only; candidates have none), gazetteers of top domains, issuer and
+area codes, cues around the span, and the variety of its digits.  Expectation-maximisation over
+the counts of vote patterns estimates each labeler's reliability and each kind's share without
+labels; an abstention says nothing.  The resulting soft labels train a logistic span
+classifier that sees no vote but features of its own: the kind with the cues around it, what stands
+directly before and after, the digits, and the check.  A candidate joins the
 result if it does not touch a base span and the classifier is at least ``MIN_P`` sure.
 
 The corpus is read once into a narrow, checkpointed table of spans.  The driver gets
-only counts per vote pattern (at most kinds x 3**4 rows, whatever the data), over
-all spans.  Positions are running sums of gap and match lengths in a window per
+only counts per vote pattern (at most kinds x 3**4 rows, whatever the data) and per feature
+combination (at most kinds x 900), over all spans.  Positions are running sums of gap and match lengths in a window per
 document and kind, so a document with very many spans stays linear.  Patterns use
 possessive quantifiers and start only where a run starts, so runs of any length
 take linear time and no stack.
 
 Defined cases: null and empty texts have no span; rows that repeat id and text get
 the same spans; positions count code points, ends are exclusive; an empty table
-gives an empty result and trains nothing.
+gives an empty result and trains nothing; other columns of the input are not read, so no name can clash.
 """
 
 from __future__ import annotations
@@ -52,6 +55,7 @@ CUES = (r"(?i)\b(?:e-?mail|mail|contact|reach|write|call|phone|tel|fax|mobile|ce
         r"card|visa|mastercard|ip|address|kontakt|telefon|courriel|correo|tarjeta|carte)\b")
 COUNTER_CUES = r"(?i)\b(?:isbn|issn|doi|version|invoice|order|serial|part|page|section|fig)\b"
 LABELERS = ("format", "gazetteer", "context", "shape")
+FEATURES = ("cue", "cue_after", "check", "left", "right", "variety")  # the first three count per kind
 
 
 def _digits(c: Column) -> Column:
@@ -94,13 +98,13 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         .filter(F.col("_t").rlike(r"[0-9@]|(?i)[\[(]at[\])]"))
     found = text.select("_k1", "_k2", *[c for k in KINDS for m, g in [_matches(k, F.col("_t"))]
                                         for c in (m.alias(f"m_{k}"), g.alias(f"g_{k}"))])
-    empty = F.array().cast("array<struct<kind:string,i:int,m:string,gap:int,ctx:string>>")
+    empty = F.array().cast("array<struct<kind:string,i:int,m:string,gap:int,ctx:string,aft:string>>")
 
     def placed(k: str) -> Column:
         gap = F.col(f"g_{k}")
         return F.transform(f"m_{k}", lambda m, i: F.struct(
             F.lit(k).alias("kind"), i.alias("i"), m.alias("m"), F.length(F.get(gap, i)).alias("gap"),
-            F.right(F.get(gap, i), F.lit(CONTEXT)).alias("ctx")))
+            F.right(F.get(gap, i), F.lit(CONTEXT)).alias("ctx"), F.left(F.get(gap, i + 1), F.lit(CONTEXT)).alias("aft")))
 
     listed = [F.coalesce(placed(k), empty) for k in KINDS]
     rows = found.select("_k1", "_k2", F.explode(F.concat(*listed)).alias("s")).select("_k1", "_k2", "s.*").distinct()
@@ -130,76 +134,113 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         .when(F.col("kind") == "card", vote(digits.rlike("^(?:3[47]|4|5[1-5]|2[2-7]|6)"), F.lit(True)))
         .when(F.col("kind") == "personal_number", vote(F.lit(False), digits.rlike("^(?:000|666|9)|^...00|0000$")))
         .otherwise(vote(F.lit(False), digits.rlike("^[01]"))))
-    shape = F.when(email, 0).otherwise(vote(F.size(F.array_distinct(F.split(digits, ""))) >= 4, F.lit(True)))
+    distinct = F.size(F.array_distinct(F.split(digits, "")))
+    shape = F.when(email, 0).otherwise(vote(distinct >= 4, F.lit(True)))
+    aft = F.col("aft")
+    told = ctx.rlike(CUES) | aft.rlike(CUES)
+    # A loose candidate without any cue is taken for a number or an address in passing.
+    context = F.when(ctx.rlike(COUNTER_CUES), -1).when(told, 1).when(F.col("base"), 0).otherwise(-1)
+
+    def neighbour(c: Column) -> Column:
+        return (F.when(c == "", "edge").when(c.rlike(r"\s"), "space").when(c.rlike(r"[\p{L}\p{N}]"), "word")
+                .when(c.rlike("[\\[\\](){}<>'\"]"), "bracket").otherwise("punct"))
+
     return rows.select(
         "_k1", "_k2", "kind", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "base", "ok",
-        (~F.col("base") & free).alias("open"), vote(F.col("ok"), ~F.col("ok")).alias("format"), gazetteer.alias("gazetteer"),
-        vote(ctx.rlike(CUES), ctx.rlike(COUNTER_CUES)).alias("context"), shape.alias("shape"))
+        (~F.col("base") & free).alias("open"), F.when(F.col("base"), vote(F.col("ok"), ~F.col("ok"))).otherwise(0).alias("format"), gazetteer.alias("gazetteer"),
+        context.alias("context"), shape.alias("shape"),
+        F.when(ctx.rlike(COUNTER_CUES), "counter").when(ctx.rlike(CUES), "cue").otherwise("none").alias("cue"),
+        F.when(aft.rlike(CUES), "cue").otherwise("none").alias("cue_after"), F.when(~F.col("base"), "none").when(F.col("ok"), "passed").otherwise("failed").alias("check"),
+        neighbour(F.right(ctx, F.lit(1))).alias("left"), neighbour(F.left(aft, F.lit(1))).alias("right"),
+        F.when(distinct >= 4, "many").when(distinct >= 2, "few").otherwise("none").alias("variety"))
+
 
+def expectation_maximisation(patterns: list[tuple[tuple[int, ...], float]], kinds: list[str] | None = None, rounds: int = 50) -> list[float]:
+    """Posterior of each vote pattern being PII: two classes, a share per kind, and a reliability
+    table per labeler, one for the base kinds and one for the loose kinds (the same digits often match a
+    base pattern and fail its check, which says nothing of the cues around them).  Abstentions (0) are left out.
 
-def expectation_maximisation(patterns: list[tuple[tuple[int, ...], float]], rounds: int = 50) -> list[float]:
-    """Posterior of each vote pattern being PII; two-class model with a reliability table per labeler."""
+    It starts from the belief that the labelers are mostly right, which also names the classes.
+    """
     if not patterns:
         return []
-    votes = (-1, 0, 1)
     n = len(patterns[0][0])
-    post = [1 / (1 + math.exp(-sum(p))) for p, _ in patterns]
+    kinds = kinds or [""] * len(patterns)
+    post = [1 / (1 + math.exp(-2 * sum(p))) for p, _ in patterns]
     for _ in range(rounds):
-        total = sum(c for _, c in patterns)
-        prior = (sum(q * c for q, (_, c) in zip(post, patterns)) + 1) / (total + 2)
-        table = []
-        for j in range(n):
-            row = {}
-            for v in votes:
-                # Smoothed towards a labeler that is right more often than wrong.
-                pos = sum(q * c for q, (p, c) in zip(post, patterns) if p[j] == v) + (2 if v == 1 else 1)
-                neg = sum((1 - q) * c for q, (p, c) in zip(post, patterns) if p[j] == v) + (2 if v == -1 else 1)
-                row[v] = (pos, neg)
-            sums = [sum(row[v][k] for v in votes) for k in (0, 1)]
-            table.append({v: (row[v][0] / sums[0], row[v][1] / sums[1]) for v in votes})
+        share = {}
+        for k in set(kinds):
+            own = [(q, c) for q, (_, c), x in zip(post, patterns, kinds) if x == k]
+            share[k] = (sum(q * c for q, c in own) + 1) / (sum(c for _, c in own) + 2)
+        table = {}
+        for group in (True, False):
+            own = [(q, c, p) for q, (p, c), k in zip(post, patterns, kinds) if (k in BASE) is group]
+            for j in range(n):
+                row = {}
+                for v in (-1, 1):
+                    # Smoothed towards a labeler that is right more often than wrong.
+                    pos = sum(q * c for q, c, p in own if p[j] == v) + (2 if v == 1 else 1)
+                    neg = sum((1 - q) * c for q, c, p in own if p[j] == v) + (2 if v == -1 else 1)
+                    row[v] = (pos, neg)
+                sums = [row[-1][k] + row[1][k] for k in (0, 1)]
+                for v in (-1, 1):
+                    table[group, j, v] = math.log(row[v][0] / sums[0]) - math.log(row[v][1] / sums[1])
         post = []
-        for p, _ in patterns:
-            odds = math.log(prior / (1 - prior)) + sum(math.log(table[j][p[j]][0] / table[j][p[j]][1]) for j in range(n))
+        for (p, _), k in zip(patterns, kinds):
+            odds = math.log(share[k] / (1 - share[k])) + sum(table[k in BASE, j, v] for j, v in enumerate(p) if v)
             post.append(1 / (1 + math.exp(-max(-30.0, min(30.0, odds)))))
     return post
 
 
-def train_classifier(rows: list[tuple[str, tuple[int, ...], float, float]], rounds: int = 400) -> dict:
-    """Logistic regression on (kind, votes) with soft labels, weighted by count."""
-    names = ["bias"] + [f"kind={k}" for k in KINDS] + [f"{x}={v}" for x in LABELERS for v in (-1, 0, 1)]
-    w = dict.fromkeys(names, 0.0)
-    total = sum(r[2] for r in rows) or 1.0
-    features = [["bias", f"kind={k}", *[f"{x}={v}" for x, v in zip(LABELERS, p)]] for k, p, _, _ in rows]
+def feature_names(kind: str, values: tuple[str, ...]) -> list[str]:
+    """The classifier's features of a span: some by kind, and the neighbourhood for all kinds alike."""
+    return [kind, *[f"{kind}.{x}={v}" for x, v in zip(FEATURES[:3], values)], *[f"{x}={v}" for x, v in zip(FEATURES[3:], values[3:])]]
+
+
+def train_classifier(rows: list[tuple[str, tuple[str, ...], float, float]], rounds: int = 400) -> dict:
+    """Logistic regression on (kind, feature values) with soft labels, weighted by count.
+
+    Every kind weighs the same, so that frequent kinds do not drown the rare ones.
+    """
+    features = [feature_names(k, v) for k, v, _, _ in rows]
+    w = dict.fromkeys(sorted({x for f in features for x in f}), 0.0)
+    total: dict[str, float] = {}
+    for k, _, count, _ in rows:
+        total[k] = total.get(k, 0.0) + count
     for _ in range(rounds):
-        grad = {k: -1e-3 * v for k, v in w.items()}
-        for f, (_, _, count, soft) in zip(features, rows):
-            err = count / total * (soft - 1 / (1 + math.exp(-sum(w[x] for x in f))))
+        grad = {k: -1e-4 * v for k, v in w.items()}
+        for f, (k, _, count, soft) in zip(features, rows):
+            err = count / total[k] * (soft - 1 / (1 + math.exp(-sum(w[x] for x in f))))
             for x in f:
                 grad[x] += err
-        w = {k: v + 1.0 * grad[k] for k, v in w.items()}
+        w = {k: v + 0.5 * grad[k] for k, v in w.items()}
     return {k: round(v, 9) for k, v in w.items()}
 
 
 def fit(found: DataFrame) -> dict:
-    """Weights of the span classifier, from the vote pattern counts over all spans."""
+    """Weights of the span classifier: EM over the vote pattern counts of all spans, then its soft labels by feature."""
     counted = found.groupBy("kind", *LABELERS).agg(F.count(F.lit(1)).alias("n")).collect()  # <= kinds * 81 rows
     rows = sorted((r["kind"], tuple(r[x] for x in LABELERS), float(r["n"])) for r in counted)
-    pooled: dict[tuple[int, ...], float] = {}
-    for _, p, n in rows:
-        pooled[p] = pooled.get(p, 0.0) + n
-    patterns = sorted(pooled.items())
-    soft = dict(zip((p for p, _ in patterns), expectation_maximisation(patterns)))
-    return train_classifier([(k, p, n, soft[p]) for k, p, n in rows])
+    if not rows:
+        return {}
+    soft = expectation_maximisation([(p, n) for _, p, n in rows], [k for k, _, _ in rows])
+    known = found.sparkSession.createDataFrame([(k, *p, q) for (k, p, _), q in zip(rows, soft)],
+                                               "kind string, " + ", ".join(f"{x} int" for x in LABELERS) + ", soft double")
+    seen = found.join(F.broadcast(known), ["kind", *LABELERS]).groupBy("kind", *FEATURES) \
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.round("soft", 9).cast("decimal(20,9)")).cast("double").alias("soft")).collect()  # <= kinds * 900 rows
+    return train_classifier(sorted((r["kind"], tuple(r[x] for x in FEATURES), float(r["n"]), r["soft"] / r["n"]) for r in seen))
 
 
 def probability(weights: dict) -> Column:
-    """The classifier as a column over ``kind`` and the votes."""
-    z = F.lit(weights["bias"])
-    for k in KINDS:
-        z = z + F.when(F.col("kind") == k, weights[f"kind={k}"]).otherwise(0.0)
-    for x in LABELERS:
-        for v in (-1, 0, 1):
-            z = z + F.when(F.col(x) == v, weights[f"{x}={v}"]).otherwise(0.0)
+    """The classifier as a column over ``kind`` and the features."""
+    if not weights:
+        return F.lit(0.0)
+    table = F.create_map(*[F.lit(x) for item in sorted(weights.items()) for x in item])
+    names = [F.col("kind"), *[F.concat(F.col("kind"), F.lit(f".{x}="), F.col(x)) for x in FEATURES[:3]],
+             *[F.concat(F.lit(f"{x}="), F.col(x)) for x in FEATURES[3:]]]
+    z = F.lit(0.0)
+    for name in names:
+        z = z + F.coalesce(F.try_element_at(table, name), F.lit(0.0))
     return 1 / (1 + F.exp(-z))
 
 

@@ -1,20 +1,25 @@
 """Quality rules: a linear-chain CRF marks every line as content or boilerplate.
 
 Each line with a word gets a set of shape features (length, symbols, case, digits,
-final punctuation, repetition).  A conditional random field over the line sequence
-is fitted on a bounded sample of labelled documents, whose quality label is the
-weak label of all their lines; Viterbi decoding then marks the lines of every
-document, and a document stays if content lines hold at least ``MIN_SHARE`` of its
-words.  Base rules (too few words, too many repeated three-word windows) come first.
+final punctuation, repetition).  The labels of lines are hidden: a labelled document only tells whether
+all its lines are content (quality 1) or some line is boilerplate (quality 0).  The field is fitted
+to that by gradient ascent: forward-backward gives the probability that a whole
+document is content, which the fit raises for good documents and lowers for bad ones, so
+that the lines that good documents have too stay content.  Viterbi decoding then
+marks the lines of every document, and a document stays if content lines hold at least the
+model's share of its words.  That share is the one that sorts the fitted documents best (the lowest
+of equals).  Base rules (too few words, too many repeated three-word windows) come first.
 
 The fit sees at most ``TRAIN_DOCS`` documents of at most ``TRAIN_LINES`` lines, the
-smallest in order of a hash of their id; everything else covers all rows.  Scoring
+smallest in order of a hash of their id, one row per id; everything else covers all rows.  Scoring
 is one pass inside the scan's tasks, a document at a time.
 
 Defined cases: null and empty texts have no words and fail the base rules; without
 labelled documents of both classes every line counts as content, so only the
 base rules decide; repeated and null ids are rows of their own (a null id takes
-no part in the fit); texts of any length are read whole.
+no part in the fit, and of repeated ids the row whose text has the smallest hash does); texts of any length
+are read whole; an empty table gives an empty result; carried columns are
+renamed by position, so that no name can clash.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ TRAIN_DOCS = 2000
 TRAIN_LINES = 200
 MIN_SHARE = 0.5
 MIN_WORDS = 50
+MAX_PULL = 20.0
 N_FEATURES = 22
 _SYMBOLS = b"#*$%&|<>"
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -130,7 +136,12 @@ def viterbi(feats: list[int], model) -> list[int]:
 
 
 def train(sequences: list[list[int]], labels: list[int], rounds: int = 150, l2: float = 1e-3) -> dict:
-    """Fit the CRF by gradient ascent on the conditional log-likelihood (forward-backward, Adam)."""
+    """Fit the CRF by gradient ascent (forward-backward, Adam) on what the labels tell about whole sequences:
+    the sum of log P(all content) over label 1 and of log(1 - P(all content)) over label 0.
+
+    The gradient of the second term is the first one's times -P / (1 - P), at most ``MAX_PULL`` here, so that a
+    wrongly labelled document of good lines cannot outweigh all others.
+    """
     import numpy as np
 
     order = sorted(range(len(sequences)), key=lambda i: (-len(sequences[i]), sequences[i], labels[i]))
@@ -142,16 +153,7 @@ def train(sequences: list[list[int]], labels: list[int], rounds: int = 150, l2:
     for i, s in enumerate(seqs):
         for t, f in enumerate(s):
             x[t, i] = [f >> j & 1 for j in range(N_FEATURES)]
-    total = float(length.sum())
     params = {"emit": np.zeros((N_FEATURES, 2)), "trans": np.zeros((2, 2)), "start": np.zeros(2)}
-    want = {k: np.zeros_like(v) for k, v in params.items()}
-    for t in range(steps):
-        for y in (0, 1):
-            want["emit"][:, y] += x[t, :active[t]][gold[:active[t]] == y].sum(axis=0)
-            if t:
-                want["trans"][y, y] += (gold[:active[t]] == y).sum()
-    for y in (0, 1):
-        want["start"][y] = (gold == y).sum()
     m1 = {k: np.zeros_like(v) for k, v in params.items()}
     m2 = {k: np.zeros_like(v) for k, v in params.items()}
     for r in range(1, rounds + 1):
@@ -168,24 +170,45 @@ def train(sequences: list[list[int]], labels: list[int], rounds: int = 150, l2:
             nxt = emit[t + 1, :k] + beta[t + 1, :k]
             beta[t, :k] = np.logaddexp(trans[:, 0] + nxt[:, :1], trans[:, 1] + nxt[:, 1:])
         z = np.logaddexp(alpha[0, :, 0] + beta[0, :, 0], alpha[0, :, 1] + beta[0, :, 1])
-        have = {k: np.zeros_like(v) for k, v in params.items()}
+        # log P(all content) of every sequence, and how strongly the fit pulls it up or down.
+        path = params["start"][1] + trans[1, 1] * (length - 1) - z
+        for t in range(steps):
+            path[:active[t]] += emit[t, :active[t], 1]
+        pull = np.where(gold, 1.0, -np.minimum(np.exp(path) / np.maximum(-np.expm1(path), 1e-12), MAX_PULL))
+        grad = {k: np.zeros_like(v) for k, v in params.items()}  # pulled: what an all-content path has less what is expected
         for t in range(steps):
             k = active[t]
             p = np.exp(alpha[t, :k] + beta[t, :k] - z[:k, None])
-            have["emit"] += x[t, :k].T @ p
+            p[:, 1] -= 1
+            grad["emit"] -= x[t, :k].T @ (p * pull[:k, None])
             if t == 0:
-                have["start"] = p.sum(axis=0)
+                grad["start"] -= (p * pull[:, None]).sum(axis=0)
             else:
-                pair = alpha[t - 1, :k, :, None] + trans + (emit[t, :k] + beta[t, :k])[:, None, :]
-                have["trans"] += np.exp(pair - z[:k, None, None]).sum(axis=0)
+                pair = np.exp(alpha[t - 1, :k, :, None] + trans + (emit[t, :k] + beta[t, :k])[:, None, :] - z[:k, None, None])
+                pair[:, 1, 1] -= 1
+                grad["trans"] -= (pair * pull[:k, None, None]).sum(axis=0)
         for k in params:
-            g = (want[k] - have[k]) / total - l2 * params[k]
+            g = grad[k] / n - l2 * params[k]
             m1[k] = 0.9 * m1[k] + 0.1 * g
             m2[k] = 0.99 * m2[k] + 0.01 * g * g
             params[k] = params[k] + 0.1 * (m1[k] / (1 - 0.9**r)) / (np.sqrt(m2[k] / (1 - 0.99**r)) + 1e-9)
     return {k: v.round(6).tolist() for k, v in params.items()}
 
 
+def content_share(feats: list[int], sizes: list[int], n: int, model) -> float:
+    """Share of the text's ``n`` words in lines that the model marks as content."""
+    return sum(w for w, y in zip(sizes, viterbi(feats, model)) if y) / n if n else 0.0
+
+
+def best_share(shares: list[float], labels: list[int]) -> float:
+    """The least share that sorts the labelled documents best when those at or above it stay; at least
+    half of the words if that is as good."""
+    tried = sorted({*shares, MIN_SHARE})
+    right = {t: sum((s >= t) == bool(y) for s, y in zip(shares, labels)) for t in tried}
+    top = max(right.values())
+    return MIN_SHARE if right[MIN_SHARE] == top else min(t for t in tried if right[t] == top)
+
+
 def fit_line_crf(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  max_docs: int = TRAIN_DOCS, max_lines: int = TRAIN_LINES):
     """The fitted model (plain lists), or None without labelled documents of both classes."""
@@ -199,16 +222,24 @@ def fit_line_crf(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         import pyarrow as pa
 
         for b in batches:
-            feats = [document_lines(t.as_py() or b"")[0] for t in b.column(1)]
-            feats = [f if len(f) <= max_lines else [] for f in feats]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), pa.array(feats, pa.list_(pa.int32())),
-                                              b.column(2).cast(pa.int64())], names=["id", "f", "quality"])
-
-    rows = [r for r in chosen.select("_id", "_text", "_quality").mapInArrow(run, "id string, f array<int>, quality long").collect() if r.f]
-    rows.sort(key=lambda r: (len(r.id), r.id, r.f))
-    if len({r.quality > 0 for r in rows}) < 2:
+            lines = [document_lines(t.as_py() or b"")[:2] for t in b.column(1)]
+            lines = [x if len(x[0]) <= max_lines else ([], []) for x in lines]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), pa.array([x[0] for x in lines], pa.list_(pa.int32())),
+                                              pa.array([x[1] for x in lines], pa.list_(pa.int32())), b.column(2).cast(pa.int64()), b.column(3)],
+                                             names=["id", "f", "w", "quality", "h"])
+
+    # One row per id, so that repeated rows of a labelled document neither reach the driver nor weigh the fit.
+    listed = chosen.select("_id", "_text", "_quality", F.xxhash64("_text").alias("_h")) \
+        .mapInArrow(run, "id string, f array<int>, w array<int>, quality long, h long")
+    rows = listed.groupBy("id").agg(F.min_by(F.struct("f", "w"), F.struct("h", "f", "w")).alias("l"), F.max("quality").alias("quality")).collect()
+    rows = sorted(((len(r["id"]), r["id"], list(r["l"]["f"]), list(r["l"]["w"]), int(r["quality"] > 0)) for r in rows if r["l"]["f"]))
+    labels = [r[4] for r in rows]
+    if len(set(labels)) < 2:
         return None
-    return train([list(r.f) for r in rows], [int(r.quality > 0) for r in rows])
+    model = train([r[2] for r in rows], labels)
+    own = dict(model)
+    model["min_share"] = best_share([content_share(f, w, sum(w), own) for _, _, f, w, _ in rows], labels)
+    return model
 
 
 def measure(docs: DataFrame, model, carry: list[str], text_col: str = "text") -> DataFrame:
@@ -222,6 +253,7 @@ def measure(docs: DataFrame, model, carry: list[str], text_col: str = "text") ->
 
         names = [x.split()[0] for x in METRICS.split(", ")]
         own = dict(model) if model else None
+        least = (own or {}).get("min_share", MIN_SHARE)
         for b in batches:
             cols = [[] for _ in names]
             for t in b.column(len(carry)):
@@ -231,10 +263,9 @@ def measure(docs: DataFrame, model, carry: list[str], text_col: str = "text") ->
                 feats, sizes, dups = document_lines(text)
                 repeat = repeated_window_words(words)
                 failed = n < MIN_WORDS or 100 * repeat > 50 * n
-                content = sum(w for w, y in zip(sizes, viterbi(feats, own)) if y)
-                share = content / n if n else 0.0
+                share = content_share(feats, sizes, n, own)
                 row = (n, len(text.translate(None, _CONT_OR_SPACE)), len(text) - len(text.translate(None, _SYMBOLS)),
-                       dups, repeat, failed, share, not failed and share >= MIN_SHARE)
+                       dups, repeat, failed, share, not failed and share >= least)
                 for c, v in zip(cols, row):
                     c.append(v)
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
