@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import every, hash128, text_or_empty
+from inkwell.llm.common import checkpoint, every, hash128, text_or_empty
 
 WINDOW = 3
 
@@ -53,10 +53,11 @@ def covered_lines(keyed: DataFrame, size: int = WINDOW) -> DataFrame:
     """(_k1, _k2, _cov): line positions covered by later occurrences, per document."""
     occ = window_occurrences(keyed, size)
     at = F.struct("_id", "_k1", "_k2", "_pos")
-    repeated = (
+    # Stored, so that either side of the join has an exchange of its own and a hot window can be split.
+    repeated = checkpoint(
         occ.groupBy("_h1", "_h2")
         .agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_first"))
-        .filter(F.col("_n") > 1)
+        .filter(F.col("_n") > 1).drop("_n")
     )
     later = occ.join(repeated, ["_h1", "_h2"]).filter(~at.eqNullSafe(F.col("_first")))
     cover = F.flatten(F.transform("_pos", lambda p: F.sequence(p, p + (size - 1))))

@@ -37,8 +37,9 @@ WITH cap AS (
   FROM pages),
 named AS (
   SELECT 'spam' AS list_name, 'block' AS list_type, 'host' AS kind, host AS pattern FROM cap
-  UNION SELECT 'malware', 'block', 'prefix', host || '/' || segs[1] FROM cap WHERE len(segs) >= 1
-  UNION SELECT 'trusted', 'allow', 'domain', array_to_string(string_split(host, '.')[-2:], '.') FROM cap
+  UNION SELECT 'malware', 'block', 'prefix', host || '/' || array_to_string(segs[1:least(len(segs), 1 + page_id % 5)], '/')
+    FROM cap WHERE len(segs) >= 1
+  UNION SELECT 'trusted', 'allow', 'domain', array_to_string(string_split(host, '.')[-(2 + page_id % 2):], '.') FROM cap
   UNION SELECT 'takedown', 'block', 'url', url FROM cap),
 seeded AS (
   SELECT *, CAST('0x' || substr(md5(list_name || pattern), 1, 6) AS INT) AS a,
@@ -55,9 +56,10 @@ probe AS (
   SELECT DISTINCT page_id, kind, pattern FROM (
     SELECT page_id, 'url' AS kind, url AS pattern FROM cap
     UNION ALL SELECT page_id, 'host', host FROM cap
-    UNION ALL SELECT page_id, 'domain', array_to_string(string_split(host, '.')[i:], '.')
-      FROM cap, range(1, 10) r(i) WHERE i < len(string_split(host, '.'))
-    UNION ALL SELECT page_id, 'prefix', host || '/' || array_to_string(segs[1:i], '/') FROM cap, range(1, 4) r(i) WHERE i <= len(segs))),
+    UNION ALL SELECT page_id, 'domain', array_to_string(l[i:], '.')
+      FROM (SELECT page_id, string_split(host, '.') AS l, unnest(range(1, len(string_split(host, '.')))) AS i FROM cap)
+    UNION ALL SELECT page_id, 'prefix', host || '/' || array_to_string(segs[1:i], '/')
+      FROM (SELECT page_id, host, segs, unnest(range(1, len(segs) + 1)) AS i FROM cap))),
 hits AS (
   SELECT page_id, string_agg(DISTINCT list_name, ',' ORDER BY list_name) AS lists, count(*) AS n_matches,
          max(valid_from) AS active_since, bool_or(list_type = 'block') AND NOT bool_or(list_type = 'allow') AS blocked
@@ -71,7 +73,7 @@ FROM cap LEFT JOIN hits USING (page_id)
 
 def capture_history(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Captures with a fetch time in 2024, and the dated history of four lists,
-    both derived from every row of ``pages``."""
+    both derived from every row of ``pages``: prefixes of one to five segments, domains of two or three labels."""
     url, host = F.col("url"), url_filters.url_host(F.col("url"))
     cap = pages.select("page_id", "url", (F.lit("2024-01-01").cast("timestamp") + F.make_interval(
         mins=F.pmod(F.col("page_id") * 7919, F.lit(525600)).cast("int"))).alias("fetch_time"))
@@ -82,8 +84,9 @@ def capture_history(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         return F.struct(F.lit(name).alias("list_name"), F.lit(typ).alias("list_type"),
                         F.lit(kind).alias("kind"), pattern.alias("pattern"))
 
-    first = F.when(F.size(segs) >= 1, F.concat(host, F.lit("/"), F.get(segs, 0)))
-    top = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
+    depth, keep = F.least(F.size(segs), (1 + F.col("page_id") % 5).cast("int")), (2 + F.col("page_id") % 2).cast("int")
+    first = F.when(F.size(segs) >= 1, F.concat(host, F.lit("/"), F.array_join(F.slice(segs, F.lit(1), depth), "/")))
+    top = F.array_join(F.slice(labels, F.greatest(F.size(labels) - keep + 1, F.lit(1)), keep), ".")
     lists = pages.select(F.explode(F.array(
         named("spam", "block", "host", host), named("malware", "block", "prefix", first),
         named("trusted", "allow", "domain", top), named("takedown", "block", "url", url))).alias("l")) \

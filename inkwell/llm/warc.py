@@ -32,6 +32,8 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.llm.common import checkpoint
+
 MIN_REVISIT = 1000
 RECORDS_PER_FILE = 2000
 _END = b"\r\n\r\n"
@@ -70,15 +72,19 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
     """The plain record at ``at`` and the offset behind it; ValueError names the failed check."""
     if not _VERSION.match(data, at):
         raise ValueError("version line")
-    stop = data.find(_END, at)
-    if stop < 0:
-        raise ValueError("header block")
-    head = {}
-    for line in data[at:stop].split(b"\r\n")[1:]:
-        name, sep, value = line.partition(b":")
+    # Line by line: a false start among damaged bytes ends at its first line that is no header.
+    head, line_end = {}, data.find(b"\r\n", at)
+    while True:
+        start, line_end = line_end + 2, data.find(b"\r\n", line_end + 2) if line_end >= 0 else -1
+        if line_end < 0:
+            raise ValueError("header block")
+        if line_end == start:
+            break
+        name, sep, value = data[start:line_end].partition(b":")
         if not sep:
             raise ValueError("header line")
         head[name.strip().lower()] = value.strip()
+    stop = start - 2
     length = head.get(b"content-length", b"")
     if not length.isdigit() or b"warc-type" not in head or b"warc-record-id" not in head:
         raise ValueError("required header")
@@ -178,8 +184,9 @@ def write_archives(pages: DataFrame, path: str, compress: bool = True, id_col: s
     p = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"),
                      F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("_body"))
     p = p.withColumn("_key", F.sha2("_body", 256))
-    shared = p.filter(F.octet_length("_body") >= MIN_REVISIT).groupBy("_key") \
-        .agg(F.max("_id").alias("_to"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    # Stored, so that either side of the join has an exchange of its own and a hot payload can be split.
+    shared = checkpoint(p.filter(F.octet_length("_body") >= MIN_REVISIT).groupBy("_key")
+                        .agg(F.max("_id").alias("_to"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
     rows = p.join(shared, "_key", "left").select(
         "_id", "_url", "_body", F.sha1("_body").alias("_sha1"),
         F.when(~F.col("_id").eqNullSafe(F.col("_to")), F.col("_to")).alias("_to"))

@@ -432,6 +432,19 @@ def test_warc_salvage_after_removed_bytes(compress):
         assert len(gaps) == 1 and gaps[0][0] == sum(map(len, parts[:hit])) and gaps[0][1] == len(parts[hit])
 
 
+def test_warc_salvage_is_linear_in_false_starts():
+    import time
+
+    took = []
+    for n in (20_000, 80_000):
+        data = b"WARC/1.1\r\n" * n + b"".join(warc_records(2, False))
+        t = time.perf_counter()
+        found = list(warc.salvage(data))
+        took.append(time.perf_counter() - t)
+        assert [f[2] is None for f in found] == [True, False, False] and found[0][1] == 10 * n
+    assert took[1] < 10 * took[0] + 0.5
+
+
 def test_warc_member_of_several_records():
     import gzip
 
