@@ -18,7 +18,8 @@ the checks allow (see README); broadcasting the vocabulary has no size bound.
 
 Defined cases: null and empty texts give no ids and decode to no bytes; texts and
 words of any length are encoded whole; special token strings are ordinary text;
-ids outside the vocabulary decode to nothing.
+ids outside the vocabulary decode to nothing; repeated rows are encoded each; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -7,8 +7,8 @@ partial aggregates, so a text that fills a third of the table leaves one row
 per map task before the shuffle.
 
 Defined cases: a null text equals the empty text; a null id loses against any
-other id; of rows that repeat both id and text exactly one is kept; an empty
-table gives an empty result; other columns, whatever their names, pass through
+other id; of rows that repeat both id and text exactly one is kept; texts of any length
+are compared whole; an empty table gives an empty result; other columns, whatever their names, pass through
 ``exact_dedup`` untouched.
 """
 

@@ -6,13 +6,14 @@ order of (id, row key, position); the lines covered by any later occurrence are
 removed, overlapping occurrences being merged as a set of line positions.
 
 The count per window is a partial aggregate, so a passage that a third of all
-documents share is combined before the shuffle.  The occurrences meet the
-repeated windows in a sort-merge join whose hot partitions AQE splits.
+documents share is combined before the shuffle.  The repeated windows
+are stored first and meet the occurrences in a join whose hot partitions AQE splits.
 
 Defined cases: a null text counts as empty and stays null; texts of fewer than
 three lines have no window and stay as they are; windows in which no line has a
 word are not compared; rows that repeat both id and text share one row key and
-get the same result, as one document; empty tables give empty results.
+get the same result, as one document; texts of any length are read whole, a row at a time;
+empty tables give empty results; the other columns come back inside ``row``, so that no name can clash.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ shuffle buckets), so no window partition holds a whole source.
 
 Defined cases: null and wordless texts have size 0 and are never taken; a null
 source is a source, last in order; a null id is shuffled under its own name; repeated rows
-are documents of their own; an empty table has no slots and gives no rows.
+are documents of their own; texts of any length are counted whole; an empty table has no slots and gives no rows.
 """
 
 from __future__ import annotations

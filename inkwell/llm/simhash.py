@@ -20,7 +20,7 @@ links, each cut by a reliable checkpoint.
 Defined cases: null and wordless texts have fingerprint 0 and link like any other;
 fewer words than a shingle make one shingle of all words; null ids are ignored
 when the smallest id is sought (null if there is no other); repeated rows are
-equal fingerprints; empty tables give empty results.
+equal fingerprints; texts of any length are read whole; empty tables give empty results.
 """
 
 from __future__ import annotations

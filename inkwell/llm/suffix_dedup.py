@@ -23,7 +23,7 @@ broadcast or collected.
 
 Defined cases: a null text counts as empty; texts shorter than ``length`` have no
 window; repeated rows are documents of their own, so their texts repeat; matches
-never cross documents; null ids are ordinary; an empty table gives an empty result.
+never cross documents; texts of any length are handled in pieces; null ids are ordinary; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ Defined cases: a null url or fetch time matches nothing and is kept, not blocked
 events with a null date or pattern are ignored; of events of one pattern at one
 instant ``remove`` wins; a pattern removed before it was added has no interval;
 repeated captures each get their own result (they share one row key and one
-answer); an empty list blocks nothing.  Block lists lose against allow lists.
+answer); urls of any length are matched whole; an empty list blocks nothing, and no captures
+give no rows.  Block lists lose against allow lists.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ or is cut stays one gap.
 
 Defined cases: a null payload is empty; a null url is written as an empty target;
 null page ids are ignored when the largest id is sought, and rows that repeat the
-response's id and payload are responses too; an empty table writes no archive
+response's id and payload are responses too; a payload of any length is one record,
+built and read in the memory of its task; an empty table writes no archive
 and reads as no record.
 """
 
