@@ -177,13 +177,15 @@ def etl_flow(spark, landing_dir: str, table_dir: str, archive_dir: str, run_ts:
     JSON to ``reject_dir`` (by default ``<table_dir>_rejects``) with the run and a reason and the
     rest is loaded (D-10).  A failed upsert raises before anything is
     archived, so the next run reloads the same files (at-least-once, and the
-    upsert is idempotent).
+    upsert is idempotent).  Files whose rows were in when an earlier run broke are archived
+    first and not loaded again.
     """
     from inkwell.session import checkpoint_root
-    from inkwell.sinks.files import archive_files
+    from inkwell.sinks.archive import archive, resume
     from inkwell.sources.landing import landing_manifest, read_landing
 
     checkpoint_root(spark)
+    resume(spark, landing_dir, archive_dir)
     try:
         landing = read_landing(spark, landing_dir, layout).checkpoint(eager=True)
     except Exception as e:  # no readable file at all: nothing to load
@@ -198,5 +200,5 @@ def etl_flow(spark, landing_dir: str, table_dir: str, archive_dir: str, run_ts:
     run.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_ts") \
         .json(reject_dir or table_dir.rstrip("/") + "_rejects")
     M.upsert_into(spark, table_dir, rows, run_ts)
-    archive_files(spark, landing_manifest(landing), landing_dir, archive_dir)
+    archive(spark, landing_manifest(landing), landing_dir, archive_dir)
     return n

@@ -1,9 +1,8 @@
 """File sinks (SNK-1, SNK-2, SNK-3, SNK-5, SNK-7, SNK-8).
 
 Writes are Spark writer jobs (every task writes its own files); the only
-driver-side file work is deleting emptied partitions (D-9) and moving the
-files listed in a read manifest (SNK-7), both bounded by partition / file
-counts, never by rows.
+driver-side file work is deleting emptied partitions (D-9).  The files of a read
+manifest are moved by tasks (SNK-7, ``sinks.archive``).
 """
 
 from __future__ import annotations
@@ -91,28 +90,12 @@ def create_news(spark: SparkSession, path: str, append_variant: bool = False) ->
 
 def archive_files(spark: SparkSession, manifest: DataFrame, landing_dir: str, dest_dir: str,
                   file_col: str = "source_file") -> list[str]:
-    """SNK-7: move exactly the files listed in ``manifest`` (the files that were
-    read) into ``dest_dir``; a file that landed after the read stays.
+    """SNK-7 for callers that want the moved paths: ``sinks.archive.archive`` and a sorted list.
 
-    The path below ``landing_dir`` is kept, so partition values stay readable and
-    files of one name in several partitions stay apart.  Returns the relative paths
-    that were moved; a file that cannot be moved raises, because it would be loaded again.
+    Exactly the files listed in ``manifest`` (those that were read) move; a file that landed after
+    the read stays.  The path below ``landing_dir`` is kept, so partition values stay readable and
+    files of one name in several partitions stay apart.  A file that cannot be moved raises.
     """
-    from urllib.parse import unquote
-
-    fs, root, jvm = _fs(spark, landing_dir)
-    base = fs.makeQualified(root).toString().rstrip("/") + "/"
-    moved = []
-    for name in sorted(r[0] for r in manifest.select(file_col).distinct().collect()):  # one row per file
-        # File paths in metadata are URIs; Spark escapes partition values once more.
-        src = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
-        full = fs.makeQualified(src).toString()
-        if not full.startswith(base):
-            raise ValueError(f"{name} is not below {landing_dir}")
-        rel = full[len(base):]
-        dst = jvm.org.apache.hadoop.fs.Path(dest_dir.rstrip("/") + "/" + rel)
-        fs.mkdirs(dst.getParent())
-        if fs.exists(dst) or not fs.rename(src, dst):
-            raise OSError(f"cannot move {unquote(full)} to {dst}")
-        moved.append(rel)
-    return moved
+    from inkwell.sinks.archive import archive
+
+    return sorted(r[0] for r in archive(spark, manifest, landing_dir, dest_dir, file_col).select("path").collect())

@@ -82,6 +82,58 @@ def test_archive_keeps_paths_and_fails_loudly(spark, tmp_dir):
         FS.archive_files(spark, manifest, land, arch)
 
 
+def test_broken_archive_run_is_finished_once(spark, tmp_dir):
+    """A run that breaks half-way: its journal is open, the next run archives the rest and loads nothing twice."""
+    from inkwell.operators.merge import read_news
+    from inkwell.plans.pipeline import etl_flow
+    from inkwell.sinks import archive as A
+
+    land, arch, table = (os.path.join(tmp_dir, n) for n in ("land", "arch", "news"))
+    items = spark.createDataFrame([("h", f"u{i}", f"s {i % 5}", "2025-06-03T11:00:00") for i in range(20)],
+                                  "heading string, url string, spider_name string, processed_at string")
+    FS.export_articles(items.coalesce(1), land, "2025-06-03")
+    files = sorted(r[0] for r in landing_manifest(read_landing(spark, land, "lines")).collect())
+    manifest = spark.createDataFrame([(f,) for f in files], "source_file string")
+    assert len(files) == 5
+    # Broken after two moves: one clean, one copied but not yet deleted (a store without rename).
+    manifest.select(F.col("source_file").alias("file")).write.parquet(arch + "_journal/open/r1")
+    from urllib.parse import unquote, urlsplit
+    paths = [os.path.relpath(unquote(urlsplit(f).path), land) for f in files]
+    for k, p in enumerate(paths[:2]):
+        os.makedirs(os.path.dirname(os.path.join(arch, p)))
+        (shutil.move, shutil.copy)[k](os.path.join(land, p), os.path.join(arch, p))
+    items.limit(0).select(F.col("url").alias("file")).write.parquet(arch + "_journal/open/r0")
+    os.remove(arch + "_journal/open/r0/_SUCCESS")  # broke while it wrote its manifest
+    write(os.path.join(land, os.path.dirname(paths[0])), "new.json",
+          '{"heading": "n", "url": "new", "processed_at": "2025-06-03T12:00:00"}')
+    assert etl_flow(spark, land, table, arch, "2025-06-03 12:00:00", layout="lines") == 1  # only the new file
+    assert {r["url"] for r in read_news(spark, table).collect()} == {"new"}
+    assert read_landing(spark, arch, "lines").count() == 21 and not os.listdir(arch + "_journal/open")
+    done = {r["path"]: r["status"] for r in spark.read.parquet(arch + "_journal/done/run=r1").collect()}
+    assert [done[p] for p in paths] == ["was moved", "was moved", "moved", "moved", "moved"]
+    assert not [f for _, _, fs in os.walk(land) for f in fs if f.startswith("part-")]
+    assert A.resume(spark, land, arch) == []
+
+
+def test_archive_names_what_it_cannot_move(spark, tmp_dir):
+    from inkwell.sinks.archive import archive
+
+    land, arch = os.path.join(tmp_dir, "land"), os.path.join(tmp_dir, "arch")
+    os.makedirs(land), os.makedirs(arch)
+    write(land, "a.json", "1")
+    write(land, "b.json", "2")
+    write(arch, "b.json", "2")  # an equal file of an earlier run is not this run's copy
+    names = ["file://" + os.path.join(land, n) for n in ("a.json", "b.json", "gone.json")]
+    with pytest.raises(OSError, match="1 conflict.*1 missing"):
+        archive(spark, spark.createDataFrame([(n,) for n in names], "source_file string"), land, arch, run="x")
+    assert os.listdir(land) == ["b.json"] and sorted(os.listdir(arch)) == ["a.json", "b.json"]
+    assert os.listdir(arch + "_journal/open") == ["x"]
+    with pytest.raises(ValueError):
+        archive(spark, spark.createDataFrame([("file:///elsewhere/a.json",)], "source_file string"), land, arch + "2")
+    empty = archive(spark, spark.createDataFrame([], "source_file string"), land, arch + "3")
+    assert empty.count() == 0
+
+
 def test_append_and_create(spark, tmp_dir):
     path = os.path.join(tmp_dir, "news")
     FS.create_news(spark, path)
