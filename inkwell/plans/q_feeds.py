@@ -14,6 +14,7 @@ from inkwell.plans import sqlgen as Q
 from inkwell.plans.catalog import cores, query, table
 from inkwell.plans.pipeline import COUNTERS, crawl_run
 from inkwell.registry import Container, Source
+from inkwell.session import scratch_dir
 from inkwell.sources import rss as R
 
 PER_FEED = 64
@@ -112,6 +113,67 @@ def rss_items(spark, sf):
     )
 
 
+_PER_FILE = 512  # ids a file; a feed has two files
+
+
+def _dump(spark, sf, path, part=None):
+    """Writes the feeds (or those of one parity) as files, two to a feed."""
+    it = _item_rows(spark, sf)
+    xml = R.rss_item_xml(F.col("title"), F.col("link"), F.col("author"), F.col("pub_date"), F.col("categories"),
+                         F.col("description"), F.col("content"))
+    no = F.col("feed_no")
+    files = R.build_feeds(it, "source", "doc_id", xml, _PER_FILE).select(
+        "source", F.floor(no / 2).alias("feed_no"), (no % 2).alias("part"), "body")
+    if part is not None:
+        files = files.filter(F.coalesce(F.col("feed_no") % 2, F.lit(0)) == part)
+    files.write.mode("append").partitionBy("source", "feed_no", "part").text(path)
+
+
+_FOLDERS = "source string, feed_no long, part long"
+_DUMP_SQL = (
+    f"WITH i AS (SELECT *, doc_id // {2 * _PER_FILE} AS f FROM ({_ITEMS_SQL})) SELECT source, CAST(f AS BIGINT) AS feed_no, "
+    "CAST(row_number() OVER (PARTITION BY source, f ORDER BY doc_id) - 1 AS INTEGER) AS item_pos, "
+    "CAST(count(*) OVER (PARTITION BY source, f) AS INTEGER) AS n_in_feed, "
+    "title, nullif(link, '') AS link, author, pub_date, category, nullif(description, '') AS description, "
+    "content AS content_encoded FROM i"
+)
+
+
+def _dump_rows(items):
+    return items.select(
+        "source", "feed_no", "item_pos", "n_in_feed", "title", F.nullif("link", F.lit("")).alias("link"), "author", "pub_date",
+        F.get("categories", 0).alias("category"), F.nullif("description", F.lit("")).alias("description"), "content_encoded")
+
+
+@query("feed_dump", _DUMP_SQL)
+def feed_dump(spark, sf):
+    """A written dump of feeds, two files to a feed, read back item by item in the feeds' order."""
+    from inkwell.sources import feed_files as FF
+
+    path = scratch_dir(spark, "feed_dump")
+    _dump(spark, sf, path)
+    return _dump_rows(FF.feed_file_items(FF.number_items(FF.read_feed_files(spark, path, _FOLDERS, glob="*.txt"))))
+
+
+@query("stream_feed_dump", _DUMP_SQL)
+def stream_feed_dump(spark, sf):
+    """The dump as a stream of files that lands in two drops; each micro-batch's items are numbered and stored."""
+    from inkwell.sources import feed_files as FF
+    from inkwell.streaming.sinks import run_available
+
+    land, ckpt, out = (scratch_dir(spark, n) for n in ("dump_in", "dump_ckpt", "dump_out"))
+    sink = FF.feed_file_sink(lambda rows, n: FF.feed_file_items(rows).write.mode("overwrite").parquet(f"{out}/batch_id={n}"))
+
+    def start():
+        return (FF.read_feed_files(spark, land, _FOLDERS, stream=True, glob="*.txt").writeStream.foreachBatch(sink)
+                .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+
+    for part in (0, 1):
+        _dump(spark, sf, land, part)
+        run_available(start)
+    return _dump_rows(spark.read.parquet(out))
+
+
 # ------------------------------------------------------------ J-1, SRC-2
 @query(
     "entry_page_join",

@@ -3,8 +3,8 @@
 A feed document is one row ``(source, feed_id, fetched_at, body)``; its
 entries are parsed with the built-in ``from_xml`` and exploded in feed order.
 Malformed or empty bodies parse to a NULL channel and yield no entries;
-``feed_problems`` keeps them with a reason.  Feeds on disk can be read the same way with
-``spark.read.format("xml").option("rowTag", "item")``.
+``feed_problems`` keeps them with a reason.  Feeds on disk are read item by item
+by ``sources.feed_files``.
 """
 
 from __future__ import annotations
@@ -30,16 +30,23 @@ def rss_items(feeds: DataFrame, body: str = "body", keep: list[str] | None = Non
         *keep,
         "item_pos",
         "n_in_feed",
-        F.col("_it.title").alias("title"),
-        F.col("_it.link").alias("link"),
-        F.col("_it.author").alias("author"),
-        F.col("_it.pubDate").alias("pub_date"),
-        F.col("_it.category").alias("categories"),
-        F.col("_it.description").alias("description"),
-        F.col("_it.`content:encoded`").alias("content_encoded"),
+        *item_columns(lambda c: F.col(f"_it.`{c}`")),
     )
 
 
+def item_columns(child) -> list[Column]:
+    """The columns of an item; ``child`` gives an element of it by name."""
+    return [
+        child("title").alias("title"),
+        child("link").alias("link"),
+        child("author").alias("author"),
+        child("pubDate").alias("pub_date"),
+        child("category").alias("categories"),
+        child("description").alias("description"),
+        child("content:encoded").alias("content_encoded"),
+    ]
+
+
 def feed_problems(feeds: DataFrame, body: str = "body", keep: list[str] | None = None) -> DataFrame:
     """V-2: the feeds that give no entries because they cannot be read, with a reason and the body.
 

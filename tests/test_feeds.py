@@ -155,3 +155,36 @@ def test_crawl_against_the_stored_state(spark, tmp_dir):
         assert sum(r["scraped"] for r in out.counts.collect()) == want
     hours = {d for d in os.listdir(state) if d.startswith("hour=")}
     assert len(hours) == 2  # the run's own hour, and the one that ends with it
+
+
+def test_feed_files_by_item(spark, tmp_dir):
+    """Files of one feed follow each other; a broken element costs itself only and keeps its place."""
+    import os
+
+    from inkwell.sources import feed_files as FF
+
+    def put(name, body):
+        path = os.path.join(tmp_dir, name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(body)
+
+    item = "<item><title>%s</title></item>"
+    put("source=a/feed_no=1/1.xml", "<rss><channel><title>t</title>" + item % "1" + "<!-- " + item % "no" + " -->"
+        + "<item><title>2</title><content:encoded><![CDATA[" + item % "no" + "]]></content:encoded></item></channel></rss>")
+    put("source=a/feed_no=1/2.xml", "<rss><channel>" + item % "3" + item % "a & b" + item % "4" + "<item><title>5")
+    put("source=a/feed_no=2/1.xml", "")
+    put("source=b c/feed_no=2/1.xml", "<html>moved</html>")
+    put("source=b c/feed_no=2/2.xml", "<rss><channel>" + "".join(item % i for i in range(500)) + "</channel></rss>")
+    numbered = FF.number_items(FF.read_feed_files(spark, tmp_dir))
+    items = FF.feed_file_items(numbered)
+    got = {(r["source"], r["feed_no"], r["item_pos"]): r["title"] for r in items.collect()}
+    assert {k[2]: v for k, v in got.items() if k[0] == "a"} == {0: "1", 1: "2", 2: "3", 4: "4"}
+    assert {k[2]: v for k, v in got.items() if k[0] == "b c"} == {i: str(i) for i in range(500)}
+    assert {(r["feed_no"], r["n_in_feed"]) for r in items.collect()} == {(1, 6), (2, 500)}
+    bad = {(r["source"], r["feed_no"], os.path.basename(r["source_file"]), r["item_pos"]) for r in FF.item_problems(numbered).collect()}
+    assert bad == {("a", 1, "2.xml", 3), ("a", 1, "2.xml", 5)}
+    entry = feed_entries(items.filter("source = 'a' and item_pos = 1")).first()
+    assert entry["title"] == "2" and entry["content"][0]["value"] == item % "no"
+    alone = FF.number_items(FF.read_feed_files(spark, tmp_dir), feed=[])  # every file a feed
+    assert {(os.path.basename(r["source_file"]), r["n_in_feed"]) for r in alone.filter("source = 'a'").collect()} == {("1.xml", 2), ("2.xml", 4)}
