@@ -14,7 +14,9 @@ their bit distance.
 Only distinct fingerprints take part, so copies cost nothing.  A lossless screen
 comes first: of seven bit blocks, three differing bits leave four blocks equal,
 hence a fingerprint that shares no four blocks with another one has no link and
-emits no variants.  Components come from large-star / small-star rounds over the
+emits no variants.  The values of four blocks that several fingerprints share are found by a combined
+aggregate and stored before the join, so a template with many different
+fingerprints meets in no single task.  Components come from large-star / small-star rounds over the
 links, each cut by a reliable checkpoint.
 
 Defined cases: null and wordless texts have fingerprint 0 and link like any other;
@@ -102,10 +104,10 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     from pyspark.sql import Window
 
     screen = distinct.select("_fp", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("c"), F.col("_fp").bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(block_masks())])).alias("_b"))
-    same = Window.partitionBy("_b.c", "_b.v")
-    near = screen.withColumn("_lo", F.min("_fp").over(same)).withColumn("_hi", F.max("_fp").over(same)) \
-        .filter("_lo <> _hi").select("_fp").distinct()
+        F.struct(F.lit(i).alias("c"), F.col("_fp").bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(block_masks())])).alias("_b")) \
+        .select("_fp", "_b.c", "_b.v")
+    shared = checkpoint(screen.groupBy("c", "v").agg(F.min("_fp").alias("lo"), F.max("_fp").alias("hi")).filter("lo <> hi").select("c", "v"))
+    near = screen.join(shared, ["c", "v"], "left_semi").select("_fp").distinct()
     masks = F.array(*[F.lit(m) for m in ball_masks()])
     ball = near.select("_fp", F.posexplode(masks).alias("_i", "_m")) \
         .select("_fp", (F.col("_i") <= 64).alias("_near"), F.col("_fp").bitwiseXOR(F.col("_m")).alias("_v"))
