@@ -334,3 +334,25 @@ def stream_late_rows(spark, sf):
     late = F.coalesce(F.col("event_id") % 10 == 0, F.lit(False))
     q_stream._run_in_drops([ev.filter(~late), ev.filter(late)], land, "parquet", start)
     return spark.read.parquet(out + "_late").select("event_id", "reason")
+
+
+# The value-state throttle knows a key's mark for as long as it is alive at the watermark.
+_MARK_ALIVE = "k.t + 86400000000 > w.t"
+
+
+@query(
+    "stream_late_state",
+    q_state._TTL_SQL.replace("FROM events", f"FROM {_FIRST}").replace(
+        "SELECT event_id, user_id, event_type FROM r WHERE acc",
+        f", w AS (SELECT epoch_us(date_trunc('millisecond', max(ts))) - 3600000000 AS t FROM {_FIRST}), "
+        "k AS (SELECT user_id, event_type, max(last_t) AS t FROM r WHERE acc GROUP BY 1, 2) "
+        f"SELECT e.event_id, CASE WHEN {_MARK_ALIVE} THEN 'before the last accept of its key' ELSE 'behind the kept marks' END AS reason "
+        "FROM events e CROSS JOIN w LEFT JOIN k ON k.user_id = e.user_id AND k.event_type = e.event_type "
+        f"WHERE e.event_id % 10 = 0 AND epoch_us(e.ts) < CASE WHEN {_MARK_ALIVE} THEN k.t ELSE w.t END"),
+)
+def stream_late_state(spark, sf):
+    """As ``stream_late_rows``, by ``transformWithState``: late rows come out of the same step with a reason."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    late = F.coalesce(F.col("event_id") % 10 == 0, F.lit(False))
+    rows = q_stream._value_state(spark, [ev.filter(~late), ev.filter(late)])
+    return rows.filter("reason is not null").select("event_id", "reason")

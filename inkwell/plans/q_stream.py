@@ -87,6 +87,38 @@ def stream_ttl_keyed_state(spark, sf):
     return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
+def _value_state(spark, drops, initial=None):
+    """Accepted and late rows (with a reason) of the value-state throttle, after all drops."""
+    from inkwell.streaming.value_state import rocksdb_state, ttl_throttle_state
+
+    land, ckpt, out = (scratch_dir(spark, n) for n in ("events_in", "value_ckpt", "value_out"))
+
+    def start():
+        stream = spark.readStream.schema(drops[0].schema).parquet(land)
+        rows = ttl_throttle_state(stream, ["user_id", "event_type"], "ts", 86400, tiebreak="event_id", initial=initial)
+        return (rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+                .outputMode("append").trigger(availableNow=True).start())
+
+    with rocksdb_state(spark):
+        _run_in_drops(drops, land, "parquet", start)
+    return spark.read.parquet(out)
+
+
+@query("stream_ttl_value_state", lambda: ORACLE["ttl_throttle"])
+def stream_ttl_value_state(spark, sf):
+    """The first days are throttled as a batch; the stream starts from its marks and judges the rest
+    with ``transformWithState``.  Together they are what one batch over all days accepts."""
+    from inkwell.operators import seen as S
+
+    keys = ["user_id", "event_type"]
+    ev = table(spark, sf, "events").select("event_id", *keys, "ts")
+    days, *rest = [ev.filter(c) for c in _chunk_filters("ts", EVENT_CHUNKS)]
+    by_batch = S.ttl_throttle(days, keys, "ts", 86400, tiebreak="event_id").select("event_id", *keys, "ts").checkpoint(eager=True)
+    marks = S.advance_seen(None, by_batch, keys, "ts")
+    streamed = _value_state(spark, rest, marks).filter("reason is null")
+    return by_batch.select("event_id", *keys).unionByName(streamed.select("event_id", *keys))
+
+
 # ------------------------------------------------------------------ ST-3
 def _noon(rows):
     """The noon of the newest ``processed_at``; None (the clock) if no row has one."""
