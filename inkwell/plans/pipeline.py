@@ -17,6 +17,7 @@ feed several outputs are persisted by the caller (or checkpointed) once.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -27,6 +28,7 @@ from inkwell.operators import extract as X
 from inkwell.operators import merge as M
 from inkwell.operators import quality as V
 from inkwell.operators import seen as S
+from inkwell.plans.chain import Stage, run_chain, validation
 from inkwell.registry import DEFAULT_SOURCES, Source, base_url_for, domains_for
 from inkwell.sources.rss import feed_entries, feed_problems, rss_items
 
@@ -49,9 +51,11 @@ class RunOutputs:
 
 def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame | None = None,
               sources=DEFAULT_SOURCES, default: Source | None = None, ttl_seconds: int = 86400,
-              materialize: bool = True) -> RunOutputs:
+              materialize: bool = True, stages: Sequence[Stage] = ()) -> RunOutputs:
     """Entry A for all sources in one plan (U-2: both sources are one DataFrame).
 
+    ``stages`` join the validation (order 200) in the item chain (X-1); what they turn away is rejected too.
+
     With ``materialize`` the parsed entries, the found links, the requests and the
     extracted articles, each read by several outputs, are written once as reliable checkpoints (in the
     session's shared checkpoint folder) instead of being re-derived per output.
@@ -91,14 +95,14 @@ def crawl_run(feeds: DataFrame, pages: DataFrame, run_ts: str, seen: DataFrame |
     if materialize:
         extracted = extracted.checkpoint(eager=True)
     # V-2: error rows are counted, not yielded and not marked seen; the run goes on.
-    errors = extracted.filter(F.col("error"))
     articles = extracted.filter(~F.col("error")).drop("error")
-    accepted, rejected = V.validate(articles, now.cast("timestamp_ntz"), spider_col=F.col("source"))
+    chain = run_chain(articles, [validation(now.cast("timestamp_ntz"), spider_col=F.col("source")), *stages])
+    accepted, rejected = chain.items, chain.rejects
     # SNK-6: mark the final url and the requested link (D-6), rejected ones too (D-5).
     marks = articles.select("source", "url").unionByName(articles.select("source", F.col("link").alias("url")))
     marks = marks.filter(F.col("url").isNotNull()).withColumn("ts", now)
     new_seen = S.advance_seen(seen, marks, ["source", "url"], "ts", expired=now - F.make_dt_interval(secs=F.lit(ttl_seconds)))
-    counts = run_counts(entries, found, requests, articles, errors, accepted, rejected)
+    counts = run_counts(entries, found, requests, extracted, accepted, rejected) if stages else run_counts(entries, found, requests, extracted)
     dropped = run_dropped(entries, linked, found, found.filter(~allowed), requests, extracted)
     # V-2: what could not be read, per source: whole feeds, and fields of articles.
     feeds_bad = feed_problems(feeds, keep=["source"]).select("source", F.lit("feed").alias("field"), "reason")
@@ -144,25 +148,26 @@ def crawl_with_state(spark, feeds: DataFrame, pages: DataFrame, run_ts: str, sta
     return out
 
 
-def run_counts(entries, found, requests, articles, errors, accepted, rejected) -> DataFrame:
-    """A-1 style counters per source, one grouped aggregate over a tagged union.
+def run_counts(entries, found, requests, extracted, accepted=None, rejected=None) -> DataFrame:
+    """A-1 style counters per source: each table is read and aggregated once, and only the sums are added up.
 
     As in the reference, found >= scraped + errors, and scraped counts items
-    that validation later rejects.
+    that validation later rejects.  ``accepted`` and ``rejected`` are read only where stages beside the
+    validation decide; else the validation's verdict is counted with the articles.
     """
-    parts = [
-        entries.select("source", F.lit("entries").alias("m")),
-        found.select("source", F.lit("found").alias("m")),
-        requests.select("source", F.lit("requests").alias("m")),
-        articles.select("source", F.lit("scraped").alias("m")),
-        errors.select("source", F.lit("errors").alias("m")),
-        accepted.select("source", F.lit("accepted").alias("m")),
-        rejected.select("source", F.lit("rejected").alias("m")),
-    ]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("source").agg(*[F.count_if(F.col("m") == m).alias(m) for m in COUNTERS])
+    ok, valid = ~F.col("error"), V.missing_field(extracted).isNull()
+    sums = {"scraped": F.count_if(ok), "errors": F.count_if(F.col("error"))}
+    if accepted is None:
+        sums |= {"accepted": F.count_if(ok & valid), "rejected": F.count_if(ok & ~valid)}
+    rows = F.count(F.lit(1))
+    parts = [(entries, {"entries": rows}), (found, {"found": rows}), (requests, {"requests": rows}), (extracted, sums)]
+    if accepted is not None:
+        parts += [(accepted, {"accepted": rows}), (rejected, {"rejected": rows})]
+    u = None
+    for df, agg in parts:
+        part = df.groupBy("source").agg(*[agg.get(c, F.lit(0)).cast("long").alias(c) for c in COUNTERS])
+        u = part if u is None else u.unionByName(part)
+    return u.groupBy("source").agg(*[F.sum(c).alias(c) for c in COUNTERS])
 
 
 def etl_flow(spark, landing_dir: str, table_dir: str, archive_dir: str, run_ts: str,

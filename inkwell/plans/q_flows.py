@@ -161,6 +161,30 @@ def landing_array(spark, sf):
     return read_landing(spark, path, layout="array", glob="*.txt").select("heading", "date", "url", "spider_name")
 
 
+# -------------------------------------------------------------------- X-1
+@query(
+    "item_chain",
+    f"WITH i AS (SELECT * REPLACE (CASE WHEN heading IS NULL THEN NULL ELSE '  ' || heading END AS heading) FROM ({_LAND_SQL})), "
+    "s AS (SELECT *, CASE WHEN heading IS NULL THEN 'validation' WHEN date = 'someday' THEN 'dates' END AS stage FROM i) "
+    "SELECT url, spider_name, coalesce(stage, 'export') AS stage, CASE stage WHEN 'validation' THEN 'Missing heading in ' || url "
+    "WHEN 'dates' THEN 'no day' END AS reason, CASE WHEN stage = 'validation' THEN heading ELSE trim(heading) END AS heading FROM s",
+)
+def item_chain(spark, sf):
+    """Three stages, listed in another order than they run: validation (200), a rule of one's own (300), export (400)."""
+    from inkwell.plans import chain as C
+
+    out = scratch_dir(spark, "chain") + "/out"
+    items = _landing(spark, sf).drop("processed_at").withColumns(
+        {"heading": F.concat(F.lit("  "), F.col("heading")), "content": F.lit("text"), "lang": F.col("spider_name")})
+    done = C.run_chain(items, [
+        C.export(out, "2025-06-03", columns=["heading", "url", "date", "processed_at", "spider_name"]),
+        C.reject_where("dates", 300, [(F.col("date") == "someday", "no day")]),
+        C.validation(q_files.RUN_ISO)])
+    cols = ["url", "spider_name", "stage", "reason", "heading"]
+    stored = read_landing(spark, out, layout="lines").withColumns({"stage": F.lit("export"), "reason": F.lit(None).cast("string")})
+    return stored.select(*cols).unionByName(done.rejects.select(*cols))
+
+
 # -------------------------------------------------------------------- F-6
 @query(
     "request_dedupe",

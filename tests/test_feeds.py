@@ -188,3 +188,42 @@ def test_feed_files_by_item(spark, tmp_dir):
     assert entry["title"] == "2" and entry["content"][0]["value"] == item % "no"
     alone = FF.number_items(FF.read_feed_files(spark, tmp_dir), feed=[])  # every file a feed
     assert {(os.path.basename(r["source_file"]), r["n_in_feed"]) for r in alone.filter("source = 'a'").collect()} == {("1.xml", 2), ("2.xml", 4)}
+
+
+def test_item_chain_orders_stages_and_collects_rejects(spark):
+    import pytest
+
+    from inkwell.plans import chain as C
+
+    items = spark.createDataFrame(
+        [(" h ", "u1", "c", "a"), (None, "u2", "c", "a"), ("h", "u3", "c", "b"), ("h", "u4", "c", None)], "heading string, url string, content string, author string")
+    stored = []
+    stages = [C.Stage("keep", 400, lambda df: stored.extend(r["url"] for r in df.collect()), sink=True),
+              C.reject_where("authors", 300, [(F.col("author") == "b", "blocked"), (F.col("heading") == "h", "after strip")], store=True),
+              C.validation("2025-06-03 12:00:00", spider_col=F.lit("s")),
+              C.Stage("tag", 350, lambda df: df.withColumn("tag", F.upper("url")))]
+    done = C.run_chain(items, stages)
+    assert [tuple(r) for r in done.items.select("url", "tag").collect()] == [] and stored == []
+    got = {(r["url"], r["stage"], r["reason"], r["heading"]) for r in done.rejects.collect()}
+    assert got == {("u1", "authors", "after strip", "h"), ("u2", "validation", "Missing heading in u2", None), ("u3", "authors", "blocked", "h"),
+                   ("u4", "authors", "after strip", "h")}
+    assert {(r["stage"], r["reason"], r["n"]) for r in done.reject_counts().collect()} == {
+        ("authors", "after strip", 2), ("authors", "blocked", 1), ("validation", "Missing heading in u2", 1)}
+    alone = C.run_chain(items, [C.Stage("same", 1, lambda df: df)])
+    assert alone.rejects is None and alone.items.count() == 4
+    assert C.run_chain(items.limit(0), stages[1:3]).rejects.count() == 0
+    with pytest.raises(ValueError):
+        C.run_chain(items, [stages[1], stages[1]])
+
+
+def test_crawl_run_with_a_stage_of_ones_own(spark):
+    from inkwell.plans.chain import reject_where
+
+    out = crawl(spark, stages=[reject_where("travel", 300, [(F.col("category") == "Travel", "not wanted")])])
+    plain = crawl(spark)
+    assert {(r["stage"], r["reason"]) for r in out.rejected.filter(F.col("link") == f"{SITE}/ferry").collect()} == {("travel", "not wanted")}
+    before = {r["source"]: r.asDict() for r in plain.counts.collect()}
+    after = {r["source"]: r.asDict() for r in out.counts.collect()}
+    dawn = before["dawn_latest"]
+    assert after["dawn_latest"] == {**dawn, "accepted": dawn["accepted"] - 1, "rejected": dawn["rejected"] + 1}
+    assert after["tribune_latest"] == before["tribune_latest"]
