@@ -4,8 +4,10 @@ Writing: every record is one gzip member (or plain bytes), made in the tasks tha
 hold the pages and appended by Spark's own text writer, so archives go to any
 store that Spark can write.  Payloads of at least ``MIN_REVISIT`` bytes that are equal are written once, as the
 response with the largest page id; the others become revisits that refer to it.
-``maxRecordsPerFile`` bounds an archive, so a reader task holds one archive of
-bounded size at a time.
+An archive is bounded by records and by payload bytes, so a reader task holds one archive of
+bounded size at a time: records are written by classes of payload size, and the longer the payloads of a
+class, the fewer records an archive of it holds.  Where no payload is above the first
+class's bound there is one write.
 
 Reading: every record is checked (member CRC, version line, header block, content
 length, closing blank lines, payload digest).  After a failed check the reader
@@ -30,13 +32,14 @@ import hashlib
 import re
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import checkpoint
 
 MIN_REVISIT = 1000
 RECORDS_PER_FILE = 2000
+CLASS_BYTES, CLASS_STEP = 1 << 18, 16  # payloads of the first class; how much longer those of the next class are
 _END = b"\r\n\r\n"
 _MEMBER = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -180,14 +183,16 @@ def salvage(data: bytes, plain: bool = False):
 
 
 def write_archives(pages: DataFrame, path: str, compress: bool = True, id_col: str = "page_id", url_col: str = "url",
-                   payload_col: str = "html") -> None:
-    """Write one record per row of ``pages`` below ``path``."""
+                   payload_col: str = "html", class_bytes: int = CLASS_BYTES) -> None:
+    """Write one record per row of ``pages`` below ``path``; ``class_bytes`` bounds the first class of payloads."""
     p = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"),
                      F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("_body"))
     p = p.withColumn("_key", F.sha2("_body", 256))
     # Stored, so that either side of the join has an exchange of its own and a hot payload can be split.
-    shared = checkpoint(p.filter(F.octet_length("_body") >= MIN_REVISIT).groupBy("_key")
-                        .agg(F.max("_id").alias("_to"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
+    # The same pass measures the longest payload.
+    longest = Observation()
+    shared = checkpoint(p.observe(longest, F.max(F.octet_length("_body")).alias("n")).filter(F.octet_length("_body") >= MIN_REVISIT)
+                        .groupBy("_key").agg(F.max("_id").alias("_to"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
     rows = p.join(shared, "_key", "left").select(
         "_id", "_url", "_body", F.sha1("_body").alias("_sha1"),
         F.when(~F.col("_id").eqNullSafe(F.col("_to")), F.col("_to")).alias("_to"))
@@ -201,9 +206,23 @@ def write_archives(pages: DataFrame, path: str, compress: bool = True, id_col: s
                    for i, u, p, d, t in zip(ids, urls, bodies, digests, tos)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    # Plain records end in the blank lines that the writer puts between rows; NUL padding may follow a gzip member.
-    rows.mapInArrow(run, "record binary").select(F.col("record").cast("string")).write.mode("overwrite") \
-        .option("lineSep", "\x00" if compress else "\r\n\r\n").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    bounds = size_classes(longest.get["n"] or 0, class_bytes)
+    size = F.octet_length("_body")
+    for k, (low, high, records) in enumerate(bounds):
+        part = rows if len(bounds) == 1 else rows.filter((size > low) & (size <= high))
+        # Plain records end in the blank lines that the writer puts between rows; NUL padding may follow a gzip member.
+        part.mapInArrow(run, "record binary").select(F.col("record").cast("string")).write.mode("append" if k else "overwrite") \
+            .option("lineSep", "\x00" if compress else "\r\n\r\n").option("maxRecordsPerFile", records).text(path)
+
+
+def size_classes(longest: int, first: int = CLASS_BYTES) -> list[tuple[int, int, int]]:
+    """(above, up to, records an archive) for payloads of up to ``longest`` bytes: archives hold at most
+    2000 times the first class's bound, or one record."""
+    out, low, high, records = [], -1, first, RECORDS_PER_FILE
+    while low < longest or not out:
+        out.append((low, high, max(1, records)))
+        low, high, records = high, high * CLASS_STEP, records // CLASS_STEP
+    return out
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

@@ -837,3 +837,21 @@ def test_ranks_file_is_read_from_a_path(tmp_dir):
         f.write(base64.b64encode(b"a") + b" 0\n" + base64.b64encode(b"b") + b" 1\n" + base64.b64encode(b"ab") + b" 2\n")
     ranks = byte_bpe.load_ranks(path)
     assert ranks == {b"a": 0, b"b": 1, b"ab": 2} and byte_bpe.merge_word(b"aab", ranks) == [0, 2]
+
+
+def test_warc_archives_are_bounded_by_bytes(spark, tmp_dir):
+    assert warc.size_classes(0) == [(-1, 1 << 18, 2000)]
+    assert warc.size_classes(1 << 27) == [(-1, 1 << 18, 2000), (1 << 18, 1 << 22, 125), (1 << 22, 1 << 26, 7), (1 << 26, 1 << 30, 1)]
+    rows = [(i, f"u{i}", "x" * n + str(i)) for i, n in enumerate([0, 30] * 40 + [900] * 200 + [20_000] * 9 + [200_000])]
+    rows += [(1000, "twin", rows[-1][2]), (1001, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(pages, tmp_dir + "/w", compress=False, class_bytes=64)
+    back = {r["record_id"]: r for r in warc.read_archives(spark, tmp_dir + "/w").filter("kind = 'record'").collect()}
+    assert len(back) == len(rows) and {r["payload_bytes"] for r in back.values()} == {len(h or "") for _, _, h in rows}
+    assert back[warc._id(289)]["record_type"] == "revisit" and back[warc._id(289)]["refers_to"] == warc._id(1000)
+    held = {}
+    for r in back.values():
+        held.setdefault(r["archive"], []).append(r["payload_bytes"])
+    assert max(max(v) for v in held.values()) == 200_003
+    assert all(len(v) == 1 or sum(v) <= 2000 * 64 for v in held.values())
+    assert all(len(v) == 1 for v in held.values() if max(v) > 16_384)
