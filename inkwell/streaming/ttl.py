@@ -1,14 +1,14 @@
 """ST-1: the seen-URL throttle as Structured Streaming keyed state.
 
-``groupBy(keys).applyInPandasWithState``: the state per key is one number (the
-last accepted event time), so it stays O(1) per key however hot the key is.
-Within a micro-batch a key's rows are ordered by (time, tie-break) and folded
-against the stored value.  State is evicted by an event-time timeout once the
-watermark passes ``last_accept + ttl`` (the mark has expired, exactly like
-the key-value store's TTL), so state size follows the number of keys seen in
-the last ``ttl``, not the stream's history.  Rows behind the watermark are
-dropped by Spark before the state function (late data); use the micro-batch sink
-below where they must be kept.
+``groupBy(bucket).applyInPandasWithState``: a call in Python costs the same for one key as for
+thousands, so keys are dealt by their hash into a fixed number of buckets, and the state of a bucket
+holds one number per key (the last accepted event time).  It stays O(1) per key however hot the
+key is.  Within a micro-batch a bucket's rows are scanned once in the order (time, tie-break), each against its
+key's last accept.  Marks that the watermark has passed by the TTL are dropped whenever rows reach their bucket, and a
+bucket none of whose marks can suppress a row any more is evicted by an event-time timeout, so
+state size follows the number of keys seen in the last ``ttl``, not the stream's
+history.  Rows behind the watermark are dropped by Spark before the state function (late data); use
+the micro-batch sink below where they must be kept.
 """
 
 from __future__ import annotations
@@ -17,61 +17,117 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 US = 1_000_000
+BUCKETS = 1024
+MARKS = "keys array<string>, last array<bigint>"  # the state of a bucket
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def key_text(rows: DataFrame, keys: list[str]) -> Column:
+    """A text per key: equal for keys that ``groupBy`` puts together, NULL included, and for no others."""
+    def part(name):
+        kind, c = rows.schema[name].dataType, F.col(name)
+        if isinstance(kind, T.BinaryType):
+            s = F.hex(c)
+        elif isinstance(kind, T.TimestampType):
+            s = F.unix_micros(c).cast("string")
+        elif isinstance(kind, (T.FloatType, T.DoubleType)):
+            s = F.when(c == 0, F.lit("0")).otherwise(c.cast("string"))
+        elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+            s = F.to_json(F.struct(c), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+        else:
+            s = c.cast("string")
+        return F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit("-"))
+
+    return F.concat(F.lit(""), *[part(k) for k in keys])
+
+
+def bucketed(rows: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """``rows`` with ``_key`` and the ``_bucket`` it is in."""
+    return rows.withColumn("_key", key_text(rows, keys)).withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int"))
+
+
+def stateful_rows(timed: DataFrame, keys: list[str], ts_col: str, tiebreak: str | None, buckets: int,
+                  no_tie: int) -> tuple[DataFrame, list[str]]:
+    """What the state function reads of rows that have their time in ``_ts``, and the columns that it gives back.
+
+    ``no_tie`` stands for a tie-break that is NULL.  Whole numbers travel as text: a NULL among them would make a pandas column floating point.
+    """
+    tie = F.coalesce(F.col(tiebreak).cast("long"), F.lit(no_tie)) if tiebreak else F.lit(0).cast("long")
+    carried = [*keys, *[c for c in timed.columns if c not in keys and c not in (ts_col, "_ts")]]
+    ev = bucketed(timed, keys, buckets)
+    ev = ev.select("_bucket", "_key", "_ts", F.coalesce(F.unix_micros("_ts"), F.lit(0)).alias("_t"), F.col("_ts").isNotNull().alias("_timed"),
+                   tie.alias("_tie"), *[F.col(c).cast("string") if isinstance(timed.schema[c].dataType, _WHOLE) else F.col(c) for c in carried])
+    return ev, [*carried, "_t", "_timed"]
+
 
+def output_schema(ev: DataFrame, out_cols: list[str]) -> str:
+    return ", ".join(f"`{c}` {ev.schema[c].dataType.simpleString()}" for c in out_cols)
 
-def _make_fn(keys: list[str], out_cols: list[str], ttl_us: int):
+
+def restored(out: DataFrame, timed: DataFrame, ts_col: str) -> DataFrame:
+    """The given-back rows with the types and the time column of the input."""
+    kept = [F.col(c).cast(timed.schema[c].dataType) if c in timed.columns else F.col(c) for c in out.columns if c not in ("_t", "_timed")]
+    return out.select(*kept, F.when(F.col("_timed"), F.timestamp_micros("_t")).alias(ts_col))
+
+
+def accept_rows(batch: pd.DataFrame, usable: np.ndarray, last: dict[str, int], ttl_us: int) -> list[int]:
+    """Places of the ``usable`` rows that are at least the TTL after their key's last accept; moves ``last``."""
+    t = batch["_t"].to_numpy(dtype=np.int64)
+    order = np.lexsort((batch["_tie"].to_numpy(dtype=np.int64), t))
+    order = order[usable[order]]
+    picked = []
+    for i, k, at in zip(order.tolist(), batch["_key"].to_numpy()[order].tolist(), t[order].tolist()):
+        mark = last.get(k)
+        if mark is None or at >= mark + ttl_us:
+            picked.append(i)
+            last[k] = at
+    return picked
+
+
+def _make_fn(out_cols: list[str], ttl_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        last = state.get[0] if state.exists else None
-        frames = list(pdfs)
-        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        if batch.empty:
+        frames = [f for f in pdfs if len(f)]
+        if not frames:
             return
-        t = batch["_t"].to_numpy()
-        order = np.lexsort((batch["_tie"].to_numpy(), t))
-        picked = []
-        # Greedy chain: each accept is the first occurrence at or after the
-        # previous accept + ttl (a search, not a scan over suppressed rows).
-        ts = t[order]
-        i = 0 if last is None else int(np.searchsorted(ts, last + ttl_us, side="left"))
-        while i < len(ts):
-            picked.append(order[i])
-            last = int(ts[i])
-            i = int(np.searchsorted(ts, last + ttl_us, side="left"))
-        state.update((int(last),))
-        state.setTimeoutTimestamp(int((last + ttl_us) // 1000))
-        if picked:
-            yield batch.iloc[picked][out_cols]
+        batch = pd.concat(frames, ignore_index=True)
+        behind = state.getCurrentWatermarkMs() * 1000
+        last = dict(zip(*state.get)) if state.exists else {}
+        last = {k: t for k, t in last.items() if t + ttl_us > behind}
+        timed = batch["_timed"].to_numpy(dtype=bool)
+        take = ~timed  # a row without a time is accepted and leaves the state alone
+        take[accept_rows(batch, timed, last, ttl_us)] = True
+        if last:
+            state.update((list(last), list(last.values())))
+            state.setTimeoutTimestamp((max(last.values()) + ttl_us) // 1000)
+        elif state.exists:
+            state.remove()
+        if take.any():
+            yield batch.loc[take, out_cols]
 
     return fn
 
 
 def ttl_throttle_stream(stream: DataFrame, keys: list[str], ts_col: str, ttl_seconds: int = 86400,
-                        tiebreak: str | None = None, watermark: str = "1 hour") -> DataFrame:
-    """Accepted rows of a streaming DataFrame (append mode), same rule as the batch throttle."""
-    ts = F.col(ts_col).cast("timestamp")
-    tie = F.col(tiebreak).cast("long") if tiebreak else F.lit(0).cast("long")
-    payload = [c for c in stream.columns if c not in keys and c != ts_col]
-    ev = stream.select(*keys, ts.alias("_ts"), F.unix_micros(ts).alias("_t"), tie.alias("_tie"), *payload)
-    ev = ev.withWatermark("_ts", watermark)
-    out_cols = keys + ["_t"] + payload
-    out_schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in ev.schema.fields if f.name in keys]
-        + ["`_t` bigint"]
-        + [f"`{f.name}` {f.dataType.simpleString()}" for f in ev.schema.fields if f.name in payload]
-    )
-    fn = _make_fn(keys, out_cols, ttl_seconds * US)
-    out = ev.groupBy(*keys).applyInPandasWithState(
-        fn, out_schema, "last long", "Append", GroupStateTimeout.EventTimeTimeout
-    )
-    return out.withColumn(ts_col, F.timestamp_micros("_t")).drop("_t")
+                        tiebreak: str | None = None, watermark: str = "1 hour", buckets: int = BUCKETS) -> DataFrame:
+    """Accepted rows of a streaming DataFrame (append mode), same rule as the batch throttle.
+
+    ``buckets`` bounds the calls of a micro-batch and may grow with the number of live keys; a checkpoint keeps
+    the number that it began with.
+    """
+    timed = stream.withColumn("_ts", F.col(ts_col).cast("timestamp")).withWatermark("_ts", watermark)
+    ev, out_cols = stateful_rows(timed, keys, ts_col, tiebreak, buckets, no_tie=2**63 - 1)
+    out = ev.groupBy("_bucket").applyInPandasWithState(
+        _make_fn(out_cols, ttl_seconds * US), output_schema(ev, out_cols), MARKS, "Append", GroupStateTimeout.EventTimeTimeout)
+    return restored(out, timed, ts_col)
 
 
 def ttl_microbatch_sink(state_root: str, out_root: str, keys: list[str], ts_col: str, ttl_seconds: int = 86400,

@@ -134,3 +134,23 @@ def test_value_state_keeps_late_rows_and_rows_without_time(spark, tmp_dir):
     got = _through_value_state(spark, tmp_dir, [spark.createDataFrame(d, schema) for d in drops], schema)
     before, behind = "before the last accept of its key", "behind the kept marks"
     assert got == {1: None, 2: None, 3: None, 10: None, 4: behind, 5: before, 6: None, 7: None, 11: None, 8: behind, 9: None}
+
+
+def test_keys_keep_apart_in_their_text(spark):
+    from inkwell.streaming.ttl import key_text
+
+    rows = [("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("ab", None), ("1:a", None), (None, None), ("-", None)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert df.select(key_text(df, ["a", "b"]).alias("k")).distinct().count() == len(rows)
+    same = spark.sql("SELECT * FROM VALUES (0.0D), (-0.0D) AS t(d)")
+    assert same.select(key_text(same, ["d"]).alias("k")).distinct().count() == 1
+
+
+def test_streamed_rows_without_time_are_accepted(spark, tmp_dir):
+    rows = [(1, "a", T0), (2, "a", None), (3, "a", T0 + dt.timedelta(hours=1)), (4, None, None)]
+    spark.createDataFrame(rows, "event_id long, k string, ts timestamp_ntz").write.parquet(os.path.join(tmp_dir, "in"))
+    stream = spark.readStream.schema("event_id long, k string, ts timestamp_ntz").parquet(os.path.join(tmp_dir, "in"))
+    out = os.path.join(tmp_dir, "out")
+    (ttl_throttle_stream(stream, ["k"], "ts", 86400, "event_id").writeStream.format("parquet").option("path", out)
+     .option("checkpointLocation", os.path.join(tmp_dir, "ckpt")).trigger(availableNow=True).start().awaitTermination())
+    assert {(r["event_id"], r["ts"] is None) for r in spark.read.parquet(out).collect()} == {(1, False), (2, True), (4, True)}
