@@ -136,6 +136,53 @@ def test_value_state_keeps_late_rows_and_rows_without_time(spark, tmp_dir):
     assert got == {1: None, 2: None, 3: None, 10: None, 4: behind, 5: before, 6: None, 7: None, 11: None, 8: behind, 9: None}
 
 
+def _counted_events(spark):
+    h = dt.timedelta(hours=1)
+    rows = [(n * 200 + u, u if u else None, T0 + n * 20 * h) for n in range(3) for u in range(200)]
+    rows += [(2**60 + 1, 7, T0 + 90 * h), (None, 8, T0 + 90 * h), (2**60 + 3, None, T0 + 90 * h)]
+    return spark.createDataFrame(rows, "event_id long, k long, ts timestamp_ntz")
+
+
+def test_calls_into_python_follow_buckets_not_keys(spark, tmp_dir, monkeypatch):
+    """200 keys in 8 buckets: the state functions are called once per bucket and batch, the rows are those of the batch fold."""
+    from inkwell.streaming import ttl, value_state
+
+    df, cut = _counted_events(spark), T0 + dt.timedelta(hours=30)
+    whole = {(r["event_id"], r["k"]) for r in S.ttl_throttle(df, ["k"], "ts", 86400, "event_id").collect()}
+    assert len(whole) == 200 + 200 + 3
+    for name, throttle in (("keyed", ttl.ttl_throttle_stream), ("value", value_state.ttl_throttle_state)):
+        calls = os.path.join(tmp_dir, name + "_calls")
+        os.makedirs(calls)
+
+        def counted(fn, calls=calls):
+            def call(*args):
+                import uuid
+
+                with open(os.path.join(calls, uuid.uuid4().hex), "w"):
+                    pass
+                yield from fn(*args)
+
+            return call
+
+        with monkeypatch.context() as m:
+            if name == "keyed":
+                make = ttl._make_fn
+                m.setattr(ttl, "_make_fn", lambda *a, make=make: counted(make(*a)))
+            else:
+                m.setattr(value_state.Throttle, "handleInputRows", counted(value_state.Throttle.handleInputRows))
+            land, ckpt, out = (os.path.join(tmp_dir, name + n) for n in ("in", "ckpt", "out"))
+            with value_state.rocksdb_state(spark):
+                for part in (df.filter(df.ts < cut), df.filter(df.ts >= cut)):
+                    part.write.mode("append").parquet(land)
+                    stream = spark.readStream.schema(df.schema).parquet(land)
+                    (throttle(stream, ["k"], "ts", 86400, "event_id", buckets=8).writeStream.format("parquet").option("path", out)
+                     .option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination())
+        got = spark.read.parquet(out)
+        assert {(r["event_id"], r["k"]) for r in got.collect()} == whole, name
+        assert got.schema["event_id"].dataType.simpleString() == "bigint"
+        assert len(os.listdir(calls)) <= 8 * 4, name  # two drops, and two batches that only move the watermark
+
+
 def test_keys_keep_apart_in_their_text(spark):
     from inkwell.streaming.ttl import key_text
 
