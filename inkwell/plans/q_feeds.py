@@ -170,7 +170,8 @@ def stream_feed_dump(spark, sf):
 
     for part in (0, 1):
         _dump(spark, sf, land, part)
-        run_available(start)
+        with FF.bounded_listing(spark):
+            run_available(start)
     return _dump_rows(spark.read.parquet(out))
 
 

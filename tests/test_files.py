@@ -199,3 +199,23 @@ def test_stats_last_run_of_day_wins(spark, tmp_dir):
     FS.write_stats(second, tmp_dir)
     got = sorted((str(r["date"]), r["articles_found"]) for r in spark.read.json(tmp_dir).collect())
     assert got == [("2025-06-02", 30), ("2025-06-03", 16)]
+
+
+def test_feed_files_are_listed_by_few_tasks(spark, tmp_dir):
+    from inkwell.sources import feed_files as FF
+
+    path, conf = os.path.join(tmp_dir, "feeds"), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    for n in range(40):
+        os.makedirs(f"{path}/source=a/feed_no={n}")
+        with open(f"{path}/source=a/feed_no={n}/f.xml", "w") as f:
+            f.write(f"<rss><channel><item><title>{n}</title></item></channel></rss>")
+    before, tracker = spark.conf.get(conf), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("feed listing", "")
+    try:
+        items = FF.read_feed_files(spark, path)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tracker.getJobIdsForGroup("feed listing") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 2 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(conf) == before
+    assert {(r["feed_no"], r["title"]) for r in items.collect()} == {(n, str(n)) for n in range(40)}
