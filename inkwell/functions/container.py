@@ -107,12 +107,9 @@ def element_regions(clean: Column, rule: Container, targets: list[int]) -> Colum
         stack = F.concat(above, F.when(leaf, F.array().cast(f"array<{_ELEMENT}>")).otherwise(F.array(element(t["name"], on, zeros))))
         wanted = F.array(*[F.lit(k) for k in targets])
 
-        def entered(stack):
-            new = F.element_at(stack, -1)["on"]
-            return state(s["pos"], stack, F.zip_with(s["marks"], wanted, lambda m, k: F.when(
-                ~leaf & (m["depth"] == 0) & F.get(new, k), mark(s["pos"], F.size(stack), m["found"])).otherwise(m)))
-
-        return bind(stack, entered)
+        # Nothing of the state is bound here: a bound value is copied, and the stack is most of the state.
+        return state(s["pos"], stack, F.zip_with(s["marks"], wanted, lambda m, k: F.when(
+            ~leaf & (m["depth"] == 0) & F.get(on, k), mark(s["pos"], F.size(s["stack"]) + 1, m["found"])).otherwise(m)))
 
     def step(s, t):
         # How many open elements stay before the tag takes effect: an end tag closes its element, a block element a paragraph.
@@ -122,7 +119,7 @@ def element_regions(clean: Column, rule: Container, targets: list[int]) -> Colum
         left = size - F.when(t["end"], back).otherwise(ends_p.cast("int"))
         at = s["pos"] + t["gap"]
         ready = bind(left, lambda n: cut(s, n, at, at + t["len"]))
-        return bind(ready, lambda r: F.when(t["end"], r).otherwise(bind(F.element_at(r["stack"], -1), lambda up: begun(r, t, up))))
+        return bind(ready, lambda r: F.when(t["end"], r).otherwise(begun(r, t, F.element_at(r["stack"], -1))))
 
     def finish(s):
         return F.transform(s["marks"], lambda m: F.when(m["depth"] > 0, F.concat(m["found"], F.array(F.struct(
@@ -177,10 +174,10 @@ def container_text(html: Column, rule: Container) -> Column:
 
     def paragraphs(regions):
         # Each region ends its open paragraph, so regions do not run into each other.
-        return clean_paragraphs_text(F.array_join(regions, "</p>"))
+        return bind(F.array_join(regions, "</p>"), clean_paragraphs_text)  # bound: the fold runs once
 
     def named(regions):
-        return clean_paragraphs_text(F.concat(F.lit("<p>"), F.array_join(regions, "</p><p>"), F.lit("</p>")))
+        return bind(F.concat(F.lit("<p>"), F.array_join(regions, "</p><p>"), F.lit("</p>")), clean_paragraphs_text)
 
     def from_clean(clean):
         if rule.tag and not rule.path:

@@ -297,3 +297,18 @@ def test_all_elements_with_the_id_count(spark):
     assert df.select(container_text(F.col("html"), rule)).first()[0] == "A B C"
     lenient = spark.createDataFrame([("<main id=main-section><p>only</p></main>",)], "html string")
     assert lenient.select(container_text(F.col("html"), TRIBUNE.container)).first()[0] == "only"
+
+
+def test_container_fold_stands_once_in_the_plan(spark):
+    """Within a lambda Spark evaluates an expression as often as it stands there; the fold over a page's tags stands there once."""
+    from inkwell.functions.container import container_text
+    from inkwell.registry import Container
+
+    page = "<div id=x><p>one</p><section><p>two <b>three</b></section></div>"
+    df = spark.createDataFrame([(page,), (None,), ("<p>no</p>",), ("<div id=x></div>",)], "html string")
+    plain = Container(tag="div", attr="id", needle="x")
+    for rule, text in ((plain, "one two three"), (Container(tag="", attr="id", needle="x"), "one two three"),
+                       (Container(tag="", attr="id", needle="x", path="section/p", strict=True), "two three")):
+        out = df.select(container_text(F.col("html"), rule).alias("t"))
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1, rule
+        assert [r["t"] for r in out.collect()] == [text, None, None, None], rule
