@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import checkpoint, hash128, text_or_empty
@@ -217,6 +217,16 @@ def train_classifier(rows: list[tuple[str, tuple[str, ...], float, float]], roun
     return {k: round(v, 9) for k, v in w.items()}
 
 
+def soft_labels(spark: SparkSession, patterns: list[tuple[str, tuple[int, ...]]], soft: list[float]) -> DataFrame:
+    """The posterior per kind and vote pattern.  Handed over as Arrow it is a local relation; a list of rows
+    would start a Python daemon and workers in every executor."""
+    import pyarrow as pa
+
+    votes = {x: pa.array([p[j] for _, p in patterns], pa.int32()) for j, x in enumerate(LABELERS)}
+    return spark.createDataFrame(pa.table({"kind": pa.array([k for k, _ in patterns], pa.string()), **votes,
+                                           "soft": pa.array(soft, pa.float64())}))
+
+
 def fit(found: DataFrame) -> dict:
     """Weights of the span classifier: EM over the vote pattern counts of all spans, then its soft labels by feature."""
     counted = found.groupBy("kind", *LABELERS).agg(F.count(F.lit(1)).alias("n")).collect()  # <= kinds * 81 rows
@@ -224,8 +234,7 @@ def fit(found: DataFrame) -> dict:
     if not rows:
         return {}
     soft = expectation_maximisation([(p, n) for _, p, n in rows], [k for k, _, _ in rows])
-    known = found.sparkSession.createDataFrame([(k, *p, q) for (k, p, _), q in zip(rows, soft)],
-                                               "kind string, " + ", ".join(f"{x} int" for x in LABELERS) + ", soft double")
+    known = soft_labels(found.sparkSession, [(k, p) for k, p, _ in rows], soft)
     seen = found.join(F.broadcast(known), ["kind", *LABELERS]).groupBy("kind", *FEATURES) \
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.round("soft", 9).cast("decimal(20,9)")).cast("double").alias("soft")).collect()  # <= kinds * 900 rows
     return train_classifier(sorted((r["kind"], tuple(r[x] for x in FEATURES), float(r["n"]), r["soft"] / r["n"]) for r in seen))

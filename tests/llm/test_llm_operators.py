@@ -631,6 +631,17 @@ def test_pii_many_spans_stay_linear(spark, capsys):
             assert r.open == (not r.base and not any(a < r.end and r.start < b for a, b in base))
 
 
+def test_pii_soft_labels_start_no_python_worker(spark, monkeypatch):
+    """The table of soft labels is a local relation, not rows that Python workers of the executors hand over."""
+    df = spark.createDataFrame([(1, "mail joe@corp.com or 10.2.3.4, call 743-555-3824"), (2, "300.1.2.3")], "doc_id long, text string")
+    sent, broadcast = [], pii.F.broadcast
+    monkeypatch.setattr(pii.F, "broadcast", lambda x: broadcast(sent.append(x) or x))
+    assert pii.fit(pii.spans(df))
+    assert len(sent) == 1 and sent[0]._jdf.queryExecution().optimizedPlan().toString().startswith("LocalRelation")
+    assert sent[0].dtypes == [("kind", "string"), *[(x, "int") for x in pii.LABELERS], ("soft", "double")]
+    assert {r.kind for r in sent[0].collect()} == {"email", "ip", "card", "phone_national"}
+
+
 # ---- SimHash -----------------------------------------------------------------------------------
 
 def brute_fingerprint(text):
