@@ -206,8 +206,10 @@ def write_archives(pages: DataFrame, path: str, compress: bool = True, id_col: s
                    for i, u, p, d, t in zip(ids, urls, bodies, digests, tos)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    bounds = size_classes(longest.get["n"] or 0, class_bytes)
     size = F.octet_length("_body")
+    # Spark drops the measurement with the rest of the plan if no payload is long enough to be shared.
+    n = p.agg(F.max(size)).first()[0] if shared.isEmpty() else longest.get["n"]
+    bounds = size_classes(n or 0, class_bytes)
     for k, (low, high, records) in enumerate(bounds):
         part = rows if len(bounds) == 1 else rows.filter((size > low) & (size <= high))
         # Plain records end in the blank lines that the writer puts between rows; NUL padding may follow a gzip member.

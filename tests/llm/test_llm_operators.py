@@ -375,6 +375,13 @@ def test_warc_round_trip(spark, tmp_dir, compress):
     assert warc.read_archives(spark, f"{tmp_dir}/w").filter("kind = 'gap'").count() == 0
 
 
+def test_warc_archives_of_short_payloads_only(spark, tmp_dir):
+    """No payload is long enough to be revisited: the plan that looks for shared ones ends early."""
+    df = pages(spark).filter("html is null or length(html) < 900")
+    got = sorted((r.page_id, r.payload_bytes, r.record_type) for r in Q.archive_records(spark, df, f"{tmp_dir}/short").collect())
+    assert got == [(3, 0, "response"), (4, 0, "response"), (5, 5, "response"), (6, 5, "response")]
+
+
 @pytest.mark.parametrize("compress", [True, False])
 def test_warc_salvage(compress):
     """Damage costs the damaged record only; the gap covers exactly its bytes."""
@@ -780,7 +787,7 @@ def test_empty_tables(spark):
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
 def test_sql_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = Q.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
