@@ -258,6 +258,97 @@ def test_upsert_reads_no_bodies_of_the_table(spark, tmp_dir):
     assert "FileScan" in plan and "content" not in plan
 
 
+def prose(spark, n, shift=0, day=1, tasks=3):
+    """Rows whose bodies do not compress, in several files; every seventh without url, every fifth url twice."""
+    i = F.col("id") + shift
+    body = F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.sha2(F.concat_ws("-", i.cast("string"), k.cast("string")), 256)))
+    rows = spark.range(0, n, 1, tasks).select(
+        F.concat(F.lit(f"v{day}-"), i.cast("string")).alias("heading"), body.alias("content"), F.lit(None).cast("string").alias("author"),
+        F.lit(f"2025-06-0{day}").alias("date"), F.lit("k").alias("category"), F.when(i % 7 != 0, F.concat(F.lit("u"), i.cast("string"))).alias("url"),
+        F.lit(f"2025-06-0{day}T01:00:00").alias("processed_at"), F.lit("s").alias("spider_name"))
+    older = rows.filter(F.substring("url", -1, 1).isin("0", "5")).withColumns({"processed_at": F.lit("2025-05-01T01:00:00"), "heading": F.lit("older")})
+    return M.to_load_rows(rows.unionByName(older))
+
+
+def disk(path):
+    import os
+
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path.removeprefix("file:")) for f in fs)
+
+
+def test_upsert_into_leaves_no_copies_of_bodies(spark, tmp_dir):
+    """Neither checkpoints nor shuffle files with the batch's bodies stay behind."""
+    import os
+    import time
+
+    from inkwell.session import checkpoint_root
+
+    b, path = prose(spark, 2000), os.path.join(tmp_dir, "news")
+    bodies = 2000 * 60 * 64 / 2  # hex digits hold half a byte each
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    folders = [checkpoint_root(spark), *local]
+    before = sum(map(disk, folders))
+    M.upsert_into(spark, path, b, "2025-06-01 12:00:00")
+    left = lambda: sum(map(disk, folders)) - before
+    until = time.time() + 20
+    while left() > 0.5 * bodies and time.time() < until:
+        time.sleep(0.5)
+    assert left() < 0.5 * bodies < size(path)
+
+
+def test_read_news_shuffles_no_bodies(spark, tmp_dir):
+    import os
+
+    path = os.path.join(tmp_dir, "news")
+    for k in (1, 2, 3):
+        M.upsert_into(spark, path, load(spark, range(2 * k)), f"2025-06-0{k} 12:00:00", max_deltas=1 if k == 2 else 9)
+    assert M._parts(spark, path)[0] and len(M._parts(spark, path)[1]) == 1
+    M.upsert_into(spark, path, load(spark, range(3)), "2025-06-04 12:00:00")
+    plan = M.read_news(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(url" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_slices_write_the_same_table(spark, tmp_dir, monkeypatch):
+    """Ids, winners and outdated rows over several slices and bitmaps, against the frame version."""
+    import os
+
+    want = M.empty_news(spark)
+    runs = [(load(spark, range(33000)), "2025-06-01 12:00:00"), (prose(spark, 300, 32700, 2), "2025-06-02 12:00:00"),
+            (prose(spark, 90, 32750, 3).unionByName(load(spark, [5, 40000], "x", 3)), "2025-06-03 12:00:00")]
+    for b, ts in runs:
+        want = M.upsert(want, b, ts).checkpoint()
+    want = news_of(want)
+    for bytes_, n in ((1 << 40, 1), (1, 8)):
+        monkeypatch.setattr(M, "SLICE_BYTES", bytes_)
+        path = os.path.join(tmp_dir, f"news{n}")
+        os.makedirs(f"{path}/{M.PENDING}00000001-crashed")
+        os.makedirs(f"{path}/{M.PENDING}00000009-of-another-run")
+        for b, ts in runs:
+            M.upsert_into(spark, path, b, ts)
+        assert news_of(M.read_news(spark, path)) == want
+        assert [d for d in os.listdir(path) if d.startswith(M.PENDING)] == [f"{M.PENDING}00000009-of-another-run"]
+        M.compact(spark, path)
+        assert news_of(M.read_news(spark, path)) == want
+
+
+def news_of(t):
+    """Rows as (id, ...): ids of rows without url are in the order of their digests, so all are fixed."""
+    return sorted(map(tuple, t.select("id", "heading", F.md5("content"), "date", "url", "processed_at", "created_at", "updated_at").collect()))
+
+
+def test_scratch_of_an_upsert_is_gone_before_compaction(spark, tmp_dir, monkeypatch):
+    import os
+
+    from inkwell import session
+
+    seen, inner = [], M.compact
+    monkeypatch.setattr(M, "compact", lambda *a: (seen.append([p for p in session._SCRATCH if "/upsert-" in p]), inner(*a)))
+    before = [p for p in session._SCRATCH if "/upsert-" in p]
+    for k in (1, 2):
+        M.upsert_into(spark, os.path.join(tmp_dir, "news"), load(spark, range(k)), f"2025-06-0{k} 12:00:00", max_deltas=1)
+    assert seen == [before]
+
+
 def marks_on_disk(spark, state):
     return {(r["k"], r["last_accept_at"]) for r in spark.read.parquet(state).collect()}
 
