@@ -201,3 +201,30 @@ def test_streamed_rows_without_time_are_accepted(spark, tmp_dir):
     (ttl_throttle_stream(stream, ["k"], "ts", 86400, "event_id").writeStream.format("parquet").option("path", out)
      .option("checkpointLocation", os.path.join(tmp_dir, "ckpt")).trigger(availableNow=True).start().awaitTermination())
     assert {(r["event_id"], r["ts"] is None) for r in spark.read.parquet(out).collect()} == {(1, False), (2, True), (4, True)}
+
+
+def _documents(spark, tmp_dir):
+    rows = [(i, f"Head {i % 50}\nbody of {i % 50}" if i % 11 else None, ["en", "de", "fr", "es", None][i % 5], f"s{i % 3}", 9) for i in range(120)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long") \
+        .write.parquet(os.path.join(tmp_dir, "documents.parquet"))
+    return tmp_dir
+
+
+def _landed(*folders):
+    return {f: sorted(n for n in os.listdir(f) if n.startswith("part-")) for f in folders}
+
+
+def test_stream_upsert_keeps_landed_rows_compressed_until_they_are_in(spark, tmp_dir, monkeypatch):
+    """Landing files are gzip; those of the first run are gone once the second one begins."""
+    import inkwell.plans.catalog  # noqa: F401  (before its query modules)
+    from inkwell.plans import q_state, q_stream
+
+    sf, land, seen = _documents(spark, tmp_dir), os.path.join(tmp_dir, "landing"), []
+    monkeypatch.setattr(q_stream, "scratch_dir", lambda _, name: os.path.join(tmp_dir, name))
+    inner = q_stream.SK.run_available
+    monkeypatch.setattr(q_stream.SK, "run_available", lambda start: (seen.append(_landed(land)[land]), inner(start)))
+    got = sorted(map(tuple, q_stream.stream_upsert(spark, sf).collect()), key=repr)
+    assert got == sorted(map(tuple, q_state.upsert_articles(spark, sf).collect()), key=repr) and got
+    first, both = seen
+    assert all(n.endswith(".json.gz") for n in both) and set(first) < set(both)
+    assert set(_landed(land)[land]) == set(both) - set(first)
