@@ -228,3 +228,19 @@ def test_stream_upsert_keeps_landed_rows_compressed_until_they_are_in(spark, tmp
     first, both = seen
     assert all(n.endswith(".json.gz") for n in both) and set(first) < set(both)
     assert set(_landed(land)[land]) == set(both) - set(first)
+
+
+def test_interleaved_upserts_keep_landed_rows_compressed_until_they_are_in(spark, tmp_dir, monkeypatch):
+    """Landing files are gzip; of each stream only the last batch's are left, which the replays read."""
+    import inkwell.plans.catalog  # noqa: F401
+    from inkwell.plans import q_stream
+
+    sf, root = _documents(spark, tmp_dir), os.path.join(tmp_dir, "turns")
+    monkeypatch.setattr(q_stream, "scratch_dir", lambda _, name: os.path.join(tmp_dir, name))
+    rows = q_stream.interleaved_upserts(spark, sf).collect()
+    assert len({r["id"] for r in rows}) == len(rows) and {r["category"] for r in rows if r["url"]} == {"en", "de", "fr", "es", None}
+    assert max(r["updated_at"] for r in rows) < "2030" and {r["updated_at"][:10] for r in rows} >= {"2025-06-05", "2025-06-06"}
+    left = _landed(f"{root}/land_a", f"{root}/land_b")
+    assert all(n and all(f.endswith(".json.gz") for f in n) for n in left.values())
+    found = {r["category"] for r in spark.read.json(f"{root}/land_a").collect()}
+    assert found == {"en", "fr"} and {r["author"] for r in spark.read.json(f"{root}/land_a").collect()} <= {f"Desk s{k}" for k in range(3)}
